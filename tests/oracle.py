@@ -1,0 +1,101 @@
+"""Compare each registered query with its DuckDB oracle (as the driver does).
+
+Usage: python tests/oracle.py [sf_dir] [name ...]
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+import os
+import sys
+import time
+
+import duckdb
+import pandas as pd
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        p = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def _norm(v):
+    if v is None or (isinstance(v, float) and math.isnan(v)) or v is pd.NaT:
+        return None
+    if isinstance(v, pd.Timestamp):
+        v = v.to_pydatetime()
+    if isinstance(v, dt.datetime):
+        return v.isoformat(sep=" ")
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    if isinstance(v, float):
+        return float(f"{v:.12g}")
+    if hasattr(v, "item"):
+        return _norm(v.item())
+    return v
+
+
+def rows_of(records: list[tuple], cols: list[str]) -> list[tuple]:
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    out = [tuple(_norm(r[i]) for i in order) for r in records]
+    return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
+
+
+def compare(spark, name: str, sf_dir: str, con=None) -> dict:
+    from __spark_entry__ import oracle_sql, queries
+
+    t0 = time.time()
+    sdf = queries()[name](spark, sf_dir)
+    srows = [tuple(r) for r in sdf.collect()]
+    t_spark = time.time() - t0
+    scols = sdf.columns
+    res = {"name": name, "spark_rows": len(srows), "spark_sec": round(t_spark, 2)}
+    sql = oracle_sql().get(name)
+    if sql is None:
+        res["oracle"] = "none"
+        return res
+    con = con or duck(sf_dir)
+    cur = con.execute(sql)
+    dcols = [d[0] for d in cur.description]
+    drows = cur.fetchall()
+    res["oracle_rows"] = len(drows)
+    res["cols_match"] = sorted(scols) == sorted(dcols)
+    if not res["cols_match"]:
+        res["cols"] = (sorted(scols), sorted(dcols))
+    a, b = rows_of(srows, scols), rows_of(drows, dcols)
+    res["values_match"] = a == b
+    if not res["values_match"] and res["cols_match"]:
+        diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
+        res["first_diff"] = diff
+    return res
+
+
+if __name__ == "__main__":
+    from kiln.session import get_spark
+
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    from __spark_entry__ import queries
+
+    names = sys.argv[2:] or list(queries())
+    spark = get_spark("oracle-check", shuffle_partitions=8)
+    con = duck(sf)
+    bad = 0
+    for n in names:
+        try:
+            r = compare(spark, n, sf, con)
+        except Exception as e:  # report and go on
+            r = {"name": n, "error": f"{type(e).__name__}: {str(e)[:400]}"}
+        ok = r.get("values_match") and r.get("cols_match") and r.get("spark_rows") == r.get("oracle_rows")
+        bad += not ok
+        print(("OK  " if ok else "FAIL"), r, flush=True)
+    print(f"{len(names) - bad}/{len(names)} match")
