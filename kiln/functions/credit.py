@@ -40,7 +40,9 @@ def income_bonus(income: str | Column) -> Column:
 
 
 def credit_score(draw: str | Column, income: str | Column) -> Column:
-    return F.least(_col(draw) + income_bonus(income), F.lit(SCORE_CAP)).cast("int")
+    """min(draw + bonus, 990); NULL when an input is NULL (``least`` alone would skip the NULL)."""
+    base = _col(draw) + income_bonus(income)
+    return F.when(base.isNotNull(), F.least(base, F.lit(SCORE_CAP))).cast("int")
 
 
 def credit_grade(score: str | Column) -> Column:

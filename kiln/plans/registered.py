@@ -305,7 +305,8 @@ def _draw(key: str, salt: str = "") -> str:
 
 
 def _score(key: str, income: str, salt: str = "") -> str:
-    return f"CAST(least({_draw(key, salt)} + CAST(floor({income} / 1000) AS INTEGER) * 10, 990) AS INTEGER)"
+    base = f"{_draw(key, salt)} + CAST(floor({income} / 1000) AS INTEGER) * 10"
+    return f"CAST(CASE WHEN {base} IS NOT NULL THEN least({base}, 990) END AS INTEGER)"
 
 
 def _grade(s: str) -> str:

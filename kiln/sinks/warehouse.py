@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kiln.operators.credit import apply_updates, latest_per_key
+from kiln.operators.credit import apply_updates
 from kiln.operators.sensor import project_target
 from kiln.schemas import CUSTOMER_COLUMNS, CUSTOMERS_DDL, SENSOR_READINGS_DDL
 from kiln.session import scratch_dir
@@ -174,13 +174,20 @@ class Warehouse:
             self._target(batch)
             .observe(obs, F.count(F.lit(1)).alias("rows_in"))
             .repartitionByRange(n_parts, "reading_date", "timestamp")
-            .select(*_VALUE_COLUMNS.split(", "), F.current_timestamp().alias("created_at"), "reading_date")
-        )
-        (
-            target.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .insertInto(self.sensor_table, overwrite=True)
         )
+        view = self._view(target)
+        key = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(key)
+        # table inserts take the mode from the session only, not from writer options
+        self.spark.conf.set(key, "dynamic")
+        try:
+            self.spark.sql(
+                f"INSERT OVERWRITE TABLE {self.sensor_table} PARTITION (reading_date) "
+                f"({_VALUE_COLUMNS}, reading_date) SELECT {_VALUE_COLUMNS}, reading_date FROM {view}"
+            )
+        finally:
+            self.spark.conf.set(key, before)
+            self.spark.catalog.dropTempView(view)
         n = int(obs.get["rows_in"])
         return LoadAudit(None, n, n, 0, 0, rows_rejected)
 

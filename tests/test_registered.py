@@ -1,0 +1,32 @@
+"""Every registered query against its DuckDB oracle, and the smoke entry."""
+
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+from tests.oracle import compare, duck
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_every_query_has_an_oracle():
+    assert set(queries()) == set(oracle_sql())
+    assert len(queries()) == 29
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF)
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query_matches_oracle(spark, con, name):
+    r = compare(spark, name, SF, con)
+    assert r["cols_match"], r
+    assert r["spark_rows"] == r["oracle_rows"], r
+    assert r["values_match"], r
+
+
+def test_entry_smoke(spark):
+    df = entry(spark)
+    assert df.columns == ["sensor_id", "timestamp", "temperature_c", "temperature_f", "reading_date", "event_id"]
+    assert df.count() > 0

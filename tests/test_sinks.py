@@ -1,0 +1,120 @@
+"""Loads: S6, S11 (2.5-a, b), S12, S15, S2 reruns, backfill."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from kiln.operators.sensor import project_target, to_fahrenheit
+from kiln.schemas import RAW_READING
+from kiln.sinks.files import land_raw
+from kiln.sinks.warehouse import Warehouse
+from kiln.sources.files import scan_raw_json
+
+
+def _clean(spark, rows):
+    """rows: (sensor, 'yyyy-mm-dd HH:MM:SS', temp)"""
+    data = [(s, dt.datetime.fromisoformat(t), v, "on") for s, t, v in rows]
+    return to_fahrenheit(spark.createDataFrame(data, RAW_READING))
+
+
+@pytest.fixture()
+def wh(spark, tmp_path):
+    w = Warehouse(spark, root=str(tmp_path / "wh"))
+    w.ensure_tables()
+    return w
+
+
+def _days(wh):
+    return {str(r.reading_date): r.n for r in wh.sensor_readings().groupBy("reading_date").agg(F.count("*").alias("n")).collect()}
+
+
+def test_ensure_tables_is_repeatable(spark, wh):
+    assert wh.ensure_tables() == wh.ensure_tables()
+    assert wh.sensor_readings().count() == 0 and wh.customers().count() == 0
+
+
+def test_overwrite_day_replaces_only_that_day_and_is_idempotent(spark, wh):
+    wh.load_append(_clean(spark, [("A", "2026-04-08 10:00:00", 1.0), ("B", "2026-04-09 10:00:00", 2.0), ("C", "2026-04-09 11:00:00", 3.0)]))
+    batch = _clean(spark, [("X", "2026-04-09 12:00:00", 5.0)])
+    for _ in range(2):
+        audit = wh.load_overwrite_day(batch, "2026-04-09")
+    assert _days(wh) == {"2026-04-08": 1, "2026-04-09": 1}
+    assert (audit.rows_in, audit.rows_inserted, audit.rows_deleted, audit.rows_out_of_day) == (1, 1, 1, 0)
+    assert wh.sensor_readings().where("created_at IS NULL").count() == 0
+
+
+def test_empty_batch_empties_the_day(spark, wh):
+    wh.load_append(_clean(spark, [("A", "2026-04-08 10:00:00", 1.0), ("B", "2026-04-09 10:00:00", 2.0)]))
+    audit = wh.load_overwrite_day(_clean(spark, []), "2026-04-09")
+    assert _days(wh) == {"2026-04-08": 1}
+    assert (audit.rows_in, audit.rows_deleted) == (0, 1)
+
+
+def test_rows_outside_the_day_are_appended(spark, wh):
+    wh.load_append(_clean(spark, [("A", "2026-04-08 10:00:00", 1.0), ("B", "2026-04-09 10:00:00", 2.0)]))
+    batch = _clean(spark, [("X", "2026-04-09 12:00:00", 5.0), ("Y", "2026-04-08 23:59:59", 6.0)])
+    audit = wh.load_overwrite_day(batch, "2026-04-09")
+    assert _days(wh) == {"2026-04-08": 2, "2026-04-09": 1}
+    assert audit.rows_out_of_day == 1
+    wh.load_overwrite_day(batch, "2026-04-09")  # a rerun duplicates the out-of-day row, as in the reference
+    assert _days(wh) == {"2026-04-08": 3, "2026-04-09": 1}
+
+
+def test_append_doubles_on_rerun(spark, wh):
+    b = _clean(spark, [("A", "2026-04-08 10:00:00", 1.0)])
+    wh.load_append(b)
+    wh.load_append(b)
+    assert wh.sensor_readings().count() == 2
+
+
+def test_overwrite_days_backfill(spark, wh):
+    wh.load_append(_clean(spark, [("A", "2026-04-08 10:00:00", 1.0), ("B", "2026-04-09 10:00:00", 2.0), ("C", "2026-04-10 10:00:00", 2.0)]))
+    wh.load_overwrite_days(_clean(spark, [("X", "2026-04-09 12:00:00", 5.0), ("Y", "2026-04-09 13:00:00", 5.0), ("Z", "2026-04-10 13:00:00", 5.0)]))
+    assert _days(wh) == {"2026-04-08": 1, "2026-04-09": 2, "2026-04-10": 1}
+
+
+def test_float_columns_are_32_bit(spark, wh):
+    wh.load_append(_clean(spark, [("A", "2026-04-08 10:00:00", 28.22)]))
+    r = wh.sensor_readings().first()
+    assert dict(wh.sensor_readings().dtypes)["temperature_c"] == "float"
+    assert abs(r.temperature_f - 82.796) < 1e-4
+
+
+def test_land_raw_rerun_replaces_the_day(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    b = _clean(spark, [("A", "2026-04-08 10:00:00", 1.0), ("B", "2026-04-09 10:00:00", 2.0)]).drop("temperature_f")
+    land_raw(b, root)
+    land_raw(b, root)
+    land_raw(b.where("sensor_id = 'A'"), root, ds="2026-04-08")
+    got = scan_raw_json(spark, root)
+    assert got.count() == 2
+    assert {str(r.ds) for r in got.collect()} == {"2026-04-08", "2026-04-09"}
+
+
+def test_varchar_limit_is_enforced(spark, wh):
+    b = _clean(spark, [("S" * 60, "2026-04-08 10:00:00", 1.0)])
+    with pytest.raises(Exception):
+        wh.load_append(b)
+
+
+def test_load_stage_requires_a_path(spark, wh):
+    from kiln.plans.sensor_etl import load_stage, transform_stage
+
+    with pytest.raises(ValueError):
+        load_stage(spark, None, wh)
+    with pytest.raises(ValueError):
+        transform_stage(spark, "", "/nowhere")
+    with pytest.raises(Exception):
+        load_stage(spark, "/definitely/missing/path", wh)
+
+
+def test_target_projection_via_chain(spark, tmp_path):
+    from kiln.plans.sensor_etl import run_chain
+
+    w = Warehouse(spark, root=str(tmp_path / "wh2"))
+    src = _clean(spark, [("A", "2026-04-08 10:00:00", 1.0), ("B", "2026-04-09 10:00:00", 120.0)]).drop("temperature_f")
+    audit = run_chain(spark, src, str(tmp_path / "chain"), w)
+    assert audit.rows_rejected == 1
+    assert w.sensor_readings().count() == 1
+    assert project_target(_clean(spark, [])).columns[:5] == ["sensor_id", "timestamp", "temperature_c", "temperature_f", "reading_date"]
