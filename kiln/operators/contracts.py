@@ -81,48 +81,79 @@ def _reasons(*parts: Column) -> Column:
     return F.when(joined != "", joined)
 
 
-def _finish(df: DataFrame, typed: dict[str, Column], reason: Column, strict: bool, what: str) -> DataFrame:
+def _finish(df: DataFrame, typed: dict[str, Column], parts: list[Column], strict: bool, what: str,
+            keep_rejected: bool = True) -> DataFrame:
+    """Typed columns + other input columns + ``reject_reason``.
+
+    With ``keep_rejected=False`` the invalid rows are filtered out by a plain
+    null test on the checks (no reason strings are built for that) and no
+    reason column is added.
+    """
     keep = [F.col(c) for c in df.columns if c not in typed and c != "reject_reason"]
-    out = df.select(*[v.alias(k) for k, v in typed.items()], *keep, reason.alias("reject_reason"))
+    cols = [v.alias(k) for k, v in typed.items()]
     if strict:
-        out = out.withColumn(
-            "reject_reason",
-            F.when(
-                F.col("reject_reason").isNotNull(),
-                F.raise_error(F.concat(F.lit(f"invalid {what}: "), F.col("reject_reason"))),
-            ),
-        )
-    return out
+        # a filter that raises on the first invalid row: unlike a column it
+        # cannot be pruned away when nobody reads it
+        fail = F.raise_error(F.concat(F.lit(f"invalid {what}: "), _reasons(*parts)))
+        df = df.where(F.when(F.coalesce(*parts).isNotNull(), fail).otherwise(F.lit(True)))
+        if not keep_rejected:
+            return df.select(*cols, *keep)
+        return df.select(*cols, *keep, F.lit(None).cast("string").alias("reject_reason"))
+    if not keep_rejected:
+        return df.where(F.coalesce(*parts).isNull()).select(*cols, *keep)
+    return df.select(*cols, *keep, _reasons(*parts).alias("reject_reason"))
+
+
+def _request_checks(df: DataFrame) -> tuple[dict[str, Column], list[Column]]:
+    uid, r_uid = _as_str(df, "user_id")
+    inc, r_inc = _as_int(df, "income")
+    loan, r_loan = _as_int(df, "loan_amt")
+    return {"user_id": uid, "income": inc, "loan_amt": loan}, [r_uid, r_inc, r_loan]
+
+
+def _response_checks(df: DataFrame, full: bool) -> tuple[dict[str, Column], list[Column]]:
+    uid, r_uid = _as_str(df, "user_id")
+    score, r_score = _as_int(df, "credit_score")
+    grade, r_grade = _as_str(df, "grade")
+    parts = [r_uid, r_score, r_grade]
+    if full:
+        parts.append(F.when(~score.between(SCORE_MIN, SCORE_MAX), F.lit(f"credit_score: outside {SCORE_MIN}..{SCORE_MAX}")))
+        parts.append(F.when(~grade.isin(*GRADES), F.lit("grade: not one of " + ", ".join(GRADES))))
+        expected = F.when(score >= GRADE_A_FROM, "A").when(score >= GRADE_B_FROM, "B").otherwise("C")
+        parts.append(F.when(grade.isin(*GRADES) & (grade != expected), F.lit("grade: does not match credit_score")))
+    return {"user_id": uid, "credit_score": score, "grade": grade}, parts
 
 
 def validate_request(df: DataFrame, strict: bool = False) -> DataFrame:
     """C4 ``credit_validate_request``: typed ``user_id:str, income:int, loan_amt:int``, all required.
 
-    Output: ``user_id, income, loan_amt`` typed (NULL where rejected), any
-    other input columns, and ``reject_reason``.
+    Output: ``user_id, income, loan_amt`` typed (NULL where that field is
+    invalid), any other input columns, and ``reject_reason``.
     """
-    uid, r_uid = _as_str(df, "user_id")
-    inc, r_inc = _as_int(df, "income")
-    loan, r_loan = _as_int(df, "loan_amt")
-    typed = {"user_id": uid, "income": inc, "loan_amt": loan}
-    return _finish(df, typed, _reasons(r_uid, r_inc, r_loan), strict, "request")
+    typed, parts = _request_checks(df)
+    return _finish(df, typed, parts, strict, "request")
+
+
+def valid_requests(df: DataFrame, strict: bool = False) -> DataFrame:
+    """The valid requests only, typed (strict: fail on any invalid one)."""
+    typed, parts = _request_checks(df)
+    return _finish(df, typed, parts, strict, "request", keep_rejected=False)
 
 
-def validate_response(df: DataFrame, strict: bool = False) -> DataFrame:
+def validate_response(df: DataFrame, strict: bool = False, full: bool = True) -> DataFrame:
     """C7 ``credit_validate_response``: typed ``user_id:str, credit_score:int, grade:str``.
 
-    Types are the service contract; the range 0..1000, the grade set and the
-    grade/score agreement are our additional checks.
+    Types are the service contract (``full=False`` checks only those); the
+    range 0..1000, the grade set and the grade/score agreement are our
+    additional checks.
     """
-    uid, r_uid = _as_str(df, "user_id")
-    score, r_score = _as_int(df, "credit_score")
-    grade, r_grade = _as_str(df, "grade")
-    r_range = F.when(~score.between(SCORE_MIN, SCORE_MAX), F.lit(f"credit_score: outside {SCORE_MIN}..{SCORE_MAX}"))
-    r_set = F.when(~grade.isin(*GRADES), F.lit("grade: not one of " + ", ".join(GRADES)))
-    expected = F.when(score >= GRADE_A_FROM, "A").when(score >= GRADE_B_FROM, "B").otherwise("C")
-    r_agree = F.when(grade.isin(*GRADES) & (grade != expected), F.lit("grade: does not match credit_score"))
-    typed = {"user_id": uid, "credit_score": score, "grade": grade}
-    return _finish(df, typed, _reasons(r_uid, r_score, r_grade, r_range, r_set, r_agree), strict, "response")
+    typed, parts = _response_checks(df, full)
+    return _finish(df, typed, parts, strict, "response")
+
+
+def valid_responses(df: DataFrame, strict: bool = False, full: bool = False) -> DataFrame:
+    typed, parts = _response_checks(df, full)
+    return _finish(df, typed, parts, strict, "response", keep_rejected=False)
 
 
 def valid(df: DataFrame) -> DataFrame:
