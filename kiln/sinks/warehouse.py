@@ -164,17 +164,13 @@ class Warehouse:
     def load_overwrite_days(self, batch: DataFrame, rows_rejected: int = 0) -> LoadAudit:
         """Backfill: replace every day present in ``batch`` in one job.
 
-        Range-partitioning on (reading_date, timestamp) gives few, sorted files
-        per day and splits a day that holds a large share of the rows across
-        several tasks instead of sending it to one.
+        The ``rebalance`` hint shuffles by day so that each day is written by
+        few tasks (few files), while AQE splits a day that holds a large share
+        of the rows into several tasks and merges small ones. Unlike a range
+        repartition it needs no sampling pass over the input.
         """
         obs = Observation(f"days_{_uid()}")
-        n_parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        target = (
-            self._target(batch)
-            .observe(obs, F.count(F.lit(1)).alias("rows_in"))
-            .repartitionByRange(n_parts, "reading_date", "timestamp")
-        )
+        target = self._target(batch).observe(obs, F.count(F.lit(1)).alias("rows_in")).hint("rebalance", "reading_date")
         view = self._view(target)
         key = "spark.sql.sources.partitionOverwriteMode"
         before = self.spark.conf.get(key)
