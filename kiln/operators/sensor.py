@@ -77,6 +77,14 @@ def trailing_days(df: DataFrame, ds: str | date, days: int = 7, date_column: str
     return df.where(F.col(date_column).between(F.date_add(end, -days), end))
 
 
+def max_id(df: DataFrame, id_column: str = "id") -> int:
+    """The largest id in ``df`` (0 when empty): where the next load's ids continue.
+
+    One aggregate, a single number to the driver.
+    """
+    return int(df.agg(F.max(id_column)).first()[0] or 0)
+
+
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
 

@@ -160,8 +160,13 @@ def sensor_day(spark, d):
 
 
 def sensor_dense_ids(spark, d):
+    """Ids for the days before DS, then the later days' ids continue from their maximum."""
     rows = sensor.project_target(_clean(spark, d))
-    return sensor.dense_ids(rows, ["timestamp", "event_id"])
+    order = ["timestamp", "event_id"]
+    before = F.col("reading_date") < F.lit(DS).cast("date")
+    first = sensor.dense_ids(rows.where(before), order)
+    later = sensor.dense_ids(rows.where(~before), order, start=sensor.max_id(first))
+    return first.unionByName(later)
 
 
 def sensor_load_audit(spark, d):

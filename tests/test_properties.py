@@ -1,0 +1,77 @@
+"""Property tests: complement, score bounds, update row count, partitioning."""
+
+import datetime as dt
+import hashlib
+import math
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from kiln.operators import credit, sensor
+from kiln.schemas import RAW_READING
+
+SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+temps = st.one_of(st.none(), st.floats(allow_nan=True, allow_infinity=True, width=64))
+
+
+def _key(v):
+    return "nan" if v is not None and math.isnan(v) else v
+
+
+@SETTINGS
+@given(st.lists(temps, max_size=40), st.floats(min_value=-50, max_value=200))
+def test_normal_and_quarantine_partition_the_input(spark, values, limit):
+    t = dt.datetime(2026, 4, 8, 12)
+    df = spark.createDataFrame([(f"S{i}", t, v, "on") for i, v in enumerate(values)], RAW_READING)
+    normal = {r.sensor_id for r in sensor.filter_normal(df, limit).collect()}
+    quarantined = {r.sensor_id for r in sensor.quarantine(df, limit).collect()}
+    assert normal.isdisjoint(quarantined)
+    assert normal | quarantined == {f"S{i}" for i in range(len(values))}
+    for i, v in enumerate(values):
+        assert (f"S{i}" in normal) == (v is not None and not math.isnan(v) and v < limit)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.text(min_size=1, max_size=8), st.integers(-10**7, 10**8)), min_size=1, max_size=40))
+def test_score_matches_the_rule(spark, rows):
+    df = spark.createDataFrame(rows, "user_id string, income int")
+    for r in credit.grade(credit.score(df)).collect():
+        draw = 300 + int(hashlib.md5(r.user_id.encode()).hexdigest()[:8], 16) % 301
+        assert 300 <= r.draw <= 600 and r.draw == draw
+        assert r.credit_score == min(draw + (r.income // 1000) * 10, 990) <= 990
+        assert r.grade == ("A" if r.credit_score >= 800 else "B" if r.credit_score >= 600 else "C")
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 1000), st.integers(0, 5)), max_size=40))
+def test_update_keeps_row_count_and_last_wins(spark, ups):
+    current = spark.createDataFrame([(f"C{i}", i, None, None) for i in range(20)], "user_id string, income int, credit_score int, grade string")
+    updates = spark.createDataFrame([(f"C{k}", s, "B", o * 100 + j) for j, (k, s, o) in enumerate(ups)], "user_id string, credit_score int, grade string, ord int")
+    out = credit.apply_updates(current, updates, order="ord")
+    got = {r.user_id: r.credit_score for r in out.collect()}
+    assert len(got) == 20 and out.count() == 20
+    last = {}
+    for j, (k, s, o) in sorted(enumerate(ups), key=lambda e: e[1][2] * 100 + e[0]):
+        last[f"C{k}"] = s
+    for i in range(20):
+        assert got[f"C{i}"] == last.get(f"C{i}")
+
+
+def test_results_do_not_depend_on_partitioning(spark):
+    from kiln.operators.credit import predict
+    from kiln.sources.adapters import applicants
+
+    req = applicants(spark, "/root/testdata/sf0.001").select("user_id", "income", "loan_amt")
+    base = sorted(predict(req, strict=False).collect())
+    for n in (1, 4, 32):
+        assert sorted(predict(req.repartition(n), strict=False).collect()) == base
+    ids = sensor.dense_ids(sensor.project_target(sensor.to_fahrenheit(
+        spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
+            F.concat(F.lit("S"), F.col("user_id").cast("string")).alias("sensor_id"),
+            F.col("ts").alias("timestamp"), F.col("value").alias("temperature"), "event_id"))),
+        ["timestamp", "event_id"])
+    want = {r.event_id: r.id for r in ids.collect()}
+    for n in (1, 4, 32):
+        got = sensor.dense_ids(ids.drop("id").repartition(n), ["timestamp", "event_id"], num_partitions=n)
+        assert {r.event_id: r.id for r in got.collect()} == want
