@@ -104,14 +104,14 @@ def _finish(df: DataFrame, typed: dict[str, Column], parts: list[Column], strict
     return df.select(*cols, *keep, _reasons(*parts).alias("reject_reason"))
 
 
-def _request_checks(df: DataFrame) -> tuple[dict[str, Column], list[Column]]:
+def request_checks(df: DataFrame) -> tuple[dict[str, Column], list[Column]]:
     uid, r_uid = _as_str(df, "user_id")
     inc, r_inc = _as_int(df, "income")
     loan, r_loan = _as_int(df, "loan_amt")
     return {"user_id": uid, "income": inc, "loan_amt": loan}, [r_uid, r_inc, r_loan]
 
 
-def _response_checks(df: DataFrame, full: bool) -> tuple[dict[str, Column], list[Column]]:
+def response_checks(df: DataFrame, full: bool) -> tuple[dict[str, Column], list[Column]]:
     uid, r_uid = _as_str(df, "user_id")
     score, r_score = _as_int(df, "credit_score")
     grade, r_grade = _as_str(df, "grade")
@@ -130,13 +130,13 @@ def validate_request(df: DataFrame, strict: bool = False) -> DataFrame:
     Output: ``user_id, income, loan_amt`` typed (NULL where that field is
     invalid), any other input columns, and ``reject_reason``.
     """
-    typed, parts = _request_checks(df)
+    typed, parts = request_checks(df)
     return _finish(df, typed, parts, strict, "request")
 
 
 def valid_requests(df: DataFrame, strict: bool = False) -> DataFrame:
     """The valid requests only, typed (strict: fail on any invalid one)."""
-    typed, parts = _request_checks(df)
+    typed, parts = request_checks(df)
     return _finish(df, typed, parts, strict, "request", keep_rejected=False)
 
 
@@ -147,12 +147,12 @@ def validate_response(df: DataFrame, strict: bool = False, full: bool = True) ->
     range 0..1000, the grade set and the grade/score agreement are our
     additional checks.
     """
-    typed, parts = _response_checks(df, full)
+    typed, parts = response_checks(df, full)
     return _finish(df, typed, parts, strict, "response")
 
 
 def valid_responses(df: DataFrame, strict: bool = False, full: bool = False) -> DataFrame:
-    typed, parts = _response_checks(df, full)
+    typed, parts = response_checks(df, full)
     return _finish(df, typed, parts, strict, "response", keep_rejected=False)
 
 

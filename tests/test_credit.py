@@ -165,3 +165,20 @@ def test_credit_run_empty_batch_policy(spark, wh):
     assert credit_run(wh)["rows_updated"] == 0  # skip: nothing pending is normal
     with pytest.raises(contracts.EmptyBatchError):
         credit_run(wh, empty="fail")
+
+
+def test_fused_run_equals_step_by_step(spark, tmp_path):
+    from kiln.plans.credit_run import credit_run_by_key
+    from kiln.sources.adapters import applicants
+
+    apps = applicants(spark, "/root/testdata/sf0.001").select("user_id", "income", "loan_amt")
+    a = Warehouse(spark, root=str(tmp_path / "a"))
+    b = Warehouse(spark, root=str(tmp_path / "b"))
+    c = Warehouse(spark, root=str(tmp_path / "c"))
+    ca = credit_run(a, apps)
+    cb = credit_run_by_key(b, apps)
+    cc = credit_run(c, apps, scorer=credit.formula_scorer())
+    assert ca == cb == cc
+    cols = ["user_id", "income", "loan_amt", "credit_score", "grade"]
+    sa = sorted(a.customers().select(*cols).collect())
+    assert sa == sorted(b.customers().select(*cols).collect()) == sorted(c.customers().select(*cols).collect())
