@@ -9,10 +9,11 @@ Loads (SURVEY 2.2, 2.3, 2.5):
 
 * S11 ``load_overwrite_day``: result = rows with date <> ds, plus the whole
   batch. The batch is written once to a staging folder partitioned by date
-  (load counts observed on that write); then ``INSERT OVERWRITE ... PARTITION
-  (reading_date = ds)`` replaces the day - and empties it for an empty batch -
-  and rows dated otherwise are appended. A failed publish can be retried from
-  the staging folder.
+  (load counts observed on that write); then the day is replaced - by a
+  dynamic overwrite that swaps the day's folder only at job commit, or, for an
+  empty batch, a static ``INSERT OVERWRITE ... PARTITION (reading_date = ds)``
+  that empties it - and rows dated otherwise are appended. A failed publish
+  can be retried from the staging folder (``publish_staged_day``).
 * S12 ``load_append``: plain insert; a rerun duplicates rows, by design.
 * ``load_overwrite_days``: backfill form, replaces every day present in the
   batch (dynamic partition overwrite) in one job.
@@ -25,6 +26,7 @@ Loads (SURVEY 2.2, 2.3, 2.5):
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass
 from datetime import date, datetime, timezone
 
@@ -68,6 +70,22 @@ class LoadAudit:
         return spark.createDataFrame([d], schema).select(*[c.split()[0] for c in schema.split(", ")])
 
 
+@dataclass
+class StagedBatch:
+    """A batch written to staging: where, for which run date, and its counts."""
+
+    path: str
+    ds: str
+    rows_in: int
+    rows_day: int
+
+
+class LoadError(RuntimeError):
+    def __init__(self, message: str, stage: StagedBatch):
+        super().__init__(message)
+        self.stage = stage
+
+
 def _uid() -> str:
     return uuid.uuid4().hex[:12]
 
@@ -120,10 +138,21 @@ class Warehouse:
         return batch.select(*[F.col(f.name).cast(f.dataType) for f in _TARGET_SCHEMA.fields])
 
     def load_overwrite_day(self, batch: DataFrame, ds: str | date, rows_rejected: int = 0) -> LoadAudit:
-        """S11 ``sensor_load_overwrite_day`` (with the S15 audit)."""
+        """S11 ``sensor_load_overwrite_day`` (with the S15 audit).
+
+        Stage, then publish. If publishing fails, ``LoadError.stage`` names the
+        staged batch and ``publish_staged_day`` retries without recomputing it.
+        """
+        stage = self.stage_batch(batch, ds)
+        try:
+            return self.publish_staged_day(stage, rows_rejected)
+        except Exception as e:  # keep the staged batch reachable for a retry
+            raise LoadError(f"publishing {stage.ds} failed; staged batch at {stage.path}", stage) from e
+
+    def stage_batch(self, batch: DataFrame, ds: str | date) -> "StagedBatch":
+        """Write the batch once to a staging folder partitioned by date; count on the way."""
         ds = str(ds)
-        spark = self.spark
-        stage = scratch_dir(spark, "stage")
+        path = scratch_dir(self.spark, "stage")
         obs = Observation(f"load_{_uid()}")
         day = F.col("reading_date") == F.lit(ds).cast("date")
         (
@@ -131,24 +160,56 @@ class Warehouse:
             .observe(obs, F.count(F.lit(1)).alias("rows_in"), F.count_if(day).alias("rows_day"))
             .write.mode("errorifexists")
             .partitionBy("reading_date")
-            .parquet(stage)
+            .parquet(path)
         )
         m = obs.get
-        rows_in, rows_day = int(m["rows_in"]), int(m["rows_day"])
-        deleted = self.sensor_readings().where(day).count()
-        staged = self._view(spark.read.schema(_TARGET_SCHEMA).parquet(stage))
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {self.sensor_table} PARTITION (reading_date = DATE'{ds}') "
-            f"({_VALUE_COLUMNS}) SELECT {_VALUE_COLUMNS} FROM {staged} WHERE reading_date = DATE'{ds}'"
-        )
-        if rows_in > rows_day:
-            spark.sql(
-                f"INSERT INTO {self.sensor_table} ({_VALUE_COLUMNS}, reading_date) "
-                f"SELECT {_VALUE_COLUMNS}, reading_date FROM {staged} "
-                f"WHERE reading_date IS DISTINCT FROM DATE'{ds}'"
-            )
-        spark.catalog.dropTempView(staged)
-        return LoadAudit(ds, rows_in, rows_in, deleted, rows_in - rows_day, rows_rejected)
+        return StagedBatch(path, ds, int(m["rows_in"]), int(m["rows_day"]))
+
+    def publish_staged_day(self, stage: "StagedBatch", rows_rejected: int = 0) -> LoadAudit:
+        """Replace day ``stage.ds`` with the staged rows of that day; append the others.
+
+        A non-empty day is written with dynamic partition overwrite: Spark
+        writes into a job staging folder and swaps the day's folder only when
+        the job commits, so a failed job leaves the old day in place. Only the
+        day's rows are selected, so no other day can be replaced. An empty day
+        uses the static form, which just empties it (2.5-a).
+        """
+        spark, ds = self.spark, stage.ds
+        deleted = self.sensor_readings().where(F.col("reading_date") == F.lit(ds).cast("date")).count()
+        staged = self._view(spark.read.schema(_TARGET_SCHEMA).parquet(stage.path))
+        try:
+            if stage.rows_day > 0:
+                with self._dynamic_overwrite():
+                    spark.sql(
+                        f"INSERT OVERWRITE TABLE {self.sensor_table} PARTITION (reading_date) "
+                        f"({_VALUE_COLUMNS}, reading_date) SELECT {_VALUE_COLUMNS}, reading_date "
+                        f"FROM {staged} WHERE reading_date = DATE'{ds}'"
+                    )
+            else:
+                spark.sql(
+                    f"INSERT OVERWRITE TABLE {self.sensor_table} PARTITION (reading_date = DATE'{ds}') "
+                    f"({_VALUE_COLUMNS}) SELECT {_VALUE_COLUMNS} FROM {staged} WHERE FALSE"
+                )
+            if stage.rows_in > stage.rows_day:
+                spark.sql(
+                    f"INSERT INTO {self.sensor_table} ({_VALUE_COLUMNS}, reading_date) "
+                    f"SELECT {_VALUE_COLUMNS}, reading_date FROM {staged} "
+                    f"WHERE reading_date IS DISTINCT FROM DATE'{ds}'"
+                )
+        finally:
+            spark.catalog.dropTempView(staged)
+        return LoadAudit(ds, stage.rows_in, stage.rows_in, deleted, stage.rows_in - stage.rows_day, rows_rejected)
+
+    @contextmanager
+    def _dynamic_overwrite(self):
+        """Table inserts take the overwrite mode from the session only, not from writer options."""
+        key = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(key)
+        self.spark.conf.set(key, "dynamic")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(key, before)
 
     def load_append(self, batch: DataFrame, rows_rejected: int = 0) -> LoadAudit:
         """S12 ``sensor_load_append``: insert without delete; a rerun duplicates rows."""
@@ -173,17 +234,13 @@ class Warehouse:
         obs = Observation(f"days_{_uid()}")
         target = self._target(batch).observe(obs, F.count(F.lit(1)).alias("rows_in")).hint("rebalance", "reading_date")
         view = self._view(target)
-        key = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(key)
-        # table inserts take the mode from the session only, not from writer options
-        self.spark.conf.set(key, "dynamic")
         try:
-            self.spark.sql(
-                f"INSERT OVERWRITE TABLE {self.sensor_table} PARTITION (reading_date) "
-                f"({_VALUE_COLUMNS}, reading_date) SELECT {_VALUE_COLUMNS}, reading_date FROM {view}"
-            )
+            with self._dynamic_overwrite():
+                self.spark.sql(
+                    f"INSERT OVERWRITE TABLE {self.sensor_table} PARTITION (reading_date) "
+                    f"({_VALUE_COLUMNS}, reading_date) SELECT {_VALUE_COLUMNS}, reading_date FROM {view}"
+                )
         finally:
-            self.spark.conf.set(key, before)
             self.spark.catalog.dropTempView(view)
         n = int(obs.get["rows_in"])
         return LoadAudit(None, n, n, 0, 0, rows_rejected)

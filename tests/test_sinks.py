@@ -118,3 +118,20 @@ def test_target_projection_via_chain(spark, tmp_path):
     assert audit.rows_rejected == 1
     assert w.sensor_readings().count() == 1
     assert project_target(_clean(spark, [])).columns[:5] == ["sensor_id", "timestamp", "temperature_c", "temperature_f", "reading_date"]
+
+
+def test_failed_publish_keeps_old_day_and_can_be_retried(spark, wh):
+    from kiln.sinks.warehouse import LoadError
+
+    wh.load_append(_clean(spark, [("A", "2026-04-08 10:00:00", 1.0), ("B", "2026-04-09 10:00:00", 2.0)]))
+    stage = wh.stage_batch(_clean(spark, [("X", "2026-04-09 12:00:00", 5.0), ("Y", "2026-04-09 13:00:00", 6.0)]), "2026-04-09")
+    assert (stage.rows_in, stage.rows_day) == (2, 2)
+    # a batch that fails while the day is being written: the old day stays
+    bad = _clean(spark, [("Z" * 60, "2026-04-09 12:00:00", 5.0)])
+    with pytest.raises(LoadError) as err:
+        wh.load_overwrite_day(bad, "2026-04-09")
+    assert _days(wh) == {"2026-04-08": 1, "2026-04-09": 1}
+    assert err.value.stage.rows_day == 1
+    audit = wh.publish_staged_day(stage)
+    assert _days(wh) == {"2026-04-08": 1, "2026-04-09": 2}
+    assert audit.rows_deleted == 1
