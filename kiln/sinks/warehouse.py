@@ -91,10 +91,21 @@ def _uid() -> str:
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str | None = None, database: str | None = None):
+    """The two tables of one warehouse (a database under ``root``).
+
+    ``customer_buckets``: the customer table is bucketed by ``user_id`` into
+    this many buckets (default: ``spark.sql.shuffle.partitions`` when the
+    table is created; keep it at least that large, or Spark reshuffles for
+    parallelism). A keyed update whose batch is too big to broadcast then
+    shuffles only the batch; the table is read bucket by bucket in place.
+    """
+
+    def __init__(self, spark: SparkSession, root: str | None = None, database: str | None = None,
+                 customer_buckets: int | None = None):
         self.spark = spark
         self.root = (root or scratch_dir(spark, "warehouse")).rstrip("/")
         self.database = database or f"kiln_{_uid()}"
+        self._buckets = customer_buckets
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root}'")
 
     # ---- S6 -------------------------------------------------------------
@@ -112,12 +123,20 @@ class Warehouse:
             f"CREATE TABLE IF NOT EXISTS {self.sensor_table} ({SENSOR_READINGS_DDL}) "
             "USING parquet PARTITIONED BY (reading_date)"
         )
+        buckets = self._buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.customer_table} ({CUSTOMERS_DDL}) "
-            f"USING parquet LOCATION '{self._new_version_path()}'"
+            f"USING parquet CLUSTERED BY (user_id) INTO {buckets} BUCKETS "
+            f"LOCATION '{self._new_version_path()}'"
         )
+        self._buckets = self._table_buckets()
         return [self.sensor_table, self.customer_table]
 
+    def _table_buckets(self) -> int:
+        """Bucket count as stored in the catalog (the table may predate this object)."""
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.customer_table}").where("col_name = 'Num Buckets'").collect()
+        return int(rows[0].data_type)
+
     def sensor_readings(self) -> DataFrame:
         return self.spark.read.table(self.sensor_table)
 
@@ -250,8 +269,14 @@ class Warehouse:
         stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S")
         return f"{self.root}/customers_versions/v{stamp}_{_uid()}"
 
-    def _publish_customers(self, rows: DataFrame) -> str:
-        """Write a full new version, then switch the table to it."""
+    def _publish_customers(self, rows: DataFrame, clustered: bool = False) -> str:
+        """Write a full new version, bucketed like the table, then switch the table to it.
+
+        ``clustered``: the rows come from a read of this table (one bucket per
+        task), so each task writes a single file and no shuffle is needed;
+        otherwise they are first hash-partitioned by ``user_id`` into the
+        bucket count, so that every bucket is one file.
+        """
         checked = rows.select(
             F.when(F.length("user_id") > 50, F.raise_error(F.lit("user_id longer than VARCHAR(50)")))
             .otherwise(F.col("user_id"))
@@ -264,8 +289,13 @@ class Warehouse:
             .alias("grade"),
             F.col("created_at").cast("timestamp"),
         )
+        n = self._buckets or self._table_buckets()
+        if not clustered:
+            checked = checked.repartition(n, "user_id")
         path = self._new_version_path()
-        checked.write.mode("errorifexists").parquet(path)
+        staging_name = f"{self.database}.customers_publish_{_uid()}"
+        checked.write.mode("errorifexists").bucketBy(n, "user_id").option("path", path).saveAsTable(staging_name)
+        self.spark.sql(f"DROP TABLE {staging_name}")  # external: the files stay
         self.spark.sql(f"ALTER TABLE {self.customer_table} SET LOCATION '{path}'")
         self.spark.catalog.refreshTable(self.customer_table)
         return path
@@ -352,7 +382,7 @@ class Warehouse:
         ).withColumn("grade", F.when(F.col("_kiln_hit"), credit_grade("credit_score")).otherwise(F.col("grade")))
         obs = Observation(f"score_{_uid()}")
         scored = scored.observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if("_kiln_hit").alias("rows_updated"))
-        self._publish_customers(scored.drop("_kiln_hit"))
+        self._publish_customers(scored.drop("_kiln_hit"), clustered=True)
         m = obs.get
         return {"rows": int(m["rows"]), "rows_updated": int(m["rows_updated"])}
 
@@ -365,6 +395,6 @@ class Warehouse:
         obs = Observation(f"update_{_uid()}")
         merged = apply_updates(self.customers(), updates.select("user_id", "credit_score", "grade", *([order] if order else [])), order=order)
         merged = merged.observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if("_kiln_hit").alias("rows_updated"))
-        self._publish_customers(merged.drop("_kiln_hit"))
+        self._publish_customers(merged.drop("_kiln_hit"), clustered=True)
         m = obs.get
         return {"rows": int(m["rows"]), "rows_updated": int(m["rows_updated"])}

@@ -54,3 +54,20 @@ def test_predict_is_one_projection(spark):
     # only the adapter's order aggregate shuffles; scoring adds no exchange
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("md5(") <= 2
+
+
+def test_large_update_shuffles_only_the_batch(spark, tmp_path):
+    from kiln.operators.credit import apply_updates, pending, predict
+    from kiln.sinks.warehouse import Warehouse
+
+    wh = Warehouse(spark, root=str(tmp_path / "wh"))
+    wh.ensure_tables()
+    wh.reload_customers(applicants(spark, SF).select("user_id", "income", "loan_amt"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the batch were large
+    try:
+        plan = _plan(apply_updates(wh.customers(), predict(pending(wh.customers()), strict=False)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # the update batch only
