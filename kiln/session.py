@@ -14,6 +14,26 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings for a large cluster (e.g. 1000 executors x 4 cores, 100 TB).
+# Pass them with --conf or SparkSession.builder.config(map=CLUSTER_CONF).
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # ~2-3x the total cores; AQE merges small shuffle partitions at run time
+    "spark.sql.shuffle.partitions": "8192",
+    # file splits and post-shuffle partitions of a size that writes good files
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # AQE may use a shuffled hash join instead of sort-merge when the build side is small per partition
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # timestamps are TIMESTAMP_NTZ throughout; pinning the zone keeps created_at readable
+    "spark.sql.session.timeZone": "UTC",
+    # set to a shared folder (hdfs://..., s3a://...): staging, versions, checkpoints live there
+    # "spark.checkpoint.dir": "s3a://<bucket>/kiln",
+}
+
+
 def get_spark(app: str = "kiln", cores: int | str = "*", shuffle_partitions: int | None = None) -> SparkSession:
     """A local session configured the way the library expects (UTC, AQE on)."""
     parts = shuffle_partitions or (os.cpu_count() or 8)
