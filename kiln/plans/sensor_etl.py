@@ -30,10 +30,6 @@ def transform(raw: DataFrame, limit: float = TEMP_LIMIT_C) -> DataFrame:
     return to_fahrenheit(filter_normal(raw, limit))
 
 
-def _day_path(root: str, ds: str | date | None) -> str:
-    return root if ds is None else f"{root}/ds={ds}"
-
-
 def _require(path: str | None, what: str) -> str:
     if not path:
         raise ValueError(f"{what}: no input path given")  # 2.5-d: never run on a missing hand-off
@@ -43,8 +39,7 @@ def _require(path: str | None, what: str) -> str:
 def extract_stage(source: DataFrame, raw_root: str, ds: str | date | None = None,
                   timestamp_format: str = TS_WRITE_FORMAT) -> str:
     """Stage 1: land raw readings (S2); returns the path handed to stage 2."""
-    land_raw(source.select(*RAW_COLUMNS), raw_root, None if ds is None else str(ds), timestamp_format)
-    return _day_path(raw_root, ds)
+    return land_raw(source.select(*RAW_COLUMNS), raw_root, None if ds is None else str(ds), timestamp_format)
 
 
 def transform_stage(spark: SparkSession, raw_path: str, clean_root: str, ds: str | date | None = None,
@@ -59,11 +54,11 @@ def transform_stage(spark: SparkSession, raw_path: str, clean_root: str, ds: str
     obs = Observation("transform")
     observed = raw.observe(obs, F.count(F.lit(1)).alias("rows_raw"),
                            F.count_if(F.coalesce(is_normal("temperature", limit), F.lit(False))).alias("rows_clean"))
-    write_clean_csv(transform(observed, limit).select(*CLEAN_COLUMNS), clean_root,
-                    None if ds is None else str(ds), timestamp_format)
+    path = write_clean_csv(transform(observed, limit).select(*CLEAN_COLUMNS), clean_root,
+                           None if ds is None else str(ds), timestamp_format)
     if metrics is not None:
         metrics.update({k: int(v) for k, v in obs.get.items()})
-    return _day_path(clean_root, ds)
+    return path
 
 
 def load_stage(spark: SparkSession, csv_path: str, warehouse: Warehouse, ds: str | date | None = None,

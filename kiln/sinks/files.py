@@ -1,9 +1,10 @@
 """S2 and S3: file sinks keyed by run date.
 
 A run date ``ds`` maps to the folder ``<root>/ds=<ds>``; writing replaces
-that folder only (dynamic partition overwrite), so a rerun of one day replaces
-that day's file and leaves other days alone. With ``ds=None`` the date is
-taken from each row's timestamp, which writes a multi-day backfill in one job.
+that folder as a whole (also with an empty batch), so a rerun of one day
+replaces that day's file and leaves other days alone. With ``ds=None`` the
+date is taken from each row's timestamp and every day present is replaced
+(dynamic partition overwrite), which writes a multi-day backfill in one job.
 """
 
 from __future__ import annotations
@@ -14,36 +15,33 @@ from pyspark.sql import functions as F
 from kiln.schemas import TS_WRITE_FORMAT
 
 
-def _with_ds(df: DataFrame, ds: str | None) -> DataFrame:
-    value = F.lit(ds).cast("date") if ds is not None else F.to_date("timestamp")
-    return df.withColumn("ds", value)
-
-
-def land_raw(df: DataFrame, root: str, ds: str | None = None, timestamp_format: str = TS_WRITE_FORMAT) -> str:
-    """S2 ``sensor_land_raw``: raw readings as JSON Lines under ``root/ds=...``."""
+def _write(df: DataFrame, fmt: str, root: str, ds: str | None, options: dict) -> str:
+    if ds is not None:
+        # one run date: replace its folder as a whole, so an empty batch leaves
+        # an empty day instead of the previous run's file
+        path = f"{root}/ds={ds}"
+        df.write.mode("overwrite").options(**options).format(fmt).save(path)
+        return path
     (
-        _with_ds(df, ds)
+        df.withColumn("ds", F.to_date("timestamp"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("timestampNTZFormat", timestamp_format)
+        .options(**options)
         .partitionBy("ds")
-        .json(root)
+        .format(fmt)
+        .save(root)
     )
     return root
 
 
+def land_raw(df: DataFrame, root: str, ds: str | None = None, timestamp_format: str = TS_WRITE_FORMAT) -> str:
+    """S2 ``sensor_land_raw``: raw readings as JSON Lines under ``root/ds=...``; returns the path written."""
+    return _write(df, "json", root, ds, {"timestampNTZFormat": timestamp_format})
+
+
 def write_clean_csv(df: DataFrame, root: str, ds: str | None = None, timestamp_format: str = TS_WRITE_FORMAT) -> str:
-    """S3 ``sensor_write_csv``: header CSV, no index column, one folder per run date.
+    """S3 ``sensor_write_csv``: header CSV, no index column, one folder per run date; returns the path written.
 
     With the reference's timestamp format the text equals its sample files.
     """
-    (
-        _with_ds(df, ds)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("header", True)
-        .option("timestampNTZFormat", timestamp_format)
-        .partitionBy("ds")
-        .csv(root)
-    )
-    return root
+    return _write(df, "csv", root, ds, {"header": True, "timestampNTZFormat": timestamp_format})
