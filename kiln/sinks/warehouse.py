@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from kiln.functions.credit import credit_draw, credit_grade, credit_score
 from kiln.operators.credit import apply_updates
-from kiln.operators.sensor import project_target
+from kiln.operators.sensor import dense_ids, project_target
 from kiln.schemas import CUSTOMER_COLUMNS, CUSTOMERS_DDL, SENSOR_READINGS_DDL
 from kiln.session import scratch_dir
 
@@ -78,6 +78,7 @@ class StagedBatch:
     ds: str
     rows_in: int
     rows_day: int
+    first_id: int = 0  # ids in the batch are first_id + 1 .. first_id + rows_in
 
 
 class LoadError(RuntimeError):
@@ -93,6 +94,12 @@ def _uid() -> str:
 class Warehouse:
     """The two tables of one warehouse (a database under ``root``).
 
+    ``sensor_ids``: the sensor table gets the running ``id`` column of the
+    reference's table. Every load numbers its rows with ``dense_ids`` (S14),
+    continuing from a high-water mark kept in the table's properties, so ids
+    of deleted rows are not reused and no scan of the table is needed to find
+    the maximum.
+
     ``customer_buckets``: the customer table is bucketed by ``user_id`` into
     this many buckets (default: ``spark.sql.shuffle.partitions`` when the
     table is created; keep it at least that large, or Spark reshuffles for
@@ -101,11 +108,13 @@ class Warehouse:
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None, database: str | None = None,
-                 customer_buckets: int | None = None):
+                 customer_buckets: int | None = None, sensor_ids: bool = False):
         self.spark = spark
         self.root = (root or scratch_dir(spark, "warehouse")).rstrip("/")
         self.database = database or f"kiln_{_uid()}"
         self._buckets = customer_buckets
+        self.sensor_ids = sensor_ids
+        self._cols = ("id, " if sensor_ids else "") + _VALUE_COLUMNS
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root}'")
 
     # ---- S6 -------------------------------------------------------------
@@ -119,8 +128,9 @@ class Warehouse:
 
     def ensure_tables(self) -> list[str]:
         """S6 ``ensure_tables``: create both tables if absent; safe to repeat."""
+        id_column = "id BIGINT," if self.sensor_ids else ""
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.sensor_table} ({SENSOR_READINGS_DDL}) "
+            f"CREATE TABLE IF NOT EXISTS {self.sensor_table} ({id_column}{SENSOR_READINGS_DDL}) "
             "USING parquet PARTITIONED BY (reading_date)"
         )
         buckets = self._buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
@@ -149,12 +159,33 @@ class Warehouse:
         df.createOrReplaceTempView(name)
         return name
 
-    @staticmethod
-    def _target(batch: DataFrame) -> DataFrame:
-        """Accept clean readings (``temperature``) or rows already in target shape."""
+    def _target(self, batch: DataFrame) -> DataFrame:
+        """Accept clean readings (``temperature``) or rows already in target shape;
+        number the rows when the table has ids."""
         if "temperature_c" not in batch.columns:
             batch = project_target(batch)
-        return batch.select(*[F.col(f.name).cast(f.dataType) for f in _TARGET_SCHEMA.fields])
+        rows = batch.select(*[F.col(f.name).cast(f.dataType) for f in _TARGET_SCHEMA.fields])
+        if not self.sensor_ids:
+            return rows
+        order = ["timestamp", "sensor_id", "temperature_c", "temperature_f"]
+        return dense_ids(rows, order, start=self.last_id()).select("id", *[f.name for f in _TARGET_SCHEMA.fields])
+
+    def _schema(self) -> T.StructType:
+        if not self.sensor_ids:
+            return _TARGET_SCHEMA
+        return T.StructType([T.StructField("id", T.LongType())] + _TARGET_SCHEMA.fields)
+
+    _LAST_ID = "kiln.last_id"
+
+    def last_id(self) -> int:
+        """The high-water mark of ids handed out (0 before the first load)."""
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.sensor_table}").where(f"key = '{self._LAST_ID}'").collect()
+        return int(rows[0].value) if rows else 0
+
+    def _advance_ids(self, first: int, n: int) -> None:
+        if self.sensor_ids and n:
+            top = max(self.last_id(), first + n)
+            self.spark.sql(f"ALTER TABLE {self.sensor_table} SET TBLPROPERTIES ('{self._LAST_ID}' = '{top}')")
 
     def load_overwrite_day(self, batch: DataFrame, ds: str | date, rows_rejected: int = 0) -> LoadAudit:
         """S11 ``sensor_load_overwrite_day`` (with the S15 audit).
@@ -173,6 +204,7 @@ class Warehouse:
         ds = str(ds)
         path = scratch_dir(self.spark, "stage")
         obs = Observation(f"load_{_uid()}")
+        first_id = self.last_id() if self.sensor_ids else 0
         day = F.col("reading_date") == F.lit(ds).cast("date")
         (
             self._target(batch)
@@ -182,7 +214,7 @@ class Warehouse:
             .parquet(path)
         )
         m = obs.get
-        return StagedBatch(path, ds, int(m["rows_in"]), int(m["rows_day"]))
+        return StagedBatch(path, ds, int(m["rows_in"]), int(m["rows_day"]), first_id)
 
     def publish_staged_day(self, stage: "StagedBatch", rows_rejected: int = 0) -> LoadAudit:
         """Replace day ``stage.ds`` with the staged rows of that day; append the others.
@@ -195,28 +227,30 @@ class Warehouse:
         """
         spark, ds = self.spark, stage.ds
         deleted = self.sensor_readings().where(F.col("reading_date") == F.lit(ds).cast("date")).count()
-        staged = self._view(spark.read.schema(_TARGET_SCHEMA).parquet(stage.path))
+        staged = self._view(spark.read.schema(self._schema()).parquet(stage.path))
+        cols = self._cols
         try:
             if stage.rows_day > 0:
                 with self._dynamic_overwrite():
                     spark.sql(
                         f"INSERT OVERWRITE TABLE {self.sensor_table} PARTITION (reading_date) "
-                        f"({_VALUE_COLUMNS}, reading_date) SELECT {_VALUE_COLUMNS}, reading_date "
+                        f"({cols}, reading_date) SELECT {cols}, reading_date "
                         f"FROM {staged} WHERE reading_date = DATE'{ds}'"
                     )
             else:
                 spark.sql(
                     f"INSERT OVERWRITE TABLE {self.sensor_table} PARTITION (reading_date = DATE'{ds}') "
-                    f"({_VALUE_COLUMNS}) SELECT {_VALUE_COLUMNS} FROM {staged} WHERE FALSE"
+                    f"({cols}) SELECT {cols} FROM {staged} WHERE FALSE"
                 )
             if stage.rows_in > stage.rows_day:
                 spark.sql(
-                    f"INSERT INTO {self.sensor_table} ({_VALUE_COLUMNS}, reading_date) "
-                    f"SELECT {_VALUE_COLUMNS}, reading_date FROM {staged} "
+                    f"INSERT INTO {self.sensor_table} ({cols}, reading_date) "
+                    f"SELECT {cols}, reading_date FROM {staged} "
                     f"WHERE reading_date IS DISTINCT FROM DATE'{ds}'"
                 )
         finally:
             spark.catalog.dropTempView(staged)
+        self._advance_ids(stage.first_id, stage.rows_in)
         return LoadAudit(ds, stage.rows_in, stage.rows_in, deleted, stage.rows_in - stage.rows_day, rows_rejected)
 
     @contextmanager
@@ -233,13 +267,17 @@ class Warehouse:
     def load_append(self, batch: DataFrame, rows_rejected: int = 0) -> LoadAudit:
         """S12 ``sensor_load_append``: insert without delete; a rerun duplicates rows."""
         obs = Observation(f"append_{_uid()}")
+        first_id = self.last_id() if self.sensor_ids else 0
         view = self._view(self._target(batch).observe(obs, F.count(F.lit(1)).alias("rows_in")))
-        self.spark.sql(
-            f"INSERT INTO {self.sensor_table} ({_VALUE_COLUMNS}, reading_date) "
-            f"SELECT {_VALUE_COLUMNS}, reading_date FROM {view}"
-        )
-        self.spark.catalog.dropTempView(view)
+        try:
+            self.spark.sql(
+                f"INSERT INTO {self.sensor_table} ({self._cols}, reading_date) "
+                f"SELECT {self._cols}, reading_date FROM {view}"
+            )
+        finally:
+            self.spark.catalog.dropTempView(view)
         n = int(obs.get["rows_in"])
+        self._advance_ids(first_id, n)
         return LoadAudit(None, n, n, 0, 0, rows_rejected)
 
     def load_overwrite_days(self, batch: DataFrame, rows_rejected: int = 0) -> LoadAudit:
@@ -251,17 +289,19 @@ class Warehouse:
         repartition it needs no sampling pass over the input.
         """
         obs = Observation(f"days_{_uid()}")
+        first_id = self.last_id() if self.sensor_ids else 0
         target = self._target(batch).observe(obs, F.count(F.lit(1)).alias("rows_in")).hint("rebalance", "reading_date")
         view = self._view(target)
         try:
             with self._dynamic_overwrite():
                 self.spark.sql(
                     f"INSERT OVERWRITE TABLE {self.sensor_table} PARTITION (reading_date) "
-                    f"({_VALUE_COLUMNS}, reading_date) SELECT {_VALUE_COLUMNS}, reading_date FROM {view}"
+                    f"({self._cols}, reading_date) SELECT {self._cols}, reading_date FROM {view}"
                 )
         finally:
             self.spark.catalog.dropTempView(view)
         n = int(obs.get["rows_in"])
+        self._advance_ids(first_id, n)
         return LoadAudit(None, n, n, 0, 0, rows_rejected)
 
     # ---- customer writes ---------------------------------------------------

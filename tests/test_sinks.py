@@ -135,3 +135,18 @@ def test_failed_publish_keeps_old_day_and_can_be_retried(spark, wh):
     audit = wh.publish_staged_day(stage)
     assert _days(wh) == {"2026-04-08": 1, "2026-04-09": 2}
     assert audit.rows_deleted == 1
+
+
+def test_running_ids_continue_and_are_not_reused(spark, tmp_path):
+    w = Warehouse(spark, root=str(tmp_path / "wid"), sensor_ids=True)
+    w.ensure_tables()
+    w.load_append(_clean(spark, [("A", "2026-04-08 10:00:00", 1.0), ("B", "2026-04-08 09:00:00", 2.0)]))
+    ids = {r.sensor_id: r.id for r in w.sensor_readings().collect()}
+    assert ids == {"B": 1, "A": 2} and w.last_id() == 2
+    # replace 04-08 (deletes ids 1, 2) and add a day: new ids start after 2
+    w.load_overwrite_day(_clean(spark, [("C", "2026-04-08 11:00:00", 3.0), ("D", "2026-04-09 11:00:00", 4.0)]), "2026-04-08")
+    ids = {r.sensor_id: r.id for r in w.sensor_readings().collect()}
+    assert ids == {"C": 3, "D": 4} and w.last_id() == 4
+    w.load_overwrite_days(_clean(spark, [("E", "2026-04-09 12:00:00", 5.0)]))
+    assert {r.sensor_id: r.id for r in w.sensor_readings().collect()} == {"C": 3, "E": 5}
+    assert dict(w.sensor_readings().dtypes)["id"] == "bigint"
