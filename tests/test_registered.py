@@ -18,6 +18,10 @@ def con():
     return duck(SF)
 
 
+SPARK_TO_DUCKDB = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+                   "float": "FLOAT", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, name, SF, con)
@@ -26,6 +30,14 @@ def test_query_matches_oracle(spark, con, name):
     assert r["values_match"], r
 
 
+@pytest.mark.parametrize("name", ["sensor_project_target", "sensor_dense_ids", "sensor_load_audit", "credit_score",
+                                  "credit_validate_request", "credit_run", "ensure_tables"])
+def test_column_types_match_oracle(spark, con, name):
+    spark_types = {c: SPARK_TO_DUCKDB[t] for c, t in queries()[name](spark, SF).dtypes}
+    rel = con.sql(oracle_sql()[name])
+    assert spark_types == dict(zip(rel.columns, [str(t) for t in rel.types]))
+
+
 def test_entry_smoke(spark):
     df = entry(spark)
     assert df.columns == ["sensor_id", "timestamp", "temperature_c", "temperature_f", "reading_date", "event_id"]
