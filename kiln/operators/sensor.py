@@ -110,9 +110,11 @@ def dense_ids(
     """
     spark = df.sparkSession
     shared_dir(spark)  # makes sure a reliable checkpoint folder is set
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Without a fixed count AQE may merge small adjacent ranges; merged ranges
+    # are still in order, so the partition index still orders the rows.
+    ranged = df.repartitionByRange(num_partitions, *order_by) if num_partitions else df.repartitionByRange(*order_by)
     tagged = (
-        df.repartitionByRange(n, *order_by)
+        ranged
         .sortWithinPartitions(*order_by)
         .withColumn("_kiln_mid", F.monotonically_increasing_id())
         .checkpoint(eager=True)
