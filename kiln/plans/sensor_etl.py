@@ -79,7 +79,7 @@ def load_stage(spark: SparkSession, csv_path: str, warehouse: Warehouse, ds: str
 def run_chain(spark: SparkSession, source: DataFrame, root: str, warehouse: Warehouse,
               ds: str | date | None = None, mode: str = "overwrite",
               timestamp_format: str = TS_WRITE_FORMAT) -> LoadAudit:
-    """S17 ``sensor_run_chain``: extract -> transform -> load; paths keyed by pipeline name."""
+    """S17 ``sensor_run_chain``: extract -> transform -> load; paths keyed by job name (``sensor_chain``)."""
     base = f"{root.rstrip('/')}/sensor_chain"
     raw_path = extract_stage(source, f"{base}/raw", ds, timestamp_format)
     metrics: dict = {}
