@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.functions.sensor import TEMP_LIMIT_C, is_normal
-from kiln.operators.sensor import filter_normal, to_fahrenheit
+from kiln.operators.sensor import filter_normal, quarantine, to_fahrenheit
 from kiln.schemas import RAW_READING, TS_WRITE_FORMAT
 from kiln.sinks.files import land_raw, write_clean_csv
 from kiln.sinks.warehouse import LoadAudit, Warehouse
@@ -44,18 +45,34 @@ def extract_stage(source: DataFrame, raw_root: str, ds: str | date | None = None
 
 def transform_stage(spark: SparkSession, raw_path: str, clean_root: str, ds: str | date | None = None,
                     limit: float = TEMP_LIMIT_C, timestamp_format: str = TS_WRITE_FORMAT,
-                    metrics: dict | None = None) -> str:
+                    metrics: dict | None = None, quarantine_root: str | None = None) -> str:
     """Stage 2: S1 scan -> S7 -> S8 -> S3 clean CSV; returns the path handed to stage 3.
 
     Rows read and rows kept are observed on the write itself (no second pass)
-    and put into ``metrics`` when given.
+    and put into ``metrics`` when given. With ``quarantine_root`` the rejected
+    readings (S9, with their reason) are kept as Parquet under
+    ``quarantine_root/ds=...``; the parsed batch is then persisted once so the
+    JSON is not parsed twice.
     """
     raw = scan_raw_json(spark, _require(raw_path, "transform")).select(*RAW_COLUMNS)
-    obs = Observation("transform")
-    observed = raw.observe(obs, F.count(F.lit(1)).alias("rows_raw"),
-                           F.count_if(F.coalesce(is_normal("temperature", limit), F.lit(False))).alias("rows_clean"))
-    path = write_clean_csv(transform(observed, limit).select(*CLEAN_COLUMNS), clean_root,
-                           None if ds is None else str(ds), timestamp_format)
+    if quarantine_root:
+        raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        obs = Observation("transform")
+        observed = raw.observe(obs, F.count(F.lit(1)).alias("rows_raw"),
+                               F.count_if(F.coalesce(is_normal("temperature", limit), F.lit(False))).alias("rows_clean"))
+        path = write_clean_csv(transform(observed, limit).select(*CLEAN_COLUMNS), clean_root,
+                               None if ds is None else str(ds), timestamp_format)
+        if quarantine_root:
+            rejected = quarantine(raw, limit)
+            if ds is None:
+                (rejected.withColumn("ds", F.to_date("timestamp")).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic").partitionBy("ds").parquet(quarantine_root))
+            else:
+                rejected.write.mode("overwrite").parquet(f"{quarantine_root}/ds={ds}")
+    finally:
+        if quarantine_root:
+            raw.unpersist()
     if metrics is not None:
         metrics.update({k: int(v) for k, v in obs.get.items()})
     return path
@@ -89,9 +106,14 @@ def run_chain(spark: SparkSession, source: DataFrame, root: str, warehouse: Ware
 
 
 def run_daily(spark: SparkSession, raw_path: str, ds: str | date, root: str, warehouse: Warehouse,
-              limit: float = TEMP_LIMIT_C, timestamp_format: str = TS_WRITE_FORMAT) -> LoadAudit:
-    """Single workflow for one run date: day file -> clean CSV -> replace the day (S11 + S15)."""
+              limit: float = TEMP_LIMIT_C, timestamp_format: str = TS_WRITE_FORMAT,
+              keep_quarantine: bool = False) -> LoadAudit:
+    """Single workflow for one run date: day file -> clean CSV -> replace the day (S11 + S15).
+
+    ``keep_quarantine`` keeps the rejected readings under ``root/sensor_daily/quarantine``.
+    """
+    base = f"{root.rstrip('/')}/sensor_daily"
     metrics: dict = {}
-    csv_path = transform_stage(spark, raw_path, f"{root.rstrip('/')}/sensor_daily/clean", ds, limit,
-                               timestamp_format, metrics)
+    csv_path = transform_stage(spark, raw_path, f"{base}/clean", ds, limit, timestamp_format, metrics,
+                               f"{base}/quarantine" if keep_quarantine else None)
     return load_stage(spark, csv_path, warehouse, ds, "overwrite", metrics["rows_raw"] - metrics["rows_clean"])

@@ -69,3 +69,15 @@ def test_chain_stages_hand_over_paths(spark, tmp_path, landed):
     audit = load_stage(spark, csv_path, wh, "2026-04-12")
     assert audit.rows_in == 31 and audit.rows_out_of_day == 24  # other days' rows are appended, as in the reference
     assert _per_day(wh) == {d: 10 - r for d, r in REJECTED.items()}
+
+
+def test_quarantine_sink_keeps_the_rejected_readings(spark, tmp_path, landed):
+    wh = Warehouse(spark, root=str(tmp_path / "wh"))
+    wh.ensure_tables()
+    for day, folder in landed.items():
+        run_daily(spark, folder, day, str(tmp_path / "work"), wh, keep_quarantine=True)
+    q = spark.read.parquet(str(tmp_path / "work" / "sensor_daily" / "quarantine"))
+    got = {(str(r.ds), r.sensor_id): (r.temperature, r.reject_reason) for r in q.collect()}
+    assert len(got) == sum(REJECTED.values()) == 9
+    assert got[("2026-04-12", "SENSOR_9")] == (144.46, "over_limit")
+    assert wh.sensor_readings().count() == 31
