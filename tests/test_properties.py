@@ -75,3 +75,28 @@ def test_results_do_not_depend_on_partitioning(spark):
     for n in (1, 4, 32):
         got = sensor.dense_ids(ids.drop("id").repartition(n), ["timestamp", "event_id"], num_partitions=n)
         assert {r.event_id: r.id for r in got.collect()} == want
+
+
+def _expected_int(s):
+    if s is None:
+        return None, "income: missing"
+    t = s.strip(" ")
+    body = t[1:] if t[:1] in "+-" else t
+    if body and all(c in "0123456789" for c in body):
+        v = int(t)
+        if -(2**31) <= v < 2**31:
+            return v, None
+    return None, "income: not an integer"
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.text(max_size=6), st.integers(-(2**33), 2**33).map(str),
+                          st.integers(-999, 999).map(lambda i: f" {i:+d} ")), min_size=1, max_size=40))
+def test_request_string_coercion(spark, incomes):
+    from kiln.operators.contracts import validate_request
+
+    rows = [(f"C{i}", v, "1") for i, v in enumerate(incomes)]
+    df = spark.createDataFrame(rows, "user_id string, income string, loan_amt string")
+    got = {r.user_id: (r.income, r.reject_reason) for r in validate_request(df).collect()}
+    for i, v in enumerate(incomes):
+        assert got[f"C{i}"] == _expected_int(v), v
