@@ -59,7 +59,7 @@ class LoadAudit:
     ds: str | None
     rows_in: int
     rows_inserted: int
-    rows_deleted: int
+    rows_deleted: int | None  # None: not counted (multi-day backfill)
     rows_out_of_day: int
     rows_rejected: int = 0
 
@@ -302,7 +302,8 @@ class Warehouse:
             self.spark.catalog.dropTempView(view)
         n = int(obs.get["rows_in"])
         self._advance_ids(first_id, n)
-        return LoadAudit(None, n, n, 0, 0, rows_rejected)
+        # rows replaced are not counted: that would need the batch's days before the write
+        return LoadAudit(None, n, n, None, 0, rows_rejected)
 
     # ---- customer writes ---------------------------------------------------
     def _new_version_path(self) -> str:

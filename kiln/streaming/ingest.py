@@ -22,13 +22,21 @@ RAW_COLUMNS = [f.name for f in RAW_READING.fields]
 
 def stream_ingest(spark: SparkSession, landing: str, sink: str, checkpoint: str | None = None,
                   limit: float = TEMP_LIMIT_C, max_files_per_trigger: int | None = None,
-                  available_now: bool = True, processing_time: str | None = None):
+                  available_now: bool = True, processing_time: str | None = None,
+                  archive_dir: str | None = None):
     """Start the ingest. With ``available_now`` (default) it processes every
     file present and returns after the run; otherwise it returns the running
-    ``StreamingQuery`` triggered every ``processing_time``."""
+    ``StreamingQuery`` triggered every ``processing_time``.
+
+    ``archive_dir``: move processed files there (the file source's
+    ``cleanSource=archive``), so that the landing folder, which is listed on
+    every trigger, stays small.
+    """
     reader = spark.readStream.schema(RAW_READING).option("timestampNTZFormat", TS_READ_FORMAT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     stream = reader.json(landing)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:

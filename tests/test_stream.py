@@ -24,3 +24,19 @@ def test_stream_ingest_once_and_incremental(spark, tmp_path):
     assert df.count() == 16 + 8 + 8
     assert df.where("reading_date = DATE'2026-04-08'").count() == 16
     assert set(RAW_DAYS) >= {str(r.reading_date) for r in df.select("reading_date").distinct().collect()}
+
+
+def test_stream_archives_processed_files(spark, tmp_path):
+    import os
+
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    write_day_file(landing, "2026-04-08")
+    write_day_file(landing, "2026-04-09")
+    sink, ck, archive = str(tmp_path / "sink"), str(tmp_path / "ck"), str(tmp_path / "archive")
+    stream_ingest(spark, str(landing), sink, ck, archive_dir=archive)
+    write_day_file(landing, "2026-04-10")
+    stream_ingest(spark, str(landing), sink, ck, archive_dir=archive)  # archives the first run's files
+    assert read_ingested(spark, sink).count() == 24
+    archived = [f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".json")]
+    assert len(archived) >= 2
