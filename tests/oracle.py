@@ -16,6 +16,8 @@ import pandas as pd
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"  # compare floats bit for bit
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
@@ -39,7 +41,7 @@ def _norm(v):
     if isinstance(v, dt.date):
         return v.isoformat()
     if isinstance(v, float):
-        return float(f"{v:.12g}")
+        return v if EXACT else float(f"{v:.12g}")
     if hasattr(v, "item"):
         return _norm(v.item())
     return v
