@@ -27,6 +27,8 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     # AQE may use a shuffled hash join instead of sort-merge when the build side is small per partition
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # remove checkpoint files (dense ids) once their DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # timestamps are TIMESTAMP_NTZ throughout; pinning the zone keeps created_at readable
     "spark.sql.session.timeZone": "UTC",
     # set to a shared folder (hdfs://..., s3a://...): staging, versions, checkpoints live there
