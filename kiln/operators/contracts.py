@@ -28,10 +28,6 @@ class EmptyBatchError(ValueError):
     pass
 
 
-class ContractError(ValueError):
-    pass
-
-
 def batch_gate(df: DataFrame, policy: str = "skip") -> DataFrame:
     """C3 ``batch_gate``: decide what an empty batch means.
 
