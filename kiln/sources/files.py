@@ -3,33 +3,50 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kiln.schemas import CLEAN_READING, RAW_READING, TS_READ_FORMAT
 
+# Day files carry their run date as eight digits in the name,
+# e.g. sensor_data_20260408.json, preprocessing_data_20260408.csv.
+FILE_DATE_PATTERN = r"(\d{8})"
+FILE_DATE_FORMAT = "yyyyMMdd"
 
-def scan_raw_json(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+
+def _with_file_date(df: DataFrame) -> DataFrame:
+    """Add ``file_date``: the run date in the file's name (from the ``_metadata`` column)."""
+    digits = F.regexp_extract(F.col("_metadata.file_name"), FILE_DATE_PATTERN, 1)
+    return df.withColumn("file_date", F.to_date(F.nullif(digits, F.lit("")), FILE_DATE_FORMAT))
+
+
+def scan_raw_json(spark: SparkSession, path: str | list[str], multi_line: bool = False,
+                  with_file_date: bool = False) -> DataFrame:
     """S1 ``sensor_scan_json``: raw readings from JSON files.
 
     Accepts JSON Lines and files holding one top-level array (one row per
     element). A one-line array file is a single record that cannot be split,
     so land large raw data as JSON Lines; pretty-printed arrays need
-    ``multi_line=True``. Partition folders such as ``ds=2026-04-08`` add a column.
+    ``multi_line=True``. Partition folders such as ``ds=2026-04-08`` add a column;
+    ``with_file_date`` adds ``file_date`` for flat folders of files named by
+    run date.
     """
-    return (
+    df = (
         spark.read.schema(RAW_READING)
         .option("multiLine", multi_line)
         .option("timestampNTZFormat", TS_READ_FORMAT)
         .option("mode", "PERMISSIVE")
         .json(path)
     )
+    return _with_file_date(df) if with_file_date else df
 
 
-def read_clean_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_clean_csv(spark: SparkSession, path: str | list[str], with_file_date: bool = False) -> DataFrame:
     """S4 ``sensor_read_csv``: clean readings from header CSV files, typed by schema."""
-    return (
+    df = (
         spark.read.schema(CLEAN_READING)
         .option("header", True)
         .option("timestampNTZFormat", TS_READ_FORMAT)
         .option("mode", "FAILFAST")
         .csv(path)
     )
+    return _with_file_date(df) if with_file_date else df

@@ -66,3 +66,15 @@ def test_clean_csv_text_matches_samples(spark, tmp_path):
     assert back.count() == 31
     assert dict(back.dtypes)["timestamp"] == "timestamp_ntz"
     assert "2026-04-11" not in {str(r.ds) for r in back.select("ds").distinct().collect()}
+
+
+def test_run_date_from_file_names(spark, tmp_path):
+    for day in RAW_DAYS:
+        write_day_file(tmp_path, day)
+        (tmp_path / f"preprocessing_data_{day.replace('-', '')}.csv").write_text(CLEAN_CSV[day])
+    raw = scan_raw_json(spark, str(tmp_path / "*.json"), with_file_date=True)
+    per_day = {str(r.file_date): r["count"] for r in raw.groupBy("file_date").count().collect()}
+    assert per_day == {d: 10 for d in RAW_DAYS}
+    assert raw.where("to_date(timestamp) <> file_date").count() == 0
+    clean = read_clean_csv(spark, str(tmp_path / "*.csv"), with_file_date=True)
+    assert clean.count() == 31 and clean.where("file_date IS NULL").count() == 0
