@@ -182,3 +182,15 @@ def test_fused_run_equals_step_by_step(spark, tmp_path):
     cols = ["user_id", "income", "loan_amt", "credit_score", "grade"]
     sa = sorted(a.customers().select(*cols).collect())
     assert sa == sorted(b.customers().select(*cols).collect()) == sorted(c.customers().select(*cols).collect())
+
+
+def test_pending_as_sql_text_equals_operator(spark, wh):
+    from kiln.sources.tables import scan_sql, scan_table
+
+    wh.reload_customers(spark.createDataFrame([("C1", 5000, 1), ("C2", 6000, 2)], REQ))
+    wh.update_scores(spark.createDataFrame([("C1", 700, "B")], "user_id string, credit_score int, grade string"))
+    by_sql = scan_sql(spark, f"SELECT user_id, income, loan_amt FROM {wh.customer_table} WHERE credit_score IS NULL")
+    by_table = scan_table(spark, wh.customer_table, ["user_id", "income", "loan_amt"], "credit_score IS NULL")
+    want = sorted(credit.pending(wh.customers()).collect())
+    assert sorted(by_sql.collect()) == sorted(by_table.collect()) == want == [("C2", 6000, 2)]
+    assert "PushedFilters: [IsNull(credit_score)]" in by_sql._jdf.queryExecution().executedPlan().toString()
