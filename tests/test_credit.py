@@ -194,3 +194,29 @@ def test_pending_as_sql_text_equals_operator(spark, wh):
     want = sorted(credit.pending(wh.customers()).collect())
     assert sorted(by_sql.collect()) == sorted(by_table.collect()) == want == [("C2", 6000, 2)]
     assert "PushedFilters: [IsNull(credit_score)]" in by_sql._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fused_run_keeps_scored_rows_and_strict_fails(spark, tmp_path):
+    from kiln.plans.credit_run import credit_run_by_key
+
+    state = spark.createDataFrame(
+        [("C1", 5000, 1, 777, "B"), ("C2", 25000, 2, None, None), ("C3", -1500, 3, None, None)],
+        "user_id string, income int, loan_amt int, credit_score int, grade string",
+    )
+    a = Warehouse(spark, root=str(tmp_path / "a"))
+    b = Warehouse(spark, root=str(tmp_path / "b"))
+    for w in (a, b):
+        w.ensure_tables()
+        w.seed_customers(state)
+    assert credit_run(a) == credit_run_by_key(b) == {"rows": 3, "rows_updated": 2}
+    cols = ["user_id", "income", "loan_amt", "credit_score", "grade"]
+    got = {r.user_id: r for r in a.customers().select(*cols).collect()}
+    assert sorted(got.values()) == sorted(b.customers().select(*cols).collect())
+    assert (got["C1"].credit_score, got["C1"].grade) == (777, "B")  # scored earlier: untouched
+    assert got["C3"].credit_score == _draw_py("C3") - 20  # floor(-1.5) = -2
+    c = Warehouse(spark, root=str(tmp_path / "c"))
+    c.ensure_tables()
+    c.seed_customers(spark.createDataFrame([("C9", None, 1, None, None)], "user_id string, income int, loan_amt int, credit_score int, grade string"))
+    with pytest.raises(Exception, match="invalid request"):
+        credit_run(c, strict=True)
+    assert c.customers().where("credit_score IS NOT NULL").count() == 0  # nothing published
