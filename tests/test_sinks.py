@@ -150,3 +150,30 @@ def test_running_ids_continue_and_are_not_reused(spark, tmp_path):
     w.load_overwrite_days(_clean(spark, [("E", "2026-04-09 12:00:00", 5.0)]))
     assert {r.sensor_id: r.id for r in w.sensor_readings().collect()} == {"C": 3, "E": 5}
     assert dict(w.sensor_readings().dtypes)["id"] == "bigint"
+
+
+def test_reruns_leave_the_same_result(spark, tmp_path):
+    """SURVEY 5 (4): S3, C1 and C11 twice give what once gives."""
+    from kiln.sinks.files import write_clean_csv
+    from kiln.sources.files import read_clean_csv
+
+    clean = _clean(spark, [("A", "2026-04-08 10:00:00", 1.0), ("B", "2026-04-09 10:00:00", 2.0)])
+    root = str(tmp_path / "clean")
+    write_clean_csv(clean, root)
+    once = sorted(read_clean_csv(spark, root).collect())
+    write_clean_csv(clean, root)
+    write_clean_csv(clean.where("sensor_id = 'A'"), root, ds="2026-04-08")
+    assert sorted(read_clean_csv(spark, root).collect()) == once
+
+    w = Warehouse(spark, root=str(tmp_path / "c"))
+    w.ensure_tables()
+    apps = spark.createDataFrame([("C1", 5000, 1), ("C2", 6000, 2)], "user_id string, income int, loan_amt int")
+    ups = spark.createDataFrame([("C1", 700, "B")], "user_id string, credit_score int, grade string")
+    cols = ["user_id", "income", "loan_amt", "credit_score", "grade"]
+    w.reload_customers(apps)
+    w.update_scores(ups)
+    once = sorted(w.customers().select(*cols).collect())
+    w.reload_customers(apps)
+    w.update_scores(ups)
+    w.update_scores(ups)
+    assert sorted(w.customers().select(*cols).collect()) == once
