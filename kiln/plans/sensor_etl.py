@@ -9,6 +9,7 @@ the run date of each row is the date of its timestamp.
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark import StorageLevel
@@ -58,7 +59,7 @@ def transform_stage(spark: SparkSession, raw_path: str, clean_root: str, ds: str
     if quarantine_root:
         raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        obs = Observation("transform")
+        obs = Observation(f"transform_{uuid.uuid4().hex[:12]}")
         observed = raw.observe(obs, F.count(F.lit(1)).alias("rows_raw"),
                                F.count_if(F.coalesce(is_normal("temperature", limit), F.lit(False))).alias("rows_clean"))
         path = write_clean_csv(transform(observed, limit).select(*CLEAN_COLUMNS), clean_root,
