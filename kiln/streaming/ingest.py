@@ -4,16 +4,21 @@
 ``foreachBatch``: S7, S8, S10 -> write to ``<sink>/batch_id=<n>`` with
 overwrite. The checkpoint records which files were taken, so a rerun adds
 nothing, and a replayed micro-batch (after a failure between write and
-commit) overwrites its own folder instead of adding rows twice. No dynamic
+commit) overwrites its own folder instead of adding rows twice. Each
+micro-batch's counts (S15) are observed on its write and kept under
+``<sink>/_audit/batch_id=<n>``. No dynamic
 day overwrite is used: a second file for the same day must add rows, not
 replace the first file's rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
 
-from kiln.functions.sensor import TEMP_LIMIT_C
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from kiln.functions.sensor import TEMP_LIMIT_C, is_normal
 from kiln.operators.sensor import filter_normal, project_target, to_fahrenheit
 from kiln.schemas import RAW_READING, SENSOR_TARGET_COLUMNS, TS_READ_FORMAT
 
@@ -38,10 +43,21 @@ def stream_ingest(spark: SparkSession, landing: str, sink: str, checkpoint: str
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     stream = reader.json(landing)
+    run = uuid.uuid4().hex[:12]
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        clean = project_target(to_fahrenheit(filter_normal(batch.select(*RAW_COLUMNS), limit)))
+        obs = Observation(f"stream_{run}_{batch_id}")
+        raw = batch.select(*RAW_COLUMNS).observe(
+            obs, F.count(F.lit(1)).alias("rows_in"),
+            F.count_if(F.coalesce(is_normal("temperature", limit), F.lit(False))).alias("rows_inserted"),
+        )
+        clean = project_target(to_fahrenheit(filter_normal(raw, limit)))
         clean.write.mode("overwrite").partitionBy("reading_date").parquet(f"{sink}/batch_id={batch_id}")
+        # S15 per micro-batch, next to the data; '_' keeps it out of reads of the sink
+        m = obs.get
+        audit = [(int(m["rows_in"]), int(m["rows_inserted"]), int(m["rows_in"]) - int(m["rows_inserted"]))]
+        (spark.createDataFrame(audit, "rows_in bigint, rows_inserted bigint, rows_rejected bigint")
+         .write.mode("overwrite").parquet(f"{sink}/_audit/batch_id={batch_id}"))
 
     writer = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint or f"{sink}/_checkpoint")
     if available_now:
@@ -51,6 +67,11 @@ def stream_ingest(spark: SparkSession, landing: str, sink: str, checkpoint: str
     return writer.trigger(processingTime=processing_time or "1 minute").start()
 
 
+def read_stream_audit(spark: SparkSession, sink: str) -> DataFrame:
+    """Counts per micro-batch: ``batch_id, rows_in, rows_inserted, rows_rejected``."""
+    return spark.read.parquet(f"{sink}/_audit").select("batch_id", "rows_in", "rows_inserted", "rows_rejected")
+
+
 def read_ingested(spark: SparkSession, sink: str) -> DataFrame:
     """The ingested rows in warehouse shape (``batch_id`` folders dropped)."""
     return spark.read.parquet(sink).select(*SENSOR_TARGET_COLUMNS)

@@ -23,6 +23,10 @@ def test_stream_ingest_once_and_incremental(spark, tmp_path):
     df = read_ingested(spark, sink)
     assert df.count() == 16 + 8 + 8
     assert df.where("reading_date = DATE'2026-04-08'").count() == 16
+    from kiln.streaming.ingest import read_stream_audit
+
+    audit = read_stream_audit(spark, sink).agg({"rows_in": "sum", "rows_inserted": "sum", "rows_rejected": "sum"}).first()
+    assert (audit["sum(rows_in)"], audit["sum(rows_inserted)"], audit["sum(rows_rejected)"]) == (40, 32, 8)
     assert set(RAW_DAYS) >= {str(r.reading_date) for r in df.select("reading_date").distinct().collect()}
 
 
