@@ -100,3 +100,12 @@ def test_request_string_coercion(spark, incomes):
     got = {r.user_id: (r.income, r.reject_reason) for r in validate_request(df).collect()}
     for i, v in enumerate(incomes):
         assert got[f"C{i}"] == _expected_int(v), v
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.integers(0, 5), min_size=1, max_size=200), st.integers(1, 12), st.integers(0, 1000))
+def test_dense_ids_are_a_gapless_ordered_numbering(spark, keys, parts, start):
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k int, tie int").repartition(3)
+    got = sorted((r.id, r.k, r.tie) for r in sensor.dense_ids(df, ["k", "tie"], start=start, num_partitions=parts).collect())
+    assert [g[0] for g in got] == list(range(start + 1, start + len(keys) + 1))
+    assert [(g[1], g[2]) for g in got] == sorted((k, i) for i, k in enumerate(keys))
