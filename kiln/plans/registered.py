@@ -163,7 +163,8 @@ def sensor_dense_ids(spark, d):
     """Ids for the days before DS, then the later days' ids continue from their maximum."""
     rows = sensor.project_target(_clean(spark, d))
     order = ["timestamp", "event_id"]
-    before = F.col("reading_date") < F.lit(DS).cast("date")
+    # NULL dates sort first (Spark orders NULLs first ascending), so they belong to the first half
+    before = F.coalesce(F.col("reading_date") < F.lit(DS).cast("date"), F.lit(True))
     first = sensor.dense_ids(rows.where(before), order)
     later = sensor.dense_ids(rows.where(~before), order, start=sensor.max_id(first))
     return first.unionByName(later)
@@ -353,7 +354,7 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT {_T} FROM target WHERE reading_date = DATE '{DS}'""",
     "sensor_load_append": _SENSOR + f"SELECT {_T} FROM target UNION ALL SELECT {_T} FROM target",
     "sensor_day": _SENSOR + f"SELECT {_T} FROM target WHERE reading_date = DATE '{DS}'",
-    "sensor_dense_ids": _SENSOR + "SELECT *, row_number() OVER (ORDER BY timestamp, event_id) AS id FROM target",
+    "sensor_dense_ids": _SENSOR + "SELECT *, row_number() OVER (ORDER BY timestamp NULLS FIRST, event_id NULLS FIRST) AS id FROM target",
     "sensor_load_audit": _SENSOR + f"""SELECT DATE '{DS}' AS ds,
         (SELECT count(*) FROM clean WHERE CAST(timestamp AS DATE) = DATE '{DS}') AS rows_in,
         (SELECT count(*) FROM clean WHERE CAST(timestamp AS DATE) = DATE '{DS}') AS rows_inserted,
