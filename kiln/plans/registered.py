@@ -350,7 +350,7 @@ ORACLE_SQL: dict[str, str] = {
         WHEN isnan(temperature) THEN 'not_a_number' ELSE 'over_limit' END AS reject_reason
         FROM readings WHERE NOT coalesce(temperature < 100, FALSE)""",
     "sensor_project_target": _SENSOR + "SELECT * FROM target",
-    "sensor_load_overwrite_day": _SENSOR + f"""SELECT {_T} FROM stale WHERE reading_date <> DATE '{DS}'
+    "sensor_load_overwrite_day": _SENSOR + f"""SELECT {_T} FROM stale WHERE reading_date IS DISTINCT FROM DATE '{DS}'
         UNION ALL SELECT {_T} FROM target WHERE reading_date = DATE '{DS}'""",
     "sensor_load_append": _SENSOR + f"SELECT {_T} FROM target UNION ALL SELECT {_T} FROM target",
     "sensor_day": _SENSOR + f"SELECT {_T} FROM target WHERE reading_date = DATE '{DS}'",
