@@ -26,7 +26,6 @@ Loads (SURVEY 2.2, 2.3, 2.5):
 from __future__ import annotations
 
 import uuid
-from contextlib import contextmanager
 from dataclasses import asdict, dataclass
 from datetime import date, datetime, timezone
 
@@ -131,7 +130,11 @@ class Warehouse:
         id_column = "id BIGINT," if self.sensor_ids else ""
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.sensor_table} ({id_column}{SENSOR_READINGS_DDL}) "
-            "USING parquet PARTITIONED BY (reading_date)"
+            "USING parquet PARTITIONED BY (reading_date) "
+            # an overwrite replaces only the days it writes; a fully static
+            # PARTITION (reading_date = ...) still replaces (or empties) that day.
+            # Kept on the table, so no session setting is changed.
+            "OPTIONS ('partitionOverwriteMode' = 'dynamic')"
         )
         buckets = self._buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         self.spark.sql(
@@ -231,12 +234,11 @@ class Warehouse:
         cols = self._cols
         try:
             if stage.rows_day > 0:
-                with self._dynamic_overwrite():
-                    spark.sql(
-                        f"INSERT OVERWRITE TABLE {self.sensor_table} PARTITION (reading_date) "
-                        f"({cols}, reading_date) SELECT {cols}, reading_date "
-                        f"FROM {staged} WHERE reading_date = DATE'{ds}'"
-                    )
+                spark.sql(
+                    f"INSERT OVERWRITE TABLE {self.sensor_table} PARTITION (reading_date) "
+                    f"({cols}, reading_date) SELECT {cols}, reading_date "
+                    f"FROM {staged} WHERE reading_date = DATE'{ds}'"
+                )
             else:
                 spark.sql(
                     f"INSERT OVERWRITE TABLE {self.sensor_table} PARTITION (reading_date = DATE'{ds}') "
@@ -253,17 +255,6 @@ class Warehouse:
         self._advance_ids(stage.first_id, stage.rows_in)
         return LoadAudit(ds, stage.rows_in, stage.rows_in, deleted, stage.rows_in - stage.rows_day, rows_rejected)
 
-    @contextmanager
-    def _dynamic_overwrite(self):
-        """Table inserts take the overwrite mode from the session only, not from writer options."""
-        key = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(key)
-        self.spark.conf.set(key, "dynamic")
-        try:
-            yield
-        finally:
-            self.spark.conf.set(key, before)
-
     def load_append(self, batch: DataFrame, rows_rejected: int = 0) -> LoadAudit:
         """S12 ``sensor_load_append``: insert without delete; a rerun duplicates rows."""
         obs = Observation(f"append_{_uid()}")
@@ -293,11 +284,10 @@ class Warehouse:
         target = self._target(batch).observe(obs, F.count(F.lit(1)).alias("rows_in")).hint("rebalance", "reading_date")
         view = self._view(target)
         try:
-            with self._dynamic_overwrite():
-                self.spark.sql(
-                    f"INSERT OVERWRITE TABLE {self.sensor_table} PARTITION (reading_date) "
-                    f"({self._cols}, reading_date) SELECT {self._cols}, reading_date FROM {view}"
-                )
+            self.spark.sql(
+                f"INSERT OVERWRITE TABLE {self.sensor_table} PARTITION (reading_date) "
+                f"({self._cols}, reading_date) SELECT {self._cols}, reading_date FROM {view}"
+            )
         finally:
             self.spark.catalog.dropTempView(view)
         n = int(obs.get["rows_in"])
