@@ -177,3 +177,23 @@ def test_reruns_leave_the_same_result(spark, tmp_path):
     w.update_scores(ups)
     w.update_scores(ups)
     assert sorted(w.customers().select(*cols).collect()) == once
+
+
+def test_concurrent_loads_in_one_session(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    ws = [Warehouse(spark, root=str(tmp_path / f"w{i}")) for i in range(2)]
+    for i, w in enumerate(ws):
+        w.ensure_tables()
+        w.load_append(_clean(spark, [(f"S{i}", "2026-04-08 10:00:00", 1.0), (f"S{i}", "2026-04-09 10:00:00", 2.0)]))
+
+    def work(i):
+        w = ws[i]
+        for _ in range(2):
+            w.load_overwrite_days(_clean(spark, [(f"N{i}", "2026-04-09 12:00:00", 3.0)]))
+            w.load_overwrite_day(_clean(spark, []), "2026-04-10")
+        return _days(w)
+
+    with ThreadPoolExecutor(2) as pool:
+        results = list(pool.map(work, range(2)))
+    assert results == [{"2026-04-08": 1, "2026-04-09": 1}] * 2
