@@ -21,6 +21,8 @@ Loads (SURVEY 2.2, 2.3, 2.5):
   is pointed at it (``ALTER TABLE ... SET LOCATION``), so a reader never sees
   a half-written table and the table being read is never overwritten in place.
 * C10 insert: keys already present are an error (or skipped with ``ignore``).
+* C12 with the built-in rule (``score_pending_in_place``): one projection
+  over the table and one versioned write, no join.
 """
 
 from __future__ import annotations
