@@ -31,13 +31,15 @@ import uuid
 from dataclasses import asdict, dataclass
 from datetime import date, datetime, timezone
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kiln.functions.credit import credit_draw, credit_grade, credit_score
 from kiln.operators.credit import apply_updates
-from kiln.operators.sensor import dense_ids, project_target
+from kiln.operators.sensor import dense_ids, max_id, project_target
 from kiln.schemas import CUSTOMER_COLUMNS, CUSTOMERS_DDL, SENSOR_READINGS_DDL
 from kiln.session import scratch_dir
 
@@ -128,25 +130,62 @@ class Warehouse:
         return f"{self.database}.customers"
 
     def ensure_tables(self) -> list[str]:
-        """S6 ``ensure_tables``: create both tables if absent; safe to repeat."""
-        id_column = "id BIGINT," if self.sensor_ids else ""
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.sensor_table} ({id_column}{SENSOR_READINGS_DDL}) "
-            "USING parquet PARTITIONED BY (reading_date) "
-            # an overwrite replaces only the days it writes; a fully static
-            # PARTITION (reading_date = ...) still replaces (or empties) that day.
-            # Kept on the table, so no session setting is changed.
-            "OPTIONS ('partitionOverwriteMode' = 'dynamic')"
-        )
-        buckets = self._buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.customer_table} ({CUSTOMERS_DDL}) "
-            f"USING parquet CLUSTERED BY (user_id) INTO {buckets} BUCKETS "
-            f"LOCATION '{self._new_version_path()}'"
-        )
+        """S6 ``ensure_tables``: create both tables if absent; safe to repeat.
+
+        Data already under ``root`` (from an earlier session whose catalog is
+        gone) is attached again: the sensor table's days are recovered from
+        its folders, the customer table points at the version named in
+        ``customers_current``.
+        """
+        catalog = self.spark.catalog
+        if not catalog.tableExists(self.sensor_table):
+            id_column = "id BIGINT," if self.sensor_ids else ""
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {self.sensor_table} ({id_column}{SENSOR_READINGS_DDL}) "
+                "USING parquet PARTITIONED BY (reading_date) "
+                # an overwrite replaces only the days it writes; a fully static
+                # PARTITION (reading_date = ...) still replaces (or empties) that day.
+                # Kept on the table, so no session setting is changed.
+                "OPTIONS ('partitionOverwriteMode' = 'dynamic') "
+                f"LOCATION '{self.root}/sensor_readings'"
+            )
+            try:
+                catalog.recoverPartitions(self.sensor_table)  # days already on disk
+            except Py4JJavaError as e:
+                if "FileNotFoundException" not in str(e):  # a new table has no folder yet
+                    raise
+        if not catalog.tableExists(self.customer_table):
+            current = self._read_pointer()
+            path, buckets = current or (
+                self._new_version_path(),
+                self._buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions")),
+            )
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {self.customer_table} ({CUSTOMERS_DDL}) "
+                f"USING parquet CLUSTERED BY (user_id) INTO {buckets} BUCKETS LOCATION '{path}'"
+            )
         self._buckets = self._table_buckets()
         return [self.sensor_table, self.customer_table]
 
+    @property
+    def _pointer(self) -> str:
+        return f"{self.root}/customers_current"
+
+    def _read_pointer(self) -> tuple[str, int] | None:
+        """The published customer version and its bucket count, if any."""
+        try:
+            row = self.spark.read.text(self._pointer).first()
+        except AnalysisException:  # nothing published yet
+            return None
+        if row is None:
+            return None
+        path, buckets = row.value.split("\t")
+        return path, int(buckets)
+
+    def _write_pointer(self, path: str, buckets: int) -> None:
+        line = self.spark.createDataFrame([(f"{path}\t{buckets}",)], "value string")
+        line.coalesce(1).write.mode("overwrite").text(self._pointer)
+
     def _table_buckets(self) -> int:
         """Bucket count as stored in the catalog (the table may predate this object)."""
         rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.customer_table}").where("col_name = 'Num Buckets'").collect()
@@ -183,9 +222,15 @@ class Warehouse:
     _LAST_ID = "kiln.last_id"
 
     def last_id(self) -> int:
-        """The high-water mark of ids handed out (0 before the first load)."""
+        """The high-water mark of ids handed out (0 before the first load).
+
+        Kept in the table's properties; a table attached again in a new
+        catalog has none, and then the largest id in the table stands in.
+        """
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.sensor_table}").where(f"key = '{self._LAST_ID}'").collect()
-        return int(rows[0].value) if rows else 0
+        if rows:
+            return int(rows[0].value)
+        return max_id(self.sensor_readings()) if self.sensor_ids else 0
 
     def _advance_ids(self, first: int, n: int) -> None:
         if self.sensor_ids and n:
@@ -331,6 +376,7 @@ class Warehouse:
         self.spark.sql(f"DROP TABLE {staging_name}")  # external: the files stay
         self.spark.sql(f"ALTER TABLE {self.customer_table} SET LOCATION '{path}'")
         self.spark.catalog.refreshTable(self.customer_table)
+        self._write_pointer(path, n)  # lets a later session attach the same version
         return path
 
     def reload_customers(self, applicants: DataFrame) -> None:

@@ -197,3 +197,18 @@ def test_concurrent_loads_in_one_session(spark, tmp_path):
     with ThreadPoolExecutor(2) as pool:
         results = list(pool.map(work, range(2)))
     assert results == [{"2026-04-08": 1, "2026-04-09": 1}] * 2
+
+
+def test_tables_attach_again_in_a_fresh_catalog(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    a = Warehouse(spark, root=root, database="kiln_attach_a", sensor_ids=True)
+    a.ensure_tables()
+    a.load_append(_clean(spark, [("A", "2026-04-08 10:00:00", 1.0), ("B", "2026-04-09 10:00:00", 2.0)]))
+    a.reload_customers(spark.createDataFrame([("C1", 5000, 1)], "user_id string, income int, loan_amt int"))
+    # same folder, new catalog entry: as a new session (in-memory catalog) would see it
+    b = Warehouse(spark, root=root, database="kiln_attach_b", sensor_ids=True)
+    b.ensure_tables()
+    assert _days(b) == {"2026-04-08": 1, "2026-04-09": 1}
+    assert b.customers().count() == 1 and b.last_id() == 2
+    b.load_overwrite_day(_clean(spark, [("C", "2026-04-09 11:00:00", 3.0)]), "2026-04-09")
+    assert {r.sensor_id: r.id for r in b.sensor_readings().collect()} == {"A": 1, "C": 3}
