@@ -172,19 +172,24 @@ class Warehouse:
         return f"{self.root}/customers_current"
 
     def _read_pointer(self) -> tuple[str, int] | None:
-        """The published customer version and its bucket count, if any."""
+        """The latest published customer version and its bucket count, if any.
+
+        Each publish appends one line; version names sort by time, so the
+        largest line is the latest. Nothing is overwritten, so a crash while
+        publishing leaves either the new line or only the older ones.
+        """
         try:
-            row = self.spark.read.text(self._pointer).first()
+            latest = self.spark.read.text(self._pointer).agg(F.max("value")).first()[0]
         except AnalysisException:  # nothing published yet
             return None
-        if row is None:
+        if latest is None:
             return None
-        path, buckets = row.value.split("\t")
+        path, buckets = latest.split("\t")
         return path, int(buckets)
 
     def _write_pointer(self, path: str, buckets: int) -> None:
         line = self.spark.createDataFrame([(f"{path}\t{buckets}",)], "value string")
-        line.coalesce(1).write.mode("overwrite").text(self._pointer)
+        line.coalesce(1).write.mode("append").text(self._pointer)
 
     def _table_buckets(self) -> int:
         """Bucket count as stored in the catalog (the table may predate this object)."""
@@ -344,7 +349,7 @@ class Warehouse:
 
     # ---- customer writes ---------------------------------------------------
     def _new_version_path(self) -> str:
-        stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S")
+        stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")  # sorts by time
         return f"{self.root}/customers_versions/v{stamp}_{_uid()}"
 
     def _publish_customers(self, rows: DataFrame, clustered: bool = False) -> str:
