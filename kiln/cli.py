@@ -65,7 +65,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             audit = run_daily(spark, args.raw, args.ds, args.root, wh, keep_quarantine=args.keep_quarantine)
             out = {"job": "daily", **audit.__dict__}
         elif args.job == "chain":
-            audit = run_chain(spark, scan_raw_json(spark, args.raw), args.root, wh, args.ds, args.mode)
+            audit = run_chain(spark, scan_raw_json(spark, args.raw), args.root, wh, args.ds, args.mode,
+                              keep_quarantine=args.keep_quarantine)
             out = {"job": "chain", **audit.__dict__}
         else:
             apps = spark.read.parquet(args.applicants) if args.applicants else None

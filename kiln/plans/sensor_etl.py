@@ -96,13 +96,13 @@ def load_stage(spark: SparkSession, csv_path: str, warehouse: Warehouse, ds: str
 
 def run_chain(spark: SparkSession, source: DataFrame, root: str, warehouse: Warehouse,
               ds: str | date | None = None, mode: str = "overwrite",
-              timestamp_format: str = TS_WRITE_FORMAT) -> LoadAudit:
+              timestamp_format: str = TS_WRITE_FORMAT, keep_quarantine: bool = False) -> LoadAudit:
     """S17 ``sensor_run_chain``: extract -> transform -> load; paths keyed by job name (``sensor_chain``)."""
     base = f"{root.rstrip('/')}/sensor_chain"
     raw_path = extract_stage(source, f"{base}/raw", ds, timestamp_format)
     metrics: dict = {}
     csv_path = transform_stage(spark, raw_path, f"{base}/clean", ds, timestamp_format=timestamp_format,
-                               metrics=metrics)
+                               metrics=metrics, quarantine_root=f"{base}/quarantine" if keep_quarantine else None)
     return load_stage(spark, csv_path, warehouse, ds, mode, metrics["rows_raw"] - metrics["rows_clean"])
 
 

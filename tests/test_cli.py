@@ -13,8 +13,10 @@ def test_daily_chain_score_ingest(spark, tmp_path):
     out = main(["daily", "--raw", str(landing / "sensor_data_20260408.json"), "--ds", "2026-04-08",
                 "--root", root, "--database", "kiln_cli_a"], spark)
     assert (out["rows_inserted"], out["rows_rejected"]) == (8, 2)
-    out = main(["chain", "--raw", str(landing), "--root", str(tmp_path / "root2"), "--database", "kiln_cli_b"], spark)
+    out = main(["chain", "--raw", str(landing), "--root", str(tmp_path / "root2"), "--database", "kiln_cli_b",
+                "--keep-quarantine"], spark)
     assert (out["rows_in"], out["rows_rejected"]) == (31, 9)
+    assert spark.read.parquet(str(tmp_path / "root2" / "sensor_chain" / "quarantine")).count() == 9
     assert spark.table("kiln_cli_b.sensor_readings").count() == 31
     apps = tmp_path / "apps"
     spark.createDataFrame([("C001", 5000, 2000), ("C002", 4000, 5000), ("C003", 8000, 1000)],
