@@ -109,3 +109,32 @@ def test_dense_ids_are_a_gapless_ordered_numbering(spark, keys, parts, start):
     got = sorted((r.id, r.k, r.tie) for r in sensor.dense_ids(df, ["k", "tie"], start=start, num_partitions=parts).collect())
     assert [g[0] for g in got] == list(range(start + 1, start + len(keys) + 1))
     assert [(g[1], g[2]) for g in got] == sorted((k, i) for i, k in enumerate(keys))
+
+
+customer_rows = st.lists(
+    st.tuples(st.one_of(st.none(), st.integers(-50000, 200000)), st.one_of(st.none(), st.integers(0, 5000)),
+              st.one_of(st.none(), st.integers(0, 990))),
+    min_size=1, max_size=25,
+)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(customer_rows)
+def test_fused_run_equals_update_by_key(spark, tmp_path_factory, rows):
+    from kiln.plans.credit_run import credit_run, credit_run_by_key
+    from kiln.sinks.warehouse import Warehouse
+
+    state = spark.createDataFrame(
+        [(f"C{i}", inc, loan, s, None if s is None else "C") for i, (inc, loan, s) in enumerate(rows)],
+        "user_id string, income int, loan_amt int, credit_score int, grade string",
+    )
+    whs = []
+    for name in ("fused", "by_key"):
+        w = Warehouse(spark, root=str(tmp_path_factory.mktemp(name)))
+        w.ensure_tables()
+        w.seed_customers(state)
+        whs.append(w)
+    assert credit_run(whs[0]) == credit_run_by_key(whs[1])
+    cols = ["user_id", "income", "loan_amt", "credit_score", "grade"]
+    a, b = (sorted(w.customers().select(*cols).collect()) for w in whs)
+    assert a == b and len(a) == len(rows)
