@@ -22,7 +22,7 @@ def main() -> None:
     spark = get_spark("plans", shuffle_partitions=8)
 
     def show(title: str, df) -> None:
-        df.write.format("noop").mode("overwrite").save()  # run once so AQE shows the final plan
+        df.collect()  # run this DataFrame itself, so the adaptive plan printed is the final one
         print(f"\n### {title}\n\n```")
         print(df._jdf.queryExecution().executedPlan().toString().rstrip())
         print("```")
