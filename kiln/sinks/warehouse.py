@@ -113,6 +113,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str | None = None, database: str | None = None,
                  customer_buckets: int | None = None, sensor_ids: bool = False):
         self.spark = spark
+        self._fresh = root is None  # a new scratch folder: nothing to attach again
         self.root = (root or scratch_dir(spark, "warehouse")).rstrip("/")
         self.database = database or f"kiln_{_uid()}"
         self._buckets = customer_buckets
@@ -149,13 +150,14 @@ class Warehouse:
                 "OPTIONS ('partitionOverwriteMode' = 'dynamic') "
                 f"LOCATION '{self.root}/sensor_readings'"
             )
-            try:
-                catalog.recoverPartitions(self.sensor_table)  # days already on disk
-            except Py4JJavaError as e:
-                if "FileNotFoundException" not in str(e):  # a new table has no folder yet
-                    raise
+            if not self._fresh:
+                try:
+                    catalog.recoverPartitions(self.sensor_table)  # days already on disk
+                except Py4JJavaError as e:
+                    if "FileNotFoundException" not in str(e):  # a new table has no folder yet
+                        raise
         if not catalog.tableExists(self.customer_table):
-            current = self._read_pointer()
+            current = None if self._fresh else self._read_pointer()
             path, buckets = current or (
                 self._new_version_path(),
                 self._buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions")),
