@@ -78,3 +78,19 @@ def test_run_date_from_file_names(spark, tmp_path):
     assert raw.where("to_date(timestamp) <> file_date").count() == 0
     clean = read_clean_csv(spark, str(tmp_path / "*.csv"), with_file_date=True)
     assert clean.count() == 31 and clean.where("file_date IS NULL").count() == 0
+
+
+def test_malformed_lines_are_not_lost(spark, tmp_path):
+    from kiln.operators.sensor import quarantine
+
+    (tmp_path / "day.json").write_text(
+        '{"sensor_id": "SENSOR_1", "timestamp": "2026-04-08 10:00:00", "temperature": 50.5, "status": "on"}\n'
+        '{"sensor_id": "SENSOR_2", "timestamp": "2026-04-08 10:00:00", "temperature": \n'
+        '{"sensor_id": "SENSOR_3", "timestamp": "2026-04-08 10:00:00.250000", "temperature": 101.0, "status": "on"}\n'
+    )
+    raw = scan_raw_json(spark, str(tmp_path / "day.json"))
+    assert raw.count() == 3
+    assert transform(raw).count() == 1
+    reasons = sorted(r.reject_reason for r in quarantine(raw).collect())
+    assert reasons == ["missing", "over_limit"]
+    assert raw.where("sensor_id = 'SENSOR_3'").first().timestamp.microsecond == 250000
