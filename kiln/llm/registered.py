@@ -9,12 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kiln.llm import decontam, mixing, quality, simhash, tokens
+from kiln.llm import chat, decontam, hosts, licenses, mixing, quality, simhash, tokens, toxicity, warc
 from kiln.llm.common import table
+from kiln.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The conversation added to those of the table: both turns hold control strings.
+CONTROL_CONVERSATION = -7
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+
 
 def op1_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.simhash_components(table(spark, d, "documents"))
@@ -24,10 +30,37 @@ def op2_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.score_documents(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+def op3_licenses(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, d, "documents")).withColumn("spans", F.to_json("spans"))
+
+
+def op4_warc(spark: SparkSession, d: str) -> DataFrame:
+    folder = scratch_dir(spark, "warc-responses")
+    files = warc.write_warc(warc.responses(table(spark, d, "pages")), folder)
+    derived, out = warc.build_derivatives(spark, files, folder)
+    return warc.digests(warc.read_warc(derived, out))
+
+
 def op5_tokens(spark: SparkSession, d: str) -> DataFrame:
     return tokens.tokenize(spark, table(spark, d, "documents"))
 
 
+def op6_chat(spark: SparkSession, d: str) -> DataFrame:
+    conversations = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(2).select(
+        F.lit(CONTROL_CONVERSATION).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"))
+    return chat.read_back(*chat.formatted(conversations.unionByName(added)))
+
+
+def op7_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+def op8_hosts(spark: SparkSession, d: str) -> DataFrame:
+    return hosts.host_rules(table(spark, d, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontam.report(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
@@ -37,5 +70,91 @@ def op10_mixing(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_simhash, op2_quality, op5_tokens, op9_decontamination, op10_mixing)}
-ORACLE_SQL: dict[str, str] = {}
+    op1_simhash, op2_quality, op3_licenses, op4_warc, op5_tokens, op6_chat, op7_toxicity, op8_hosts,
+    op9_decontamination, op10_mixing)}
+
+_BLANK = r"[\x20\x09-\x0D]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+ORACLE_SQL: dict[str, str] = {
+    "op6_chat": rf"""
+WITH c AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -7, 1, 'assistant', '{CONTROL_TEXT}'),
+t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t, role, text,
+    CASE WHEN role IN ('user', 'assistant', 'system', 'tool') THEN length(role) ELSE 1 + 2 * strlen(coalesce(role, '')) END AS mark
+  FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST)) AS turns_sha256,
+  CAST(coalesce(sum(length(t)) FILTER (r = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(t, '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) FILTER (r = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(4 + mark + 2 + 8 + 2 * length(t) - length(translate(t, '\#<', ''))) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id""",
+    "op8_hosts": rf"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT k, list_filter(string_split_regex(text, '{_BLANK}'), x -> x <> '') AS words,
+        list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+win AS (SELECT k, i, list_slice(words, i, i + 7) AS win
+        FROM (SELECT k, words, unnest(range(1, greatest(1, len(words) - 6))) AS i FROM w)),
+twice AS (SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY k, win) AS n FROM win) WHERE n > 1),
+rep AS (SELECT k, count(*) AS n FROM (SELECT DISTINCT k, i + j AS p FROM twice, range(8) AS r(j)) GROUP BY k),
+m AS (
+  SELECT d.k, doc_id, source, CAST(len(words) AS BIGINT) AS n_words, length(regexp_replace(text, '{_BLANK}', '', 'g')) AS word_chars,
+    length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols, CAST(len(lines) AS BIGINT) AS n_lines,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words
+  FROM d JOIN w USING (k) LEFT JOIN rep USING (k)),
+f AS (
+  SELECT *, n_words < 20 AS f1, 100 * n_repeat_words > 30 * n_words AS f2, 10 * n_symbols > word_chars AS f3,
+    10 * n_dup_lines > 3 * n_lines AS f4, word_chars > 20 * n_words OR word_chars < 2 * n_words AS f5 FROM m),
+h AS (
+  SELECT source, rule, count(*) AS n, sum(CAST(bad AS INT)) AS f
+  FROM (SELECT source, unnest([1, 2, 3, 4, 5]) AS rule, unnest([f1, f2, f3, f4, f5]) AS bad FROM f) GROUP BY source, rule),
+mean AS (SELECT rule, sum(f) / sum(n) AS m, sum(n) AS total, count(*) AS hosts FROM h GROUP BY rule),
+between_hosts AS (SELECT rule, sum(n * pow(f / n - m, 2)) / any_value(total) - any_value(m * (1 - m) * (hosts - 1) / total) AS v
+        FROM h JOIN mean USING (rule) GROUP BY rule),
+prior AS (SELECT rule, m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1.0), 10000.0) ELSE 10000.0 END AS s
+        FROM mean JOIN between_hosts USING (rule)),
+verdict AS (SELECT source, max((f + m * s) / (n + s)) > 0.5 AS distrusted FROM h JOIN prior USING (rule) GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 OR f2 AS base_failed,
+  NOT (f1 OR f2) AND NOT (distrusted AND (f1 OR f2 OR f3 OR f4 OR f5)) AS kept
+FROM f JOIN verdict ON f.source IS NOT DISTINCT FROM verdict.source""",
+    "op9_decontamination": rf"""
+WITH items AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, m, list_slice(w, i, i + m - 1) AS win
+  FROM (SELECT item_id, w, least(13, len(w)) AS m, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM items WHERE len(w) > 0)),
+d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM documents),
+lens AS (SELECT DISTINCT m FROM win),
+place AS (SELECT k, m, i, list_slice(w, i, i + m - 1) AS win
+          FROM (SELECT k, w, m, unnest(range(1, greatest(1, len(w) - m + 2))) AS i FROM d, lens)),
+hit AS (SELECT k, place.m, i, item_id FROM place JOIN win ON place.m = win.m AND place.win = win.win),
+words AS (SELECT k, count(DISTINCT i + j) AS n FROM (SELECT DISTINCT k, m, i FROM hit), range(13) AS r(j) WHERE j < m GROUP BY k),
+ids AS (SELECT k, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+        FROM (SELECT DISTINCT k, CAST(item_id AS VARCHAR) AS id FROM hit WHERE item_id IS NOT NULL) GROUP BY k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(ids.n, 0) AS n_items,
+  sha256(coalesce(ids.ids, '')) AS items_sha256, coalesce(words.n, 0) > 0 AND 20 * coalesce(words.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (k) LEFT JOIN ids USING (k)""",
+    "op10_mixing": rf"""
+WITH s AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h FROM documents),
+tot AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+          CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+        FROM s GROUP BY source),
+-- a source is full below the level at which 3 times its size is reached; sources fill up in this order
+o AS (SELECT *, row_number() OVER (ORDER BY 3.0 * source_size / weight, source) AS k FROM tot),
+r AS (SELECT *, coalesce(sum(3 * source_size) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent,
+        sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight, sum(source_size) OVER () AS words FROM o),
+lvl AS (SELECT (words - spent) / open_weight AS level FROM r WHERE 3 * source_size > weight * ((words - spent) / open_weight) ORDER BY k LIMIT 1),
+t AS (SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), weight * coalesce((SELECT level FROM lvl), 0)) AS target FROM tot),
+q AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE CAST(floor(target) AS BIGINT) // source_size END AS passes,
+        CASE WHEN source_size = 0 THEN 0 ELSE CAST(floor(target) AS BIGINT) % source_size END AS remainder FROM t),
+g AS (SELECT source, h, sum(size) AS size FROM s GROUP BY source, h),
+u AS (SELECT source, h, size, sum(size) OVER (PARTITION BY source ORDER BY h) AS upto FROM g),
+cut AS (SELECT q.source, max(h) AS cut FROM u JOIN q ON u.source IS NOT DISTINCT FROM q.source
+        WHERE remainder > 0 AND (upto <= remainder OR upto - remainder < remainder - (upto - size)) GROUP BY q.source)
+SELECT doc_id, size, source_size, target, CAST(size * (passes + CASE WHEN h <= coalesce(cut, -1) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM s JOIN q ON s.source IS NOT DISTINCT FROM q.source LEFT JOIN cut ON s.source IS NOT DISTINCT FROM cut.source""",
+}

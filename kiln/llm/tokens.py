@@ -47,7 +47,7 @@ END_ID = 2
 LEVEL = 1
 FRAME_IDS = 1 << 20
 SHARD_IDS = 1 << 26
-CACHE_PIECES = 600_000
+CACHE_PIECES = 250_000
 _SLICE_CHARS = 8_000_000
 
 # Fixed values of the zstandard seekable format.

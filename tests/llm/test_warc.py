@@ -1,0 +1,74 @@
+import base64
+import gzip
+import hashlib
+
+import pytest
+
+from kiln.llm import warc
+from kiln.llm.registered import QUERIES
+from kiln.session import scratch_dir
+from tests.llm.conftest import SF
+
+
+def sha1(data):
+    return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+
+def test_query_equals_pages(spark):
+    pages = {r.page_id: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    rows = QUERIES["op4_warc"](spark, SF).collect()
+    assert sorted(r.page_id for r in rows) == sorted(pages)
+    for r in rows:
+        p = pages[r.page_id]
+        text = warc.plain_text(p.html)
+        assert (r.url, r.payload_digest, r.text_digest, r.text_chars) == (p.url, sha1(p.html.encode()), sha1(text.encode()), len(text))
+        assert r.title == warc.title(p.html) and r.n_links == p.html.count("<a href=")
+        assert len({r.refers_to, r.metadata_id, r.conversion_id}) == 3
+
+
+def test_files_are_warc(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://a/", "<p>One &amp; two<br>three<script>no()</script><a href='/x'>link</a>")], "page_id long, url string, html string")
+    files = warc.write_warc(warc.responses(pages), f"file://{tmp_path}/in")
+    derived, out = warc.build_derivatives(spark, files, f"file://{tmp_path}/in")
+    raw = gzip.open(out.removeprefix("file://") + "/" + derived.first().file).read()
+    assert raw.count(b"WARC/1.0\r\n") == 2
+    records = {r.type: r for r in warc.read_warc(derived, out).collect()}
+    source = warc.read_warc(files, f"file://{tmp_path}/in").first()
+    meta, text = records["metadata"], records["conversion"]
+    assert text.block.decode() == "One & two\nthreelink"
+    assert meta.headers["WARC-Refers-To"] == text.headers["WARC-Refers-To"] == source.id
+    assert meta.headers["WARC-Target-URI"] == "http://a/" and meta.headers["WARC-Block-Digest"] == sha1(bytes(meta.block))
+    fields = meta.block.decode()
+    assert "source-content-type: text/html" in fields and "outlink: /x" in fields and f"conversion: {text.id}" in fields
+    assert text.headers["WARC-Source-Payload-Digest"] == source.headers["WARC-Payload-Digest"]
+
+
+def test_records_come_back(spark, tmp_path):
+    rows = [(f"<urn:uuid:{k}>", "response", {"WARC-Date": "d", "X": "é: b"}, bytes([k % 256]) * (k * 37)) for k in range(60)]
+    folder = f"file://{tmp_path}"
+    records = spark.createDataFrame(rows, warc.RECORD).repartition(3)
+    files = warc.write_warc(records, folder, file_bytes=5000)
+    assert files.count() > 3
+    got = {r.id: (r.type, dict(r.headers), bytes(r.block)) for r in warc.read_warc(files, folder).collect()}
+    assert got == {r[0]: (r[1], r[2], r[3]) for r in rows}
+
+
+@pytest.mark.parametrize("page, text", [
+    ("", ""), ("plain", "plain"), ("<p>a</p><p>b</p>", "a\nb"), ("a<!-- b --> c", "a c"), ("<style>x", ""), ("a < b &lt;i&gt;", "a < b <i>"),
+    ("<ul><li>x<li>y</ul>", "x\ny"), ("<title>t</title><body>b", "t\nb"), ("<head><title>t</title></head>b", "b")])
+def test_plain_text(page, text):
+    assert warc.plain_text(page) == text
+
+
+def test_odd_pages(spark):
+    rows = [(1, "u", None), (None, None, ""), (2, "v", "x" * 300_000), (2, "v", "x" * 300_000), (3, "a\r\nb", "<p>\udcff".encode("utf-8", "replace").decode())]
+    pages = spark.createDataFrame([(*r, "theirs") for r in rows], "page_id long, url string, html string, block string")
+    for df, n in ((pages, 5), (pages.where("false"), 0)):
+        folder = scratch_dir(spark, "t")
+        files = warc.write_warc(warc.responses(df), folder)
+        derived, out = warc.build_derivatives(spark, files, folder)
+        got = warc.digests(warc.read_warc(derived, out)).collect()
+        assert len(got) == n
+        if n:
+            assert sorted((r.page_id or 0, r.text_chars) for r in got) == [(0, 0), (1, 0), (2, 300_000), (2, 300_000), (3, 1)]
+            assert {r.url for r in got} == {"u", None, "v", "a b"}
