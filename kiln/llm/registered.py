@@ -94,8 +94,8 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id""",
     "op8_hosts": rf"""
 WITH d AS (SELECT row_number() OVER () AS k, doc_id, source, coalesce(text, '') AS text FROM documents),
-w AS (SELECT k, list_filter(string_split_regex(text, '{_BLANK}'), x -> x <> '') AS words,
-        list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+w AS (SELECT k, list_filter(string_split_regex(text, '{_BLANK}'), lambda x: x <> '') AS words,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
 win AS (SELECT k, i, list_slice(words, i, i + 7) AS win
         FROM (SELECT k, words, unnest(range(1, greatest(1, len(words) - 6))) AS i FROM w)),
 twice AS (SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY k, win) AS n FROM win) WHERE n > 1),
