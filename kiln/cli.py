@@ -29,6 +29,8 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--raw", required=True)
     c.add_argument("--ds")
     c.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
+    c.add_argument("--handoff", choices=["parquet", "text"], default="parquet", help="files between the stages")
+    c.add_argument("--by-file-date", action="store_true", help="run dates from the file names, not the rows")
     s = sub.add_parser("score", help="score pending customers, update by key")
     s.add_argument("--applicants", help="parquet with user_id, income, loan_amt: full refresh first")
     s.add_argument("--salt", default="")
@@ -65,8 +67,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             audit = run_daily(spark, args.raw, args.ds, args.root, wh, keep_quarantine=args.keep_quarantine)
             out = {"job": "daily", **audit.__dict__}
         elif args.job == "chain":
-            audit = run_chain(spark, scan_raw_json(spark, args.raw), args.root, wh, args.ds, args.mode,
-                              keep_quarantine=args.keep_quarantine)
+            source = scan_raw_json(spark, args.raw, with_file_date=args.by_file_date, keep_corrupt=True)
+            audit = run_chain(spark, source, args.root, wh, args.ds, args.mode,
+                              keep_quarantine=args.keep_quarantine, handoff=args.handoff)
             out = {"job": "chain", **audit.__dict__}
         else:
             apps = spark.read.parquet(args.applicants) if args.applicants else None

@@ -23,6 +23,27 @@ def is_normal(c: str | Column, limit: float = TEMP_LIMIT_C) -> Column:
     return _col(c) < F.lit(limit)
 
 
+def is_loadable(c: str | Column, limit: float = TEMP_LIMIT_C, corrupt: str | None = None) -> Column:
+    """Normal, dated and read whole: what the workflow loads. Never NULL."""
+    ok = F.coalesce(is_normal(c, limit), F.lit(False)) & F.col("timestamp").isNotNull()
+    return ok & F.col(corrupt).isNull() if corrupt else ok
+
+
+def scan_reject_reason(c: str | Column, limit: float = TEMP_LIMIT_C, corrupt: str = "_corrupt_record") -> Column:
+    """Why a scanned record is not loaded; NULL if it is.
+
+    ``bad_timestamp``: the record has a timestamp that is none; ``malformed``:
+    the record did not parse; ``no_timestamp``: it has none.
+    """
+    text = F.get_json_object(F.col(corrupt), "$.timestamp")
+    return (
+        F.when(F.col(corrupt).isNotNull() & F.col("timestamp").isNull() & text.isNotNull(), F.lit("bad_timestamp"))
+        .when(F.col(corrupt).isNotNull(), F.lit("malformed"))
+        .when(F.col("timestamp").isNull(), F.lit("no_timestamp"))
+        .otherwise(reject_reason(c, limit))
+    )
+
+
 def reject_reason(c: str | Column, limit: float = TEMP_LIMIT_C) -> Column:
     """Why a reading is not normal; NULL for normal readings."""
     c = _col(c)

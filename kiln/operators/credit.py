@@ -4,7 +4,6 @@ with a user scorer, and the keyed-merge logic behind C10/C11.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,8 +13,6 @@ from pyspark.sql import functions as F
 
 from kiln.functions.credit import (
     BONUS_PER_STEP,
-    DRAW_HIGH,
-    DRAW_LOW,
     GRADE_A_FROM,
     GRADE_B_FROM,
     INCOME_STEP,
@@ -60,30 +57,58 @@ def predict(requests: DataFrame, salt: str = "", strict: bool = True) -> DataFra
     return grade(score(checked, salt)).select("user_id", "credit_score", "grade")
 
 
-def formula_scorer(salt: str = "") -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def formula_scorer() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """The built-in rule as a pandas batch scorer (the default for C9).
 
-    Same values as ``predict``; md5 is per row (a small helper), the rest is
-    vectorised over the Arrow batch.
+    Same values as ``predict``: the draw comes in as a column that Spark
+    computed, and all else is vectorised over the Arrow batch.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            keys = pdf["user_id"].astype(str) + salt
-            bits = np.array([int(hashlib.md5(k.encode()).hexdigest()[:8], 16) for k in keys], dtype=np.int64)
-            draw = DRAW_LOW + bits % (DRAW_HIGH - DRAW_LOW + 1)
-            bonus = (pdf["income"].astype(np.int64) // INCOME_STEP) * BONUS_PER_STEP
-            s = np.minimum(draw + bonus.to_numpy(), SCORE_CAP).astype(np.int32)
+            bonus = (pdf["income"].to_numpy(np.int64) // INCOME_STEP) * BONUS_PER_STEP
+            s = np.minimum(pdf["draw"].to_numpy(np.int64) + bonus, SCORE_CAP).astype(np.int32)
             g = np.where(s >= GRADE_A_FROM, "A", np.where(s >= GRADE_B_FROM, "B", "C"))
             yield pd.DataFrame({"user_id": pdf["user_id"], "credit_score": s, "grade": g})
 
     return run
 
 
+def _one_result_each(scorer: Callable) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """``scorer``, failing if the keys it returns for a partition are not exactly those it was given.
+
+    Counts and sums of key hashes only, so a partition of any size is checked in constant memory.
+    """
+
+    def keys(pdf: pd.DataFrame) -> tuple[int, int]:
+        hashes = pd.util.hash_pandas_object(pdf["user_id"].astype(object), index=False).to_numpy(np.uint64)
+        return len(hashes), int(hashes.sum(dtype=np.uint64))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        given, got = [0, 0], [0, 0]
+
+        def counted() -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                n, h = keys(pdf)
+                given[0], given[1] = given[0] + n, (given[1] + h) % 2**64
+                yield pdf
+
+        for out in scorer(counted()):
+            n, h = keys(out)
+            got[0], got[1] = got[0] + n, (got[1] + h) % 2**64
+            yield out
+        if given != got:
+            raise ValueError(f"the scorer must return each user_id once: {given[0]} requests, {got[0]} results"
+                             + (", other keys" if given[0] == got[0] else ""))
+
+    return run
+
+
 def predict_udf(
     requests: DataFrame,
     scorer: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]] | None = None,
     strict: bool = True,
+    salt: str = "",
 ) -> DataFrame:
     """C9 ``credit_predict_udf``: the swap-in point for a real model.
 
@@ -92,10 +117,12 @@ def predict_udf(
     Arrow batches via ``mapInPandas``, partition by partition, with no HTTP
     and nothing collected. Requests are validated before, and responses after
     against the response types (the service contract; ``validate_response``
-    adds the range and grade checks).
+    adds the range and grade checks). The request batches carry ``draw`` as a
+    fourth column. A scorer that drops, repeats or invents a key fails the job.
     """
     checked = valid_requests(requests.select("user_id", "income", "loan_amt"), strict=strict)
-    out = checked.mapInPandas(scorer or formula_scorer(), RESPONSE_DDL)
+    out = checked.withColumn("draw", credit_draw("user_id", salt)).mapInPandas(
+        _one_result_each(scorer or formula_scorer()), RESPONSE_DDL)
     return valid_responses(out, strict=strict)
 
 
@@ -106,10 +133,14 @@ def latest_per_key(
 
     ``max_by`` is a partial aggregate: each map task folds its rows per key
     before the shuffle, so a key holding a large share of the updates costs
-    one row per task, not one task. Without ``order`` the frame's own row
-    order (partition, then position) stands in for list order.
+    one row per task, not one task. Rows of a frame have no order of their own,
+    so without ``order`` a repeated key is an error, raised by the same aggregate.
     """
-    o = F.monotonically_increasing_id() if order is None else (F.col(order) if isinstance(order, str) else order)
+    if order is None:
+        once = updates.groupBy(key).agg(F.count(F.lit(1)).alias("_kiln_n"), F.any_value(F.struct(*columns)).alias("_kiln_new"))
+        fail = F.raise_error(F.concat(F.lit("repeated key without an order column: "), F.coalesce(F.col(key).cast("string"), F.lit("NULL"))))
+        return once.where(F.when(F.col("_kiln_n") > 1, fail).otherwise(F.lit(True))).drop("_kiln_n")
+    o = F.col(order) if isinstance(order, str) else order
     return (
         updates.withColumn("_kiln_ord", o)
         .groupBy(key)

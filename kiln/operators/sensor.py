@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.functions.sensor import TEMP_LIMIT_C, fahrenheit, is_normal, reject_reason
-from kiln.session import shared_dir
+from kiln.session import scratch_dir
 
 
 def _date(ds: str | date) -> Column:
@@ -100,25 +100,22 @@ def dense_ids(
     A global ``row_number`` moves every row into one task. Instead:
     1. range-partition on the order (Spark samples the boundaries), sort within
        partitions, tag each row with ``monotonically_increasing_id`` (partition
-       index in the high bits, row number in the low 33 bits) and checkpoint
-       once into the shared folder, so both passes see the same partitions;
-    2. count rows per partition and prefix-sum the counts - one row per
-       partition, so that table is bounded by the partition count, not by data;
+       index in the high bits, row number in the low 33 bits) and write the
+       rows once as Parquet into the shared folder, so both passes see the same tags;
+    2. count rows per partition from the tag column alone and prefix-sum the
+       counts - one row per partition, bounded by the partition count, not by data;
     3. broadcast-join those offsets back: id = offset + row-in-partition + 1.
     ``order_by`` must be a total order (add a unique tiebreak column); ties on
     the leading column are split across partitions by the tiebreak.
     """
     spark = df.sparkSession
-    shared_dir(spark)  # makes sure a reliable checkpoint folder is set
     # Without a fixed count AQE may merge small adjacent ranges; merged ranges
     # are still in order, so the partition index still orders the rows.
     ranged = df.repartitionByRange(num_partitions, *order_by) if num_partitions else df.repartitionByRange(*order_by)
-    tagged = (
-        ranged
-        .sortWithinPartitions(*order_by)
-        .withColumn("_kiln_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
+    path = scratch_dir(spark, "dense-ids")
+    rows = ranged.sortWithinPartitions(*order_by).withColumn("_kiln_mid", F.monotonically_increasing_id())
+    rows.write.parquet(path)
+    tagged = spark.read.schema(rows.schema).parquet(path)
     part = F.shiftright("_kiln_mid", _ROW_BITS)
     counts = tagged.groupBy(part.alias("_kiln_part")).agg(F.count(F.lit(1)).alias("_kiln_n"))
     before = Window.orderBy("_kiln_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -28,7 +28,7 @@ def credit_run(warehouse: Warehouse, applicants: DataFrame | None = None, salt:
     if scorer is None:
         return warehouse.score_pending_in_place(salt, strict, empty)
     batch = batch_gate(pending(warehouse.customers()), empty)
-    return warehouse.update_scores(predict_udf(batch, scorer, strict))
+    return warehouse.update_scores(predict_udf(batch, scorer, strict, salt))
 
 
 def credit_run_by_key(warehouse: Warehouse, applicants: DataFrame | None = None, salt: str = "",

@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.operators import contracts, credit, sensor
 from kiln.plans.credit_run import credit_run
 from kiln.plans.sensor_etl import CLEAN_COLUMNS, RAW_COLUMNS, extract_stage, run_chain, run_daily, transform
-from kiln.schemas import CUSTOMER_COLUMNS, SENSOR_TARGET_COLUMNS, TS_WRITE_FORMAT_MICROS
+from kiln.schemas import CUSTOMER_COLUMNS, SENSOR_TARGET_COLUMNS
 from kiln.session import scratch_dir
 from kiln.sinks.files import land_raw, write_clean_csv
 from kiln.sinks.warehouse import Warehouse
@@ -81,33 +81,58 @@ def _table_rows(wh: Warehouse) -> DataFrame:
     return wh.sensor_readings().select(*SENSOR_TARGET_COLUMNS)
 
 
+def _custkey(df_key: str = "user_id") -> Column:
+    return F.substring(df_key, 2, 20).cast("bigint")
+
+
+def _out_of_day() -> Column:
+    """Readings that a day's batch carries although they are dated otherwise."""
+    return F.col("event_id") % 97 == 0
+
+
+def _age_files(spark: SparkSession, path: str, before: str, days: int) -> None:
+    """Date the files of the folders ``ds < before`` under ``path`` back, as copied or backfilled files are."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    for folder in fs.listStatus(root):  # one folder for each day
+        name = folder.getPath().getName()
+        if name.startswith("ds=") and name[3:] < before:
+            for file in fs.listStatus(folder.getPath()):
+                fs.setTimes(file.getPath(), file.getModificationTime() - days * 86_400_000, -1)
+
+
 def _customer_rows(wh: Warehouse) -> DataFrame:
     return wh.customers().select(*CUSTOMER_COLUMNS)
 
 
 # ---------------------------------------------------------------- sources and sinks
 def sensor_scan_json(spark, d):
-    root = land_raw(readings(spark, d).select(*RAW_COLUMNS), scratch_dir(spark, "raw"),
-                    timestamp_format=TS_WRITE_FORMAT_MICROS)
-    return scan_raw_json(spark, root).select(*RAW_COLUMNS)
+    """Half of the readings in ISO text ('T'), the other half in the day files' text."""
+    rows, iso = readings(spark, d), F.col("event_id") % 2 == 0
+    root = scratch_dir(spark, "raw")
+    paths = [land_raw(rows.where(iso).select(*RAW_COLUMNS), f"{root}/iso", timestamp_format="yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+             land_raw(rows.where(~iso).select(*RAW_COLUMNS), f"{root}/plain")]
+    scans = [scan_raw_json(spark, p).select(*RAW_COLUMNS) for p in paths]
+    return scans[0].unionAll(scans[1])
 
 
 def sensor_land_raw(spark, d):
     root = scratch_dir(spark, "raw")
     for _ in range(2):  # a rerun replaces each day's file instead of adding to it
-        land_raw(readings(spark, d).select(*RAW_COLUMNS), root, timestamp_format=TS_WRITE_FORMAT_MICROS)
+        land_raw(readings(spark, d).select(*RAW_COLUMNS), root)
     return scan_raw_json(spark, root).select(*RAW_COLUMNS, "ds")
 
 
 def sensor_write_csv(spark, d):
-    root = write_clean_csv(_clean(spark, d).drop("event_id"), scratch_dir(spark, "clean"),
-                           timestamp_format=TS_WRITE_FORMAT_MICROS)
+    root = write_clean_csv(_clean(spark, d).drop("event_id"), scratch_dir(spark, "clean"))
     return read_clean_csv(spark, root).select(*CLEAN_COLUMNS)
 
 
 def sensor_read_csv(spark, d):
-    """Round trip in the reference's text format (whole seconds)."""
-    root = write_clean_csv(_clean(spark, d).drop("event_id"), scratch_dir(spark, "clean"))
+    """Round trip through text: fractions of a second and spaces at the ends of strings come back."""
+    spaced = _clean(spark, d).drop("event_id").withColumn("sensor_id", F.concat(F.lit(" "), "sensor_id", F.lit("  ")))
+    root = write_clean_csv(spaced, scratch_dir(spark, "clean"))
     return read_clean_csv(spark, root).select(*CLEAN_COLUMNS)
 
 
@@ -143,7 +168,8 @@ def sensor_project_target(spark, d):
 
 def sensor_load_overwrite_day(spark, d):
     wh = _sensor_warehouse(spark, d, _stale(spark, d))
-    wh.load_overwrite_day(sensor.day(_clean(spark, d), DS, None), DS)
+    in_batch = (F.to_date("timestamp") == F.lit(DS).cast("date")) | _out_of_day()
+    wh.load_overwrite_day(_clean(spark, d).where(in_batch), DS)
     return _table_rows(wh)
 
 
@@ -173,9 +199,9 @@ def sensor_dense_ids(spark, d):
 def sensor_load_audit(spark, d):
     wh = _sensor_warehouse(spark, d, _stale(spark, d))
     root = scratch_dir(spark, "daily")
-    raw_day = extract_stage(readings(spark, d), f"{root}/raw", timestamp_format=TS_WRITE_FORMAT_MICROS)
-    audit = run_daily(spark, f"{raw_day}/ds={DS}", DS, root, wh, timestamp_format=TS_WRITE_FORMAT_MICROS)
-    return audit.to_df(spark)
+    in_file = (F.to_date("timestamp") == F.lit(DS).cast("date")) | _out_of_day()
+    raw_day = extract_stage(readings(spark, d).where(in_file), f"{root}/raw", DS)
+    return run_daily(spark, raw_day, DS, root, wh).to_df(spark)
 
 
 def sensor_trailing_days(spark, d):
@@ -183,9 +209,13 @@ def sensor_trailing_days(spark, d):
 
 
 def sensor_run_chain(spark, d):
-    wh = Warehouse(spark)
-    run_chain(spark, readings(spark, d), scratch_dir(spark, "chain"), wh,
-              timestamp_format=TS_WRITE_FORMAT_MICROS)
+    """Three runs in one root: everything; then DS again with every reading over the limit, which empties
+    that day; then an append of every tenth reading (text hand-off), which adds just those."""
+    wh, root, rows = Warehouse(spark), scratch_dir(spark, "chain"), readings(spark, d)
+    run_chain(spark, rows, root, wh)
+    hot_day = sensor.day(rows, DS, None).withColumn("temperature", F.col("temperature") + 1000)
+    run_chain(spark, hot_day, root, wh, keep_quarantine=True)
+    run_chain(spark, rows.where("event_id % 10 = 0"), root, wh, mode="append", handoff="text")
     return _table_rows(wh)
 
 
@@ -198,12 +228,34 @@ def customer_reload(spark, d):
 
 
 def batch_gate(spark, d):
-    wh = _seeded_warehouse(spark, d)
-    return contracts.batch_gate(credit.pending(wh.customers()), "fail")
+    """Both policies on a batch with rows and on an empty one: what passes and what is refused."""
+    pending = credit.pending(_seeded_warehouse(spark, d).customers())
+    out = None
+    for name, batch in (("pending", pending), ("empty", pending.where("loan_amt < 0 AND loan_amt > 0"))):
+        for policy in ("skip", "fail"):
+            try:
+                row = contracts.batch_gate(batch, policy).agg(F.count(F.lit(1)).alias("n"))
+                outcome = "passed"
+            except contracts.EmptyBatchError:
+                row, outcome = spark.range(1).select(F.lit(0).cast("bigint").alias("n")), "refused"
+            row = row.select(F.lit(name).alias("batch"), F.lit(policy).alias("policy"), F.lit(outcome).alias("outcome"), "n")
+            out = row if out is None else out.unionAll(row)
+    return out
+
+
+def _text_requests(spark: SparkSession, d: str) -> DataFrame:
+    """Requests as text, some bad by ``c_custkey % 7``: NULL, a fraction, out of range, no number; spaces are fine."""
+    k = _custkey() % 7
+    income, loan = F.col("income").cast("string"), F.col("loan_amt").cast("string")
+    return _requests(spark, d).select(
+        F.when(_custkey() % 49 != 6, F.col("user_id")).alias("user_id"),
+        F.when(k == 1, F.lit(None)).when(k == 2, F.concat(income, F.lit(".5"))).when(k == 3, "99999999999").when(k == 4, "n/a")
+        .otherwise(income).alias("income"),
+        F.when(k == 5, F.concat(F.lit(" "), loan, F.lit(" "))).otherwise(loan).alias("loan_amt"))
 
 
 def credit_validate_request(spark, d):
-    return contracts.validate_request(_requests(spark, d))
+    return contracts.validate_request(_text_requests(spark, d))
 
 
 def credit_score(spark, d):
@@ -215,7 +267,13 @@ def credit_grade(spark, d):
 
 
 def credit_validate_response(spark, d):
-    scored = credit.grade(credit.score(_requests(spark, d))).select("user_id", "credit_score", "grade")
+    """Scored requests, some spoilt by ``c_custkey % 7``: NULL score, out of range, unknown, wrong and NULL grade."""
+    k = _custkey() % 7
+    scored = credit.grade(credit.score(_requests(spark, d))).select(
+        "user_id",
+        F.when(k == 1, F.lit(None)).when(k == 2, 1200).otherwise(F.col("credit_score")).cast("int").alias("credit_score"),
+        F.when(k == 3, "Z").when(k == 4, F.when(F.col("grade") == "A", "B").otherwise("A")).when(k == 5, F.lit(None))
+        .otherwise(F.col("grade")).alias("grade"))
     return contracts.validate_response(scored)
 
 
@@ -228,15 +286,29 @@ def credit_predict_udf(spark, d):
 
 
 def credit_insert(spark, d):
-    wh = Warehouse(spark)
+    """Insert into a new warehouse, and the rows as another catalog attaches them."""
+    root = scratch_dir(spark, "insert-warehouse")
+    wh = Warehouse(spark, root=root)
     wh.ensure_tables()
     wh.insert_scores(credit.predict(_requests(spark, d), strict=False))
-    return _customer_rows(wh)
+    again = Warehouse(spark, root=root)
+    again.ensure_tables()
+    return _customer_rows(again)
 
 
 def credit_update_by_key(spark, d):
+    """Predictions for the pending; older wrong ones for the same keys; unknown keys; later updates to NULL."""
     wh = _seeded_warehouse(spark, d)
-    wh.update_scores(credit.predict(credit.pending(wh.customers()), strict=False))
+    new = credit.predict(credit.pending(wh.customers()), strict=False)
+    old = new.select("user_id", F.lit(1).alias("credit_score"), F.lit("C").alias("grade"))
+    unknown = new.select(F.concat(F.lit("X"), "user_id").alias("user_id"), "credit_score", "grade")
+    cleared = wh.customers().where(_custkey() % 7 == 3).select(
+        "user_id", F.lit(None).cast("int").alias("credit_score"), F.lit(None).cast("string").alias("grade"))
+    updates = None
+    for order, rows in enumerate((old, new, unknown, cleared)):
+        rows = rows.withColumn("at", F.lit(order))
+        updates = rows if updates is None else updates.unionAll(rows)
+    wh.update_scores(updates, order="at")
     return _customer_rows(wh)
 
 
@@ -248,10 +320,21 @@ def credit_run_query(spark, d):
 
 # ---------------------------------------------------------------- streaming
 def sensor_stream_ingest(spark, d):
-    root = scratch_dir(spark, "stream")
-    land_raw(readings(spark, d).select(*RAW_COLUMNS), f"{root}/landing", timestamp_format=TS_WRITE_FORMAT_MICROS)
+    """Four rounds. A sink of which every row is rejected reads as no rows. The days from DS on; then the same landing
+    gets earlier days in files dated ten days back; then a second landing with its own checkpoint writes to the same sink."""
+    root, rows = scratch_dir(spark, "stream"), readings(spark, d)
+    early = F.to_date("timestamp") < F.lit(DS).cast("date")
+    other = early & (F.col("event_id") % 2 == 0)
+    land_raw(rows.select(*RAW_COLUMNS).withColumn("temperature", F.lit(500.0)), f"{root}/hot")
+    stream_ingest(spark, f"{root}/hot", f"{root}/hot-sink", f"{root}/hot-checkpoint")
+    land_raw(rows.where(~F.coalesce(early, F.lit(False))).select(*RAW_COLUMNS), f"{root}/landing")
+    stream_ingest(spark, f"{root}/landing", f"{root}/sink", f"{root}/checkpoint")
+    land_raw(rows.where(early & ~other).select(*RAW_COLUMNS), f"{root}/landing")
+    _age_files(spark, f"{root}/landing", DS, 10)
     stream_ingest(spark, f"{root}/landing", f"{root}/sink", f"{root}/checkpoint")
-    return read_ingested(spark, f"{root}/sink")
+    land_raw(rows.where(other).select(*RAW_COLUMNS), f"{root}/landing-2")
+    stream_ingest(spark, f"{root}/landing-2", f"{root}/sink", f"{root}/checkpoint-2")
+    return read_ingested(spark, f"{root}/sink").unionAll(read_ingested(spark, f"{root}/hot-sink"))
 
 
 QUERIES: dict[str, Query] = {
@@ -336,12 +419,18 @@ _PRED = f"""predicted AS (
 _CREDIT = f"WITH {_A},\n{_STATE},\n{_PRED}\n"
 
 _RAW = "sensor_id, timestamp, temperature, status"
+_K = "CAST(substr(user_id, 2) AS BIGINT)"
+_IN_FILE = f"(CAST(timestamp AS DATE) = DATE '{DS}' OR event_id % 97 = 0)"
+_SPOILT = f"""spoilt AS (
+    SELECT user_id, CASE {_K} % 7 WHEN 1 THEN NULL WHEN 2 THEN 1200 ELSE s END AS credit_score,
+           CASE {_K} % 7 WHEN 3 THEN 'Z' WHEN 4 THEN CASE WHEN g = 'A' THEN 'B' ELSE 'A' END WHEN 5 THEN NULL ELSE g END AS grade
+    FROM (SELECT user_id, {_score('user_id', 'income')} AS s, {_grade(_score('user_id', 'income'))} AS g FROM applicants))"""
 
 ORACLE_SQL: dict[str, str] = {
     "sensor_scan_json": _SENSOR + f"SELECT {_RAW} FROM readings",
     "sensor_land_raw": _SENSOR + f"SELECT {_RAW}, CAST(timestamp AS DATE) AS ds FROM readings",
     "sensor_write_csv": _SENSOR + f"SELECT {_RAW}, temperature_f FROM clean",
-    "sensor_read_csv": _SENSOR + "SELECT sensor_id, date_trunc('second', timestamp) AS timestamp, temperature, status, temperature_f FROM clean",
+    "sensor_read_csv": _SENSOR + "SELECT ' ' || sensor_id || '  ' AS sensor_id, timestamp, temperature, status, temperature_f FROM clean",
     "customer_pending": _CREDIT + "SELECT user_id, income, loan_amt FROM state WHERE credit_score IS NULL",
     "ensure_tables": _SENSOR + f"SELECT {_T}, TRUE AS has_created_at FROM target",
     "sensor_filter_normal": _SENSOR + "SELECT * FROM readings WHERE temperature < 100",
@@ -351,43 +440,54 @@ ORACLE_SQL: dict[str, str] = {
         FROM readings WHERE NOT coalesce(temperature < 100, FALSE)""",
     "sensor_project_target": _SENSOR + "SELECT * FROM target",
     "sensor_load_overwrite_day": _SENSOR + f"""SELECT {_T} FROM stale WHERE reading_date IS DISTINCT FROM DATE '{DS}'
-        UNION ALL SELECT {_T} FROM target WHERE reading_date = DATE '{DS}'""",
+        UNION ALL SELECT {_T} FROM target WHERE {_IN_FILE}""",
     "sensor_load_append": _SENSOR + f"SELECT {_T} FROM target UNION ALL SELECT {_T} FROM target",
     "sensor_day": _SENSOR + f"SELECT {_T} FROM target WHERE reading_date = DATE '{DS}'",
     "sensor_dense_ids": _SENSOR + "SELECT *, row_number() OVER (ORDER BY timestamp NULLS FIRST, event_id NULLS FIRST) AS id FROM target",
     "sensor_load_audit": _SENSOR + f"""SELECT DATE '{DS}' AS ds,
-        (SELECT count(*) FROM clean WHERE CAST(timestamp AS DATE) = DATE '{DS}') AS rows_in,
-        (SELECT count(*) FROM clean WHERE CAST(timestamp AS DATE) = DATE '{DS}') AS rows_inserted,
+        (SELECT count(*) FROM clean WHERE {_IN_FILE}) AS rows_in,
+        (SELECT count(*) FROM clean WHERE {_IN_FILE}) AS rows_inserted,
         (SELECT count(*) FROM stale WHERE reading_date = DATE '{DS}') AS rows_deleted,
-        CAST(0 AS BIGINT) AS rows_out_of_day,
-        (SELECT count(*) FROM readings WHERE CAST(timestamp AS DATE) = DATE '{DS}'
+        (SELECT count(*) FROM clean WHERE event_id % 97 = 0 AND CAST(timestamp AS DATE) <> DATE '{DS}') AS rows_out_of_day,
+        (SELECT count(*) FROM readings WHERE {_IN_FILE}
             AND NOT coalesce(temperature < 100, FALSE)) AS rows_rejected""",
     "sensor_trailing_days": _SENSOR + f"""SELECT {_T} FROM target
         WHERE reading_date BETWEEN DATE '{DS}' - INTERVAL {TRAILING} DAY AND DATE '{DS}'""",
-    "sensor_run_chain": _SENSOR + f"SELECT {_T} FROM target",
+    "sensor_run_chain": _SENSOR + f"""SELECT {_T} FROM target WHERE reading_date <> DATE '{DS}'
+        UNION ALL SELECT {_T} FROM target WHERE event_id % 10 = 0""",
     "customer_reload": _CREDIT + """SELECT user_id, income, loan_amt, CAST(NULL AS INTEGER) AS credit_score,
         CAST(NULL AS VARCHAR) AS grade FROM applicants""",
-    "batch_gate": _CREDIT + "SELECT user_id, income, loan_amt FROM state WHERE credit_score IS NULL",
-    "credit_validate_request": _CREDIT + """SELECT user_id, income, loan_amt,
-        nullif(concat_ws('; ', CASE WHEN user_id IS NULL THEN 'user_id: missing' END,
-                               CASE WHEN income IS NULL THEN 'income: missing' END,
+    "batch_gate": _CREDIT + """SELECT batch, policy, outcome, CASE batch WHEN 'pending' THEN
+            (SELECT count(*) FROM state WHERE credit_score IS NULL) ELSE 0 END AS n
+        FROM (VALUES ('pending', 'skip', 'passed'), ('pending', 'fail', 'passed'), ('empty', 'skip', 'passed'),
+                     ('empty', 'fail', 'refused')) AS v(batch, policy, outcome)""",
+    "credit_validate_request": _CREDIT + f"""SELECT CASE WHEN {_K} % 49 <> 6 THEN user_id END AS user_id,
+        CASE WHEN {_K} % 7 IN (1, 2, 3, 4) THEN NULL ELSE income END AS income, loan_amt,
+        nullif(concat_ws('; ', CASE WHEN {_K} % 49 = 6 THEN 'user_id: missing' END,
+                               CASE WHEN {_K} % 7 IN (3, 4) THEN 'income: not an integer'
+                                    WHEN {_K} % 7 = 1 OR income IS NULL THEN 'income: missing'
+                                    WHEN {_K} % 7 = 2 THEN 'income: not an integer' END,
                                CASE WHEN loan_amt IS NULL THEN 'loan_amt: missing' END), '') AS reject_reason
         FROM applicants""",
     "credit_score": _CREDIT + f"""SELECT user_id, income, {_draw('user_id')} AS draw,
         {_score('user_id', 'income')} AS credit_score FROM applicants""",
     "credit_grade": _CREDIT + f"""SELECT user_id, {_score('user_id', 'income')} AS credit_score,
         {_grade(_score('user_id', 'income'))} AS grade FROM applicants""",
-    "credit_validate_response": _CREDIT + f"""SELECT user_id, {_score('user_id', 'income')} AS credit_score,
-        {_grade(_score('user_id', 'income'))} AS grade,
-        CASE WHEN income IS NULL THEN 'credit_score: missing; grade: missing' END AS reject_reason
-        FROM applicants""",
+    "credit_validate_response": f"WITH {_A},\n{_SPOILT}\n" + """SELECT user_id, credit_score, grade,
+        nullif(concat_ws('; ', CASE WHEN credit_score IS NULL THEN 'credit_score: missing' END,
+            CASE WHEN grade IS NULL THEN 'grade: missing' END,
+            CASE WHEN credit_score NOT BETWEEN 0 AND 1000 THEN 'credit_score: outside 0..1000' END,
+            CASE WHEN grade NOT IN ('A', 'B', 'C') THEN 'grade: not one of A, B, C' END,
+            CASE WHEN grade IN ('A', 'B', 'C') AND grade <> CASE WHEN credit_score >= 800 THEN 'A' WHEN credit_score >= 600 THEN 'B' ELSE 'C' END
+                 THEN 'grade: does not match credit_score' END), '') AS reject_reason
+        FROM spoilt""",
     "credit_predict": _CREDIT + "SELECT * FROM predicted",
     "credit_predict_udf": _CREDIT + "SELECT * FROM predicted",
     "credit_insert": _CREDIT + """SELECT user_id, CAST(NULL AS INTEGER) AS income, CAST(NULL AS INTEGER) AS loan_amt,
         credit_score, grade FROM predicted""",
-    "credit_update_by_key": _CREDIT + """SELECT s.user_id, s.income, s.loan_amt,
-        CASE WHEN p.user_id IS NOT NULL THEN p.credit_score ELSE s.credit_score END AS credit_score,
-        CASE WHEN p.user_id IS NOT NULL THEN p.grade ELSE s.grade END AS grade
+    "credit_update_by_key": _CREDIT + f"""SELECT s.user_id, s.income, s.loan_amt,
+        CASE WHEN {_K.replace('user_id', 's.user_id')} % 7 = 3 THEN NULL WHEN p.user_id IS NOT NULL THEN p.credit_score ELSE s.credit_score END AS credit_score,
+        CASE WHEN {_K.replace('user_id', 's.user_id')} % 7 = 3 THEN NULL WHEN p.user_id IS NOT NULL THEN p.grade ELSE s.grade END AS grade
         FROM state s LEFT JOIN predicted p ON s.user_id = p.user_id AND s.credit_score IS NULL""",
     "credit_run": _CREDIT + """SELECT a.user_id, a.income, a.loan_amt, p.credit_score, p.grade
         FROM applicants a LEFT JOIN predicted p ON a.user_id = p.user_id""",

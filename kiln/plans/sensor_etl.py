@@ -1,10 +1,15 @@
 """Sensor ETL as Spark jobs.
 
 Single workflow (SURVEY 3.1): scan day file -> filter -> Fahrenheit -> clean
-CSV -> load (replace the day). S17 ``sensor_run_chain``: the same as three
-separately runnable stages that hand over a path, never the data. With
-``ds=None`` a stage handles every day in its input in one job (a backfill):
-the run date of each row is the date of its timestamp.
+file -> load (replace the day). S17 ``sensor_run_chain``: the same as three
+separately runnable stages that hand over a path, never the data. A run hands
+over its own folder (``.../run=<id>``), so a stage sees that run's batch and
+nothing landed before. With ``ds=None`` a stage handles every day in its input
+in one job (a backfill): the run date of a row is the date of its timestamp,
+or the date in its file's name where the source carries ``file_date``.
+
+Records that did not parse, have no valid timestamp, or are not normal are
+never loaded; the quarantine keeps them with the reason.
 """
 
 from __future__ import annotations
@@ -12,19 +17,21 @@ from __future__ import annotations
 import uuid
 from datetime import date
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from kiln.functions.sensor import TEMP_LIMIT_C, is_normal
-from kiln.operators.sensor import filter_normal, quarantine, to_fahrenheit
-from kiln.schemas import RAW_READING, TS_WRITE_FORMAT
+from kiln.functions.sensor import TEMP_LIMIT_C, is_loadable, scan_reject_reason
+from kiln.operators.sensor import filter_normal, to_fahrenheit
+from kiln.schemas import CLEAN_READING, CORRUPT, RAW_READING
+from kiln.session import observed
 from kiln.sinks.files import land_raw, write_clean_csv
 from kiln.sinks.warehouse import LoadAudit, Warehouse
 from kiln.sources.files import read_clean_csv, scan_raw_json
 
 RAW_COLUMNS = [f.name for f in RAW_READING.fields]
 CLEAN_COLUMNS = RAW_COLUMNS + ["temperature_f"]
+FILE_DATE = "file_date"
 
 
 def transform(raw: DataFrame, limit: float = TEMP_LIMIT_C) -> DataFrame:
@@ -39,75 +46,120 @@ def _require(path: str | None, what: str) -> str:
 
 
 def extract_stage(source: DataFrame, raw_root: str, ds: str | date | None = None,
-                  timestamp_format: str = TS_WRITE_FORMAT) -> str:
-    """Stage 1: land raw readings (S2); returns the path handed to stage 2."""
-    return land_raw(source.select(*RAW_COLUMNS), raw_root, None if ds is None else str(ds), timestamp_format)
+                  timestamp_format: str | None = None, fmt: str = "json") -> str:
+    """Stage 1: land raw readings (S2); returns the path handed to stage 2.
+
+    A ``file_date`` column in the source (``scan_raw_json(with_file_date=True)``)
+    keys a multi-day landing by the file's date instead of the row's.
+    """
+    by_file = FILE_DATE in source.columns
+    extra = [c for c in (FILE_DATE, CORRUPT) if c in source.columns and (c != CORRUPT or fmt == "parquet")]
+    return land_raw(source.select(*RAW_COLUMNS, *extra), raw_root, None if ds is None else str(ds), timestamp_format,
+                    fmt, FILE_DATE if by_file else None)
+
+
+def _raw(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """The landed batch, with the text of what did not parse and, if it was landed by day, ``ds``."""
+    if fmt == "json":
+        return scan_raw_json(spark, path, keep_corrupt=True)
+    # by schema: a batch without files reads as no rows, one without corrupt text has NULL there
+    return spark.read.schema(T.StructType(RAW_READING.fields + [T.StructField(CORRUPT, T.StringType())])).parquet(path)
+
+
+def days_of(spark: SparkSession, raw_path: str, fmt: str = "json") -> list[str]:
+    """The run dates of a landed batch, rejected rows included: what an overwriting load replaces.
+
+    One row for each day; of a Parquet landing no column is read, only its folders and row counts.
+    """
+    raw = _raw(spark, _require(raw_path, "days"), fmt)
+    day = F.col("ds") if "ds" in raw.columns else F.to_date("timestamp")
+    return sorted(str(r.ds) for r in raw.select(day.alias("ds")).distinct().collect() if r.ds is not None)
 
 
 def transform_stage(spark: SparkSession, raw_path: str, clean_root: str, ds: str | date | None = None,
-                    limit: float = TEMP_LIMIT_C, timestamp_format: str = TS_WRITE_FORMAT,
-                    metrics: dict | None = None, quarantine_root: str | None = None) -> str:
-    """Stage 2: S1 scan -> S7 -> S8 -> S3 clean CSV; returns the path handed to stage 3.
+                    limit: float = TEMP_LIMIT_C, timestamp_format: str | None = None,
+                    metrics: dict | None = None, quarantine_root: str | None = None,
+                    raw_fmt: str = "json", fmt: str = "csv") -> str:
+    """Stage 2: S1 scan -> S7 -> S8 -> S3 clean file; returns the path handed to stage 3.
 
     Rows read and rows kept are observed on the write itself (no second pass)
     and put into ``metrics`` when given. With ``quarantine_root`` the rejected
-    readings (S9, with their reason) are kept as Parquet under
-    ``quarantine_root/ds=...``; the parsed batch is then persisted once so the
-    JSON is not parsed twice.
+    records are kept as Parquet under ``quarantine_root/ds=...`` with their
+    reason and, if they did not parse, their text; that is a second scan of
+    the landed batch, nothing is held on executors in between.
     """
-    raw = scan_raw_json(spark, _require(raw_path, "transform")).select(*RAW_COLUMNS)
+    raw = _raw(spark, _require(raw_path, "transform"), raw_fmt)
+    # a multi-day landing keeps its own run dates, whether they are the rows' or the files'
+    by_day = ds is None and "ds" in raw.columns
+    key = [F.col("ds").cast("date").alias(FILE_DATE)] if by_day else []
+    raw = raw.select(*RAW_COLUMNS, CORRUPT, *key)
+    obs = Observation(f"transform_{uuid.uuid4().hex[:12]}")
+    ok = is_loadable("temperature", limit, CORRUPT)
+    counts = (F.count(F.lit(1)).alias("rows_raw"), F.count_if(ok).alias("rows_clean"))
+    clean = to_fahrenheit(raw.observe(obs, *counts).where(ok)).select(*CLEAN_COLUMNS, *([FILE_DATE] if by_day else []))
+    path = write_clean_csv(clean, clean_root, None if ds is None else str(ds), timestamp_format, fmt,
+                           FILE_DATE if by_day else None)
     if quarantine_root:
-        raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        obs = Observation(f"transform_{uuid.uuid4().hex[:12]}")
-        observed = raw.observe(obs, F.count(F.lit(1)).alias("rows_raw"),
-                               F.count_if(F.coalesce(is_normal("temperature", limit), F.lit(False))).alias("rows_clean"))
-        path = write_clean_csv(transform(observed, limit).select(*CLEAN_COLUMNS), clean_root,
-                               None if ds is None else str(ds), timestamp_format)
-        if quarantine_root:
-            rejected = quarantine(raw, limit)
-            if ds is None:
-                (rejected.withColumn("ds", F.to_date("timestamp")).write.mode("overwrite")
-                 .option("partitionOverwriteMode", "dynamic").partitionBy("ds").parquet(quarantine_root))
-            else:
-                rejected.write.mode("overwrite").parquet(f"{quarantine_root}/ds={ds}")
-    finally:
-        if quarantine_root:
-            raw.unpersist()
+        rejected = raw.where(~ok).withColumn("reject_reason", scan_reject_reason("temperature", limit, CORRUPT))
+        if ds is None:
+            day = F.col(FILE_DATE) if by_day else F.to_date("timestamp")
+            (rejected.withColumn("ds", day).drop(FILE_DATE).hint("rebalance", "ds").write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("ds").parquet(quarantine_root))
+        else:
+            rejected.write.mode("overwrite").parquet(f"{quarantine_root}/ds={ds}")
     if metrics is not None:
-        metrics.update({k: int(v) for k, v in obs.get.items()})
+        metrics.update(observed(obs, raw, *counts))
     return path
 
 
-def load_stage(spark: SparkSession, csv_path: str, warehouse: Warehouse, ds: str | date | None = None,
-               mode: str = "overwrite", rows_rejected: int = 0) -> LoadAudit:
+def load_stage(spark: SparkSession, clean_path: str, warehouse: Warehouse, ds: str | date | None = None,
+               mode: str = "overwrite", rows_rejected: int = 0, fmt: str = "csv",
+               days: list[str] | None = None, by_file: bool = False) -> LoadAudit:
     """Stage 3: S4 read -> S10 -> load. ``overwrite`` replaces the day ``ds``
-    (S11) or, with no ``ds``, every day in the batch; ``append`` is S12."""
-    clean = read_clean_csv(spark, _require(csv_path, "load")).select(*CLEAN_COLUMNS)
+    (S11) or, with no ``ds``, the given ``days`` and every day in the batch
+    (a day of which nothing is left is emptied); ``append`` is S12. ``by_file``:
+    the days are the files' own, and rows dated otherwise are appended."""
+    path = _require(clean_path, "load")
+    if fmt == "csv":
+        clean = read_clean_csv(spark, path)
+    else:
+        clean = spark.read.schema(CLEAN_READING).parquet(path)
+    clean = clean.select(*CLEAN_COLUMNS)
     warehouse.ensure_tables()
     if mode == "append":
         return warehouse.load_append(clean, rows_rejected)
     if mode != "overwrite":
         raise ValueError(f"unknown mode {mode!r}")
     if ds is None:
-        return warehouse.load_overwrite_days(clean, rows_rejected)
-    return warehouse.load_overwrite_day(clean, ds, rows_rejected)
+        return warehouse.load_overwrite_days(clean, rows_rejected, days=days, append_others=by_file)
+    return warehouse.load_overwrite_day(clean, ds, rows_rejected, written=True)
 
 
 def run_chain(spark: SparkSession, source: DataFrame, root: str, warehouse: Warehouse,
               ds: str | date | None = None, mode: str = "overwrite",
-              timestamp_format: str = TS_WRITE_FORMAT, keep_quarantine: bool = False) -> LoadAudit:
-    """S17 ``sensor_run_chain``: extract -> transform -> load; paths keyed by job name (``sensor_chain``)."""
-    base = f"{root.rstrip('/')}/sensor_chain"
-    raw_path = extract_stage(source, f"{base}/raw", ds, timestamp_format)
+              timestamp_format: str | None = None, keep_quarantine: bool = False,
+              handoff: str = "parquet", run_id: str | None = None) -> LoadAudit:
+    """S17 ``sensor_run_chain``: extract -> transform -> load; paths keyed by job name (``sensor_chain``) and run.
+
+    ``handoff``: ``parquet`` (typed, compressed, splittable) or ``text`` (JSON
+    Lines and CSV, as the reference's files).
+    """
+    if handoff not in ("parquet", "text"):
+        raise ValueError(f"unknown handoff {handoff!r}")
+    raw_fmt, fmt = ("parquet", "parquet") if handoff == "parquet" else ("json", "csv")
+    base, run = f"{root.rstrip('/')}/sensor_chain", f"run={run_id or uuid.uuid4().hex[:12]}"
+    raw_path = extract_stage(source, f"{base}/raw/{run}", ds, timestamp_format, raw_fmt)
     metrics: dict = {}
-    csv_path = transform_stage(spark, raw_path, f"{base}/clean", ds, timestamp_format=timestamp_format,
-                               metrics=metrics, quarantine_root=f"{base}/quarantine" if keep_quarantine else None)
-    return load_stage(spark, csv_path, warehouse, ds, mode, metrics["rows_raw"] - metrics["rows_clean"])
+    clean_path = transform_stage(spark, raw_path, f"{base}/clean/{run}", ds, timestamp_format=timestamp_format,
+                                 metrics=metrics, quarantine_root=f"{base}/quarantine/{run}" if keep_quarantine else None,
+                                 raw_fmt=raw_fmt, fmt=fmt)
+    days = days_of(spark, raw_path, raw_fmt) if ds is None and mode == "overwrite" else None
+    return load_stage(spark, clean_path, warehouse, ds, mode, metrics["rows_raw"] - metrics["rows_clean"], fmt, days,
+                      FILE_DATE in source.columns)
 
 
 def run_daily(spark: SparkSession, raw_path: str, ds: str | date, root: str, warehouse: Warehouse,
-              limit: float = TEMP_LIMIT_C, timestamp_format: str = TS_WRITE_FORMAT,
+              limit: float = TEMP_LIMIT_C, timestamp_format: str | None = None,
               keep_quarantine: bool = False) -> LoadAudit:
     """Single workflow for one run date: day file -> clean CSV -> replace the day (S11 + S15).
 

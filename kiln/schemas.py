@@ -23,9 +23,13 @@ RAW_READING = StructType(
     ]
 )
 
+# What did not parse, as read: the whole record.
+CORRUPT = "_corrupt_record"
+
 # Clean reading = raw reading + Fahrenheit, as written to the clean CSV.
 CLEAN_READING = StructType(RAW_READING.fields + [StructField("temperature_f", DoubleType())])
 
+# Table and column names, types and widths of the two tables.
 # Columns of the warehouse fact (without the defaulted created_at).
 SENSOR_TARGET_COLUMNS = ["sensor_id", "timestamp", "temperature_c", "temperature_f", "reading_date"]
 
@@ -66,8 +70,6 @@ SCORE_RESPONSE = StructType(
     ]
 )
 
-# Raw JSON timestamps: 'yyyy-MM-dd HH:mm:ss' as in the day files; the reader
-# also accepts a fraction so that sub-second data is never cut.
-TS_WRITE_FORMAT = "yyyy-MM-dd HH:mm:ss"
-TS_WRITE_FORMAT_MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-TS_READ_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+# Text timestamps are written as 'yyyy-MM-dd HH:mm:ss', as in the day files, with
+# the fraction only where there is one, and read without a pattern, which takes
+# that text, ISO 'T', and any number of fraction digits.

@@ -11,7 +11,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 # Settings for a large cluster (e.g. 1000 executors x 4 cores, 100 TB).
@@ -74,6 +75,27 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def observed(obs: Observation, rows: DataFrame, *counts: Column) -> dict[str, int]:
+    """The counts that ``obs`` saw on a write of ``rows``.
+
+    Where nothing is left to write, Spark drops the observing part of the plan
+    at run time and nothing is seen; then ``rows`` (before any filter) are
+    counted by themselves.
+    """
+    try:
+        return {k: int(v) for k, v in obs.get.items()}
+    except Py4JJavaError as e:
+        if "AssertionError" not in str(e):
+            raise
+        return {k: int(v) for k, v in rows.agg(*counts).first().asDict().items()}
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote and no longer needs (staging, old versions)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared folder (never reused between runs)."""
     return f"{shared_dir(spark)}/kiln/{name}-{uuid.uuid4().hex[:12]}"

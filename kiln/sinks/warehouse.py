@@ -8,19 +8,23 @@ by default), so every executor sees the same files.
 Loads (SURVEY 2.2, 2.3, 2.5):
 
 * S11 ``load_overwrite_day``: result = rows with date <> ds, plus the whole
-  batch. The batch is written once to a staging folder partitioned by date
-  (load counts observed on that write); then the day is replaced - by a
+  batch. A batch that is a read of files is used as it is (``written``);
+  any other is written once to a staging folder partitioned by date (load
+  counts observed on that write), which is removed after the load. The day is replaced - by a
   dynamic overwrite that swaps the day's folder only at job commit, or, for an
   empty batch, a static ``INSERT OVERWRITE ... PARTITION (reading_date = ds)``
   that empties it - and rows dated otherwise are appended. A failed publish
   can be retried from the staging folder (``publish_staged_day``).
 * S12 ``load_append``: plain insert; a rerun duplicates rows, by design.
 * ``load_overwrite_days``: backfill form, replaces every day present in the
-  batch (dynamic partition overwrite) in one job.
+  batch (dynamic partition overwrite) in one job, and empties the given days
+  of which the batch has no row.
 * C1 reload, C11 update: a new version folder is written and then the table
   is pointed at it (``ALTER TABLE ... SET LOCATION``), so a reader never sees
   a half-written table and the table being read is never overwritten in place.
 * C10 insert: keys already present are an error (or skipped with ``ignore``).
+* Customer keys are unique and not NULL: checked in the publish itself, on
+  rows that are hash-partitioned by key anyway.
 * C12 with the built-in rule (``score_pending_in_place``): one projection
   over the table and one versioned write, no join.
 """
@@ -33,7 +37,7 @@ from datetime import date, datetime, timezone
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,9 +45,9 @@ from kiln.functions.credit import credit_draw, credit_grade, credit_score
 from kiln.operators.credit import apply_updates
 from kiln.operators.sensor import dense_ids, max_id, project_target
 from kiln.schemas import CUSTOMER_COLUMNS, CUSTOMERS_DDL, SENSOR_READINGS_DDL
-from kiln.session import scratch_dir
+from kiln.session import observed, remove_dir, scratch_dir
 
-_TARGET_SCHEMA = T.StructType(
+TARGET_SCHEMA = T.StructType(
     [
         T.StructField("sensor_id", T.StringType()),
         T.StructField("timestamp", T.TimestampNTZType()),
@@ -94,6 +98,16 @@ def _uid() -> str:
     return uuid.uuid4().hex[:12]
 
 
+def _unique_keys(rows: DataFrame) -> DataFrame:
+    """Fail on a NULL or repeated ``user_id``; the rows are partitioned by it, so this only sorts within partitions."""
+    nth = F.row_number().over(Window.partitionBy("user_id").orderBy("user_id"))
+    checked = rows.withColumn("_kiln_nth", nth).where(
+        F.when(F.col("user_id").isNull(), F.raise_error(F.lit("NULL user_id")))
+        .when(F.col("_kiln_nth") > 1, F.raise_error(F.concat(F.lit("duplicate user_id "), F.col("user_id"))))
+        .otherwise(F.lit(True)))
+    return checked.drop("_kiln_nth")
+
+
 class Warehouse:
     """The two tables of one warehouse (a database under ``root``).
 
@@ -158,14 +172,16 @@ class Warehouse:
                         raise
         if not catalog.tableExists(self.customer_table):
             current = None if self._fresh else self._read_pointer()
-            path, buckets = current or (
-                self._new_version_path(),
+            version, buckets = current or (
+                self._new_version(),
                 self._buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions")),
             )
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {self.customer_table} ({CUSTOMERS_DDL}) "
-                f"USING parquet CLUSTERED BY (user_id) INTO {buckets} BUCKETS LOCATION '{path}'"
+                f"USING parquet CLUSTERED BY (user_id) INTO {buckets} BUCKETS LOCATION '{self._version_path(version)}'"
             )
+            if current is None and not self._fresh:
+                self._write_pointer(version, buckets)  # rows inserted into this first version are found again
         self._buckets = self._table_buckets()
         return [self.sensor_table, self.customer_table]
 
@@ -176,21 +192,25 @@ class Warehouse:
     def _read_pointer(self) -> tuple[str, int] | None:
         """The latest published customer version and its bucket count, if any.
 
-        Each publish appends one line; version names sort by time, so the
-        largest line is the latest. Nothing is overwritten, so a crash while
-        publishing leaves either the new line or only the older ones.
+        Each publish appends one line with the version's name, relative to
+        the root; names sort by time, so the largest is the latest, however the
+        root is spelled. Nothing is overwritten, so a crash while publishing
+        leaves either the new line or only the older ones.
         """
         try:
-            latest = self.spark.read.text(self._pointer).agg(F.max("value")).first()[0]
-        except AnalysisException:  # nothing published yet
+            # lines of earlier releases hold a whole path: its last part is the name
+            latest = self.spark.read.text(self._pointer).agg(F.max(F.substring_index("value", "/", -1))).first()[0]
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # nothing published yet
+                raise
             return None
         if latest is None:
             return None
-        path, buckets = latest.split("\t")
-        return path, int(buckets)
+        version, buckets = latest.split("\t")
+        return version, int(buckets)
 
-    def _write_pointer(self, path: str, buckets: int) -> None:
-        line = self.spark.createDataFrame([(f"{path}\t{buckets}",)], "value string")
+    def _write_pointer(self, version: str, buckets: int) -> None:
+        line = self.spark.createDataFrame([(f"{version}\t{buckets}",)], "value string")
         line.coalesce(1).write.mode("append").text(self._pointer)
 
     def _table_buckets(self) -> int:
@@ -215,16 +235,16 @@ class Warehouse:
         number the rows when the table has ids."""
         if "temperature_c" not in batch.columns:
             batch = project_target(batch)
-        rows = batch.select(*[F.col(f.name).cast(f.dataType) for f in _TARGET_SCHEMA.fields])
+        rows = batch.select(*[F.col(f.name).cast(f.dataType) for f in TARGET_SCHEMA.fields])
         if not self.sensor_ids:
             return rows
         order = ["timestamp", "sensor_id", "temperature_c", "temperature_f"]
-        return dense_ids(rows, order, start=self.last_id()).select("id", *[f.name for f in _TARGET_SCHEMA.fields])
+        return dense_ids(rows, order, start=self.last_id()).select("id", *[f.name for f in TARGET_SCHEMA.fields])
 
     def _schema(self) -> T.StructType:
         if not self.sensor_ids:
-            return _TARGET_SCHEMA
-        return T.StructType([T.StructField("id", T.LongType())] + _TARGET_SCHEMA.fields)
+            return TARGET_SCHEMA
+        return T.StructType([T.StructField("id", T.LongType())] + TARGET_SCHEMA.fields)
 
     _LAST_ID = "kiln.last_id"
 
@@ -244,17 +264,27 @@ class Warehouse:
             top = max(self.last_id(), first + n)
             self.spark.sql(f"ALTER TABLE {self.sensor_table} SET TBLPROPERTIES ('{self._LAST_ID}' = '{top}')")
 
-    def load_overwrite_day(self, batch: DataFrame, ds: str | date, rows_rejected: int = 0) -> LoadAudit:
+    def load_overwrite_day(self, batch: DataFrame, ds: str | date, rows_rejected: int = 0,
+                           written: bool = False) -> LoadAudit:
         """S11 ``sensor_load_overwrite_day`` (with the S15 audit).
 
-        Stage, then publish. If publishing fails, ``LoadError.stage`` names the
-        staged batch and ``publish_staged_day`` retries without recomputing it.
+        ``written``: the batch is a plain read of files that stay, so it is
+        loaded straight from them. Otherwise it is staged first; the staging
+        folder is removed after the load. If publishing fails, ``LoadError.stage``
+        names the staged batch and ``publish_staged_day`` retries without
+        recomputing it.
         """
+        if written and not self.sensor_ids:
+            rows, day = self._target(batch), F.col("reading_date") == F.lit(str(ds)).cast("date")
+            n, n_day = rows.agg(F.count(F.lit(1)), F.count_if(day)).first()
+            return self._publish_day(rows, str(ds), n, n_day, 0, rows_rejected)
         stage = self.stage_batch(batch, ds)
         try:
-            return self.publish_staged_day(stage, rows_rejected)
+            audit = self.publish_staged_day(stage, rows_rejected)
         except Exception as e:  # keep the staged batch reachable for a retry
             raise LoadError(f"publishing {stage.ds} failed; staged batch at {stage.path}", stage) from e
+        remove_dir(self.spark, stage.path)
+        return audit
 
     def stage_batch(self, batch: DataFrame, ds: str | date) -> "StagedBatch":
         """Write the batch once to a staging folder partitioned by date; count on the way."""
@@ -263,15 +293,17 @@ class Warehouse:
         obs = Observation(f"load_{_uid()}")
         first_id = self.last_id() if self.sensor_ids else 0
         day = F.col("reading_date") == F.lit(ds).cast("date")
+        counts = (F.count(F.lit(1)).alias("rows_in"), F.count_if(day).alias("rows_day"))
+        target = self._target(batch)
         (
-            self._target(batch)
-            .observe(obs, F.count(F.lit(1)).alias("rows_in"), F.count_if(day).alias("rows_day"))
+            target.observe(obs, *counts)
+            .hint("rebalance", "reading_date")
             .write.mode("errorifexists")
             .partitionBy("reading_date")
             .parquet(path)
         )
-        m = obs.get
-        return StagedBatch(path, ds, int(m["rows_in"]), int(m["rows_day"]), first_id)
+        m = observed(obs, target, *counts)
+        return StagedBatch(path, ds, m["rows_in"], m["rows_day"], first_id)
 
     def publish_staged_day(self, stage: "StagedBatch", rows_rejected: int = 0) -> LoadAudit:
         """Replace day ``stage.ds`` with the staged rows of that day; append the others.
@@ -282,12 +314,17 @@ class Warehouse:
         day's rows are selected, so no other day can be replaced. An empty day
         uses the static form, which just empties it (2.5-a).
         """
-        spark, ds = self.spark, stage.ds
+        rows = self.spark.read.schema(self._schema()).parquet(stage.path)
+        return self._publish_day(rows, stage.ds, stage.rows_in, stage.rows_day, stage.first_id, rows_rejected)
+
+    def _publish_day(self, rows: DataFrame, ds: str, rows_in: int, rows_day: int, first_id: int,
+                     rows_rejected: int) -> LoadAudit:
+        spark = self.spark
         deleted = self.sensor_readings().where(F.col("reading_date") == F.lit(ds).cast("date")).count()
-        staged = self._view(spark.read.schema(self._schema()).parquet(stage.path))
+        staged = self._view(rows)
         cols = self._cols
         try:
-            if stage.rows_day > 0:
+            if rows_day > 0:
                 spark.sql(
                     f"INSERT OVERWRITE TABLE {self.sensor_table} PARTITION (reading_date) "
                     f"({cols}, reading_date) SELECT {cols}, reading_date "
@@ -298,22 +335,24 @@ class Warehouse:
                     f"INSERT OVERWRITE TABLE {self.sensor_table} PARTITION (reading_date = DATE'{ds}') "
                     f"({cols}) SELECT {cols} FROM {staged} WHERE FALSE"
                 )
-            if stage.rows_in > stage.rows_day:
+            if rows_in > rows_day:
                 spark.sql(
                     f"INSERT INTO {self.sensor_table} ({cols}, reading_date) "
-                    f"SELECT {cols}, reading_date FROM {staged} "
+                    f"SELECT /*+ REBALANCE(reading_date) */ {cols}, reading_date FROM {staged} "
                     f"WHERE reading_date IS DISTINCT FROM DATE'{ds}'"
                 )
         finally:
             spark.catalog.dropTempView(staged)
-        self._advance_ids(stage.first_id, stage.rows_in)
-        return LoadAudit(ds, stage.rows_in, stage.rows_in, deleted, stage.rows_in - stage.rows_day, rows_rejected)
+        self._advance_ids(first_id, rows_in)
+        return LoadAudit(ds, rows_in, rows_in, deleted, rows_in - rows_day, rows_rejected)
 
     def load_append(self, batch: DataFrame, rows_rejected: int = 0) -> LoadAudit:
         """S12 ``sensor_load_append``: insert without delete; a rerun duplicates rows."""
         obs = Observation(f"append_{_uid()}")
         first_id = self.last_id() if self.sensor_ids else 0
-        view = self._view(self._target(batch).observe(obs, F.count(F.lit(1)).alias("rows_in")))
+        # rebalanced by day: a multi-day batch leaves few files in each day's folder
+        target, counted = self._target(batch), F.count(F.lit(1)).alias("rows_in")
+        view = self._view(target.observe(obs, counted).hint("rebalance", "reading_date"))
         try:
             self.spark.sql(
                 f"INSERT INTO {self.sensor_table} ({self._cols}, reading_date) "
@@ -321,13 +360,19 @@ class Warehouse:
             )
         finally:
             self.spark.catalog.dropTempView(view)
-        n = int(obs.get["rows_in"])
+        n = observed(obs, target, counted)["rows_in"]
         self._advance_ids(first_id, n)
         return LoadAudit(None, n, n, 0, 0, rows_rejected)
 
-    def load_overwrite_days(self, batch: DataFrame, rows_rejected: int = 0) -> LoadAudit:
+    def load_overwrite_days(self, batch: DataFrame, rows_rejected: int = 0, days: list[str] | None = None,
+                            append_others: bool = False) -> LoadAudit:
         """Backfill: replace every day present in ``batch`` in one job.
 
+        ``days``: run dates that are replaced even if the batch has no row of
+        them; those are emptied first (2.5-a for many days). ``append_others``:
+        only ``days`` are replaced, rows dated otherwise are appended (2.5-b for
+        many days; the batch should be a read of files, it is read twice).
+
         The ``rebalance`` hint shuffles by day so that each day is written by
         few tasks (few files), while AQE splits a day that holds a large share
         of the rows into several tasks and merges small ones. Unlike a range
@@ -335,32 +380,69 @@ class Warehouse:
         """
         obs = Observation(f"days_{_uid()}")
         first_id = self.last_id() if self.sensor_ids else 0
-        target = self._target(batch).observe(obs, F.count(F.lit(1)).alias("rows_in")).hint("rebalance", "reading_date")
-        view = self._view(target)
+        rows, counted = self._target(batch), F.count(F.lit(1)).alias("rows_in")
+        target = rows.observe(obs, counted)
+        listed = F.col("reading_date").isin([date.fromisoformat(x) for x in days or []])
+        others = F.coalesce(~listed, F.lit(True))
+        view = self._view((target.where(~others) if append_others else target).hint("rebalance", "reading_date"))
         try:
+            self._empty_days(days or [])
             self.spark.sql(
                 f"INSERT OVERWRITE TABLE {self.sensor_table} PARTITION (reading_date) "
                 f"({self._cols}, reading_date) SELECT {self._cols}, reading_date FROM {view}"
             )
+            if append_others:
+                stray = self._view(rows.where(others).hint("rebalance", "reading_date"))
+                self.spark.sql(f"INSERT INTO {self.sensor_table} ({self._cols}, reading_date) "
+                               f"SELECT {self._cols}, reading_date FROM {stray}")
+                self.spark.catalog.dropTempView(stray)
         finally:
             self.spark.catalog.dropTempView(view)
-        n = int(obs.get["rows_in"])
+        n = observed(obs, rows, counted)["rows_in"]
         self._advance_ids(first_id, n)
         # rows replaced are not counted: that would need the batch's days before the write
         return LoadAudit(None, n, n, None, 0, rows_rejected)
 
+    def _empty_days(self, days: list[str]) -> None:
+        """Empty those of the given days that the table has."""
+        if not days:
+            return
+        present = {str(r.d) for r in self.sensor_readings().where(F.col("reading_date").isin([date.fromisoformat(x) for x in days]))
+                   .select(F.col("reading_date").alias("d")).distinct().collect()}  # one row for each day
+        none = self._view(self.spark.createDataFrame([], self._schema()))
+        for ds in sorted(present):
+            self.spark.sql(
+                f"INSERT OVERWRITE TABLE {self.sensor_table} PARTITION (reading_date = DATE'{ds}') "
+                f"({self._cols}) SELECT {self._cols} FROM {none}")
+        self.spark.catalog.dropTempView(none)
+
     # ---- customer writes ---------------------------------------------------
-    def _new_version_path(self) -> str:
+    def _new_version(self) -> str:
         stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")  # sorts by time
-        return f"{self.root}/customers_versions/v{stamp}_{_uid()}"
+        return f"v{stamp}_{_uid()}"
+
+    def _version_path(self, version: str) -> str:
+        return f"{self.root}/customers_versions/{version}"
+
+    def vacuum_customers(self, keep: int = 2) -> list[str]:
+        """Remove all but the latest ``keep`` published customer versions; returns their names."""
+        lines = self.spark.read.text(self._pointer).select(
+            F.substring_index(F.substring_index("value", "/", -1), "\t", 1).alias("v")).distinct()
+        old = [r.v for r in lines.orderBy(F.col("v").desc()).collect()][max(1, keep):]  # one row for each publish
+        for version in old:
+            remove_dir(self.spark, self._version_path(version))
+        return old
 
     def _publish_customers(self, rows: DataFrame, clustered: bool = False) -> str:
         """Write a full new version, bucketed like the table, then switch the table to it.
 
-        ``clustered``: the rows come from a read of this table (one bucket per
-        task), so each task writes a single file and no shuffle is needed;
-        otherwise they are first hash-partitioned by ``user_id`` into the
-        bucket count, so that every bucket is one file.
+        ``clustered``: the rows come from a read of this table, whose keys were
+        checked when they came in, and are written without a shuffle: one file
+        for each bucket where Spark scans the table by bucket, a file for each
+        scan task and bucket where it does not (it may turn bucketed scans off
+        in a plan without a join). Otherwise they are first hash-partitioned by
+        ``user_id`` into the bucket count, so that every bucket is one file,
+        and a NULL or repeated key fails the job.
         """
         checked = rows.select(
             F.when(F.length("user_id") > 50, F.raise_error(F.lit("user_id longer than VARCHAR(50)")))
@@ -376,14 +458,16 @@ class Warehouse:
         )
         n = self._buckets or self._table_buckets()
         if not clustered:
-            checked = checked.repartition(n, "user_id")
-        path = self._new_version_path()
+            checked = _unique_keys(checked.repartition(n, "user_id"))
+        version = self._new_version()
+        path = self._version_path(version)
         staging_name = f"{self.database}.customers_publish_{_uid()}"
         checked.write.mode("errorifexists").bucketBy(n, "user_id").option("path", path).saveAsTable(staging_name)
         self.spark.sql(f"DROP TABLE {staging_name}")  # external: the files stay
         self.spark.sql(f"ALTER TABLE {self.customer_table} SET LOCATION '{path}'")
         self.spark.catalog.refreshTable(self.customer_table)
-        self._write_pointer(path, n)  # lets a later session attach the same version
+        if not self._fresh:
+            self._write_pointer(version, n)  # lets a later session attach the same version
         return path
 
     def reload_customers(self, applicants: DataFrame) -> None:
@@ -407,38 +491,52 @@ class Warehouse:
         """C10 ``credit_insert``: insert ``(user_id, credit_score, grade)``; other columns NULL.
 
         A key that exists already (or twice in the batch) is an error, as with
-        a primary key; ``on_conflict="ignore"`` skips such rows instead,
-        keeping the first of duplicates within the batch.
+        a primary key, and so is a NULL key; ``on_conflict="ignore"`` skips keys
+        that exist, and of duplicates within the batch keeps the first by
+        ``order`` (without an order, duplicates are an error).
+
+        The batch is computed once, into a staging folder; checks and insert
+        read it from there. It is hash-partitioned into the table's buckets
+        before the write, so an insert adds at most one file to a bucket.
         """
         if on_conflict not in ("fail", "ignore"):
             raise ValueError(f"unknown on_conflict {on_conflict!r}")
+        spark, path = self.spark, scratch_dir(self.spark, "insert")
+        responses.select("user_id", "credit_score", "grade", *([order] if order else [])).write.parquet(path)
+        staged = spark.read.parquet(path)
         keys = self.customers().select("user_id")
-        batch = responses.select("user_id", "credit_score", "grade")
+        counts = staged.groupBy("user_id").count()
+        bad = counts.agg(F.count_if(F.col("user_id").isNull()), F.count_if(F.col("count") > 1)).first()
+        if bad[0]:
+            raise ValueError("NULL user_id in the batch")
+        if bad[1] and (on_conflict == "fail" or order is None):
+            raise ValueError("duplicate user_id in the batch" + ("" if on_conflict == "fail" else ": an order column decides which is first"))
+        batch = staged.select("user_id", "credit_score", "grade")
         # The table streams and the batch's keys are the build side: when the
         # batch is small AQE broadcasts them and the table is not shuffled.
+        clashes = keys.join(batch.select("user_id"), "user_id", "left_semi")
         if on_conflict == "fail":
-            clash = keys.join(batch.select("user_id"), "user_id", "left_semi")
-            twice = batch.groupBy("user_id").count().where("count > 1")
-            if not clash.isEmpty() or not twice.isEmpty():
-                raise ValueError("duplicate user_id: key exists in customers or repeats in the batch")
+            if not clashes.isEmpty():
+                raise ValueError("duplicate user_id: key exists in customers")
         else:
-            o = F.monotonically_increasing_id() if order is None else F.col(order)
-            firsts = (
-                batch.withColumn("_kiln_ord", o)
-                .groupBy("user_id")
-                .agg(F.min_by(F.struct("credit_score", "grade"), F.col("_kiln_ord")).alias("_v"))
-                .select("user_id", "_v.credit_score", "_v.grade")
-            )
-            clashes = keys.join(firsts.select("user_id"), "user_id", "left_semi")
-            batch = firsts.join(clashes, "user_id", "left_anti")
+            if bad[1]:
+                batch = (staged.groupBy("user_id").agg(F.min_by(F.struct("credit_score", "grade"), F.col(order)).alias("_v"))
+                         .select("user_id", "_v.credit_score", "_v.grade"))
+            batch = batch.join(clashes, "user_id", "left_anti")
         obs = Observation(f"insert_{_uid()}")
-        view = self._view(batch.observe(obs, F.count(F.lit(1)).alias("n")))
-        self.spark.sql(
-            f"INSERT INTO {self.customer_table} (user_id, credit_score, grade) "
-            f"SELECT user_id, credit_score, grade FROM {view}"
-        )
-        self.spark.catalog.dropTempView(view)
-        return int(obs.get["n"])
+        n = self._buckets or self._table_buckets()
+        counted = F.count(F.lit(1)).alias("n")
+        view = self._view(batch.observe(obs, counted).repartition(n, "user_id"))
+        try:
+            spark.sql(
+                f"INSERT INTO {self.customer_table} (user_id, credit_score, grade) "
+                f"SELECT user_id, credit_score, grade FROM {view}"
+            )
+        finally:
+            spark.catalog.dropTempView(view)
+        inserted = observed(obs, batch, counted)["n"]
+        remove_dir(spark, path)
+        return inserted
 
     def score_pending_in_place(self, salt: str = "", strict: bool = False, empty: str = "skip") -> dict[str, int]:
         """C12 with the built-in rule, fused: one scan of the table, one write.
@@ -475,8 +573,8 @@ class Warehouse:
     def update_scores(self, updates: DataFrame, order: str | None = None) -> dict[str, int]:
         """C11 ``credit_update_by_key``: ``UPDATE customers SET credit_score, grade WHERE user_id``.
 
-        Last duplicate wins by ``order``; unknown keys are ignored; the new
-        state is published as a new version.
+        Last duplicate wins by ``order`` (without one, duplicates are an
+        error); unknown keys are ignored; the new state is published as a new version.
         """
         obs = Observation(f"update_{_uid()}")
         merged = apply_updates(self.customers(), updates.select("user_id", "credit_score", "grade", *([order] if order else [])), order=order)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.schemas import CLEAN_READING, RAW_READING, TS_READ_FORMAT
+from pyspark.sql import types as T
+
+from kiln.schemas import CLEAN_READING, CORRUPT, RAW_READING
 
 # Day files carry their run date as eight digits in the name,
 # e.g. sensor_data_20260408.json, preprocessing_data_20260408.csv.
@@ -20,7 +22,7 @@ def _with_file_date(df: DataFrame) -> DataFrame:
 
 
 def scan_raw_json(spark: SparkSession, path: str | list[str], multi_line: bool = False,
-                  with_file_date: bool = False) -> DataFrame:
+                  with_file_date: bool = False, keep_corrupt: bool = False) -> DataFrame:
     """S1 ``sensor_scan_json``: raw readings from JSON files.
 
     Accepts JSON Lines and files holding one top-level array (one row per
@@ -28,12 +30,14 @@ def scan_raw_json(spark: SparkSession, path: str | list[str], multi_line: bool =
     so land large raw data as JSON Lines; pretty-printed arrays need
     ``multi_line=True``. Partition folders such as ``ds=2026-04-08`` add a column;
     ``with_file_date`` adds ``file_date`` for flat folders of files named by
-    run date.
+    run date. ``keep_corrupt`` adds the text of records that did not parse as
+    ``_corrupt_record`` (NULL for good ones).
     """
+    schema = T.StructType(RAW_READING.fields + [T.StructField(CORRUPT, T.StringType())]) if keep_corrupt else RAW_READING
     df = (
-        spark.read.schema(RAW_READING)
+        spark.read.schema(schema)
         .option("multiLine", multi_line)
-        .option("timestampNTZFormat", TS_READ_FORMAT)
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("mode", "PERMISSIVE")
         .json(path)
     )
@@ -45,7 +49,6 @@ def read_clean_csv(spark: SparkSession, path: str | list[str], with_file_date: b
     df = (
         spark.read.schema(CLEAN_READING)
         .option("header", True)
-        .option("timestampNTZFormat", TS_READ_FORMAT)
         .option("mode", "FAILFAST")
         .csv(path)
     )

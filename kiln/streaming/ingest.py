@@ -1,43 +1,56 @@
 """T1 ``sensor_stream_ingest``: pick up new raw day files, clean and load them.
 
 ``readStream`` over the landing folder (partition folders are followed) ->
-``foreachBatch``: S7, S8, S10 -> write to ``<sink>/batch_id=<n>`` with
-overwrite. The checkpoint records which files were taken, so a rerun adds
+``foreachBatch``: S7, S8, S10 -> write to ``<sink>/query=<id>/batch_id=<n>``
+with overwrite, where the id is the streaming query's own, kept in its
+checkpoint. The checkpoint records which files were taken, so a rerun adds
 nothing, and a replayed micro-batch (after a failure between write and
-commit) overwrites its own folder instead of adding rows twice. Each
-micro-batch's counts (S15) are observed on its write and kept under
-``<sink>/_audit/batch_id=<n>``. No dynamic
-day overwrite is used: a second file for the same day must add rows, not
-replace the first file's rows.
+commit) overwrites its own folder instead of adding rows twice. A second landing
+with its own checkpoint is another query and never touches the first one's
+folders. A checkpoint that was reset is a new query too: it takes all files
+again and adds their rows again, so it warns when it meets another query's
+rows in the sink. Each micro-batch's counts (S15) are observed on its write and
+kept under ``<sink>/_audit``. No dynamic day overwrite is used: a second file
+for the same day must add rows, not replace the first file's rows.
 """
 
 from __future__ import annotations
 
 import uuid
+import warnings
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from kiln.functions.sensor import TEMP_LIMIT_C, is_normal
-from kiln.operators.sensor import filter_normal, project_target, to_fahrenheit
-from kiln.schemas import RAW_READING, SENSOR_TARGET_COLUMNS, TS_READ_FORMAT
+from kiln.functions.sensor import TEMP_LIMIT_C, is_loadable
+from kiln.operators.sensor import project_target, to_fahrenheit
+from kiln.schemas import RAW_READING, SENSOR_TARGET_COLUMNS
+from kiln.session import observed
+from kiln.sinks.warehouse import TARGET_SCHEMA, LoadAudit, Warehouse
 
 RAW_COLUMNS = [f.name for f in RAW_READING.fields]
+#: The file source skips files that are older than the newest by more than this (Spark's own default: 7 days),
+#: so it is far beyond any backfill.
+MAX_FILE_AGE = "36500d"
+_AUDIT = "rows_in bigint, rows_inserted bigint, rows_rejected bigint"
 
 
 def stream_ingest(spark: SparkSession, landing: str, sink: str, checkpoint: str | None = None,
                   limit: float = TEMP_LIMIT_C, max_files_per_trigger: int | None = None,
                   available_now: bool = True, processing_time: str | None = None,
-                  archive_dir: str | None = None):
+                  archive_dir: str | None = None, max_file_age: str = MAX_FILE_AGE):
     """Start the ingest. With ``available_now`` (default) it processes every
     file present and returns after the run; otherwise it returns the running
     ``StreamingQuery`` triggered every ``processing_time``.
 
     ``archive_dir``: move processed files there (the file source's
     ``cleanSource=archive``), so that the landing folder, which is listed on
-    every trigger, stays small.
+    every trigger, stays small. ``max_file_age``: files older than the newest by
+    more than this are never taken; copied or backfilled files keep old dates.
     """
-    reader = spark.readStream.schema(RAW_READING).option("timestampNTZFormat", TS_READ_FORMAT)
+    reader = spark.readStream.schema(RAW_READING).option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
@@ -46,18 +59,25 @@ def stream_ingest(spark: SparkSession, landing: str, sink: str, checkpoint: str
     run = uuid.uuid4().hex[:12]
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query:
+            raise RuntimeError("no streaming query id: the sink's folders are named by it")
+        if batch_id == 0:
+            others = _queries_in(spark, sink) - {query}
+            if others:
+                warnings.warn(f"{sink} holds rows of other queries ({len(others)}); a reset checkpoint adds its files again")
         obs = Observation(f"stream_{run}_{batch_id}")
-        raw = batch.select(*RAW_COLUMNS).observe(
-            obs, F.count(F.lit(1)).alias("rows_in"),
-            F.count_if(F.coalesce(is_normal("temperature", limit), F.lit(False))).alias("rows_inserted"),
-        )
-        clean = project_target(to_fahrenheit(filter_normal(raw, limit)))
-        clean.write.mode("overwrite").partitionBy("reading_date").parquet(f"{sink}/batch_id={batch_id}")
+        counts = (F.count(F.lit(1)).alias("rows_in"), F.count_if(is_loadable("temperature", limit)).alias("rows_inserted"))
+        raw = batch.select(*RAW_COLUMNS)
+        clean = project_target(to_fahrenheit(raw.observe(obs, *counts).where(is_loadable("temperature", limit))))
+        # few files for each day, and a large day in several tasks
+        (clean.hint("rebalance", "reading_date").write.mode("overwrite").partitionBy("reading_date")
+         .parquet(f"{sink}/query={query}/batch_id={batch_id}"))
         # S15 per micro-batch, next to the data; '_' keeps it out of reads of the sink
-        m = obs.get
+        m = observed(obs, raw, *counts)
         audit = [(int(m["rows_in"]), int(m["rows_inserted"]), int(m["rows_in"]) - int(m["rows_inserted"]))]
-        (spark.createDataFrame(audit, "rows_in bigint, rows_inserted bigint, rows_rejected bigint")
-         .write.mode("overwrite").parquet(f"{sink}/_audit/batch_id={batch_id}"))
+        (spark.createDataFrame(audit, _AUDIT)
+         .write.mode("overwrite").parquet(f"{sink}/_audit/query={query}/batch_id={batch_id}"))
 
     writer = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint or f"{sink}/_checkpoint")
     if available_now:
@@ -68,10 +88,31 @@ def stream_ingest(spark: SparkSession, landing: str, sink: str, checkpoint: str
 
 
 def read_stream_audit(spark: SparkSession, sink: str) -> DataFrame:
-    """Counts per micro-batch: ``batch_id, rows_in, rows_inserted, rows_rejected``."""
-    return spark.read.parquet(f"{sink}/_audit").select("batch_id", "rows_in", "rows_inserted", "rows_rejected")
+    """Counts per micro-batch: ``query, batch_id, rows_in, rows_inserted, rows_rejected``."""
+    rows = spark.read.schema(f"{_AUDIT}, query string, batch_id bigint").parquet(f"{sink}/_audit")
+    return rows.select("query", "batch_id", "rows_in", "rows_inserted", "rows_rejected")
+
+
+def _queries_in(spark: SparkSession, sink: str) -> set[str]:
+    """Ids of the queries that wrote to the sink."""
+    try:
+        return {r.query for r in read_stream_audit(spark, sink).select("query").distinct().collect()}
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # nothing written yet
+            raise
+        return set()
 
 
 def read_ingested(spark: SparkSession, sink: str) -> DataFrame:
-    """The ingested rows in warehouse shape (``batch_id`` folders dropped)."""
-    return spark.read.parquet(sink).select(*SENSOR_TARGET_COLUMNS)
+    """The ingested rows in warehouse shape (query and batch folders dropped).
+
+    Read by schema: no file is opened to infer it, and a sink of which every
+    row was rejected reads as no rows.
+    """
+    schema = T.StructType(TARGET_SCHEMA.fields + [T.StructField("query", T.StringType()), T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(schema).parquet(sink).select(*SENSOR_TARGET_COLUMNS)
+
+
+def publish_ingested(spark: SparkSession, sink: str, warehouse: Warehouse) -> LoadAudit:
+    """Compact the sink's many small files into the warehouse table: every day it holds is replaced there."""
+    return warehouse.load_overwrite_days(read_ingested(spark, sink))

@@ -142,11 +142,87 @@ def test_insert_fails_on_existing_key_or_ignores(spark, wh):
     assert _state(wh)["C1"] == (None, None, 700, "B")
     with pytest.raises(ValueError):
         wh.insert_scores(resp)
-    more = spark.createDataFrame([("C2", 1, "C"), ("C3", 2, "C"), ("C3", 3, "C")], "user_id string, credit_score int, grade string")
+    more = spark.createDataFrame([("C2", 1, "C", 1), ("C3", 2, "C", 2), ("C3", 3, "C", 3)], "user_id string, credit_score int, grade string, at int")
     with pytest.raises(ValueError):
         wh.insert_scores(more.where("user_id = 'C3'"))
-    assert wh.insert_scores(more, on_conflict="ignore") == 1
-    assert len(_state(wh)) == 3
+    with pytest.raises(ValueError, match="order"):
+        wh.insert_scores(more, on_conflict="ignore")  # rows of a frame have no order of their own
+    assert wh.insert_scores(more, on_conflict="ignore", order="at") == 1
+    assert len(_state(wh)) == 3 and _state(wh)["C3"][2] == 2
+    with pytest.raises(ValueError, match="NULL"):
+        wh.insert_scores(spark.createDataFrame([(None, 1, "C")], "user_id string, credit_score int, grade string"))
+
+
+def test_customer_keys_are_unique_and_not_null(spark, wh):
+    for rows in ([("C1", 1, 1), ("C1", 2, 2)], [(None, 1, 1)]):
+        with pytest.raises(Exception, match="user_id"):
+            wh.reload_customers(spark.createDataFrame(rows, REQ))
+    assert wh.customers().count() == 0
+
+
+def test_repeated_update_needs_an_order(spark, wh):
+    wh.reload_customers(spark.createDataFrame([("C1", 5000, 10)], REQ))
+    ups = spark.createDataFrame([("C1", 500, "C"), ("C1", 810, "A")], "user_id string, credit_score int, grade string")
+    with pytest.raises(Exception, match="repeated key"):
+        wh.update_scores(ups)
+    assert _state(wh)["C1"][2] is None
+
+
+def test_insert_is_computed_once_and_adds_one_file_to_a_bucket(spark, tmp_path):
+    import os
+
+    w = Warehouse(spark, root=str(tmp_path / "ins"), customer_buckets=4)
+    w.ensure_tables()
+    calls = spark.sparkContext.accumulator(0)
+
+    def scorer(batches):
+        for pdf in batches:
+            calls.add(len(pdf))
+            yield pdf.assign(credit_score=700, grade="B")[["user_id", "credit_score", "grade"]]
+
+    reqs = spark.range(1000).selectExpr("concat('C', id) AS user_id", "5000 AS income", "1 AS loan_amt").repartition(12)
+    assert w.insert_scores(credit.predict_udf(reqs, scorer)) == 1000
+    assert calls.value == 1000
+    files = [f for _, _, fs in os.walk(tmp_path / "ins" / "customers_versions") for f in fs if f.endswith(".parquet")]
+    assert len(files) <= 4
+    again = Warehouse(spark, root=str(tmp_path / "ins"))
+    again.ensure_tables()
+    assert again.customers().count() == 1000  # found by another catalog
+
+
+def test_latest_version_by_stamp_and_vacuum(spark, tmp_path):
+    root = str(tmp_path / "v")
+    a = Warehouse(spark, root=f"file:{root}")
+    a.ensure_tables()
+    a.reload_customers(spark.createDataFrame([("C1", 1, 1)], REQ))
+    b = Warehouse(spark, root=root)  # the same folder, spelled otherwise
+    b.ensure_tables()
+    b.reload_customers(spark.createDataFrame([("C1", 1, 1), ("C2", 2, 2)], REQ))
+    c = Warehouse(spark, root=f"file:{root}")
+    c.ensure_tables()
+    assert c.customers().count() == 2
+    assert len(c.vacuum_customers(keep=1)) == 2  # the empty first version and the one-row version
+    assert c.customers().count() == 2
+
+
+@pytest.mark.parametrize("change", ["drop", "repeat", "invent"])
+def test_scorer_returns_each_key_once(spark, change):
+    import pandas as pd
+
+    def scorer(batches):
+        for pdf in batches:
+            out = pdf.assign(credit_score=700, grade="B")[["user_id", "credit_score", "grade"]]
+            if change == "drop":
+                out = out.iloc[1:]
+            elif change == "repeat":
+                out = pd.concat([out, out.iloc[:1]])
+            else:
+                out.loc[out.index[0], "user_id"] = "other"
+            yield out
+
+    df = spark.createDataFrame([("C1", 1, 1), ("C2", 2, 2)], REQ).coalesce(1)
+    with pytest.raises(Exception, match="each user_id once"):
+        credit.predict_udf(df, scorer).collect()
 
 
 def test_credit_run_end_to_end_and_rerun(spark, wh):

@@ -27,6 +27,7 @@ def test_stream_ingest_once_and_incremental(spark, tmp_path):
 
     audit = read_stream_audit(spark, sink).agg({"rows_in": "sum", "rows_inserted": "sum", "rows_rejected": "sum"}).first()
     assert (audit["sum(rows_in)"], audit["sum(rows_inserted)"], audit["sum(rows_rejected)"]) == (40, 32, 8)
+    assert read_stream_audit(spark, sink).select("query").distinct().count() == 1
     assert set(RAW_DAYS) >= {str(r.reading_date) for r in df.select("reading_date").distinct().collect()}
 
 
@@ -44,3 +45,55 @@ def test_stream_archives_processed_files(spark, tmp_path):
     assert read_ingested(spark, sink).count() == 24
     archived = [f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".json")]
     assert len(archived) >= 2
+
+
+def test_old_dated_file_is_taken(spark, tmp_path):
+    import os
+    import time
+
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    write_day_file(landing, "2026-04-09")
+    sink, ck = str(tmp_path / "sink"), str(tmp_path / "ck")
+    stream_ingest(spark, str(landing), sink, ck)
+    old = write_day_file(landing, "2026-04-08")
+    then = time.time() - 30 * 86400
+    os.utime(old, (then, then))
+    stream_ingest(spark, str(landing), sink, ck)
+    assert read_ingested(spark, sink).count() == 16
+
+
+def test_second_query_adds_to_the_sink_and_warns(spark, tmp_path):
+    sink = str(tmp_path / "sink")
+    for k, day in enumerate(("2026-04-08", "2026-04-09")):
+        landing = tmp_path / f"landing{k}"
+        landing.mkdir()
+        write_day_file(landing, day)
+        stream_ingest(spark, str(landing), sink, str(tmp_path / f"ck{k}"))
+    rows = read_ingested(spark, sink)
+    assert {str(r.reading_date) for r in rows.collect()} == {"2026-04-08", "2026-04-09"} and rows.count() == 16
+
+
+def test_all_rejected_sink_reads_as_no_rows(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "d.json").write_text('{"sensor_id": "A", "timestamp": "2026-04-08 10:00:00", "temperature": 500.0, "status": "on"}\n')
+    sink = str(tmp_path / "sink")
+    stream_ingest(spark, str(landing), sink, str(tmp_path / "ck"))
+    assert read_ingested(spark, sink).count() == 0
+
+
+def test_publish_ingested_into_the_warehouse(spark, tmp_path):
+    from kiln.sinks.warehouse import Warehouse
+    from kiln.streaming.ingest import publish_ingested
+
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    write_day_file(landing, "2026-04-08")
+    sink = str(tmp_path / "sink")
+    stream_ingest(spark, str(landing), sink, str(tmp_path / "ck"))
+    wh = Warehouse(spark, root=str(tmp_path / "wh"))
+    wh.ensure_tables()
+    for _ in range(2):
+        publish_ingested(spark, sink, wh)
+    assert wh.sensor_readings().count() == 8
