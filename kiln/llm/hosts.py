@@ -103,22 +103,17 @@ def hosts(rows: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
     totals = saved(rows.groupBy("source").agg(
         F.count("*").alias("n"), *(F.count(F.when(F.expr(rule), 1)).alias(f"f_{name}") for name, rule in RULES.items())), "hosts")
     n = F.col("n")
-    mean = {r: F.sum(f"f_{r}") / F.sum("n") for r in RULES}
-    means = totals.agg(*(mean[r].alias(f"m_{r}") for r in RULES))
-    spread = totals.crossJoin(F.broadcast(means)).agg(  # one row
-        F.count("*").alias("k"), F.sum("n").alias("total"), *(F.first(f"m_{r}").alias(f"m_{r}") for r in RULES),
-        *(F.sum(n * F.pow(F.col(f"f_{r}") / n - F.col(f"m_{r}"), 2)).alias(f"s_{r}") for r in RULES))
-
-    def prior(r: str) -> Column:
-        m, total, k = F.col(f"m_{r}"), F.col("total"), F.col("k")
-        by_chance = m * (1 - m) * (k - 1) / total
-        beyond = F.col(f"s_{r}") / total - by_chance  # variance between the hosts
-        strength = F.when(beyond > 0, m * (1 - m) / beyond - 1).otherwise(F.lit(MAX_STRENGTH))
-        return F.least(F.greatest(strength, F.lit(1.0)), F.lit(MAX_STRENGTH)).alias(f"p_{r}")
-
-    priors = spread.select(*(F.col(f"m_{r}") for r in RULES), *(prior(r) for r in RULES))
-    rate = {r: (F.col(f"f_{r}") + F.col(f"m_{r}") * F.col(f"p_{r}")) / (n + F.col(f"p_{r}")) for r in RULES}
-    return totals.crossJoin(F.broadcast(priors)).select(  # one row
+    # two rows of sums come to the driver: the mean of each rule, then the spread around it
+    sums = totals.agg(F.sum("n").alias("n"), F.count("*").alias("k"), *(F.sum(f"f_{r}").alias(r) for r in RULES)).first()
+    mean = {r: sums[r] / sums["n"] if sums["n"] else 0.0 for r in RULES}
+    spread = totals.agg(*(F.sum(n * F.pow(F.col(f"f_{r}") / n - F.lit(mean[r]), 2)).alias(r) for r in RULES)).first()
+    rate = {}
+    for r, m in mean.items():
+        by_chance = m * (1 - m) * (sums["k"] - 1) / max(1, sums["n"] or 0)
+        beyond = (spread[r] or 0.0) / max(1, sums["n"] or 0) - by_chance  # variance between the hosts
+        strength = min(max(m * (1 - m) / beyond - 1, 1.0), MAX_STRENGTH) if beyond > 0 else MAX_STRENGTH
+        rate[r] = (F.col(f"f_{r}") + F.lit(m * strength)) / (n + F.lit(strength))
+    return totals.select(
         "source", "n", *(f"f_{r}" for r in RULES), *(rate[r].alias(f"rate_{r}") for r in RULES),
         F.greatest(*rate.values()).alias("worst_rate")).withColumn("distrusted", F.col("worst_rate") > max_rate)
 
