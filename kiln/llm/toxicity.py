@@ -225,8 +225,8 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     def matched(texts: pd.Series) -> pd.Series:
         return pd.Series([shape(t, lexicon) for t in texts])
 
-    data = rows.select(matched("text").alias("x"), "toxic").orderBy("x", "toxic").collect()  # max_labelled rows
-    x, y = np.array([r.x for r in data]), np.array([float(r.toxic) for r in data])
+    data = sorted(map(tuple, rows.select(matched("text").alias("x"), "toxic").collect()))  # max_labelled rows, in an order of their own
+    x, y = np.array([r[0] for r in data]), np.array([float(r[1]) for r in data])
     return Model(lexicon, *_logistic(x, y))
 
 
