@@ -252,7 +252,9 @@ def digests(derived: DataFrame) -> DataFrame:
         h["WARC-Block-Digest"].alias("text_digest"), F.length(F.col("block").cast("string")).cast("long").alias("text_chars"))
     # repeated pages have equal records: fold them before the join, and unfold the pairs
     once = meta.groupBy(*meta.columns).count()
-    pairs = once.join(text.groupBy("refers_to").agg(*(F.first(c).alias(c) for c in text.columns[1:])), "refers_to")
+    # both sides grow with the pages, whatever Spark guesses of rows that Python returns: no broadcast
+    pairs = once.hint("shuffle_merge").join(
+        text.groupBy("refers_to").agg(*(F.first(c).alias(c) for c in text.columns[1:])).hint("shuffle_merge"), "refers_to")
     return pairs.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "count"))).select(
         F.col("f.page_id").cast("long").alias("page_id"), "url", "refers_to", "metadata_id", "conversion_id", "payload_digest",
         "metadata_digest", "text_digest", "text_chars", F.col("f.n_links").alias("n_links"), F.col("f.title").alias("title"))
