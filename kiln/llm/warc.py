@@ -232,29 +232,32 @@ def build_derivatives(spark: SparkSession, files: DataFrame, folder: str) -> tup
 
 
 def digests(derived: DataFrame) -> DataFrame:
-    """A row for each pair of derivative records, from the read files alone: identifiers, digests and sizes."""
+    """A row for each pair of derivative records, from the read files alone: identifiers, digests and sizes.
 
-    @F.pandas_udf("page_id string, title string, n_links long, status long")
+    One pass over the records and one partial aggregate by the response they
+    refer to. Repeated pages have equal records: each field's maximum is its
+    value, and the pair comes back as often as the page was there.
+    """
+
+    @F.pandas_udf("page_id string, title string, n_links long")
     def fields(blocks: pd.Series) -> pd.DataFrame:
         rows = []
         for block in blocks:
             pairs = [x.split(": ", 1) for x in bytes(block).decode().split("\r\n") if ": " in x] if block is not None else []
             one = {k: v for k, v in pairs if k != "outlink"}
-            rows.append((one.get("source-x-page-id") or None, one.get("title", ""), sum(k == "outlink" for k, _ in pairs), int(one.get("status", 0))))
-        return pd.DataFrame(rows, columns=["page_id", "title", "n_links", "status"])
-
-    h = F.col("headers")
-    meta = derived.where("type = 'metadata'").select(
-        h["WARC-Refers-To"].alias("refers_to"), F.col("id").alias("metadata_id"), h["WARC-Target-URI"].alias("url"), fields("block").alias("f"),
-        h["WARC-Block-Digest"].alias("metadata_digest"))
-    text = derived.where("type = 'conversion'").select(
-        h["WARC-Refers-To"].alias("refers_to"), F.col("id").alias("conversion_id"), h["WARC-Source-Payload-Digest"].alias("payload_digest"),
-        h["WARC-Block-Digest"].alias("text_digest"), F.length(F.col("block").cast("string")).cast("long").alias("text_chars"))
-    # repeated pages have equal records: fold them before the join, and unfold the pairs
-    once = meta.groupBy(*meta.columns).count()
-    # both sides grow with the pages, whatever Spark guesses of rows that Python returns: no broadcast
-    pairs = once.hint("shuffle_merge").join(
-        text.groupBy("refers_to").agg(*(F.first(c).alias(c) for c in text.columns[1:])).hint("shuffle_merge"), "refers_to")
-    return pairs.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "count"))).select(
-        F.col("f.page_id").cast("long").alias("page_id"), "url", "refers_to", "metadata_id", "conversion_id", "payload_digest",
-        "metadata_digest", "text_digest", "text_chars", F.col("f.n_links").alias("n_links"), F.col("f.title").alias("title"))
+            rows.append((one.get("source-x-page-id") or None, one.get("title", ""), sum(k == "outlink" for k, _ in pairs)))
+        return pd.DataFrame(rows, columns=["page_id", "title", "n_links"])
+
+    h, meta, text = F.col("headers"), F.col("type") == "metadata", F.col("type") == "conversion"
+    rows = derived.where(meta | text).select(
+        h["WARC-Refers-To"].alias("refers_to"), h["WARC-Target-URI"].alias("url"), meta.alias("meta"),
+        F.when(meta, F.col("id")).alias("metadata_id"), F.when(meta, h["WARC-Block-Digest"]).alias("metadata_digest"),
+        F.when(text, F.col("id")).alias("conversion_id"), F.when(text, h["WARC-Block-Digest"]).alias("text_digest"),
+        F.when(text, h["WARC-Source-Payload-Digest"]).alias("payload_digest"),
+        F.when(text, F.length(F.col("block").cast("string"))).cast("long").alias("text_chars"),
+        fields(F.when(meta, F.col("block"))).alias("f")).select("*", "f.*").drop("f")
+    names = [c for c in rows.columns if c not in ("refers_to", "meta")]
+    pairs = rows.groupBy("refers_to").agg(F.count_if("meta").alias("n"), *(F.max(c).alias(c) for c in names))
+    return pairs.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).select(
+        F.col("page_id").cast("long").alias("page_id"), "url", "refers_to", "metadata_id", "conversion_id", "payload_digest",
+        "metadata_digest", "text_digest", "text_chars", "n_links", "title")
