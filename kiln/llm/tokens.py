@@ -48,7 +48,7 @@ LEVEL = 1
 FRAME_IDS = 1 << 20
 SHARD_IDS = 1 << 26
 CACHE_PIECES = 600_000
-_SLICE_CHARS = 8_000_000
+_SLICE_CHARS = 2_000_000
 
 # Fixed values of the zstandard seekable format.
 SKIPPABLE_INDEX = 0x184D2A5D
