@@ -29,7 +29,7 @@ def main() -> None:
         times = []
         for _ in range(repeats + 1):
             t0 = time.perf_counter()
-            con.execute(sql).fetch_arrow_table()
+            con.execute(sql).to_arrow_table()
             times.append(time.perf_counter() - t0)
         print(f"{name} {statistics.median(times[1:]):.3f}")
 
