@@ -12,9 +12,11 @@ first: a model of positives against unlabelled text ranks a second half of
 both samples, and the smallest ratio of their shares above a threshold (with
 its confidence margin) is the prior.
 
-The model is fitted on bounded samples drawn by a hash of doc_id
-(``MAX_POSITIVES`` and ``MAX_UNLABELLED`` rows, in expectation); every
-document is scored, in one pass, by a scalar function of its text alone.
+The model is fitted on bounded samples (``MAX_POSITIVES`` and
+``MAX_UNLABELLED`` rows, in expectation), drawn by a hash of doc_id and of
+(doc_id, text); repeated rows fold before they are collected, so null ids or
+one row that makes up a third of the table don't add to them. Every document
+is scored, in one pass, by a scalar function of its text alone.
 
 Null and empty texts have zero features and get a score like any other. A
 repeated label counts as 1 if any of its rows says 1. Without positives or
@@ -153,7 +155,7 @@ def _feature_rows(texts: DataFrame) -> np.ndarray:
     def shape(text: pd.Series) -> pd.Series:
         return pd.Series([features(t) for t in text])
 
-    rows = texts.select("doc_id", shape("text").alias("x")).orderBy("doc_id", "x").collect()  # bounded by the samples
+    rows = texts.select("doc_id", shape("text").alias("x")).distinct().orderBy("doc_id", "x").collect()  # bounded by the samples
     return np.array([r.x for r in rows]).reshape(len(rows), len(features("")))
 
 
@@ -166,7 +168,8 @@ def train(docs: DataFrame, labels: DataFrame, max_positives: int = MAX_POSITIVES
     texts = docs.select("doc_id", "text")
     positive = _feature_rows(texts.join(F.broadcast(trusted), "doc_id", "left_semi"))  # max_positives ids
     free = docs.select("doc_id").where(~held_out("doc_id")).count()
-    unlabelled = _feature_rows(texts.where(~held_out("doc_id") & (hash_share(F.coalesce("doc_id", F.lit(0)), 2) < max_unlabelled / max(1, free))))
+    drawn = hash_share(F.xxhash64("doc_id", "text"), 2) < max_unlabelled / max(1, free)
+    unlabelled = _feature_rows(texts.where(~held_out("doc_id") & drawn))
     return fit(positive, unlabelled)
 
 

@@ -47,3 +47,16 @@ def test_same_text_same_score(spark):
     scores = {}
     for r in rows:
         assert scores.setdefault(r.text, r.score) == r.score
+
+
+def test_sample_is_bounded_for_null_ids_and_copies(spark, monkeypatch):
+    """A third of the rows without an id and a third of them one row: the samples stay near their size."""
+    docs = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN null WHEN id % 3 = 1 THEN 1 ELSE id END AS doc_id",
+        "CASE WHEN id % 3 = 1 THEN 'one text' ELSE concat('text number ', id) END AS text")
+    labels = spark.range(3000).selectExpr("id AS doc_id", "1 AS quality")
+    drawn = []
+    monkeypatch.setattr(quality, "fit", lambda p, u: drawn.append((len(p), len(u))))
+    quality.train(docs, labels, max_positives=300, max_unlabelled=300)
+    (positives, unlabelled), = drawn
+    assert positives < 400 and 50 < unlabelled < 400
