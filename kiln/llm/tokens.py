@@ -24,6 +24,7 @@ no rows. Repeated rows are encoded each.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -68,6 +69,10 @@ class Encoder:
     has no white space beside it. Texts are cut at those spaces, and each
     distinct piece is encoded once by the library's pre-tokenizer and model
     and kept (up to ``CACHE_PIECES``; others are encoded again when met).
+
+    The library finds added tokens (``<|endoftext|>``) before it pre-tokenizes,
+    so a text that holds one goes to it whole; a very long one is split around
+    them first, or goes whole too if a token's own rules look at its neighbours.
     """
 
     def __init__(self, vocabulary: str = VOCABULARY):
@@ -75,7 +80,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        self.whole.encode_special_tokens = True
+        added = self.whole.get_added_tokens_decoder().values()
+        self._added = sorted((t.content for t in added), key=len, reverse=True)  # the library takes the longest
+        self._between = None
+        if not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added):
+            self._between = re.compile("(" + "|".join(map(re.escape, self._added)) + ")") if self._added else None
         self._cut = self.whole.pre_tokenizer.pre_tokenize_str
         self._merge = self.whole.model.tokenize
         self._kept: dict[str, bytes] = {}
@@ -108,7 +117,7 @@ class Encoder:
             if len(t) > _SLICE_CHARS:
                 yield from self._slice(group)
                 group, chars = [], 0
-                yield np.concatenate([ids for part in _long_parts(t) for ids in self._slice([part])])
+                yield self._long(t)
                 continue
             group.append(t)
             chars += len(t)
@@ -117,6 +126,23 @@ class Encoder:
                 group, chars = [], 0
         yield from self._slice(group)
 
+    def _holds_added(self, text: str) -> bool:
+        return any(a in text for a in self._added)
+
+    def _all(self, text: str) -> np.ndarray:
+        return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _long(self, text: str) -> np.ndarray:
+        """Ids of a very long text, by parts."""
+        if not self._holds_added(text):
+            runs = [text]
+        elif self._between is None:
+            return self._all(text)
+        else:
+            runs = [r for r in self._between.split(text) if r]
+        return np.concatenate([ids for r in runs for part in ([r] if r in self._added else _long_parts(r))
+                               for ids in self._slice([part])])
+
     def _slice(self, texts: list[str]) -> Iterator[np.ndarray]:
         """A text that begins with one space goes on after it: its pieces all follow a space."""
         if not texts:
@@ -130,6 +156,7 @@ class Encoder:
         bad = np.fromiter((not p or p[0].isspace() or p[-1].isspace() for p in pieces), bool, len(pieces))
         bad_before = np.r_[0, np.cumsum(bad[codes])]
         odd = bad_before[offsets[1:]] > bad_before[offsets[:-1]]
+        odd |= np.fromiter(map(self._holds_added, texts), bool, len(texts))
         starts_piece = {}
         for k in np.flatnonzero(~odd):
             if not follows[k]:
@@ -146,7 +173,7 @@ class Encoder:
         all_ids = ids[np.repeat(first[codes] - upto[:-1], n) + np.arange(upto[-1])]
         for k, text in enumerate(texts):
             if odd[k]:
-                yield np.asarray(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
+                yield self._all(text)
             else:
                 yield all_ids[upto[offsets[k]]:upto[offsets[k + 1]]]
 

@@ -38,6 +38,25 @@ def test_encoder_equals_whole_texts(whole, monkeypatch):
     assert [list(x) for x in tokens.Encoder().encode(texts)] == want
 
 
+def test_added_tokens_as_the_library_alone(spark, monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(public_tokenizers.path(tokens.VOCABULARY))  # nothing set on it
+    assert fresh.encode("doc <|endoftext|> next", add_special_tokens=False).ids == [15390, 220, 50256, 1306]
+    rng = random.Random(5)
+    bits = ["<|endoftext|>", " <|endoftext|>", "<|endoftext|> ", "<|endof", "text|>", "a", "Word", " ", "  ", "\n", "'s", "été", " next words"]
+    texts = ["doc <|endoftext|> next", "<|endoftext|>", " <|endoftext|> <|endoftext|><|endoftext|> "]
+    texts += ["".join(rng.choices(bits, k=rng.randint(1, 30))) for _ in range(1000)]
+    want = [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [list(x) for x in tokens.Encoder().encode(texts)] == want
+    rows = [(k, t) for k, t in enumerate(texts[:100])]
+    got = tokens.tokenize(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert bag(map(tuple, got)) == bag(brute(rows, fresh))
+    monkeypatch.setattr(tokens, "_SLICE_CHARS", 7)  # very long texts
+    assert [list(x) for x in tokens.Encoder().encode(texts)] == want
+
+
 def test_query_equals_brute_force(spark, whole):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     assert bag(map(tuple, QUERIES["op5_tokens"](spark, SF).collect())) == bag(brute(docs, whole))
