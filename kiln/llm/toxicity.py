@@ -4,10 +4,12 @@ Words become symbols: insult (a learned lexicon of words and of word
 beginnings, each with a weight), threat, target, negation, reported speech, or
 other. Four small transducers read a clause's symbols: negation holds for
 ``SCOPE`` words after a negating word, reported speech to the clause's end,
-target once someone is addressed or named, threat once a threat has no insult
-yet. Their composition, one table over the product of their states, gives a
+target once someone is addressed or named, threat until a target or insult has
+been read. Their composition, one table over the product of their states, gives a
 weight for each matched insult or threat: less when negated or reported, more
-when aimed at a target. A clause scores the sum of its matches; a document is
+when aimed at a target. A threat that comes first ("kill you") is held with its
+negation and reported-speech factors, and counts once a target or insult of the
+same clause is read; if none comes, it counts nothing. A clause scores the sum of its matches; a document is
 scored by its clauses (the strongest, all together, how many, how dense) through
 a logistic curve. Words outside the grammar only move the states on, so
 isolated harmless words score nothing.
@@ -91,7 +93,7 @@ def target(factor: float = 1.5) -> Transducer:
 
 
 def threat(alone: float = 0.0) -> Transducer:
-    """A threat counts only where a target or an insult came before it in the clause."""
+    """State 1 once a target or an insult was read; ``alone`` is the factor of a threat before that."""
     step = {(0, s): (0, 1.0) for s in SYMBOLS} | {(1, s): (1, 1.0) for s in SYMBOLS}
     return Transducer(2, step | {(0, "threat"): (0, alone), (0, "target"): (1, 1.0), (0, "insult"): (1, 1.0)})
 
@@ -108,7 +110,10 @@ def compose(*parts: Transducer) -> tuple[int, dict[tuple[int, str], tuple[int, f
     return number[(0,) * len(parts)], table
 
 
-START, GRAMMAR = compose(negation(), reported(), target(), threat())
+_PARTS = (negation(), reported(), target(), threat(alone=1.0))
+START, GRAMMAR = compose(*_PARTS)
+#: Factor on the threats held so far, for states past a target or insult; other states keep holding.
+PAID = {k: _PARTS[2].move(s[2], "threat")[1] for k, s in enumerate(product(*(range(p.n) for p in _PARTS))) if s[3] == 1}
 CLOSED = {w.encode(): s for s, words in (("threat", THREAT), ("target", TARGET), ("negation", NEGATION), ("reported", REPORTED)) for w in words}
 THREAT_WEIGHT = 2.0
 
@@ -116,14 +121,21 @@ THREAT_WEIGHT = 2.0
 def clause_score(words: list[bytes], insult) -> tuple[float, int]:
     """Weight and number of the matches in a clause; ``insult(word)`` is a word's weight or 0."""
     state, total, n = START, 0.0, 0
+    held, n_held = 0.0, 0  # threats with no target or insult yet
     for w in words:
         weight = insult(w)
         symbol = "insult" if weight else CLOSED.get(w, "other")
         state, factor = GRAMMAR[state, symbol]
         if symbol in ("insult", "threat"):
             weight = (weight or THREAT_WEIGHT) * factor
+            if state not in PAID:
+                held, n_held = held + weight, n_held + (weight > 0)
+                continue
             total += weight
             n += weight > 0
+        if n_held and state in PAID:
+            total, n = total + held * PAID[state], n + n_held
+            held, n_held = 0.0, 0
     return total, n
 
 

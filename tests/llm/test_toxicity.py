@@ -21,6 +21,22 @@ def test_clauses_not_words():
     assert score("a harmless line") == 0
 
 
+def test_threat_before_its_object():
+    plain = score("i will kill you")
+    assert plain == score("they kill time") > 0 and score("we are going to shoot them") == score("burn those people") == plain
+    assert 0 < score("i will not kill you") < plain  # the negation is the threat word's, also when the target is out of its scope
+    assert score("i will not kill all of those other people") == score("i will not kill you")
+    assert 0 < score("he said i will kill you") < plain and 0 < score("i said i will kill you") < plain
+    assert score("i said i will not kill you") < score("i said i will kill you")
+    assert score("i said i will kill you") == score("i will kill you") * 0.6
+    assert score("kill or burn them") == 2 * plain and score("kill them and burn them") == 2 * plain
+    assert score("kill that idiot") == score("kill") + score("that idiot") + toxicity.THREAT_WEIGHT
+    assert score("kill") == score("kill time and burn wood") == score("i will not kill") == 0
+    shape = toxicity.shape("nice words. i will kill you", toxicity.Lexicon({}))
+    assert shape[0] == plain and shape[2] > 0
+    assert not any(toxicity.shape("i will kill time. you are here", toxicity.Lexicon({})))  # another clause
+
+
 def test_composition_is_the_product():
     parts = (toxicity.negation(), toxicity.reported(), toxicity.target(), toxicity.threat())
     state, table = toxicity.compose(*parts)
