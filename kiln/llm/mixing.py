@@ -237,13 +237,14 @@ def _small(df: DataFrame, name: str) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: str = SEED) -> DataFrame:
+def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: str = SEED,
+         membership: Column | None = None) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken (0 to ``max_repeats`` times), with its own columns.
 
-    Rows without words are in no quota; they go with their hash like the others.
+    membership: as in ``mix``. Rows without words are in no quota; they go with their hash like the others.
     """
-    sizes = saved(docs.select("source", size_column().alias("size"), seeded_hash(seed=seed).alias("h"))
-                  .withColumn("membership", F.array("source"))
+    member = F.array("source") if membership is None else membership
+    sizes = saved(docs.select("source", member.alias("membership"), size_column().alias("size"), seeded_hash(seed=seed).alias("h"))
                   .withColumn("pattern", pattern_column(F.col("membership"))), "mix-sizes")
     chosen = _small(plan(sizes, source_targets(sizes, weights, max_repeats), max_repeats).select(
         F.struct("pattern", "passes", "cut").alias(_free(docs, "_kiln_mix"))), "mix-cuts")
@@ -251,5 +252,5 @@ def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int =
     times = _times(seeded_hash(seed=seed), mix["passes"], mix["cut"]).cast("int")
     copies = F.when(times > 0, F.sequence(F.lit(1), times)).otherwise(F.array().cast("array<int>"))
     copy = _free(docs, "_kiln_copy")
-    return (docs.join(chosen, pattern_column(F.array("source")) == mix["pattern"])
+    return (docs.join(chosen, pattern_column(member) == mix["pattern"])
             .withColumn(copy, F.explode(copies)).select(*(F.col(f"`{c}`") for c in docs.columns)))

@@ -100,3 +100,14 @@ def test_overlapping_membership(spark):
     docs = spark.range(300).selectExpr("id AS doc_id", "IF(id < 40, 'a', 'b') AS source", "'five words are in here' AS text")
     got = mixing.mix(docs, F.when(F.col("doc_id") % 2 == 0, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array("source"))).collect()
     assert sum(r.taken for r in got) == pytest.approx(1500, abs=20) and all(r.taken <= 15 for r in got)
+
+
+def test_take_with_overlapping_membership(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(300).selectExpr("id AS doc_id", "IF(id < 40, 'a', 'b') AS source", "'five words are in here' AS text")
+    member = F.when(F.col("doc_id") % 2 == 0, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array("source"))
+    times = {r.doc_id: r["count"] for r in mixing.take(docs, membership=member).groupBy("doc_id").count().collect()}
+    want = {r.doc_id: r.taken // r["size"] for r in mixing.mix(docs, member).collect() if r.taken}
+    alone = {r.doc_id: r.taken // r["size"] for r in mixing.mix(docs).collect() if r.taken}
+    assert times == want != alone
