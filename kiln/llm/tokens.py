@@ -17,9 +17,12 @@ manifest has a row for each shard; the shards' first positions are running
 sums of it (rows: files, not documents). ``read_shards`` reads them back, a
 task for each shard.
 
-Order: null ids come first; rows of one id are ordered by a hash of the text.
-Null and empty texts hold the end id alone. An empty table gives no shards and
-no rows. Repeated rows are encoded each.
+Order: null ids come first; rows of one id are ordered by a hash of the text,
+rows alike in both by their place in the input, so that a row repeated any
+number of times spreads over tasks. Null and empty texts hold the end id
+alone; very long ones are encoded in slices cut at spaces. An empty table
+gives no shards and no rows. Repeated rows are encoded each. Only ``doc_id``
+and ``text`` are read; columns of other names do not matter.
 """
 
 from __future__ import annotations
@@ -31,7 +34,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -48,9 +50,14 @@ END_ID = 2
 LEVEL = 1
 FRAME_IDS = 1 << 20
 SHARD_IDS = 1 << 26
-CACHE_PIECES = 600_000
+CACHE_TOKENS = 250_000
 _SLICE_CHARS = 2_000_000
 
+_BYTE_LEVEL = "ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=True)"
+# What the pre-tokenizer's rules tell apart.
+_LETTER, _NUMBER, _OTHER, _SPACE, _BLANK, _EDGE, _UNKNOWN = range(7)
+_CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")  # fixed values of the byte-level pre-tokenizer's public pattern
+
 # Fixed values of the zstandard seekable format.
 SKIPPABLE_INDEX = 0x184D2A5D
 SKIPPABLE_SEEK_TABLE = 0x184D2A5E
@@ -65,14 +72,15 @@ _SEEK = np.dtype([("packed", "<u4"), ("plain", "<u4"), ("checksum", "<u4")])
 class Encoder:
     """Ids of whole texts, by the tokenizers library.
 
-    Its pre-tokenizer never joins what stands before and after a space that
-    has no white space beside it. Texts are cut at those spaces, and each
-    distinct piece is encoded once by the library's pre-tokenizer and model
-    and kept (up to ``CACHE_PIECES``; others are encoded again when met).
+    The places where the library's byte-level pre-tokenizer cuts are found for a
+    slice of texts at once, from the kind of each character (letter, number,
+    other, space, other blank), which the library is asked for when a character is first met.
+    Each distinct pre-token's ids come from the library's model and are kept.
 
     The library finds added tokens (``<|endoftext|>``) before it pre-tokenizes,
     so a text that holds one goes to it whole; a very long one is split around
     them first, or goes whole too if a token's own rules look at its neighbours.
+    Any other kind of tokenizer gets whole texts.
     """
 
     def __init__(self, vocabulary: str = VOCABULARY):
@@ -87,26 +95,45 @@ class Encoder:
             self._between = re.compile("(" + "|".join(map(re.escape, self._added)) + ")") if self._added else None
         self._cut = self.whole.pre_tokenizer.pre_tokenize_str
         self._merge = self.whole.model.tokenize
+        self._plain = self.whole.normalizer is None and repr(self.whole.pre_tokenizer) == _BYTE_LEVEL
+        self._kind = np.full(0x110000, _UNKNOWN, np.uint8)
+        self._written: dict[int, str] = {}  # how the library writes each character
         self._kept: dict[str, bytes] = {}
-
-    def _piece(self, piece: str) -> bytes:
-        if piece[:1] == " " and piece[1:].isascii() and piece[1:].isalpha():
-            parts = ("Ġ" + piece[1:],)  # how the library writes a space before a word
-        else:
-            parts = (p for p, _ in self._cut(piece))
-        ids = [t.id for p in parts for t in self._merge(p)]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _spaced(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces that follow a space."""
-        kept, out = self._kept, []
-        for p in pieces:
-            ids = kept.get(p)
+        self._before: dict[str, bytes] = {}
+
+    def _meet(self, code: int) -> None:
+        """Learn a character's kind: it joins an ``a``, a ``1`` or a ``!`` before it, or none of them if it is blank."""
+        char = chr(code)
+        joins = (k for k, c in ((_LETTER, "a"), (_NUMBER, "1"), (_OTHER, "!")) if len(self._cut(c + char)) == 1)
+        self._kind[code] = _SPACE if char == " " else next(joins, _BLANK)
+        self._written[code] = self._cut(char)[0][0]
+
+    def _kinds(self, codes: np.ndarray) -> np.ndarray:
+        kinds = self._kind[codes]
+        if (new := kinds == _UNKNOWN).any():
+            for code in np.unique(codes[new]).tolist():
+                self._meet(code)
+            kinds = self._kind[codes]
+        return kinds
+
+    def _known(self, tokens: list[str]) -> list[bytes]:
+        """Ids of pre-tokens. Two generations of ``CACHE_TOKENS`` are kept: what isn't met during a whole generation is forgotten."""
+        out = list(map(self._kept.get, tokens))
+        before, merge, written = self._before, self._merge, self._written
+        new = {}
+        for k, ids in enumerate(out):
             if ids is None:
-                ids = self._piece(" " + p)
-                if len(kept) < CACHE_PIECES and len(p) < 64:
-                    kept[p] = ids
-            out.append(ids)
+                token = tokens[k]
+                ids = before.get(token)
+                if ids is None:
+                    got = [t.id for t in merge(token.translate(written))]
+                    ids = struct.pack(f"<{len(got)}I", *got)
+                out[k] = ids
+                if len(token) < 64:
+                    new[token] = ids
+        if len(self._kept) + len(new) > CACHE_TOKENS:
+            self._before, self._kept = self._kept, {}
+        self._kept |= new
         return out
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
@@ -144,38 +171,52 @@ class Encoder:
                                for ids in self._slice([part])])
 
     def _slice(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """A text that begins with one space goes on after it: its pieces all follow a space."""
-        if not texts:
-            return
-        follows = [t[:1] == " " for t in texts]
-        lists = pc.split_pattern(pa.array([t[1:] if f else t for t, f in zip(texts, follows)], pa.large_string()), " ")
-        offsets = np.asarray(lists.offsets)
-        coded = lists.flatten().dictionary_encode()
-        codes, pieces = np.asarray(coded.indices), coded.dictionary.to_pylist()
-        # an empty piece or one with white space at an end touches a space that is no place to cut
-        bad = np.fromiter((not p or p[0].isspace() or p[-1].isspace() for p in pieces), bool, len(pieces))
-        bad_before = np.r_[0, np.cumsum(bad[codes])]
-        odd = bad_before[offsets[1:]] > bad_before[offsets[:-1]]
-        odd |= np.fromiter(map(self._holds_added, texts), bool, len(texts))
-        starts_piece = {}
-        for k in np.flatnonzero(~odd):
-            if not follows[k]:
-                starts_piece.setdefault(pieces[codes[offsets[k]]], len(pieces) + len(starts_piece))
-        own = self._spaced([p if not b else "" for p, b in zip(pieces, bad)]) + [self._piece(p) for p in starts_piece]
-        codes = codes.astype(np.int64)
-        for k in np.flatnonzero(~odd):
-            if not follows[k]:
-                codes[offsets[k]] = starts_piece[pieces[codes[offsets[k]]]]
-        lengths = np.fromiter(map(len, own), np.int64, len(own)) // 4
-        ids, first = np.frombuffer(b"".join(own), "<u4"), np.cumsum(lengths) - lengths
-        n = lengths[codes]
+        odd = [not self._plain or self._holds_added(t) for t in texts]
+        joined = "\0" + "\0".join("" if o else t for t, o in zip(texts, odd)) + "\0"
+        data = joined.encode()
+        ascii_only = len(data) == len(joined)
+        codes = np.frombuffer(data, np.uint8) if ascii_only else np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        lengths = np.fromiter((0 if o else len(t) for t, o in zip(texts, odd)), np.int64, len(texts))
+        edges = np.r_[0, np.cumsum(lengths + 1)]
+        kinds = self._kinds(codes)
+        kinds[edges] = _EDGE
+        starts = np.flatnonzero(_token_starts(codes, kinds))
+        at = np.searchsorted(starts, edges)  # every edge is a pre-token of its own
+        places = starts
+        if not ascii_only:
+            width = 1 + (codes > 0x7F).astype(np.int8) + (codes > 0x7FF) + (codes > 0xFFFF)
+            places = (np.cumsum(width, dtype=np.int64) - width)[starts]
+        offsets = np.r_[places, len(data)].astype(np.int64)
+        coded = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+        tokens = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        own = self._known(tokens)
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        ids, first = np.frombuffer(b"".join(own), "<u4"), np.cumsum(sizes) - sizes
+        codes = np.asarray(coded.indices)
+        n = sizes[codes]
+        n[at] = 0
         upto = np.r_[0, np.cumsum(n)]
         all_ids = ids[np.repeat(first[codes] - upto[:-1], n) + np.arange(upto[-1])]
         for k, text in enumerate(texts):
-            if odd[k]:
-                yield self._all(text)
-            else:
-                yield all_ids[upto[offsets[k]]:upto[offsets[k + 1]]]
+            yield self._all(text) if odd[k] else all_ids[upto[at[k]]:upto[at[k + 1]]]
+
+
+def _token_starts(codes: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Where the byte-level pre-tokenizer's pre-tokens begin: runs of one kind, with one space before them; of several
+    blanks the last stands apart, unless the text ends there; contractions stand alone after a letter, number, blank or edge."""
+    before = np.r_[np.uint8(_EDGE), kinds[:-1]]
+    after = np.r_[kinds[1:], np.uint8(_EDGE)]
+    blank = (kinds == _SPACE) | (kinds == _BLANK)
+    after_blank = (before == _SPACE) | (before == _BLANK)
+    starts = np.where(blank, ~after_blank | (after <= _OTHER), (kinds != before) & (before != _SPACE)) | (kinds == _EDGE)
+    marks = np.flatnonzero((codes == ord("'")) & (before != _OTHER) & (before != _SPACE))
+    for c in _CONTRACTIONS:
+        at = marks[marks + len(c) < len(codes)]
+        for k, char in enumerate(c):
+            at = at[codes[at + k] == ord(char)]
+        starts[at + 1] = False
+        starts[at + len(c)] = True
+    return starts
 
 
 def _long_parts(text: str) -> Iterator[str]:
@@ -271,7 +312,8 @@ _MANIFEST = "shard string, partition int, seq int, n_docs long, n_ids long, byte
 def write_shards(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, end_id: int = END_ID,
                  shard_ids: int = SHARD_IDS) -> DataFrame:
     """Encode ``doc_id, text`` into shards under ``folder``; returns the manifest with each shard's first position, ``start``."""
-    dealt = docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).repartitionByRange("doc_id", "tie")
+    dealt = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("copy"))
+    dealt = dealt.repartitionByRange("doc_id", "tie", "copy")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()

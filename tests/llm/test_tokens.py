@@ -29,12 +29,13 @@ def brute(rows, whole):
 
 def test_encoder_equals_whole_texts(whole, monkeypatch):
     rng = random.Random(2)
-    bits = ["a", "Word", " ", "  ", "\n", "\t", " ", " ", "\x1c", "\x85", "'s", "'", "123", "été", "\U0001f600", "<|endoftext|>", ".", ",\n", "́", "\r\n"]
-    texts = [None, "", " ", "  a", " a b ", "a"] + ["".join(rng.choices(bits, k=rng.randint(1, 40))) for _ in range(2000)]
+    bits = ["a", "Word", " ", "  ", "\n", "\t", " ", " ", "\x1c", "\x85", "'s", "'", "123", "été", "\U0001f600", "<|endoftext|>", ".", ",\n", "́", "\r\n",
+            "'ll", "'re", "'ve", "\0", "½", "²", "日本", "Ǆ", "​", "5"]
+    texts = [None, "", " ", "  a", " a b ", "a"] + ["".join(rng.choices(bits, k=rng.randint(1, 40))) for _ in range(4000)]
     want = [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
     assert [list(x) for x in tokens.Encoder().encode(texts)] == want
     monkeypatch.setattr(tokens, "_SLICE_CHARS", 7)
-    monkeypatch.setattr(tokens, "CACHE_PIECES", 3)
+    monkeypatch.setattr(tokens, "CACHE_TOKENS", 3)
     assert [list(x) for x in tokens.Encoder().encode(texts)] == want
 
 
