@@ -14,8 +14,8 @@ def test_query_matches_oracle(spark, name):
     assert r["cols_match"] and r["spark_rows"] == r["oracle_rows"] and r["values_match"], r
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_thirteen_queries():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark):

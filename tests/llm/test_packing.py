@@ -1,0 +1,161 @@
+import math
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from kiln.llm import packing
+from kiln.llm.registered import QUERIES
+from tests.llm.conftest import SF, bag
+
+
+@pytest.fixture(scope="module")
+def whole():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+
+
+def brute_pieces(rows, whole, length):
+    out = []
+    for doc, text in rows:
+        ids = whole.encode(text or "", add_special_tokens=False).ids + [0]
+        first = len(ids) if len(ids) <= length else (len(ids) % length or length)
+        cuts = [0, first] + list(range(first + length, len(ids) + 1, length))
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            out.append((doc, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())))
+    return out
+
+
+def check_places(got, length):
+    """Gapless, within the length, and no two sequences could be put together."""
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    fills = []
+    for held in by.values():
+        at = 0
+        for offset, n in sorted(held):
+            assert offset == at and n > 0
+            at += n
+        assert at <= length
+        fills.append(at)
+    fills.sort()
+    assert len(fills) < 2 or fills[0] + fills[1] > length
+    return len(fills)
+
+
+def test_query_equals_brute_force(spark, whole):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    got = QUERIES["op13_packing"](spark, SF).collect()
+    want = brute_pieces(rows, whole, 2048)
+    assert bag(tuple(r)[:5] for r in got) == bag(want)
+    n = check_places(got, 2048)
+    lengths = np.array([w[3] for w in want])
+    assert n == packing.lower_bound(lengths, 2048)
+
+
+def best_possible(lengths, capacity):
+    """Fewest bins, by trying all ways."""
+    lengths, best = sorted(lengths, reverse=True), len(lengths)
+
+    def go(k, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if k == len(lengths):
+            best = len(rooms)
+            return
+        for j in {r: j for j, r in enumerate(rooms) if r >= lengths[k]}.values():
+            go(k + 1, rooms[:j] + [rooms[j] - lengths[k]] + rooms[j + 1:])
+        go(k + 1, rooms + [capacity - lengths[k]])
+
+    go(0, [])
+    return best
+
+
+def test_small_groups_against_all_ways():
+    rng, worse = random.Random(3), 0
+    for _ in range(150):
+        cap = rng.choice([10, 20, 33])
+        lengths = [rng.randint(1, cap) for _ in range(rng.randint(0, 9))]
+        bins = packing.pack(np.array(lengths, int), cap)
+        assert sorted(i for b in bins for i in b) == list(range(len(lengths)))
+        assert all(sum(lengths[i] for i in b) <= cap for b in bins)
+        best = best_possible(lengths, cap)
+        assert packing.lower_bound(np.array(lengths, int), cap) <= best <= len(bins)
+        worse += len(bins) > best
+    assert worse <= 3
+
+
+def test_search_raises_squares_and_empties_bins():
+    rng = np.random.default_rng(5)
+    for low, high in ((400, 900), (600, 760), (1, 2048), (700, 1400)):
+        lengths = rng.integers(low, high, 3000)
+        items = lengths.tolist()
+        start = packing.best_fit(items, 2048)
+        found = packing.local_search([list(b) for b in start], items, 2048, packing.lower_bound(lengths, 2048))
+        assert sorted(i for b in found for i in b) == list(range(3000))
+
+        def squares(bins):
+            return sum(sum(items[i] for i in b) ** 2 for b in bins)
+
+        assert all(sum(items[i] for i in b) <= 2048 for b in found)
+        assert squares(found) > squares(start) and len(found) < len(start)
+    # where sorting alone is poor, exchanges come within 4 % of the bound
+    lengths = rng.integers(400, 900, 4000)
+    descending = packing.best_fit(sorted(lengths.tolist(), reverse=True), 2048)
+    n, bound = len(packing.pack(lengths)), packing.lower_bound(lengths, 2048)
+    assert n < len(descending) and n <= 1.04 * bound
+
+
+def test_one_swap_two_for_one_and_move():
+    # each bin can only be emptied by the step named
+    for lengths, bins, cap in (
+        ([6, 4, 3, 7], [[0], [1], [2, 3]], 10),  # move
+        ([7, 5, 2, 3, 3], [[0, 2], [1, 3], [4]], 10),  # one for one
+        ([6, 2, 2, 4, 6], [[0, 1, 2], [3], [4]], 10),
+    ):
+        assert len(packing.local_search(bins, lengths, cap, 0)) == math.ceil(sum(lengths) / cap)
+
+
+def test_groups_and_repeated_rows(spark, whole, monkeypatch):
+    # a third of the rows are one row; small groups cut a task's rows; tasks that run again give the same
+    rows = [(k, f"word{k} " * (k % 50)) for k in range(600)] + [(7, "the same row " * 9)] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = packing.pieces(docs, length=64)
+    got = packing.place(found, 64, group_items=100).collect()
+    assert bag(tuple(r)[:5] for r in got) == bag(brute_pieces(rows, whole, 64))
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append(r)
+    assert all(sum(r.length for r in held) <= 64 for held in by.values())
+    total = sum(r.length for r in got)
+    assert len(by) <= math.ceil(total / 64) * 1.05 + 12
+    assert bag(map(tuple, got)) == bag(map(tuple, packing.place(found, 64, group_items=100).collect()))
+
+
+def test_sequences_hold_the_ids(spark, whole):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 40")
+    ids = {r.doc_id: whole.encode(r.text or "", add_special_tokens=False).ids + [0] for r in docs.collect()}
+    seen = {d: 0 for d in ids}
+    for s in packing.sequences(docs, length=500).collect():
+        held = np.frombuffer(bytes(s.ids), "<u4")
+        assert len(held) == s.n_tokens <= 500
+        for p in s.pieces:
+            n = len(ids[p.doc_id])
+            first = n if n <= 500 else n % 500 or 500
+            start = 0 if p.piece == 0 else first + 500 * (p.piece - 1)
+            assert held[p.offset:p.offset + p.length].tolist() == ids[p.doc_id][start:start + p.length]
+            seen[p.doc_id] += p.length
+    assert seen == {d: len(x) for d, x in ids.items()}
+
+
+def test_odd_rows(spark, odd, none, whole):
+    got = packing.pack_documents(odd).collect()
+    assert bag(tuple(r)[:5] for r in got) == bag(brute_pieces([(r.doc_id, r.text) for r in odd.collect()], whole, 2048))
+    check_places(got, 2048)
+    assert packing.pack_documents(none).collect() == []
+    assert packing.sequences(none).collect() == []
