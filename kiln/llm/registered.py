@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import chat, decontam, hosts, licenses, mixing, packing, quality, simhash, tokens, toxicity, warc
+from kiln.llm import chat, decontam, hosts, licenses, mixing, packing, quality, resampling, simhash, tokens, toxicity, warc
 from kiln.llm.common import table
 from kiln.session import scratch_dir
 
@@ -69,13 +69,17 @@ def op10_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents"))
 
 
+def op12_resampling(spark: SparkSession, d: str) -> DataFrame:
+    return resampling.resample(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def op13_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(table(spark, d, "documents"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_simhash, op2_quality, op3_licenses, op4_warc, op5_tokens, op6_chat, op7_toxicity, op8_hosts,
-    op9_decontamination, op10_mixing, op13_packing)}
+    op9_decontamination, op10_mixing, op12_resampling, op13_packing)}
 
 _BLANK = r"[\x20\x09-\x0D]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
