@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import chat, decontam, hosts, licenses, mixing, packing, quality, resampling, simhash, tokens, toxicity, warc
+from kiln.llm import chat, decontam, divergence, hosts, licenses, mixing, packing, quality, resampling, simhash, tokens, toxicity, warc
 from kiln.llm.common import table
 from kiln.session import scratch_dir
 
@@ -69,6 +69,10 @@ def op10_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents"))
 
 
+def op11_divergence(spark: SparkSession, d: str) -> DataFrame:
+    return divergence.audit(table(spark, d, "documents"))
+
+
 def op12_resampling(spark: SparkSession, d: str) -> DataFrame:
     return resampling.resample(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
@@ -79,7 +83,7 @@ def op13_packing(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_simhash, op2_quality, op3_licenses, op4_warc, op5_tokens, op6_chat, op7_toxicity, op8_hosts,
-    op9_decontamination, op10_mixing, op12_resampling, op13_packing)}
+    op9_decontamination, op10_mixing, op11_divergence, op12_resampling, op13_packing)}
 
 _BLANK = r"[\x20\x09-\x0D]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -165,4 +169,34 @@ cut AS (SELECT q.source, max(h) AS cut FROM u JOIN q ON u.source IS NOT DISTINCT
         WHERE remainder > 0 AND (upto <= remainder OR upto - remainder < remainder - (upto - size)) GROUP BY q.source)
 SELECT doc_id, size, source_size, target, CAST(size * (passes + CASE WHEN h <= coalesce(cut, -1) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM s JOIN q ON s.source IS NOT DISTINCT FROM q.source LEFT JOIN cut ON s.source IS NOT DISTINCT FROM cut.source""",
+    "op11_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+o AS (SELECT k, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT k) >= 30),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, term, count(*) AS n FROM o GROUP BY lang, source, term),
+c AS (SELECT g.lang, g.source, kept.term, coalesce(n.n, 0) AS n, v.v
+      FROM g JOIN kept ON g.lang = kept.lang JOIN v ON g.lang = v.lang
+      LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = kept.term),
+gn AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source),
+ln AS (SELECT lang, sum(n) AS total FROM c GROUP BY lang),
+lt AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term),
+p AS (SELECT c.lang, c.source, c.term, c.n,
+        CAST(1 + CAST(1000000000 AS HUGEINT) * (c.n + 5) // (gn.total + 5 * c.v) AS BIGINT) AS p,
+        CAST(1 + CAST(1000000000 AS HUGEINT) * (lt.n + 5) // (ln.total + 5 * c.v) AS BIGINT) AS q
+      FROM c JOIN gn ON gn.lang = c.lang AND gn.source = c.source JOIN ln ON ln.lang = c.lang
+        JOIN lt ON lt.lang = c.lang AND lt.term = c.term),
+far AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+        FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(far.value, 0) AS BIGINT) AS value
+          FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source),
+both_parts AS (SELECT * FROM pairs UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM both_parts)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 50""",
 }
