@@ -7,9 +7,10 @@ filters on raw columns reach the Parquet scan as pushed filters.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions.sensor import TEMP_LIMIT_C, fahrenheit, is_normal, reject_reason
@@ -92,8 +93,9 @@ def dense_ids(
     df: DataFrame,
     order_by: list[str],
     id_column: str = "id",
-    start: int = 0,
+    start: int | Callable[[int], int] = 0,
     num_partitions: int | None = None,
+    path: str | None = None,
 ) -> DataFrame:
     """S14 ``sensor_dense_ids``: ``id = start + row_number() OVER (ORDER BY order_by)``.
 
@@ -107,25 +109,30 @@ def dense_ids(
     3. broadcast-join those offsets back: id = offset + row-in-partition + 1.
     ``order_by`` must be a total order (add a unique tiebreak column); ties on
     the leading column are split across partitions by the tiebreak.
+
+    ``start``: the number before the first id, or a function that is given the
+    number of rows and returns it (a reservation). ``path``: where the tagged
+    rows are written; the caller removes that folder once the result is read.
     """
     spark = df.sparkSession
     # Without a fixed count AQE may merge small adjacent ranges; merged ranges
     # are still in order, so the partition index still orders the rows.
     ranged = df.repartitionByRange(num_partitions, *order_by) if num_partitions else df.repartitionByRange(*order_by)
-    path = scratch_dir(spark, "dense-ids")
+    path = path or scratch_dir(spark, "dense-ids")
     rows = ranged.sortWithinPartitions(*order_by).withColumn("_kiln_mid", F.monotonically_increasing_id())
     rows.write.parquet(path)
     tagged = spark.read.schema(rows.schema).parquet(path)
     part = F.shiftright("_kiln_mid", _ROW_BITS)
-    counts = tagged.groupBy(part.alias("_kiln_part")).agg(F.count(F.lit(1)).alias("_kiln_n"))
-    before = Window.orderBy("_kiln_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_kiln_part",
-        (F.coalesce(F.sum("_kiln_n").over(before), F.lit(0)) + F.lit(start)).alias("_kiln_off"),
-    )
+    counts = tagged.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()  # one row for each partition
+    at = start(sum(r.n for r in counts)) if callable(start) else start
+    offsets = []
+    for r in sorted(counts, key=lambda r: r.part):
+        offsets.append((r.part, at))
+        at += r.n
+    before = spark.createDataFrame(offsets, "_kiln_part bigint, _kiln_off bigint")
     low = F.col("_kiln_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
-        tagged.join(F.broadcast(offsets), part == F.col("_kiln_part"))
+        tagged.join(F.broadcast(before), part == F.col("_kiln_part"))
         .withColumn(id_column, (F.col("_kiln_off") + low + 1).cast("bigint"))
         .drop("_kiln_mid", "_kiln_part", "_kiln_off")
     )

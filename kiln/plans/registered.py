@@ -22,7 +22,7 @@ from kiln.sinks.files import land_raw, write_clean_csv
 from kiln.sinks.warehouse import Warehouse
 from kiln.sources.adapters import applicants, readings
 from kiln.sources.files import read_clean_csv, scan_raw_json
-from kiln.streaming.ingest import read_ingested, stream_ingest
+from kiln.streaming.ingest import read_ingested, read_quarantined, stream_ingest
 
 # Fixed parameters of the registered queries.
 DS = "2024-01-15"  # the run date used for one-day operators
@@ -108,13 +108,26 @@ def _customer_rows(wh: Warehouse) -> DataFrame:
 
 # ---------------------------------------------------------------- sources and sinks
 def sensor_scan_json(spark, d):
-    """Half of the readings in ISO text ('T'), the other half in the day files' text."""
-    rows, iso = readings(spark, d), F.col("event_id") % 2 == 0
+    """A third of the readings in ISO text ('T'), a third in the day files' text, a third as arrays of which some
+    elements have a temperature or a timestamp that is none: those fields are lost, the other elements are not."""
+    rows, third = readings(spark, d), F.col("event_id") % 3
     root = scratch_dir(spark, "raw")
-    paths = [land_raw(rows.where(iso).select(*RAW_COLUMNS), f"{root}/iso", timestamp_format="yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
-             land_raw(rows.where(~iso).select(*RAW_COLUMNS), f"{root}/plain")]
-    scans = [scan_raw_json(spark, p).select(*RAW_COLUMNS) for p in paths]
-    return scans[0].unionAll(scans[1])
+    land_raw(rows.where(third == 0).select(*RAW_COLUMNS), f"{root}/iso", timestamp_format="yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    land_raw(rows.where(third == 1).select(*RAW_COLUMNS), f"{root}/plain")
+    _land_arrays(rows.where(third == 2), f"{root}/arrays")
+    scans = [scan_raw_json(spark, f"{root}/{k}").select(*RAW_COLUMNS) for k in ("iso", "plain", "arrays")]
+    return scans[0].unionAll(scans[1]).unionAll(scans[2])
+
+
+def _land_arrays(rows: DataFrame, path: str) -> None:
+    """Readings as one-line JSON arrays of up to 50, some of their fields spoilt by ``event_id``."""
+    text = F.col("timestamp").cast("string")
+    bad_time = F.when(F.col("event_id") % 10 == 9, "some day").otherwise(text).alias("timestamp")
+    head, tail = ["sensor_id", bad_time], ["status"]
+    element = F.when(F.col("event_id") % 10 == 7, F.to_json(F.struct(*head, F.lit("hot").alias("temperature"), *tail))).otherwise(
+        F.to_json(F.struct(*head, "temperature", *tail)))
+    arrays = rows.groupBy(F.floor(F.col("event_id") / 150)).agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list(element)), F.lit("]")).alias("value"))
+    arrays.select("value").write.text(path)
 
 
 def sensor_land_raw(spark, d):
@@ -197,11 +210,16 @@ def sensor_dense_ids(spark, d):
 
 
 def sensor_load_audit(spark, d):
+    """One day's load, and a load of all days by day, after which DS has nothing left: every reading of it is over the limit."""
     wh = _sensor_warehouse(spark, d, _stale(spark, d))
-    root = scratch_dir(spark, "daily")
+    root, rows = scratch_dir(spark, "daily"), readings(spark, d)
     in_file = (F.to_date("timestamp") == F.lit(DS).cast("date")) | _out_of_day()
-    raw_day = extract_stage(readings(spark, d).where(in_file), f"{root}/raw", DS)
-    return run_daily(spark, raw_day, DS, root, wh).to_df(spark)
+    raw_day = extract_stage(rows.where(in_file), f"{root}/raw", DS)
+    one = run_daily(spark, raw_day, DS, root, wh).to_df(spark)
+    wh = _sensor_warehouse(spark, d, _stale(spark, d))
+    hot = F.when(F.to_date("timestamp") == F.lit(DS).cast("date"), F.col("temperature") + 1000).otherwise(F.col("temperature"))
+    many = run_chain(spark, rows.withColumn("temperature", hot), root, wh).by_day(spark)
+    return one.withColumn("load", F.lit("day")).unionByName(many.withColumn("load", F.lit("days")))
 
 
 def sensor_trailing_days(spark, d):
@@ -210,12 +228,12 @@ def sensor_trailing_days(spark, d):
 
 def sensor_run_chain(spark, d):
     """Three runs in one root: everything; then DS again with every reading over the limit, which empties
-    that day; then an append of every tenth reading (text hand-off), which adds just those."""
+    that day; then an append of everything (text hand-off), which adds just those rows."""
     wh, root, rows = Warehouse(spark), scratch_dir(spark, "chain"), readings(spark, d)
     run_chain(spark, rows, root, wh)
     hot_day = sensor.day(rows, DS, None).withColumn("temperature", F.col("temperature") + 1000)
     run_chain(spark, hot_day, root, wh, keep_quarantine=True)
-    run_chain(spark, rows.where("event_id % 10 = 0"), root, wh, mode="append", handoff="text")
+    run_chain(spark, rows, root, wh, mode="append", handoff="text")
     return _table_rows(wh)
 
 
@@ -320,8 +338,9 @@ def credit_run_query(spark, d):
 
 # ---------------------------------------------------------------- streaming
 def sensor_stream_ingest(spark, d):
-    """Four rounds. A sink of which every row is rejected reads as no rows. The days from DS on; then the same landing
-    gets earlier days in files dated ten days back; then a second landing with its own checkpoint writes to the same sink."""
+    """Five rounds. A sink of which every row is rejected holds no loaded row, but all of them in quarantine. The days
+    from DS on; then the same landing gets earlier days in files dated ten days back; then a second landing with its own
+    checkpoint writes to the same sink; then a reset checkpoint over the first landing, which adds nothing."""
     root, rows = scratch_dir(spark, "stream"), readings(spark, d)
     early = F.to_date("timestamp") < F.lit(DS).cast("date")
     other = early & (F.col("event_id") % 2 == 0)
@@ -334,7 +353,15 @@ def sensor_stream_ingest(spark, d):
     stream_ingest(spark, f"{root}/landing", f"{root}/sink", f"{root}/checkpoint")
     land_raw(rows.where(other).select(*RAW_COLUMNS), f"{root}/landing-2")
     stream_ingest(spark, f"{root}/landing-2", f"{root}/sink", f"{root}/checkpoint-2")
-    return read_ingested(spark, f"{root}/sink").unionAll(read_ingested(spark, f"{root}/hot-sink"))
+    stream_ingest(spark, f"{root}/landing", f"{root}/sink", f"{root}/checkpoint-3")
+    loaded = read_ingested(spark, f"{root}/sink").unionAll(read_ingested(spark, f"{root}/hot-sink"))
+    left_out = None
+    for sink in ("sink", "hot-sink"):
+        some = read_quarantined(spark, f"{root}/{sink}").select(
+            "sensor_id", "timestamp", F.col("temperature").cast("float").alias("temperature_c"),
+            F.lit(None).cast("float").alias("temperature_f"), F.to_date("timestamp").alias("reading_date"), "reject_reason")
+        left_out = some if left_out is None else left_out.unionByName(some)
+    return loaded.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(left_out)
 
 
 QUERIES: dict[str, Query] = {
@@ -427,7 +454,8 @@ _SPOILT = f"""spoilt AS (
     FROM (SELECT user_id, {_score('user_id', 'income')} AS s, {_grade(_score('user_id', 'income'))} AS g FROM applicants))"""
 
 ORACLE_SQL: dict[str, str] = {
-    "sensor_scan_json": _SENSOR + f"SELECT {_RAW} FROM readings",
+    "sensor_scan_json": _SENSOR + """SELECT sensor_id, CASE WHEN event_id % 3 = 2 AND event_id % 10 = 9 THEN NULL ELSE timestamp END AS timestamp,
+        CASE WHEN event_id % 3 = 2 AND event_id % 10 = 7 THEN NULL ELSE temperature END AS temperature, status FROM readings""",
     "sensor_land_raw": _SENSOR + f"SELECT {_RAW}, CAST(timestamp AS DATE) AS ds FROM readings",
     "sensor_write_csv": _SENSOR + f"SELECT {_RAW}, temperature_f FROM clean",
     "sensor_read_csv": _SENSOR + "SELECT ' ' || sensor_id || '  ' AS sensor_id, timestamp, temperature, status, temperature_f FROM clean",
@@ -444,17 +472,22 @@ ORACLE_SQL: dict[str, str] = {
     "sensor_load_append": _SENSOR + f"SELECT {_T} FROM target UNION ALL SELECT {_T} FROM target",
     "sensor_day": _SENSOR + f"SELECT {_T} FROM target WHERE reading_date = DATE '{DS}'",
     "sensor_dense_ids": _SENSOR + "SELECT *, row_number() OVER (ORDER BY timestamp NULLS FIRST, event_id NULLS FIRST) AS id FROM target",
-    "sensor_load_audit": _SENSOR + f"""SELECT DATE '{DS}' AS ds,
+    "sensor_load_audit": _SENSOR + f"""SELECT 'day' AS load, DATE '{DS}' AS ds,
         (SELECT count(*) FROM clean WHERE {_IN_FILE}) AS rows_in,
         (SELECT count(*) FROM clean WHERE {_IN_FILE}) AS rows_inserted,
         (SELECT count(*) FROM stale WHERE reading_date = DATE '{DS}') AS rows_deleted,
         (SELECT count(*) FROM clean WHERE event_id % 97 = 0 AND CAST(timestamp AS DATE) <> DATE '{DS}') AS rows_out_of_day,
         (SELECT count(*) FROM readings WHERE {_IN_FILE}
-            AND NOT coalesce(temperature < 100, FALSE)) AS rows_rejected""",
+            AND NOT coalesce(temperature < 100, FALSE)) AS rows_rejected
+        UNION ALL
+        SELECT 'days', d, CASE WHEN d = DATE '{DS}' THEN 0 ELSE n_clean END, CASE WHEN d = DATE '{DS}' THEN 0 ELSE n_clean END, n, 0,
+            CASE WHEN d = DATE '{DS}' THEN n ELSE n - n_clean END
+        FROM (SELECT CAST(timestamp AS DATE) AS d, count(*) AS n, count(*) FILTER (coalesce(temperature < 100, FALSE)) AS n_clean
+              FROM readings GROUP BY 1)""",
     "sensor_trailing_days": _SENSOR + f"""SELECT {_T} FROM target
         WHERE reading_date BETWEEN DATE '{DS}' - INTERVAL {TRAILING} DAY AND DATE '{DS}'""",
     "sensor_run_chain": _SENSOR + f"""SELECT {_T} FROM target WHERE reading_date <> DATE '{DS}'
-        UNION ALL SELECT {_T} FROM target WHERE event_id % 10 = 0""",
+        UNION ALL SELECT {_T} FROM target""",
     "customer_reload": _CREDIT + """SELECT user_id, income, loan_amt, CAST(NULL AS INTEGER) AS credit_score,
         CAST(NULL AS VARCHAR) AS grade FROM applicants""",
     "batch_gate": _CREDIT + """SELECT batch, policy, outcome, CASE batch WHEN 'pending' THEN
@@ -491,5 +524,9 @@ ORACLE_SQL: dict[str, str] = {
         FROM state s LEFT JOIN predicted p ON s.user_id = p.user_id AND s.credit_score IS NULL""",
     "credit_run": _CREDIT + """SELECT a.user_id, a.income, a.loan_amt, p.credit_score, p.grade
         FROM applicants a LEFT JOIN predicted p ON a.user_id = p.user_id""",
-    "sensor_stream_ingest": _SENSOR + f"SELECT {_T} FROM target",
+    "sensor_stream_ingest": _SENSOR + f"""SELECT {_T}, NULL AS reject_reason FROM target
+        UNION ALL SELECT sensor_id, timestamp, CAST(temperature AS FLOAT), NULL, CAST(timestamp AS DATE),
+            CASE WHEN temperature IS NULL THEN 'missing' WHEN isnan(temperature) THEN 'not_a_number' ELSE 'over_limit' END
+        FROM readings WHERE NOT coalesce(temperature < 100 AND NOT isnan(temperature), FALSE)
+        UNION ALL SELECT sensor_id, timestamp, CAST(500 AS FLOAT), NULL, CAST(timestamp AS DATE), 'over_limit' FROM readings""",
 }

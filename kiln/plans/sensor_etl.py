@@ -66,14 +66,21 @@ def _raw(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     return spark.read.schema(T.StructType(RAW_READING.fields + [T.StructField(CORRUPT, T.StringType())])).parquet(path)
 
 
-def days_of(spark: SparkSession, raw_path: str, fmt: str = "json") -> list[str]:
-    """The run dates of a landed batch, rejected rows included: what an overwriting load replaces.
+def day_counts(spark: SparkSession, path: str, fmt: str = "json") -> dict[str | None, int]:
+    """Rows of a landed batch by run date, rejected ones included.
 
     One row for each day; of a Parquet landing no column is read, only its folders and row counts.
     """
-    raw = _raw(spark, _require(raw_path, "days"), fmt)
+    raw = _raw(spark, _require(path, "days"), fmt)
     day = F.col("ds") if "ds" in raw.columns else F.to_date("timestamp")
-    return sorted(str(r.ds) for r in raw.select(day.alias("ds")).distinct().collect() if r.ds is not None)
+    return {None if r.ds is None else str(r.ds): r["count"] for r in raw.groupBy(day.alias("ds")).count().collect()}
+
+
+def _clean_counts(spark: SparkSession, path: str, fmt: str) -> dict[str | None, int]:
+    """Rows of a clean batch by run date: its folder's, or else the row's own."""
+    clean = read_clean_csv(spark, path) if fmt == "csv" else spark.read.schema(CLEAN_READING).parquet(path)
+    day = F.col("ds") if "ds" in clean.columns else F.to_date("timestamp")
+    return {None if r.ds is None else str(r.ds): r["count"] for r in clean.groupBy(day.alias("ds")).count().collect()}
 
 
 def transform_stage(spark: SparkSession, raw_path: str, clean_root: str, ds: str | date | None = None,
@@ -114,7 +121,8 @@ def transform_stage(spark: SparkSession, raw_path: str, clean_root: str, ds: str
 
 def load_stage(spark: SparkSession, clean_path: str, warehouse: Warehouse, ds: str | date | None = None,
                mode: str = "overwrite", rows_rejected: int = 0, fmt: str = "csv",
-               days: list[str] | None = None, by_file: bool = False) -> LoadAudit:
+               days: list[str] | None = None, by_file: bool = False,
+               rejected_by_day: dict[str | None, int] | None = None) -> LoadAudit:
     """Stage 3: S4 read -> S10 -> load. ``overwrite`` replaces the day ``ds``
     (S11) or, with no ``ds``, the given ``days`` and every day in the batch
     (a day of which nothing is left is emptied); ``append`` is S12. ``by_file``:
@@ -131,7 +139,8 @@ def load_stage(spark: SparkSession, clean_path: str, warehouse: Warehouse, ds: s
     if mode != "overwrite":
         raise ValueError(f"unknown mode {mode!r}")
     if ds is None:
-        return warehouse.load_overwrite_days(clean, rows_rejected, days=days, append_others=by_file)
+        return warehouse.load_overwrite_days(clean, rows_rejected, days=days, append_others=by_file, written=True,
+                                             rejected_by_day=rejected_by_day)
     return warehouse.load_overwrite_day(clean, ds, rows_rejected, written=True)
 
 
@@ -153,9 +162,13 @@ def run_chain(spark: SparkSession, source: DataFrame, root: str, warehouse: Ware
     clean_path = transform_stage(spark, raw_path, f"{base}/clean/{run}", ds, timestamp_format=timestamp_format,
                                  metrics=metrics, quarantine_root=f"{base}/quarantine/{run}" if keep_quarantine else None,
                                  raw_fmt=raw_fmt, fmt=fmt)
-    days = days_of(spark, raw_path, raw_fmt) if ds is None and mode == "overwrite" else None
+    days = rejected = None
+    if ds is None and mode == "overwrite":
+        raw_days, clean_days = day_counts(spark, raw_path, raw_fmt), _clean_counts(spark, clean_path, fmt)
+        days = sorted(d for d in raw_days if d is not None)
+        rejected = {d: n - clean_days.get(d, 0) for d, n in raw_days.items() if n > clean_days.get(d, 0)}
     return load_stage(spark, clean_path, warehouse, ds, mode, metrics["rows_raw"] - metrics["rows_clean"], fmt, days,
-                      FILE_DATE in source.columns)
+                      FILE_DATE in source.columns, rejected)
 
 
 def run_daily(spark: SparkSession, raw_path: str, ds: str | date, root: str, warehouse: Warehouse,

@@ -92,8 +92,14 @@ def observed(obs: Observation, rows: DataFrame, *counts: Column) -> dict[str, in
 
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder this library wrote and no longer needs (staging, old versions)."""
+    p, fs = hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The path and its file system, as Spark sees them."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -17,8 +17,12 @@ Loads (SURVEY 2.2, 2.3, 2.5):
   can be retried from the staging folder (``publish_staged_day``).
 * S12 ``load_append``: plain insert; a rerun duplicates rows, by design.
 * ``load_overwrite_days``: backfill form, replaces every day present in the
-  batch (dynamic partition overwrite) in one job, and empties the given days
-  of which the batch has no row.
+  batch (dynamic partition overwrite) in one job, and then drops the given days
+  of which the batch has no row with one ``ALTER TABLE``. What can fail in the
+  batch fails before anything is replaced; a failed publish can be retried
+  (``publish_staged_days``).
+* S14: ranges of ids are reserved in a log under the root before rows are
+  numbered, so loads that run at the same time never share ids.
 * C1 reload, C11 update: a new version folder is written and then the table
   is pointed at it (``ALTER TABLE ... SET LOCATION``), so a reader never sees
   a half-written table and the table being read is never overwritten in place.
@@ -31,13 +35,17 @@ Loads (SURVEY 2.2, 2.3, 2.5):
 
 from __future__ import annotations
 
+import threading
+import time
 import uuid
-from dataclasses import asdict, dataclass
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,7 +53,7 @@ from kiln.functions.credit import credit_draw, credit_grade, credit_score
 from kiln.operators.credit import apply_updates
 from kiln.operators.sensor import dense_ids, max_id, project_target
 from kiln.schemas import CUSTOMER_COLUMNS, CUSTOMERS_DDL, SENSOR_READINGS_DDL
-from kiln.session import observed, remove_dir, scratch_dir
+from kiln.session import hadoop_path, observed, remove_dir, scratch_dir
 
 TARGET_SCHEMA = T.StructType(
     [
@@ -59,22 +67,34 @@ TARGET_SCHEMA = T.StructType(
 _VALUE_COLUMNS = "sensor_id, timestamp, temperature_c, temperature_f"
 
 
+_AUDIT_DDL = "ds date, rows_in bigint, rows_inserted bigint, rows_deleted bigint, rows_out_of_day bigint, rows_rejected bigint"
+
+
 @dataclass
 class LoadAudit:
-    """S15 ``sensor_load_audit``: what one load did."""
+    """S15 ``sensor_load_audit``: what one load did, in all and, for a load of several days, by day."""
 
     ds: str | None
     rows_in: int
     rows_inserted: int
-    rows_deleted: int | None  # None: not counted (multi-day backfill)
+    rows_deleted: int
     rows_out_of_day: int
     rows_rejected: int = 0
+    days: list["LoadAudit"] = field(default_factory=list)
 
     def to_df(self, spark: SparkSession) -> DataFrame:
-        schema = "ds date, rows_in bigint, rows_inserted bigint, rows_deleted bigint, rows_out_of_day bigint, rows_rejected bigint"
-        d = asdict(self)
-        d["ds"] = date.fromisoformat(self.ds) if self.ds else None
-        return spark.createDataFrame([d], schema).select(*[c.split()[0] for c in schema.split(", ")])
+        """The load as one row."""
+        return _audit_df(spark, [self])
+
+    def by_day(self, spark: SparkSession) -> DataFrame:
+        """A row for each day: ``ds`` NULL holds the rows without a date."""
+        return _audit_df(spark, self.days or [self])
+
+
+def _audit_df(spark: SparkSession, audits: list[LoadAudit]) -> DataFrame:
+    rows = [(date.fromisoformat(a.ds) if a.ds else None, a.rows_in, a.rows_inserted, a.rows_deleted, a.rows_out_of_day,
+             a.rows_rejected) for a in audits]
+    return spark.createDataFrame(rows, _AUDIT_DDL)
 
 
 @dataclass
@@ -85,15 +105,34 @@ class StagedBatch:
     ds: str
     rows_in: int
     rows_day: int
-    first_id: int = 0  # ids in the batch are first_id + 1 .. first_id + rows_in
+
+
+@dataclass
+class StagedDays:
+    """A batch of several days written to files: where, its rows by day, and what it replaces."""
+
+    path: str
+    counts: dict[str | None, int]
+    listed: list[str]
+    append_others: bool = False
+    rejected: dict[str | None, int] = field(default_factory=dict)
+    written: DataFrame | None = None  # a read of files that were there before; else ``path`` is staging
+
+    def replaces(self, ds: str | None) -> bool:
+        return not self.append_others or ds in self.listed
 
 
 class LoadError(RuntimeError):
-    def __init__(self, message: str, stage: StagedBatch):
+    def __init__(self, message: str, stage: StagedBatch | StagedDays):
         super().__init__(message)
         self.stage = stage
 
 
+#: Ids are reserved one load at a time in this process; between processes the file system decides.
+_ID_LOCK = threading.Lock()
+_ID_TRIES = 200
+
+
 def _uid() -> str:
     return uuid.uuid4().hex[:12]
 
@@ -112,10 +151,10 @@ class Warehouse:
     """The two tables of one warehouse (a database under ``root``).
 
     ``sensor_ids``: the sensor table gets the running ``id`` column of the
-    reference's table. Every load numbers its rows with ``dense_ids`` (S14),
-    continuing from a high-water mark kept in the table's properties, so ids
-    of deleted rows are not reused and no scan of the table is needed to find
-    the maximum.
+    reference's table. Every load counts its rows, reserves that many ids in an
+    append-only log under the root and numbers its rows with them (S14), so
+    loads that run at the same time never share ids, ids of deleted rows are
+    not reused and no scan of the table is needed to find the maximum.
 
     ``customer_buckets``: the customer table is bucketed by ``user_id`` into
     this many buckets (default: ``spark.sql.shuffle.partitions`` when the
@@ -231,38 +270,73 @@ class Warehouse:
         return name
 
     def _target(self, batch: DataFrame) -> DataFrame:
-        """Accept clean readings (``temperature``) or rows already in target shape;
-        number the rows when the table has ids."""
+        """Accept clean readings (``temperature``) or rows already in target shape."""
         if "temperature_c" not in batch.columns:
             batch = project_target(batch)
-        rows = batch.select(*[F.col(f.name).cast(f.dataType) for f in TARGET_SCHEMA.fields])
+        return batch.select(*[F.col(f.name).cast(f.dataType) for f in TARGET_SCHEMA.fields])
+
+    @contextmanager
+    def _numbered(self, rows: DataFrame) -> Iterator[DataFrame]:
+        """The rows with ids when the table has them; what was written for that is removed afterwards."""
         if not self.sensor_ids:
-            return rows
-        order = ["timestamp", "sensor_id", "temperature_c", "temperature_f"]
-        return dense_ids(rows, order, start=self.last_id()).select("id", *[f.name for f in TARGET_SCHEMA.fields])
+            yield rows
+            return
+        path = scratch_dir(self.spark, "dense-ids")
+        order = ["timestamp", "sensor_id", "temperature_c", "temperature_f", "_kiln_row"]  # equal readings by their place
+        try:
+            tagged = rows.withColumn("_kiln_row", F.monotonically_increasing_id())
+            yield dense_ids(tagged, order, start=self.reserve_ids, path=path).select("id", *[f.name for f in TARGET_SCHEMA.fields])
+        finally:
+            remove_dir(self.spark, path)
 
     def _schema(self) -> T.StructType:
         if not self.sensor_ids:
             return TARGET_SCHEMA
         return T.StructType([T.StructField("id", T.LongType())] + TARGET_SCHEMA.fields)
 
-    _LAST_ID = "kiln.last_id"
+    @property
+    def _id_log(self) -> str:
+        return f"{self.root}/sensor_ids"
 
     def last_id(self) -> int:
-        """The high-water mark of ids handed out (0 before the first load).
+        """The largest id handed out so far (0 before the first load).
 
-        Kept in the table's properties; a table attached again in a new
-        catalog has none, and then the largest id in the table stands in.
+        Kept in the log of reservations: a file for each, named by the id
+        before its first and holding how many there are. Without a log the
+        largest id in the table stands in.
         """
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.sensor_table}").where(f"key = '{self._LAST_ID}'").collect()
-        if rows:
-            return int(rows[0].value)
-        return max_id(self.sensor_readings()) if self.sensor_ids else 0
-
-    def _advance_ids(self, first: int, n: int) -> None:
-        if self.sensor_ids and n:
-            top = max(self.last_id(), first + n)
-            self.spark.sql(f"ALTER TABLE {self.sensor_table} SET TBLPROPERTIES ('{self._LAST_ID}' = '{top}')")
+        path, fs = hadoop_path(self.spark, self._id_log)
+        names = sorted(f.getPath().getName() for f in fs.listStatus(path)) if fs.exists(path) else []
+        names = [n for n in names if n.isdigit()]
+        if not names:
+            return max_id(self.sensor_readings()) if self.sensor_ids and self.spark.catalog.tableExists(self.sensor_table) else 0
+        row = self.spark.read.text(f"{self._id_log}/{names[-1]}").first()
+        return int(names[-1]) + int(row[0]) if row else -1  # claimed, size not yet written
+
+    def reserve_ids(self, n: int) -> int:
+        """Reserve ``n`` ids; returns the number before the first.
+
+        The claim is the exclusive creation of a file, so of two loads that
+        start from the same number one has to look again.
+        """
+        if not n:
+            return 0
+        with _ID_LOCK:
+            for _ in range(_ID_TRIES):
+                first = self.last_id()
+                if first >= 0:
+                    path, fs = hadoop_path(self.spark, f"{self._id_log}/{first:020d}")
+                    try:
+                        out = fs.create(path, False)
+                    except Py4JJavaError as e:
+                        if "FileAlreadyExists" not in str(e):
+                            raise
+                    else:
+                        out.write(bytearray(str(n).encode()))
+                        out.close()
+                        return first
+                time.sleep(0.05)
+        raise RuntimeError(f"no ids could be reserved in {self._id_log}: its last claim was never finished")
 
     def load_overwrite_day(self, batch: DataFrame, ds: str | date, rows_rejected: int = 0,
                            written: bool = False) -> LoadAudit:
@@ -277,7 +351,7 @@ class Warehouse:
         if written and not self.sensor_ids:
             rows, day = self._target(batch), F.col("reading_date") == F.lit(str(ds)).cast("date")
             n, n_day = rows.agg(F.count(F.lit(1)), F.count_if(day)).first()
-            return self._publish_day(rows, str(ds), n, n_day, 0, rows_rejected)
+            return self._publish_day(rows, str(ds), n, n_day, rows_rejected)
         stage = self.stage_batch(batch, ds)
         try:
             audit = self.publish_staged_day(stage, rows_rejected)
@@ -291,19 +365,18 @@ class Warehouse:
         ds = str(ds)
         path = scratch_dir(self.spark, "stage")
         obs = Observation(f"load_{_uid()}")
-        first_id = self.last_id() if self.sensor_ids else 0
         day = F.col("reading_date") == F.lit(ds).cast("date")
         counts = (F.count(F.lit(1)).alias("rows_in"), F.count_if(day).alias("rows_day"))
-        target = self._target(batch)
-        (
-            target.observe(obs, *counts)
-            .hint("rebalance", "reading_date")
-            .write.mode("errorifexists")
-            .partitionBy("reading_date")
-            .parquet(path)
-        )
-        m = observed(obs, target, *counts)
-        return StagedBatch(path, ds, m["rows_in"], m["rows_day"], first_id)
+        with self._numbered(self._target(batch)) as target:
+            (
+                target.observe(obs, *counts)
+                .hint("rebalance", "reading_date")
+                .write.mode("errorifexists")
+                .partitionBy("reading_date")
+                .parquet(path)
+            )
+            m = observed(obs, target, *counts)
+        return StagedBatch(path, ds, m["rows_in"], m["rows_day"])
 
     def publish_staged_day(self, stage: "StagedBatch", rows_rejected: int = 0) -> LoadAudit:
         """Replace day ``stage.ds`` with the staged rows of that day; append the others.
@@ -315,10 +388,9 @@ class Warehouse:
         uses the static form, which just empties it (2.5-a).
         """
         rows = self.spark.read.schema(self._schema()).parquet(stage.path)
-        return self._publish_day(rows, stage.ds, stage.rows_in, stage.rows_day, stage.first_id, rows_rejected)
+        return self._publish_day(rows, stage.ds, stage.rows_in, stage.rows_day, rows_rejected)
 
-    def _publish_day(self, rows: DataFrame, ds: str, rows_in: int, rows_day: int, first_id: int,
-                     rows_rejected: int) -> LoadAudit:
+    def _publish_day(self, rows: DataFrame, ds: str, rows_in: int, rows_day: int, rows_rejected: int) -> LoadAudit:
         spark = self.spark
         deleted = self.sensor_readings().where(F.col("reading_date") == F.lit(ds).cast("date")).count()
         staged = self._view(rows)
@@ -343,78 +415,108 @@ class Warehouse:
                 )
         finally:
             spark.catalog.dropTempView(staged)
-        self._advance_ids(first_id, rows_in)
         return LoadAudit(ds, rows_in, rows_in, deleted, rows_in - rows_day, rows_rejected)
 
     def load_append(self, batch: DataFrame, rows_rejected: int = 0) -> LoadAudit:
         """S12 ``sensor_load_append``: insert without delete; a rerun duplicates rows."""
         obs = Observation(f"append_{_uid()}")
-        first_id = self.last_id() if self.sensor_ids else 0
-        # rebalanced by day: a multi-day batch leaves few files in each day's folder
-        target, counted = self._target(batch), F.count(F.lit(1)).alias("rows_in")
-        view = self._view(target.observe(obs, counted).hint("rebalance", "reading_date"))
+        counted = F.count(F.lit(1)).alias("rows_in")
+        with self._numbered(self._target(batch)) as target:
+            # rebalanced by day: a multi-day batch leaves few files in each day's folder
+            self._insert("INTO", target.observe(obs, counted).hint("rebalance", "reading_date"))
+            n = observed(obs, target, counted)["rows_in"]
+        return LoadAudit(None, n, n, 0, 0, rows_rejected)
+
+    def _insert(self, how: str, rows: DataFrame) -> None:
+        """``INSERT INTO``, or ``INSERT OVERWRITE`` of the days that ``rows`` holds."""
+        view = self._view(rows)
+        into = "INTO" if how == "INTO" else "OVERWRITE TABLE"
+        part = "" if how == "INTO" else "PARTITION (reading_date) "
         try:
-            self.spark.sql(
-                f"INSERT INTO {self.sensor_table} ({self._cols}, reading_date) "
-                f"SELECT {self._cols}, reading_date FROM {view}"
-            )
+            self.spark.sql(f"INSERT {into} {self.sensor_table} {part}({self._cols}, reading_date) "
+                           f"SELECT {self._cols}, reading_date FROM {view}")
         finally:
             self.spark.catalog.dropTempView(view)
-        n = observed(obs, target, counted)["rows_in"]
-        self._advance_ids(first_id, n)
-        return LoadAudit(None, n, n, 0, 0, rows_rejected)
 
     def load_overwrite_days(self, batch: DataFrame, rows_rejected: int = 0, days: list[str] | None = None,
-                            append_others: bool = False) -> LoadAudit:
-        """Backfill: replace every day present in ``batch`` in one job.
+                            append_others: bool = False, written: bool = False,
+                            rejected_by_day: dict[str | None, int] | None = None) -> LoadAudit:
+        """Backfill: replace every day present in ``batch``, and the given ``days``, in one job.
 
         ``days``: run dates that are replaced even if the batch has no row of
-        them; those are emptied first (2.5-a for many days). ``append_others``:
-        only ``days`` are replaced, rows dated otherwise are appended (2.5-b for
-        many days; the batch should be a read of files, it is read twice).
-
-        The ``rebalance`` hint shuffles by day so that each day is written by
-        few tasks (few files), while AQE splits a day that holds a large share
-        of the rows into several tasks and merges small ones. Unlike a range
-        repartition it needs no sampling pass over the input.
+        them (2.5-a for many days). ``append_others``: only ``days`` are
+        replaced, rows dated otherwise are appended (2.5-b for many days).
+        ``written``: the batch is a plain read of files that stay, so it is
+        loaded straight from them; otherwise it is staged first.
+
+        The order of steps keeps every old day until its replacement is whole:
+        the batch is computed and staged; a dynamic overwrite swaps the days it
+        holds when its job commits; then the days without rows are dropped;
+        then rows dated otherwise are appended. A failure while publishing is a
+        ``LoadError`` with the staged batch, and ``publish_staged_days`` retries;
+        the steps before the append give the same result again.
+
+        The audit has a row for each day; ``rejected_by_day`` are the rows that
+        an earlier step left out.
         """
-        obs = Observation(f"days_{_uid()}")
-        first_id = self.last_id() if self.sensor_ids else 0
-        rows, counted = self._target(batch), F.count(F.lit(1)).alias("rows_in")
-        target = rows.observe(obs, counted)
-        listed = F.col("reading_date").isin([date.fromisoformat(x) for x in days or []])
-        others = F.coalesce(~listed, F.lit(True))
-        view = self._view((target.where(~others) if append_others else target).hint("rebalance", "reading_date"))
+        listed = sorted(set(days or []))
+        if written and not self.sensor_ids:
+            rows = self._target(batch)
+            stage = StagedDays("", self._day_counts(rows), listed, append_others, rejected_by_day or {}, rows)
+        else:
+            path = scratch_dir(self.spark, "stage")
+            with self._numbered(self._target(batch)) as rows:
+                # few files for each day, and a large day in several tasks; no sampling pass as a range repartition needs
+                rows.hint("rebalance", "reading_date").write.partitionBy("reading_date").parquet(path)
+            staged = self.spark.read.schema(self._schema()).parquet(path)
+            stage = StagedDays(path, self._day_counts(staged), listed, append_others, rejected_by_day or {})
         try:
-            self._empty_days(days or [])
-            self.spark.sql(
-                f"INSERT OVERWRITE TABLE {self.sensor_table} PARTITION (reading_date) "
-                f"({self._cols}, reading_date) SELECT {self._cols}, reading_date FROM {view}"
-            )
-            if append_others:
-                stray = self._view(rows.where(others).hint("rebalance", "reading_date"))
-                self.spark.sql(f"INSERT INTO {self.sensor_table} ({self._cols}, reading_date) "
-                               f"SELECT {self._cols}, reading_date FROM {stray}")
-                self.spark.catalog.dropTempView(stray)
-        finally:
-            self.spark.catalog.dropTempView(view)
-        n = observed(obs, rows, counted)["rows_in"]
-        self._advance_ids(first_id, n)
-        # rows replaced are not counted: that would need the batch's days before the write
-        return LoadAudit(None, n, n, None, 0, rows_rejected)
+            audit = self.publish_staged_days(stage)
+        except Exception as e:  # keep the staged batch reachable for a retry
+            raise LoadError(f"publishing {len(stage.counts)} days failed; staged batch at {stage.path or 'the files given'}", stage) from e
+        if stage.path:
+            remove_dir(self.spark, stage.path)
+        audit.rows_rejected = audit.rows_rejected or rows_rejected
+        return audit
 
-    def _empty_days(self, days: list[str]) -> None:
-        """Empty those of the given days that the table has."""
+    def _day_counts(self, rows: DataFrame) -> dict[str | None, int]:
+        """Rows by day, one row for each day; of a table partitioned by day no column is read."""
+        return {None if r.reading_date is None else str(r.reading_date): r["count"]
+                for r in rows.groupBy("reading_date").count().collect()}
+
+    @staticmethod
+    def _in_days(days: list[str | None]) -> Column:
+        listed = F.col("reading_date").isin([date.fromisoformat(d) for d in days if d is not None])
+        return F.coalesce(listed, F.lit(None in days))
+
+    def publish_staged_days(self, stage: StagedDays) -> LoadAudit:
+        """Replace and append what ``stage`` holds; see ``load_overwrite_days``."""
+        rows = stage.written if stage.written is not None else self.spark.read.schema(self._schema()).parquet(stage.path)
+        replaced = [d for d in {*stage.counts, *stage.listed} if stage.replaces(d)]
+        deleted = self._day_counts(self.sensor_readings().where(self._in_days(replaced))) if replaced else {}
+        held = [d for d in replaced if d in stage.counts]
+        others = [d for d in stage.counts if not stage.replaces(d)]
+        if held:
+            self._insert("OVERWRITE", rows.where(self._in_days(held)).hint("rebalance", "reading_date"))
+        self._drop_days([d for d in replaced if d not in stage.counts])
+        if others:
+            self._insert("INTO", rows.where(self._in_days(others)).hint("rebalance", "reading_date"))
+        audits = []
+        for d in sorted({*stage.counts, *deleted, *stage.rejected}, key=lambda d: (d is not None, d)):
+            n = stage.counts.get(d, 0)
+            audits.append(LoadAudit(d, n, n, deleted.get(d, 0), 0 if stage.replaces(d) else n, stage.rejected.get(d, 0)))
+        sums = (sum(getattr(a, c) for a in audits) for c in ("rows_in", "rows_inserted", "rows_deleted", "rows_out_of_day", "rows_rejected"))
+        return LoadAudit(None, *sums, audits)
+
+    def _drop_days(self, days: list[str | None]) -> None:
+        """Drop days with one statement, and their files (the table's files outlive its entries in the catalog)."""
         if not days:
             return
-        present = {str(r.d) for r in self.sensor_readings().where(F.col("reading_date").isin([date.fromisoformat(x) for x in days]))
-                   .select(F.col("reading_date").alias("d")).distinct().collect()}  # one row for each day
-        none = self._view(self.spark.createDataFrame([], self._schema()))
-        for ds in sorted(present):
-            self.spark.sql(
-                f"INSERT OVERWRITE TABLE {self.sensor_table} PARTITION (reading_date = DATE'{ds}') "
-                f"({self._cols}) SELECT {self._cols} FROM {none}")
-        self.spark.catalog.dropTempView(none)
+        parts = ", ".join(f"PARTITION (reading_date = DATE'{d}')" for d in sorted(days))
+        self.spark.sql(f"ALTER TABLE {self.sensor_table} DROP IF EXISTS {parts}")
+        for d in days:
+            remove_dir(self.spark, f"{self.root}/sensor_readings/reading_date={d}")
+        self.spark.catalog.refreshTable(self.sensor_table)
 
     # ---- customer writes ---------------------------------------------------
     def _new_version(self) -> str:
@@ -501,7 +603,14 @@ class Warehouse:
         """
         if on_conflict not in ("fail", "ignore"):
             raise ValueError(f"unknown on_conflict {on_conflict!r}")
-        spark, path = self.spark, scratch_dir(self.spark, "insert")
+        path = scratch_dir(self.spark, "insert")
+        try:
+            return self._insert_staged(responses, on_conflict, order, path)
+        finally:
+            remove_dir(self.spark, path)
+
+    def _insert_staged(self, responses: DataFrame, on_conflict: str, order: str | None, path: str) -> int:
+        spark = self.spark
         responses.select("user_id", "credit_score", "grade", *([order] if order else [])).write.parquet(path)
         staged = spark.read.parquet(path)
         keys = self.customers().select("user_id")
@@ -534,9 +643,7 @@ class Warehouse:
             )
         finally:
             spark.catalog.dropTempView(view)
-        inserted = observed(obs, batch, counted)["n"]
-        remove_dir(spark, path)
-        return inserted
+        return observed(obs, batch, counted)["n"]
 
     def score_pending_in_place(self, salt: str = "", strict: bool = False, empty: str = "skip") -> dict[str, int]:
         """C12 with the built-in rule, fused: one scan of the table, one write.

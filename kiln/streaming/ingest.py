@@ -1,46 +1,62 @@
 """T1 ``sensor_stream_ingest``: pick up new raw day files, clean and load them.
 
 ``readStream`` over the landing folder (partition folders are followed) ->
-``foreachBatch``: S7, S8, S10 -> write to ``<sink>/query=<id>/batch_id=<n>``
-with overwrite, where the id is the streaming query's own, kept in its
-checkpoint. The checkpoint records which files were taken, so a rerun adds
-nothing, and a replayed micro-batch (after a failure between write and
-commit) overwrites its own folder instead of adding rows twice. A second landing
-with its own checkpoint is another query and never touches the first one's
-folders. A checkpoint that was reset is a new query too: it takes all files
-again and adds their rows again, so it warns when it meets another query's
-rows in the sink. Each micro-batch's counts (S15) are observed on its write and
-kept under ``<sink>/_audit``. No dynamic day overwrite is used: a second file
-for the same day must add rows, not replace the first file's rows.
+``foreachBatch``: S1, S7, S8, S10 -> one write to ``<sink>/query=<id>/batch_id=<n>``,
+where the id is the streaming query's own, kept in its checkpoint.
+
+* **One parse, two sinks.** The same write holds the loaded rows
+  (``rejected=false``, by day) and the quarantined ones (``rejected=true``, with
+  reason and text), so together they are the rows that came in. Files are parsed
+  and judged as in the batch workflow: the same file gives the same rows.
+* **Ledger.** ``<sink>/_files`` has a row for each file taken: path, length and
+  modification time, with the query and batch that took it. A micro-batch
+  leaves out files that another batch has taken, so a reset checkpoint, or a
+  second query over the same landing, adds nothing. A file that changed is a new file.
+* **Commit.** The ledger rows of a micro-batch are its last write, and readers
+  see only the batches in the ledger. A batch that failed before is not seen;
+  replayed, it overwrites its own folder and commits.
+
+The counts of each micro-batch (S15) are observed on its write and kept under
+``<sink>/_audit``. No dynamic day overwrite is used: a second file for the same
+day must add rows, not replace the first file's rows. Queries that write to
+one sink at the same time must not share files.
 """
 
 from __future__ import annotations
 
 import uuid
-import warnings
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kiln.functions.sensor import TEMP_LIMIT_C, is_loadable
+from kiln.functions.sensor import TEMP_LIMIT_C, is_loadable, scan_reject_reason
 from kiln.operators.sensor import project_target, to_fahrenheit
-from kiln.schemas import RAW_READING, SENSOR_TARGET_COLUMNS
+from kiln.schemas import CORRUPT, RAW_READING, SENSOR_TARGET_COLUMNS
 from kiln.session import observed
 from kiln.sinks.warehouse import TARGET_SCHEMA, LoadAudit, Warehouse
+from kiln.sources.files import parse_readings
 
 RAW_COLUMNS = [f.name for f in RAW_READING.fields]
 #: The file source skips files that are older than the newest by more than this (Spark's own default: 7 days),
 #: so it is far beyond any backfill.
 MAX_FILE_AGE = "36500d"
 _AUDIT = "rows_in bigint, rows_inserted bigint, rows_rejected bigint"
+_FILE = ["file_path", "file_size", "file_modification_time"]
+_LEDGER = "file_path string, file_size bigint, file_modification_time timestamp, query string, batch_id bigint"
+_SINK = T.StructType(
+    TARGET_SCHEMA.fields
+    + [T.StructField("temperature_read", T.DoubleType())]
+    + [T.StructField(c, T.StringType()) for c in ("status_read", "reject_reason", CORRUPT, "query")]
+    + [T.StructField("rejected", T.BooleanType()), T.StructField("batch_id", T.LongType())]
+)
 
 
 def stream_ingest(spark: SparkSession, landing: str, sink: str, checkpoint: str | None = None,
                   limit: float = TEMP_LIMIT_C, max_files_per_trigger: int | None = None,
                   available_now: bool = True, processing_time: str | None = None,
-                  archive_dir: str | None = None, max_file_age: str = MAX_FILE_AGE):
+                  archive_dir: str | None = None, max_file_age: str = MAX_FILE_AGE, multi_line: bool = False):
     """Start the ingest. With ``available_now`` (default) it processes every
     file present and returns after the run; otherwise it returns the running
     ``StreamingQuery`` triggered every ``processing_time``.
@@ -49,35 +65,38 @@ def stream_ingest(spark: SparkSession, landing: str, sink: str, checkpoint: str
     ``cleanSource=archive``), so that the landing folder, which is listed on
     every trigger, stays small. ``max_file_age``: files older than the newest by
     more than this are never taken; copied or backfilled files keep old dates.
+    ``multi_line``: each file is one JSON value (pretty-printed arrays).
     """
-    reader = spark.readStream.schema(RAW_READING).option("maxFileAge", max_file_age)
+    reader = spark.readStream.option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    stream = reader.json(landing)
+    stream = reader.text(landing, wholetext=multi_line).select("value", *(f"_metadata.{c}" for c in _FILE))
     run = uuid.uuid4().hex[:12]
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         if not query:
             raise RuntimeError("no streaming query id: the sink's folders are named by it")
-        if batch_id == 0:
-            others = _queries_in(spark, sink) - {query}
-            if others:
-                warnings.warn(f"{sink} holds rows of other queries ({len(others)}); a reset checkpoint adds its files again")
+        mine = (F.col("query") == query) & (F.col("batch_id") == batch_id)
+        taken = _ledger(spark, sink).where(~mine).select(*_FILE)
+        # a row for each file of the micro-batch; the text of the lines is not parsed for it
+        files = batch.select(*_FILE).distinct().join(taken, _FILE, "left_anti")
+        folder = f"query={query}/batch_id={batch_id}"
+        new = files.select(F.struct(*_FILE).alias("_kiln_file"))
+        lines = batch.join(new, F.struct(*_FILE) == F.col("_kiln_file"), "left_semi").select("value")
         obs = Observation(f"stream_{run}_{batch_id}")
-        counts = (F.count(F.lit(1)).alias("rows_in"), F.count_if(is_loadable("temperature", limit)).alias("rows_inserted"))
-        raw = batch.select(*RAW_COLUMNS)
-        clean = project_target(to_fahrenheit(raw.observe(obs, *counts).where(is_loadable("temperature", limit))))
+        counts = (F.count(F.lit(1)).alias("rows_in"), F.count_if(~F.col("rejected")).alias("rows_inserted"))
+        judged = _judged(parse_readings(lines, keep_corrupt=True), limit)
         # few files for each day, and a large day in several tasks
-        (clean.hint("rebalance", "reading_date").write.mode("overwrite").partitionBy("reading_date")
-         .parquet(f"{sink}/query={query}/batch_id={batch_id}"))
+        (judged.observe(obs, *counts).hint("rebalance", "rejected", "reading_date")
+         .write.mode("overwrite").partitionBy("rejected", "reading_date").parquet(f"{sink}/{folder}"))
         # S15 per micro-batch, next to the data; '_' keeps it out of reads of the sink
-        m = observed(obs, raw, *counts)
+        m = observed(obs, judged, *counts)
         audit = [(int(m["rows_in"]), int(m["rows_inserted"]), int(m["rows_in"]) - int(m["rows_inserted"]))]
-        (spark.createDataFrame(audit, _AUDIT)
-         .write.mode("overwrite").parquet(f"{sink}/_audit/query={query}/batch_id={batch_id}"))
+        spark.createDataFrame(audit, _AUDIT).coalesce(1).write.mode("overwrite").parquet(f"{sink}/_audit/{folder}")
+        files.coalesce(1).write.mode("overwrite").parquet(f"{sink}/_files/{folder}")  # the commit
 
     writer = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint or f"{sink}/_checkpoint")
     if available_now:
@@ -87,32 +106,60 @@ def stream_ingest(spark: SparkSession, landing: str, sink: str, checkpoint: str
     return writer.trigger(processingTime=processing_time or "1 minute").start()
 
 
-def read_stream_audit(spark: SparkSession, sink: str) -> DataFrame:
-    """Counts per micro-batch: ``query, batch_id, rows_in, rows_inserted, rows_rejected``."""
-    rows = spark.read.schema(f"{_AUDIT}, query string, batch_id bigint").parquet(f"{sink}/_audit")
-    return rows.select("query", "batch_id", "rows_in", "rows_inserted", "rows_rejected")
+def _judged(raw: DataFrame, limit: float) -> DataFrame:
+    """Loaded rows in warehouse shape; of rejected ones also what was read, the reason, and the text that did not parse."""
+    rejected = ~is_loadable("temperature", limit, CORRUPT)
+    reason = scan_reject_reason("temperature", limit, CORRUPT)
+    kept = {c: F.when(rejected, F.col(of)) for c, of in (("temperature_read", "temperature"), ("status_read", "status"), (CORRUPT, CORRUPT))}
+    rows = raw.withColumns({"rejected": rejected, "reject_reason": reason, **kept})
+    return project_target(to_fahrenheit(rows))
 
 
-def _queries_in(spark: SparkSession, sink: str) -> set[str]:
-    """Ids of the queries that wrote to the sink."""
+def _ledger(spark: SparkSession, sink: str) -> DataFrame:
+    """A row for each file that a committed micro-batch has taken."""
     try:
-        return {r.query for r in read_stream_audit(spark, sink).select("query").distinct().collect()}
+        return spark.read.schema(_LEDGER).parquet(f"{sink}/_files")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":  # nothing written yet
             raise
-        return set()
+        return spark.createDataFrame([], _LEDGER)
+
+
+def read_ledger(spark: SparkSession, sink: str) -> DataFrame:
+    """``file_path, file_size, file_modification_time, query, batch_id`` of every file taken."""
+    return _ledger(spark, sink)
+
+
+def read_stream_audit(spark: SparkSession, sink: str) -> DataFrame:
+    """Counts per micro-batch: ``query, batch_id, rows_in, rows_inserted, rows_rejected``."""
+    rows = spark.read.schema(f"{_AUDIT}, query string, batch_id bigint").parquet(f"{sink}/_audit")
+    return _committed(rows, sink).select("query", "batch_id", "rows_in", "rows_inserted", "rows_rejected")
+
+
+def _committed(rows: DataFrame, sink: str) -> DataFrame:
+    """The rows of batches in the ledger; the join is on partition folders, so others are not read."""
+    done = _ledger(rows.sparkSession, sink).select("query", "batch_id").distinct()
+    return rows.join(done, ["query", "batch_id"], "left_semi")
+
+
+def _read_sink(spark: SparkSession, sink: str, rejected: bool) -> DataFrame:
+    """Read by schema: no file is opened to infer it, and a sink without rows reads as no rows."""
+    rows = spark.read.schema(_SINK).parquet(sink).where(F.col("rejected") == rejected)
+    return _committed(rows, sink)
 
 
 def read_ingested(spark: SparkSession, sink: str) -> DataFrame:
-    """The ingested rows in warehouse shape (query and batch folders dropped).
+    """The ingested rows in warehouse shape (query and batch folders dropped)."""
+    return _read_sink(spark, sink, False).select(*SENSOR_TARGET_COLUMNS)
 
-    Read by schema: no file is opened to infer it, and a sink of which every
-    row was rejected reads as no rows.
-    """
-    schema = T.StructType(TARGET_SCHEMA.fields + [T.StructField("query", T.StringType()), T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(schema).parquet(sink).select(*SENSOR_TARGET_COLUMNS)
+
+def read_quarantined(spark: SparkSession, sink: str) -> DataFrame:
+    """The rows left out, as read, with ``reject_reason`` and the text of those that did not parse."""
+    rows = _read_sink(spark, sink, True)
+    return rows.select("sensor_id", "timestamp", F.col("temperature_read").alias("temperature"), F.col("status_read").alias("status"),
+                       "reject_reason", CORRUPT)
 
 
 def publish_ingested(spark: SparkSession, sink: str, warehouse: Warehouse) -> LoadAudit:
     """Compact the sink's many small files into the warehouse table: every day it holds is replaced there."""
-    return warehouse.load_overwrite_days(read_ingested(spark, sink))
+    return warehouse.load_overwrite_days(read_ingested(spark, sink), written=True)

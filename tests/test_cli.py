@@ -1,6 +1,7 @@
 """The command-line jobs on the sample day files."""
 
 from kiln.cli import main
+from kiln.streaming.ingest import read_ingested
 from tests.fixtures import RAW_DAYS, write_day_file
 
 
@@ -24,4 +25,4 @@ def test_daily_chain_score_ingest(spark, tmp_path):
     out = main(["score", "--root", root, "--database", "kiln_cli_a", "--applicants", str(apps)], spark)
     assert out["rows_updated"] == 3
     out = main(["ingest", "--landing", str(landing), "--sink", str(tmp_path / "sink")], spark)
-    assert spark.read.parquet(str(tmp_path / "sink")).count() == 31
+    assert read_ingested(spark, str(tmp_path / "sink")).count() == 31

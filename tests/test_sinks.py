@@ -212,3 +212,113 @@ def test_tables_attach_again_in_a_fresh_catalog(spark, tmp_path):
     assert b.customers().count() == 1 and b.last_id() == 2
     b.load_overwrite_day(_clean(spark, [("C", "2026-04-09 11:00:00", 3.0)]), "2026-04-09")
     assert {r.sensor_id: r.id for r in b.sensor_readings().collect()} == {"A": 1, "C": 3}
+
+
+def test_failed_backfill_leaves_every_old_day(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from kiln.sinks.warehouse import LoadError
+
+    w = Warehouse(spark, root=str(tmp_path / "fail"))
+    w.ensure_tables()
+    old = [("A", "2026-04-08 12:00:00", 1.0), ("B", "2026-04-09 12:00:00", 2.0), ("C", "2026-04-10 12:00:00", 3.0)]
+    w.load_overwrite_days(_clean(spark, old))
+    days = ["2026-04-08", "2026-04-09", "2026-04-11"]
+    new = _clean(spark, [("X", "2026-04-08 12:00:00", 5.0), ("Y", "2026-04-20 12:00:00", 6.0)])
+
+    def state():
+        return sorted((r.sensor_id, str(r.reading_date)) for r in w.sensor_readings().collect())
+
+    before = state()
+    bad = new.withColumn("sensor_id", F.when(F.col("sensor_id") == "Y", F.raise_error(F.lit("bad row"))).otherwise(F.col("sensor_id")))
+    for written in (False, True):  # staged, and read straight from files
+        with pytest.raises(Exception):  # noqa: B017
+            w.load_overwrite_days(bad, days=days, written=written)
+        assert state() == before
+    # whichever publishing step fails, no day is lost, and a retry from the staged batch completes the load
+    for step in ("_insert", "_drop_days"):
+        real = getattr(w, step)
+
+        def dies(*args):
+            raise RuntimeError("lost")
+
+        monkeypatch.setattr(w, step, dies)
+        with pytest.raises(LoadError) as e:
+            w.load_overwrite_days(new, days=days, append_others=True)
+        monkeypatch.setattr(w, step, real)
+        assert {d for _, d in state()} == {d for _, d in before}
+    audit = w.publish_staged_days(e.value.stage)
+    assert state() == [("C", "2026-04-10"), ("X", "2026-04-08"), ("Y", "2026-04-20")]
+    by_day = {str(r.ds): tuple(r)[1:] for r in audit.by_day(spark).collect()}
+    # the first step had been published before the failure: the retry replaces its own row
+    assert by_day == {"2026-04-08": (1, 1, 1, 0, 0), "2026-04-09": (0, 0, 1, 0, 0), "2026-04-20": (1, 1, 0, 1, 0)}
+
+
+def test_emptied_days_cost_one_statement_and_no_job(spark, tmp_path, monkeypatch):
+    w = Warehouse(spark, root=str(tmp_path / "empty"))
+    w.ensure_tables()
+    rows = spark.range(120).selectExpr("concat('S', id) AS sensor_id", "timestamp_ntz'2026-01-01 00:00:00' + make_interval(0, 0, 0, CAST(id AS INT)) AS timestamp",
+                                       "CAST(1 AS DOUBLE) AS temperature", "'on' AS status")
+    from kiln.operators.sensor import to_fahrenheit
+
+    clean = to_fahrenheit(rows)
+    w.load_overwrite_days(clean)
+    days = [str(r.d) for r in clean.selectExpr("to_date(timestamp) AS d").collect()]
+    said, jobs = [], []
+    sql = spark.sql
+    tracker = spark.sparkContext.statusTracker()
+    group = "emptied"
+    spark.sparkContext.setJobGroup(group, group)
+    monkeypatch.setattr(type(spark), "sql", lambda self, q, *a, **k: said.append(q) or sql(q, *a, **k))
+    audit = w.load_overwrite_days(clean.where("false"), days=days, written=True)
+    monkeypatch.undo()
+    jobs = tracker.getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sum(q.startswith("ALTER TABLE") for q in said) == 1 and len(said) < 5 and len(jobs) < 8
+    assert audit.rows_deleted == 120 and len(audit.days) == 120 and w.sensor_readings().count() == 0
+    again = Warehouse(spark, root=str(tmp_path / "empty"))  # another catalog finds no dropped day
+    again.ensure_tables()
+    assert again.sensor_readings().count() == 0
+
+
+def test_concurrent_loads_never_share_ids(spark, tmp_path):
+    import glob
+    import threading
+
+    from kiln.session import shared_dir
+
+    w = Warehouse(spark, root=str(tmp_path / "race"), sensor_ids=True)
+    w.ensure_tables()
+    scratch = f"{shared_dir(spark).removeprefix('file://')}/kiln/dense-ids-*"
+    before, errors = set(glob.glob(scratch)), []
+
+    def load(k):
+        try:
+            w.load_append(_clean(spark, [("same", "2026-04-08 12:00:00", 1.0)] * 20 + [(f"S{k}", "2026-04-08 13:00:00", 2.0)]))
+        except Exception as e:
+            errors.append(e)
+
+    threads = [threading.Thread(target=load, args=(k,)) for k in range(4)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert not errors
+    ids = sorted(r.id for r in w.sensor_readings().collect())
+    assert ids == list(range(1, 85)) and w.last_id() == 84
+    assert set(glob.glob(scratch)) == before
+    again = Warehouse(spark, root=str(tmp_path / "race"), sensor_ids=True)
+    again.ensure_tables()
+    assert again.last_id() == 84 and again.reserve_ids(5) == 84 and w.last_id() == 89
+
+
+def test_refused_insert_leaves_no_staging(spark, wh):
+    import glob
+
+    from kiln.session import shared_dir
+
+    scratch = f"{shared_dir(spark).removeprefix('file://')}/kiln/insert-*"
+    before = set(glob.glob(scratch))
+    with pytest.raises(ValueError):
+        wh.insert_scores(spark.createDataFrame([(None, 1, "A")], "user_id string, credit_score int, grade string"))
+    assert set(glob.glob(scratch)) == before
