@@ -75,19 +75,19 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def observed(obs: Observation, rows: DataFrame, *counts: Column) -> dict[str, int]:
-    """The counts that ``obs`` saw on a write of ``rows``.
+def observed(obs: Observation, rows: DataFrame, *counts: Column) -> dict:
+    """The metrics that ``obs`` saw on a write of ``rows``.
 
     Where nothing is left to write, Spark drops the observing part of the plan
     at run time and nothing is seen; then ``rows`` (before any filter) are
     counted by themselves.
     """
     try:
-        return {k: int(v) for k, v in obs.get.items()}
+        return dict(obs.get)
     except Py4JJavaError as e:
         if "AssertionError" not in str(e):
             raise
-        return {k: int(v) for k, v in rows.agg(*counts).first().asDict().items()}
+        return rows.agg(*counts).first().asDict()
 
 
 def remove_dir(spark: SparkSession, path: str) -> None:

@@ -8,16 +8,17 @@ where the id is the streaming query's own, kept in its checkpoint.
   (``rejected=false``, by day) and the quarantined ones (``rejected=true``, with
   reason and text), so together they are the rows that came in. Files are parsed
   and judged as in the batch workflow: the same file gives the same rows.
-* **Ledger.** ``<sink>/_files`` has a row for each file taken: path, length and
-  modification time, with the query and batch that took it. A micro-batch
-  leaves out files that another batch has taken, so a reset checkpoint, or a
-  second query over the same landing, adds nothing. A file that changed is a new file.
-* **Commit.** The ledger rows of a micro-batch are its last write, and readers
-  see only the batches in the ledger. A batch that failed before is not seen;
-  replayed, it overwrites its own folder and commits.
-
-The counts of each micro-batch (S15) are observed on its write and kept under
-``<sink>/_audit``. No dynamic day overwrite is used: a second file for the same
+* **Ledger.** ``<sink>/_commits`` has a row for each micro-batch with the files it
+  took (path, length, modification time; no more than the file source itself
+  lists in the driver for a micro-batch) and its counts (S15), all observed on
+  the write. A micro-batch leaves out files that another batch has taken, so a
+  reset checkpoint, or a second query over the same landing, adds nothing. A
+  file that changed is a new file.
+* **Commit.** That row is a micro-batch's last write, and readers see only the
+  batches that have one. A batch that failed before is not seen; replayed, it
+  overwrites its own folder and commits.
+
+No dynamic day overwrite is used: a second file for the same
 day must add rows, not replace the first file's rows. Queries that write to
 one sink at the same time must not share files.
 """
@@ -42,9 +43,10 @@ RAW_COLUMNS = [f.name for f in RAW_READING.fields]
 #: The file source skips files that are older than the newest by more than this (Spark's own default: 7 days),
 #: so it is far beyond any backfill.
 MAX_FILE_AGE = "36500d"
-_AUDIT = "rows_in bigint, rows_inserted bigint, rows_rejected bigint"
 _FILE = ["file_path", "file_size", "file_modification_time"]
-_LEDGER = "file_path string, file_size bigint, file_modification_time timestamp, query string, batch_id bigint"
+_COUNTS = ["rows_in", "rows_inserted", "rows_rejected"]
+_COMMIT = ("rows_in bigint, rows_inserted bigint, rows_rejected bigint, "
+           "files array<struct<file_path string, file_size bigint, file_modification_time timestamp>>")
 _SINK = T.StructType(
     TARGET_SCHEMA.fields
     + [T.StructField("temperature_read", T.DoubleType())]
@@ -80,23 +82,21 @@ def stream_ingest(spark: SparkSession, landing: str, sink: str, checkpoint: str
         if not query:
             raise RuntimeError("no streaming query id: the sink's folders are named by it")
         mine = (F.col("query") == query) & (F.col("batch_id") == batch_id)
-        taken = _ledger(spark, sink).where(~mine).select(*_FILE)
-        # a row for each file of the micro-batch; the text of the lines is not parsed for it
-        files = batch.select(*_FILE).distinct().join(taken, _FILE, "left_anti")
+        taken = _ledger(spark, sink)
+        if taken is not None:
+            batch = batch.join(taken.where(~mine).select(*_FILE), _FILE, "left_anti")
         folder = f"query={query}/batch_id={batch_id}"
-        new = files.select(F.struct(*_FILE).alias("_kiln_file"))
-        lines = batch.join(new, F.struct(*_FILE) == F.col("_kiln_file"), "left_semi").select("value")
         obs = Observation(f"stream_{run}_{batch_id}")
-        counts = (F.count(F.lit(1)).alias("rows_in"), F.count_if(~F.col("rejected")).alias("rows_inserted"))
-        judged = _judged(parse_readings(lines, keep_corrupt=True), limit)
+        counts = (F.count(F.lit(1)).alias("rows_in"), F.count_if(~F.col("rejected")).alias("rows_inserted"),
+                  F.collect_set(F.struct(*_FILE)).alias("files"))
+        judged = _judged(parse_readings(batch, keep_corrupt=True), limit)
         # few files for each day, and a large day in several tasks
-        (judged.observe(obs, *counts).hint("rebalance", "rejected", "reading_date")
+        (judged.observe(obs, *counts).drop(*_FILE).hint("rebalance", "rejected", "reading_date")
          .write.mode("overwrite").partitionBy("rejected", "reading_date").parquet(f"{sink}/{folder}"))
-        # S15 per micro-batch, next to the data; '_' keeps it out of reads of the sink
         m = observed(obs, judged, *counts)
-        audit = [(int(m["rows_in"]), int(m["rows_inserted"]), int(m["rows_in"]) - int(m["rows_inserted"]))]
-        spark.createDataFrame(audit, _AUDIT).coalesce(1).write.mode("overwrite").parquet(f"{sink}/_audit/{folder}")
-        files.coalesce(1).write.mode("overwrite").parquet(f"{sink}/_files/{folder}")  # the commit
+        commit = [(m["rows_in"], m["rows_inserted"], m["rows_in"] - m["rows_inserted"], m["files"])]
+        # next to the data; '_' keeps it out of reads of the sink
+        spark.createDataFrame(commit, _COMMIT).coalesce(1).write.mode("overwrite").parquet(f"{sink}/_commits/{folder}")
 
     writer = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint or f"{sink}/_checkpoint")
     if available_now:
@@ -115,37 +115,45 @@ def _judged(raw: DataFrame, limit: float) -> DataFrame:
     return project_target(to_fahrenheit(rows))
 
 
-def _ledger(spark: SparkSession, sink: str) -> DataFrame:
-    """A row for each file that a committed micro-batch has taken."""
+def _commits(spark: SparkSession, sink: str) -> DataFrame | None:
+    """A row for each committed micro-batch; None before the first."""
     try:
-        return spark.read.schema(_LEDGER).parquet(f"{sink}/_files")
+        return spark.read.schema(f"{_COMMIT}, query string, batch_id bigint").parquet(f"{sink}/_commits")
     except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":  # nothing written yet
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], _LEDGER)
+        return None
+
+
+def _ledger(spark: SparkSession, sink: str) -> DataFrame | None:
+    commits = _commits(spark, sink)
+    return None if commits is None else commits.select(F.explode("files").alias("file"), "query", "batch_id").select("file.*", "query", "batch_id")
 
 
 def read_ledger(spark: SparkSession, sink: str) -> DataFrame:
     """``file_path, file_size, file_modification_time, query, batch_id`` of every file taken."""
-    return _ledger(spark, sink)
+    files = _ledger(spark, sink)
+    if files is None:
+        raise FileNotFoundError(f"{sink}: nothing ingested yet")
+    return files
 
 
 def read_stream_audit(spark: SparkSession, sink: str) -> DataFrame:
     """Counts per micro-batch: ``query, batch_id, rows_in, rows_inserted, rows_rejected``."""
-    rows = spark.read.schema(f"{_AUDIT}, query string, batch_id bigint").parquet(f"{sink}/_audit")
-    return _committed(rows, sink).select("query", "batch_id", "rows_in", "rows_inserted", "rows_rejected")
-
-
-def _committed(rows: DataFrame, sink: str) -> DataFrame:
-    """The rows of batches in the ledger; the join is on partition folders, so others are not read."""
-    done = _ledger(rows.sparkSession, sink).select("query", "batch_id").distinct()
-    return rows.join(done, ["query", "batch_id"], "left_semi")
+    commits = _commits(spark, sink)
+    if commits is None:
+        raise FileNotFoundError(f"{sink}: nothing ingested yet")
+    return commits.select("query", "batch_id", *_COUNTS)
 
 
 def _read_sink(spark: SparkSession, sink: str, rejected: bool) -> DataFrame:
     """Read by schema: no file is opened to infer it, and a sink without rows reads as no rows."""
     rows = spark.read.schema(_SINK).parquet(sink).where(F.col("rejected") == rejected)
-    return _committed(rows, sink)
+    commits = _commits(spark, sink)
+    if commits is None:
+        return rows.where("false")
+    # joined on partition folders: those of batches that did not commit are not read
+    return rows.join(commits.select("query", "batch_id"), ["query", "batch_id"], "left_semi")
 
 
 def read_ingested(spark: SparkSession, sink: str) -> DataFrame:
