@@ -36,7 +36,7 @@ def op3_licenses(spark: SparkSession, d: str) -> DataFrame:
 
 def op4_warc(spark: SparkSession, d: str) -> DataFrame:
     folder = scratch_dir(spark, "warc-responses")
-    files = warc.write_warc(warc.responses(table(spark, d, "pages")), folder)
+    files = warc.capture(table(spark, d, "pages"), folder)
     derived, out = warc.build_derivatives(spark, files, folder)
     return warc.digests(warc.read_warc(derived, out))
 
