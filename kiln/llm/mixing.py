@@ -11,16 +11,24 @@
    second 1, its third 3, so words are repeated only where fresh ones are used up.
    The flow splits into the connected parts of patterns and sources.
 4. ``cuts``: a pattern's flow is whole passes over all its documents plus a
-   remainder, taken by the documents of the smallest seeded hashes. The hash at
-   which a pattern is cut is found by a histogram over hash ranges and then
-   inside the one range where the remainder ends, so a pattern that holds a
-   third of all rows never meets in one task.
-5. A document's ``taken`` depends on its pattern's row of the cut table only.
-
-The driver gets one row for each distinct pattern. Null texts have size 0; a
-null source is a source of its own; a null id has a hash of its own. Repeated
-rows share a hash and are taken together. Ties at the cut go in together;
-whether the last hash goes in depends on which side of the quota is nearer.
+   remainder, taken by the first documents in a seeded order. Where the
+   remainder ends is found by digits of ``BITS`` bits: a histogram of ``2**BITS``
+   ranges for each pattern, then one of the range in which it ends, and so on
+   until that range has no more than ``LAST_ROWS`` rows. Documents of earlier
+   ranges go in; those of the last range go in while they fit, in order, past
+   any that is too large, and then one is added or exchanged while that comes
+   nearer. So a pattern that holds a third of all rows never meets in one task.
+5. A document's ``taken`` depends on its pattern's row of the cut table and, in
+   a last range, on its own row of the table of those chosen there.
+
+Order: a seeded hash of the id (of the text, where the id is null), then a hash
+of the text, then the row's place, so that neither null ids nor repeated rows
+go in or out together. Rows equal in id and text are interchangeable, so reruns agree.
+
+The driver gets one row for each distinct pattern, and the ranges of each. Null
+texts have size 0; a null source is a source of its own; a null ``membership`` is
+the document's own source; an empty one is in no quota. Very long texts are counted in place. An empty
+table gives no rows. Extra columns of any name come back from ``take`` untouched.
 """
 
 from __future__ import annotations
@@ -29,6 +37,8 @@ import heapq
 import math
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -39,7 +49,9 @@ WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 SEED = "mix-1"
 HASH_BITS = 60
-ROWS_A_RANGE = 2000
+PLACE_BITS = 66
+BITS = 6
+LAST_ROWS = 4096
 BROADCAST_ROWS = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -48,10 +60,25 @@ def size_column(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def seeded_hash(doc_id: str = "doc_id", seed: str = SEED) -> Column:
-    """60 bits of md5(seed:doc_id)."""
-    key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
-    return F.conv(F.substring(F.md5(key), 1, HASH_BITS // 4), 16, 10).cast("long")
+def _bits60(text: Column) -> Column:
+    """60 bits of the md5."""
+    return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
+def seeded_hash(doc_id: str = "doc_id", text: str = "text", seed: str = SEED) -> Column:
+    """60 bits of md5(seed:doc_id), or of the seed and the text's md5 where the id is null."""
+    own = F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(F.col(text), F.lit("")))))
+    return _bits60(F.concat(F.lit(f"{seed}:"), own))
+
+
+def sized(docs: DataFrame, membership: Column | None, seed: str, place: Column | None = None) -> DataFrame:
+    """``doc_id, source, membership, pattern, size, h, tie, place`` of each row, written once."""
+    place = F.monotonically_increasing_id() if place is None else place
+    own = F.array("source")
+    member = own if membership is None else F.coalesce(membership, own)
+    return saved(docs.select("doc_id", "source", member.alias("membership"), size_column().alias("size"),
+                             seeded_hash(seed=seed).alias("h"), _bits60(F.coalesce("text", F.lit(""))).alias("tie"),
+                             place.alias("place")).withColumn("pattern", pattern_column(F.col("membership"))), "mix-sizes")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
@@ -157,50 +184,138 @@ def _cheapest(patterns, quotas, max_repeats):
 
 
 # ---------------------------------------------------------------- cuts
-def cuts(sizes: DataFrame, quotas: DataFrame) -> DataFrame:
-    """``pattern, passes, cut``: every document ``passes`` times, those with a hash up to ``cut`` once more.
+_KEYS = (("h", HASH_BITS), ("tie", HASH_BITS), ("place", PLACE_BITS))
+#: For each digit of the order: the key it is part of, and how far it is shifted.
+_DIGITS = [(key, bits - BITS * (k + 1)) for key, bits in _KEYS for k in range(bits // BITS)]
+_CUT = "pattern string, passes long, h_from long, h_mask long, tie_from long, tie_mask long, place_from long, place_mask long"
+
+
+def _digit(k: int) -> Column:
+    key, shift = _DIGITS[k]
+    return F.shiftright(key, shift).bitwiseAND((1 << BITS) - 1).cast("int")
+
+
+def _masked(key: str) -> Column:
+    return F.col(key).bitwiseAND(F.col(f"{key}_mask"))
+
+
+def _in_range() -> Column:
+    """The row is in the range in which its pattern's remainder ends."""
+    return (_masked("h") == F.col("h_from")) & (_masked("tie") == F.col("tie_from")) & (_masked("place") == F.col("place_from"))
+
+
+def _before_range() -> Column:
+    out = F.lit(False)
+    for key, _ in reversed(_KEYS):
+        out = (_masked(key) < F.col(f"{key}_from")) | ((_masked(key) == F.col(f"{key}_from")) & out)
+    return out
+
 
-    sizes: ``pattern, size, h``; quotas: ``pattern, passes, remainder``.
+class _Cut:
+    """Where a pattern's remainder ends, as far as it is known: the first digits of the order, and what is left for the range."""
+
+    def __init__(self, passes: int, remainder: int):
+        self.passes, self.left, self.digits = passes, remainder, []
+
+    def row(self, pattern: str) -> tuple:
+        out = [pattern, self.passes]
+        for key, _ in _KEYS:
+            start = mask = 0
+            for (of, shift), digit in zip(_DIGITS, self.digits):
+                if of == key:
+                    start |= digit << shift
+                    mask |= ((1 << BITS) - 1) << shift
+            out += [start, mask & ((1 << 63) - 1)]
+        return tuple(out)
+
+
+def cuts(sizes: DataFrame, quotas: dict[str, tuple[int, int]], n_rows: dict[str, int]) -> tuple[DataFrame, DataFrame]:
+    """``_CUT`` rows, one for each pattern, and ``place``, the rows of the last ranges that go in.
+
+    sizes: ``pattern, size, h, tie, place``; quotas: ``(passes, remainder)`` of each pattern;
+    n_rows: its rows.
     """
-    n = sizes.count()
-    bits = min(HASH_BITS, max(0, math.ceil(math.log2(max(1, n) / ROWS_A_RANGE))))
-    hashes = sizes.withColumn("range", F.shiftright("h", HASH_BITS - bits))
-    histogram = hashes.groupBy("pattern", "range").agg(F.sum("size").alias("size"))
-    run = Window.partitionBy("pattern").orderBy("range")
-    before = F.sum("size").over(run) - F.col("size")
-    ranges = histogram.withColumn("before", before).withColumn("next", F.lead("size").over(run)).join(quotas, "pattern")
-    # the last range that begins below the remainder: there the remainder ends
-    last = ranges.where("remainder > 0 AND before < remainder AND (before + size >= remainder OR next IS NULL)").select(
-        "pattern", "range", "before", "remainder")
-    inside = hashes.join(last, ["pattern", "range"]).groupBy("pattern", "h", "before", "remainder").agg(F.sum("size").alias("size"))
-    upto = F.sum("size").over(Window.partitionBy("pattern").orderBy("h")) + F.col("before")
-    near = inside.withColumn("upto", upto).where(
-        # the nearer of the two sums around the remainder; the smaller one if equally near
-        (F.col("upto") <= F.col("remainder")) |
-        (F.col("upto") - F.col("remainder") < F.col("remainder") - (F.col("upto") - F.col("size"))))
-    found = near.groupBy("pattern").agg(F.max("h").alias("inner"))
-    # nothing of the range goes in: the cut is just below it
-    edge = last.select("pattern", (F.shiftleft(F.col("range"), HASH_BITS - bits) - 1).alias("edge"))
-    return quotas.join(edge, "pattern", "left").join(found, "pattern", "left").select(
-        "pattern", "passes", F.coalesce("inner", "edge", F.lit(-1).cast("long")).alias("cut"))
-
-
-def plan(sizes: DataFrame, targets: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """``pattern, passes, cut`` for the rows ``pattern, membership, size, h`` and the quotas ``source, target``."""
     spark = sizes.sparkSession
-    groups = sizes.groupBy("pattern").agg(F.first("membership").alias("membership"), F.sum("size").alias("size"))
-    patterns = sorted((r.pattern, list(r.membership), r["size"]) for r in groups.collect())
+    found = {p: _Cut(*q) for p, q in quotas.items()}
+    open_ = {p for p, c in found.items() if c.left and n_rows[p] > LAST_ROWS}
+    rows = sizes.select("pattern", "size", "h", "tie", "place")
+
+    def table(patterns) -> DataFrame:
+        return _broadcast(spark.createDataFrame([found[p].row(p) for p in sorted(patterns)], _CUT), len(patterns))
+
+    for k in range(len(_DIGITS)):
+        if not open_:
+            break
+        held = rows.join(table(open_), "pattern").where(_in_range())
+        ranges = defaultdict(list)
+        for r in held.groupBy("pattern", _digit(k).alias("digit")).agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect():
+            ranges[r.pattern].append((r.digit, r["size"], r.n))
+        for p in sorted(open_):
+            cut = found[p]
+            for digit, size, n in sorted(ranges[p]):
+                if size >= cut.left:  # the remainder is below the pattern's size, so it ends in a range
+                    break
+                cut.left -= size
+            cut.digits.append(digit)
+            if n <= LAST_ROWS:
+                open_.discard(p)
+        if open_:  # the next digit is looked for in these ranges only
+            rows = saved(rows.join(table(open_), "pattern").where(_in_range()).select(*rows.columns), "mix-ranges")
+    ends = [(p, c.left) for p, c in found.items() if c.left]
+    cut = spark.createDataFrame([c.row(p) for p, c in sorted(found.items())], _CUT)
+    left = _broadcast(spark.createDataFrame(ends, "pattern string, left long"), len(ends))
+    last = (sizes.select("pattern", "size", "h", "tie", "place").join(left, "pattern")
+            .join(_broadcast(cut, len(found)), "pattern").where(_in_range()))
+    chosen = last.select("pattern", "size", "h", "tie", "place", "left").groupBy("pattern").applyInArrow(_fill, "place long")
+    return cut, saved(chosen, "mix-chosen")
+
+
+def _fill(rows: pa.Table) -> pa.Table:
+    """Of the (at most ``LAST_ROWS``) rows of a last range, those that go in: in order while they fit, then whatever
+    addition or exchange of one for one brings the sum nearer, until none does."""
+    size, place = rows.column("size").to_numpy(), rows.column("place").to_numpy()
+    left, out, rest = rows.column("left")[0].as_py(), [], []
+    for i in np.lexsort([rows.column(k).to_numpy() for k in ("place", "tie", "h")]).tolist():
+        if size[i] <= left:
+            left -= int(size[i])
+            out.append(i)
+        else:
+            rest.append(i)
+    while left and rest:
+        inside = np.r_[0, size[out]]  # 0: nothing is given for it
+        order = np.argsort(inside, kind="stable")
+        wanted = size[rest] - left
+        at = np.searchsorted(inside[order], wanted).clip(0, len(order) - 1)
+        steps = [(abs(left - int(size[j]) + int(inside[order[k]])), n, int(order[k]))
+                 for n, j in enumerate(rest) for k in {int(at[n]), max(0, int(at[n]) - 1)}]
+        off, n, give = min(steps)
+        if off >= abs(left):
+            break
+        left += int(inside[give]) - int(size[rest[n]])
+        come = rest.pop(n)
+        if give:
+            rest.append(out.pop(give - 1))
+        out.append(come)
+    return pa.table({"place": place[out]})
+
+
+def _broadcast(df: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(df) if n <= BROADCAST_ROWS else df
+
+
+def plan(sizes: DataFrame, targets: DataFrame, max_repeats: int = MAX_REPEATS) -> tuple[DataFrame, DataFrame]:
+    """``cuts`` for the rows ``pattern, membership, size, h, tie, place`` and the quotas ``source, target``."""
+    groups = sizes.groupBy("pattern").agg(F.first("membership").alias("membership"), F.sum("size").alias("size"), F.count("*").alias("n")).collect()
+    patterns = sorted((r.pattern, list(r.membership), r["size"]) for r in groups)
     flow = route(patterns, {r.source: math.floor(r.target) for r in targets.collect()}, max_repeats)
     out = defaultdict(int)
     for (pattern, _), words in flow.items():
         out[pattern] += words
-    rows = [(p, *divmod(out[p], size)) if size else (p, 0, 0) for p, _, size in patterns]
-    quotas = spark.createDataFrame(rows, "pattern string, passes long, remainder long")
-    return cuts(sizes, quotas)
+    return cuts(sizes, {p: divmod(out[p], size) if size else (0, 0) for p, _, size in patterns}, {r.pattern: r.n for r in groups})
 
 
 def _free(df: DataFrame, name: str) -> str:
-    while name in df.columns:
+    while name.lower() in {c.lower() for c in df.columns}:
         name += "_"
     return name
 
@@ -215,20 +330,18 @@ def mix(docs: DataFrame, membership: Column | None = None, weights: tuple[int, .
 
     membership: the array of sources a document may serve (its ``source`` alone if not given).
     """
-    member = F.array("source") if membership is None else membership
-    sizes = saved(docs.select("doc_id", "source", member.alias("membership"), size_column().alias("size"),
-                              seeded_hash(seed=seed).alias("h"))
-                  .withColumn("pattern", pattern_column(F.col("membership"))), "mix-sizes")
+    sizes = sized(docs, membership, seed)
     targets = source_targets(sizes, weights, max_repeats)
-    chosen = _small(plan(sizes, targets, max_repeats), "mix-cuts")
     t = _small(targets.select(F.col("source").alias("of"), "source_size", "target"), "mix-targets")
-    return sizes.join(chosen, "pattern").join(t, F.col("source").eqNullSafe(F.col("of"))).select(
-        "doc_id", "size", "source_size", "target",
-        (F.col("size") * _times(F.col("h"), F.col("passes"), F.col("cut"))).alias("taken"))
+    return _with_times(sizes, *plan(sizes, targets, max_repeats)).join(t, F.col("source").eqNullSafe(F.col("of"))).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
 
 
-def _times(h: Column, passes: Column, cut: Column) -> Column:
-    return passes + F.when(h <= cut, 1).otherwise(0)
+def _with_times(sizes: DataFrame, cut: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``times``: how often each row is taken."""
+    extra = _small(chosen.select(F.col("place").alias("chosen")), "mix-chosen-places")
+    rows = sizes.join(_small(cut, "mix-cuts"), "pattern").join(extra, F.col("place") == F.col("chosen"), "left")
+    return rows.withColumn("times", F.col("passes") + (_before_range() | F.col("chosen").isNotNull()).cast("long"))
 
 
 def _small(df: DataFrame, name: str) -> DataFrame:
@@ -243,14 +356,10 @@ def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int =
 
     membership: as in ``mix``. Rows without words are in no quota; they go with their hash like the others.
     """
-    member = F.array("source") if membership is None else membership
-    sizes = saved(docs.select("source", member.alias("membership"), size_column().alias("size"), seeded_hash(seed=seed).alias("h"))
-                  .withColumn("pattern", pattern_column(F.col("membership"))), "mix-sizes")
-    chosen = _small(plan(sizes, source_targets(sizes, weights, max_repeats), max_repeats).select(
-        F.struct("pattern", "passes", "cut").alias(_free(docs, "_kiln_mix"))), "mix-cuts")
-    mix = F.col(chosen.columns[0])
-    times = _times(seeded_hash(seed=seed), mix["passes"], mix["cut"]).cast("int")
-    copies = F.when(times > 0, F.sequence(F.lit(1), times)).otherwise(F.array().cast("array<int>"))
-    copy = _free(docs, "_kiln_copy")
-    return (docs.join(chosen, pattern_column(member) == mix["pattern"])
-            .withColumn(copy, F.explode(copies)).select(*(F.col(f"`{c}`") for c in docs.columns)))
+    tag, copy = _free(docs, "_kiln_mix"), _free(docs, "_kiln_copy")
+    held = saved(docs.withColumn(tag, F.monotonically_increasing_id()), "mix-docs")
+    sizes = sized(held, membership, seed, F.col(tag))
+    cut, chosen = plan(sizes, source_targets(sizes, weights, max_repeats), max_repeats)
+    times = saved(_with_times(sizes, cut, chosen).where("times > 0").select(
+        F.col("place").alias(tag), F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias(copy)), "mix-times")
+    return held.join(times, tag).select(*(F.col(f"`{c}`") for c in docs.columns))

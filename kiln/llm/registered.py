@@ -148,27 +148,6 @@ ids AS (SELECT k, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(ids.n, 0) AS n_items,
   sha256(coalesce(ids.ids, '')) AS items_sha256, coalesce(words.n, 0) > 0 AND 20 * coalesce(words.n, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN words USING (k) LEFT JOIN ids USING (k)""",
-    "op10_mixing": rf"""
-WITH s AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-    CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h FROM documents),
-tot AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
-          CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
-        FROM s GROUP BY source),
--- a source is full below the level at which 3 times its size is reached; sources fill up in this order
-o AS (SELECT *, row_number() OVER (ORDER BY 3.0 * source_size / weight, source) AS k FROM tot),
-r AS (SELECT *, coalesce(sum(3 * source_size) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent,
-        sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight, sum(source_size) OVER () AS words FROM o),
-lvl AS (SELECT (words - spent) / open_weight AS level FROM r WHERE 3 * source_size > weight * ((words - spent) / open_weight) ORDER BY k LIMIT 1),
-t AS (SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), weight * coalesce((SELECT level FROM lvl), 0)) AS target FROM tot),
-q AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE CAST(floor(target) AS BIGINT) // source_size END AS passes,
-        CASE WHEN source_size = 0 THEN 0 ELSE CAST(floor(target) AS BIGINT) % source_size END AS remainder FROM t),
-g AS (SELECT source, h, sum(size) AS size FROM s GROUP BY source, h),
-u AS (SELECT source, h, size, sum(size) OVER (PARTITION BY source ORDER BY h) AS upto FROM g),
-cut AS (SELECT q.source, max(h) AS cut FROM u JOIN q ON u.source IS NOT DISTINCT FROM q.source
-        WHERE remainder > 0 AND (upto <= remainder OR upto - remainder < remainder - (upto - size)) GROUP BY q.source)
-SELECT doc_id, size, source_size, target, CAST(size * (passes + CASE WHEN h <= coalesce(cut, -1) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM s JOIN q ON s.source IS NOT DISTINCT FROM q.source LEFT JOIN cut ON s.source IS NOT DISTINCT FROM cut.source""",
     "op11_divergence": r"""
 WITH d AS (
   SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
