@@ -4,18 +4,24 @@
    (no shuffle, no Python). The 8-word windows of a text are hashed (XXH64 of
    the words' XXH64); a text without two equal windows is done, any other sorts
    its windows to find the equal ones.
-2. ``hosts``: failures of each rule by host, one partial aggregate. A rule's
-   rate at a host is shrunk by a beta prior whose mean and strength come from
-   all hosts (moments: the spread of the rates beyond what chance gives), so a
-   host of a few documents is judged mostly by the others.
-3. ``judged``: a host is distrusted if a shrunk rate exceeds ``MAX_RATE``. The
-   verdict goes back to the documents: at a distrusted host a document must
+2. ``hosts``: failures of each rule, and of any rule, by host, one partial
+   aggregate. A host's rate is shrunk by a beta prior whose mean and strength
+   come from all hosts (moments: the spread of the rates beyond what chance
+   gives; worth ``MIN_STRENGTH`` to ``MAX_STRENGTH`` documents), so a host of a few
+   documents is judged mostly by the others, a large one by its own.
+3. ``judged``: a host is distrusted if its rate of documents that fail any
+   rule is above the prior's mean by more than ``TAIL`` standard deviations of
+   its own beta posterior; failures that are spread over several rules add up.
+   The verdict goes back to the documents: at a distrusted host a document must
    pass every rule; elsewhere only the base rules decide.
 
 A third of all rows at one host costs nothing: the aggregate folds in the map
 tasks, and the hosts are broadcast if they are few (checked), else joined, where
 Spark splits a skewed key. Null texts have no words and fail the base rule; a
-null source is a host of its own; repeated rows count each. Window hashes are 64
+null source is a host of its own; repeated rows count each; a rate that equals
+the bound is trusted. An empty table gives no rows. A very long text is
+measured in its row's arrays. ``doc_id``, ``source`` and ``text`` are read only; columns
+of other names do not matter. Window hashes are 64
 bits: two different windows of one text count as equal once in 10^11 texts of
 20,000 words.
 """
@@ -32,9 +38,9 @@ from kiln.llm.common import saved
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PCT = 30
-MAX_RATE = 0.5
+TAIL = 1.0
+MIN_STRENGTH, MAX_STRENGTH = 5.0, 100.0
 BROADCAST_ROWS = 100_000
-MAX_STRENGTH = 10_000.0
 BLANK = r"[\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]+"
 
@@ -98,37 +104,46 @@ def base_failed() -> Column:
     return F.expr(f"({RULES['short']}) OR ({RULES['repeats']})")
 
 
-def hosts(rows: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
-    """``source, n``, each rule's failures and shrunk rate, and ``distrusted``, from the measures."""
+def _any_rule() -> Column:
+    return F.expr(" OR ".join(f"({r})" for r in RULES.values()))
+
+
+def hosts(rows: DataFrame, tail: float = TAIL) -> DataFrame:
+    """``source, n``, the failures and shrunk rate of each rule and of ``any``, the ``bound`` of the latter's posterior,
+    the prior's ``expected`` rate and ``distrusted``, from the measures."""
+    failed = {name: F.expr(rule) for name, rule in RULES.items()} | {"any": _any_rule()}
     totals = saved(rows.groupBy("source").agg(
-        F.count("*").alias("n"), *(F.count(F.when(F.expr(rule), 1)).alias(f"f_{name}") for name, rule in RULES.items())), "hosts")
+        F.count("*").alias("n"), *(F.count(F.when(bad, 1)).alias(f"f_{r}") for r, bad in failed.items())), "hosts")
     n = F.col("n")
     # two rows of sums come to the driver: the mean of each rule, then the spread around it
-    sums = totals.agg(F.sum("n").alias("n"), F.count("*").alias("k"), *(F.sum(f"f_{r}").alias(r) for r in RULES)).first()
-    mean = {r: sums[r] / sums["n"] if sums["n"] else 0.0 for r in RULES}
-    spread = totals.agg(*(F.sum(n * F.pow(F.col(f"f_{r}") / n - F.lit(mean[r]), 2)).alias(r) for r in RULES)).first()
-    rate = {}
+    sums = totals.agg(F.sum("n").alias("n"), F.count("*").alias("k"), *(F.sum(f"f_{r}").alias(r) for r in failed)).first()
+    mean = {r: sums[r] / sums["n"] if sums["n"] else 0.0 for r in failed}
+    spread = totals.agg(*(F.sum(n * F.pow(F.col(f"f_{r}") / n - F.lit(mean[r]), 2)).alias(r) for r in failed)).first()
+    a, b = {}, {}
     for r, m in mean.items():
         by_chance = m * (1 - m) * (sums["k"] - 1) / max(1, sums["n"] or 0)
         beyond = (spread[r] or 0.0) / max(1, sums["n"] or 0) - by_chance  # variance between the hosts
-        strength = min(max(m * (1 - m) / beyond - 1, 1.0), MAX_STRENGTH) if beyond > 0 else MAX_STRENGTH
-        rate[r] = (F.col(f"f_{r}") + F.lit(m * strength)) / (n + F.lit(strength))
+        strength = min(max(m * (1 - m) / beyond - 1, MIN_STRENGTH), MAX_STRENGTH) if beyond > 0 else MAX_STRENGTH
+        a[r] = F.col(f"f_{r}") + F.lit(m * strength)
+        b[r] = n - F.col(f"f_{r}") + F.lit((1 - m) * strength)
+    both = a["any"] + b["any"]
+    deviation = F.sqrt(a["any"] * b["any"] / (both * both * (both + 1)))
     return totals.select(
-        "source", "n", *(f"f_{r}" for r in RULES), *(rate[r].alias(f"rate_{r}") for r in RULES),
-        F.greatest(*rate.values()).alias("worst_rate")).withColumn("distrusted", F.col("worst_rate") > max_rate)
+        "source", "n", *(f"f_{r}" for r in failed), *((a[r] / (a[r] + b[r])).alias(f"rate_{r}") for r in failed),
+        (a["any"] / both - F.lit(tail) * deviation).alias("bound"), F.lit(mean["any"]).alias("expected")).withColumn(
+        "distrusted", F.col("bound") > F.col("expected"))
 
 
 def judged(rows: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The measures with ``base_failed``, the host's ``worst_rate`` and ``distrusted``, and ``kept``."""
-    v = saved(verdicts.select(F.col("source").alias("host"), "worst_rate", "distrusted"), "host-verdicts")
+    """The measures with ``base_failed``, the host's ``rate_any`` and ``distrusted``, and ``kept``."""
+    v = saved(verdicts.select(F.col("source").alias("host"), "rate_any", "distrusted"), "host-verdicts")
     v = F.broadcast(v) if v.count() <= BROADCAST_ROWS else v
-    any_rule = F.expr(" OR ".join(f"({r})" for r in RULES.values()))
     return (rows.join(v, F.col("source").eqNullSafe(F.col("host"))).withColumn("base_failed", base_failed())
-            .withColumn("kept", ~F.col("base_failed") & ~(F.col("distrusted") & any_rule)))
+            .withColumn("kept", ~F.col("base_failed") & ~(F.col("distrusted") & _any_rule())))
 
 
 def host_rules(docs: DataFrame) -> DataFrame:
-    """A row for each row of ``docs``: the contract's columns and the host's worst shrunk rate."""
+    """A row for each row of ``docs``: the contract's columns."""
     rows = saved(measures(docs), "host-measures")
     return judged(rows, hosts(rows)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

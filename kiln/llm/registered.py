@@ -120,15 +120,13 @@ m AS (
 f AS (
   SELECT *, n_words < 20 AS f1, 100 * n_repeat_words > 30 * n_words AS f2, 10 * n_symbols > word_chars AS f3,
     10 * n_dup_lines > 3 * n_lines AS f4, word_chars > 20 * n_words OR word_chars < 2 * n_words AS f5 FROM m),
-h AS (
-  SELECT source, rule, count(*) AS n, sum(CAST(bad AS INT)) AS f
-  FROM (SELECT source, unnest([1, 2, 3, 4, 5]) AS rule, unnest([f1, f2, f3, f4, f5]) AS bad FROM f) GROUP BY source, rule),
-mean AS (SELECT rule, sum(f) / sum(n) AS m, sum(n) AS total, count(*) AS hosts FROM h GROUP BY rule),
-between_hosts AS (SELECT rule, sum(n * pow(f / n - m, 2)) / any_value(total) - any_value(m * (1 - m) * (hosts - 1) / total) AS v
-        FROM h JOIN mean USING (rule) GROUP BY rule),
-prior AS (SELECT rule, m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1.0), 10000.0) ELSE 10000.0 END AS s
-        FROM mean JOIN between_hosts USING (rule)),
-verdict AS (SELECT source, max((f + m * s) / (n + s)) > 0.5 AS distrusted FROM h JOIN prior USING (rule) GROUP BY source)
+h AS (SELECT source, count(*) AS n, count(*) FILTER (f1 OR f2 OR f3 OR f4 OR f5) AS f FROM f GROUP BY source),
+mean AS (SELECT sum(f) / sum(n) AS m, sum(n) AS total, count(*) AS hosts FROM h),
+spread AS (SELECT sum(n * pow(f / n - m, 2)) / any_value(total) - any_value(m * (1 - m) * (hosts - 1) / total) AS v, any_value(m) AS m FROM h, mean),
+prior AS (SELECT m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, {hosts.MIN_STRENGTH}), {hosts.MAX_STRENGTH}) ELSE {hosts.MAX_STRENGTH} END AS s
+        FROM spread),
+post AS (SELECT source, m, f + m * s AS a, n - f + (1 - m) * s AS b FROM h, prior),
+verdict AS (SELECT source, a / (a + b) - {hosts.TAIL} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > m AS distrusted FROM post)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 OR f2 AS base_failed,
   NOT (f1 OR f2) AND NOT (distrusted AND (f1 OR f2 OR f3 OR f4 OR f5)) AS kept
 FROM f JOIN verdict ON f.source IS NOT DISTINCT FROM verdict.source""",

@@ -50,12 +50,34 @@ def test_shrinking(spark):
     table = hosts.hosts(hosts.measures(docs))
     v = {r.source: r for r in table.collect()}
     assert v["bad"].distrusted and not v["big"].distrusted
-    assert v["small"].worst_rate < 1
+    assert v["small"].rate_any < 1 and not v["small"].distrusted
     assert 0 < v["h10"].rate_symbols < 1
     kept = {r.doc_id: r.kept for r in hosts.host_rules(docs).collect()}
     assert kept[2000] and not kept[1000] and kept[0]
 
 
+def test_failures_spread_over_rules_add_up(spark):
+    """Half of a host's documents fail one rule, the other half another: no rule alone fails more than half."""
+    good = " ".join(f"word{k}" for k in range(40))
+    noisy = " ".join(f"wo{k}%%$" for k in range(40))
+    lines = "\n".join([good[:80]] * 9 + [good + " end"])
+    rows = [(k, "mixed", noisy if k % 20 < 9 else lines if k % 20 < 18 else good) for k in range(200)]
+    rows += [(1000 + k, f"h{k % 10}", good if k % 9 else noisy) for k in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    v = {r.source: r for r in hosts.hosts(hosts.measures(docs)).collect()}
+    m = v["mixed"]
+    assert m.f_symbols == m.f_lines == 90 and m.f_any == 180 and max(m.rate_symbols, m.rate_lines) < 0.5
+    assert m.distrusted and [r.source for r in v.values() if r.distrusted] == ["mixed"]
+    kept = {r.doc_id: r.kept for r in hosts.host_rules(docs).collect()}
+    assert [k for k in range(200) if kept[k]] == [k for k in range(200) if k % 20 >= 18] and all(kept[1000 + k] for k in range(500))
+
+
+def test_verdicts_change_rows_of_the_tables(spark):
+    got = hosts.host_rules(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()
+    changed = sum(not r.base_failed and not r.kept for r in got)
+    assert 0 < changed < 0.05 * len(got)
+
+
 @pytest.mark.parametrize("n", [0, 7, 8, 9, 30])
 def test_short_and_repeating_texts(spark, n):
     docs = spark.createDataFrame([(1, "a", "x " * n), (2, "a", "a b c d e f g h " * n), (3, "a", "\n".join(["x y"] * n))], "doc_id long, source string, text string")
