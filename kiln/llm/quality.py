@@ -14,13 +14,16 @@ its confidence margin) is the prior.
 
 The model is fitted on bounded samples (``MAX_POSITIVES`` and
 ``MAX_UNLABELLED`` rows, in expectation), drawn by a hash of doc_id and of
-(doc_id, text); repeated rows fold before they are collected, so null ids or
-one row that makes up a third of the table don't add to them. Every document
-is scored, in one pass, by a scalar function of its text alone.
-
-Null and empty texts have zero features and get a score like any other. A
-repeated label counts as 1 if any of its rows says 1. Without positives or
-unlabelled rows every score is the prior's default. Repeated rows score alike.
+(doc_id, text), the share taken from the rows' own count; repeated rows fold
+before they are collected, so null ids, an id with many texts or one row that
+makes up a third of the table don't add to them. Every document is scored, in one
+pass, by a scalar function of its text alone.
+
+Null and empty texts have zero features and get a score like any other; very
+long ones are read in chunks. A repeated label counts as 1 if any of its rows
+says 1. Without positives or unlabelled rows every score is the prior's
+default. Repeated rows score alike; a score that equals the threshold passes. An
+empty table gives no rows. ``keep_good`` returns columns of any name untouched.
 """
 
 from __future__ import annotations
@@ -166,7 +169,10 @@ def train(docs: DataFrame, labels: DataFrame, max_positives: int = MAX_POSITIVES
     share = max_positives / max(1, known.count())
     trusted = known.where(hash_share(F.col("doc_id"), 1) < share).select("doc_id")
     texts = docs.select("doc_id", "text")
-    positive = _feature_rows(texts.join(F.broadcast(trusted), "doc_id", "left_semi"))  # max_positives ids
+    trusted = F.broadcast(trusted)  # max_positives ids
+    n_rows = docs.select("doc_id").join(trusted, "doc_id", "left_semi").count()
+    drawn = hash_share(F.xxhash64("doc_id", "text"), 3) < max_positives / max(1, n_rows)  # an id may have any number of rows
+    positive = _feature_rows(texts.where(drawn).join(trusted, "doc_id", "left_semi"))
     free = docs.select("doc_id").where(~held_out("doc_id")).count()
     drawn = hash_share(F.xxhash64("doc_id", "text"), 2) < max_unlabelled / max(1, free)
     unlabelled = _feature_rows(texts.where(~held_out("doc_id") & drawn))

@@ -24,7 +24,6 @@ component's id is its smallest id that isn't null.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 from itertools import combinations, repeat
 
 import numpy as np
@@ -288,19 +287,19 @@ def simhash_components(docs: DataFrame, radius: int = RADIUS, shingle: int = SHI
 def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with one row left of each component: that of the smallest doc_id (of repeated rows, one).
 
-    The rows are written once with their fingerprints, so each has a place
-    (file, row) by which the kept one is named, whatever ids repeat.
+    The rows are written once with their fingerprints and a number each, by
+    which the kept one is named, whatever ids repeat and columns are there.
     """
-    fp = _free_name(docs, "_kiln_fp")
-    held = saved(docs.withColumn(fp, fingerprint_column("text", shingle)), "simhash-docs").select(
-        "*", F.col("_metadata.file_name").alias("_kiln_file"), F.col("_metadata.row_index").alias("_kiln_row"))
-    comp = near_duplicates(held.select("doc_id", F.col(fp).alias("fp")), radius)
-    place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_kiln_file"), F.col("_kiln_row"))
-    best = held.groupBy(F.col(fp).alias("fp")).agg(F.min(place).alias("best"))
-    kept = best.join(comp, "fp").groupBy("root").agg(F.min("best").alias("best")).select(
-        F.col("best._kiln_file").alias("_kiln_file"), F.col("best._kiln_row").alias("_kiln_row"))
-    return held.join(kept, ["_kiln_file", "_kiln_row"], "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    fp, at = _free_name(docs, "_kiln_fp"), _free_name(docs, "_kiln_at")
+    held = saved(docs.withColumn(fp, fingerprint_column("text", shingle)).withColumn(at, F.monotonically_increasing_id()), "simhash-docs")
+    rows = held.select("doc_id", F.col(fp).alias("fp"), F.col(at).alias("at"))
+    comp = near_duplicates(rows.select("doc_id", "fp"), radius)
+    best = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("at"))).alias("best"))
+    kept = best.join(comp, "fp").groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.at").alias(at))
+    return held.join(kept, at, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def _free_name(df: DataFrame, name: str) -> str:
-    return reduce(lambda n, _: n + "_" if n in df.columns else n, range(len(df.columns)), name)
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name

@@ -15,13 +15,17 @@ a logistic curve. Words outside the grammar only move the states on, so
 isolated harmless words score nothing.
 
 Learned from labelled rows outside the held-out fold, on a sample bounded by
-``MAX_LABELLED`` (by a hash of doc_id): the lexicon (document counts by label of
-words and beginnings, counted by Spark; log-odds as weights; at most
-``MAX_LEXICON`` entries) and the curve. Every document is then scored in one
-pass, as a scalar function of its text.
-
-Null and empty texts score like a text without matches. Repeated labels count as
-1 if any says 1; without labels of both kinds the score is the default.
+``MAX_LABELLED`` rows (by a hash of doc_id, and of the text where ids have several
+texts): the lexicon (document counts by label of words and beginnings, counted
+by Spark; log-odds as weights; all words in ``MIN_DOCS`` toxic documents or more
+of that sample) and the curve. Every document is then scored in one pass, as a
+scalar function of its text.
+
+Null and empty texts score like a text without matches; very long ones are read
+in chunks. Repeated labels count as 1 if any says 1, copies of a text count once
+in learning and are scored each; without labels of both kinds the score is the
+default; a score that equals the threshold is toxic. An empty table gives no
+rows. ``doc_id`` and ``text`` are read only; columns of other names do not matter.
 """
 
 from __future__ import annotations
@@ -42,7 +46,6 @@ from pyspark.sql import functions as F
 from kiln.llm.common import LOWER_ALNUM, byte_chunks, encoded, hash_share, held_out, saved
 
 MAX_LABELLED = 20_000
-MAX_LEXICON = 5_000
 MIN_DOCS = 4
 MIN_ODDS = 15.0
 CLEAN_PRIOR = 2.0  # clean documents that every word is taken to have been in
@@ -223,14 +226,16 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     # max_labelled ids; copies of a text count once
     rows = saved(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic").dropDuplicates(["text", "toxic"]),
                  "toxicity-sample")
+    share = max_labelled / max(1, rows.count())
+    if share < 1:  # an id may have any number of texts
+        rows = rows.where(hash_share(F.xxhash64("text"), 8) < share)
     n, bad = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not 0 < bad < n:
         return Model(Lexicon({}), np.zeros(6), math.log(DEFAULT_SCORE / (1 - DEFAULT_SCORE)))
     counts = rows.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(_count, "word binary, n long, bad long")
     odds = ((F.col("bad") + 0.5) / F.lit(bad + 1.0)) / ((F.col("n") - F.col("bad") + CLEAN_PRIOR) / F.lit(n - bad + 2 * CLEAN_PRIOR))
     found = (counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).where(F.col("bad") >= MIN_DOCS)
-             .withColumn("odds", odds).where(F.col("odds") >= MIN_ODDS)
-             .orderBy(F.col("bad").desc(), F.col("odds").desc(), "word").limit(MAX_LEXICON).collect())  # the lexicon's bound
+             .withColumn("odds", odds).where(F.col("odds") >= MIN_ODDS).collect())  # words of MIN_DOCS or more of max_labelled rows
     lexicon = Lexicon({bytes(r.word): math.log(r.odds) for r in found})
 
     @F.pandas_udf("array<double>")

@@ -27,7 +27,8 @@ def odd(spark):
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame(ROWS, SCHEMA)
-    for name in ("fp", "found", "taken", "size", "n_words", "held_out", "pattern", "_kiln_fp", "_kiln_found", "_kiln_mix", "_kiln_copy"):
+    for name in ("fp", "found", "taken", "size", "n_words", "held_out", "pattern", "_kiln_fp", "_kiln_found", "_kiln_mix", "_kiln_copy",
+                 "_kiln_file", "_kiln_row", "_metadata", "_KILN_AT", "at", "place", "times", "fp_", "rank", "piece"):
         df = df.withColumn(name, F.lit("theirs"))
     return df
 

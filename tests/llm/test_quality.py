@@ -60,3 +60,12 @@ def test_sample_is_bounded_for_null_ids_and_copies(spark, monkeypatch):
     quality.train(docs, labels, max_positives=300, max_unlabelled=300)
     (positives, unlabelled), = drawn
     assert positives < 400 and 50 < unlabelled < 400
+
+
+def test_one_labelled_id_with_many_texts(spark, monkeypatch):
+    docs = spark.range(5000).selectExpr("IF(id < 4000, 1, id) AS doc_id", "concat('text number ', id, repeat(' w', CAST(id % 977 AS INT))) AS text")
+    labels = spark.createDataFrame([(1, 1), (4500, 1)], "doc_id long, quality int")
+    drawn = []
+    monkeypatch.setattr(quality, "fit", lambda p, u: drawn.append((len(p), len(u))))
+    quality.train(docs, labels, max_positives=50, max_unlabelled=50)
+    assert drawn[0][0] < 100

@@ -73,3 +73,12 @@ def test_score_needs_the_whole_text():
     lexicon = toxicity.Lexicon({b"scum": 3.0})
     long = "nice words here. " * 200_000 + "you are scum"
     assert toxicity.shape(long, lexicon)[0] == toxicity.shape("you are scum", lexicon)[0] > 0
+
+
+def test_one_labelled_id_with_many_texts(spark, monkeypatch):
+    docs = spark.range(5000).selectExpr("IF(id < 4000, 1, id) AS doc_id", "concat('awful text ', id) AS text")
+    labels = spark.createDataFrame([(1, 1), (4501, 0)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "_logistic", lambda x, y: seen.append(len(x)) or (np.zeros(x.shape[1]), 0.0))
+    toxicity.train(docs, labels, max_labelled=50)
+    assert not seen or seen[0] < 120
