@@ -1,0 +1,23 @@
+"""The driver's entry: queries and their SQL, with and without the optional parts."""
+
+import subprocess
+import sys
+from pathlib import Path
+
+ROOT = Path(__file__).resolve().parent.parent
+COUNT = "import __spark_entry__ as e; q = e.queries(); print(len(q), sum(k.startswith('op') for k in q), set(e.oracle_sql()) <= set(q))"
+
+
+def _entry(before: str = "") -> list[str]:
+    out = subprocess.run([sys.executable, "-c", before + COUNT], cwd=ROOT, capture_output=True, text=True, check=True)
+    return out.stdout.split()
+
+
+def test_a_missing_library_leaves_the_other_queries():
+    n, ops, known = _entry("import sys; sys.modules['zstandard'] = None\n")
+    assert (n, ops, known) == ("29", "0", "True")
+
+
+def test_every_sql_has_a_query():
+    n, ops, known = _entry()
+    assert int(n) >= 29 and known == "True"
