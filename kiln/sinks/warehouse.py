@@ -1,7 +1,7 @@
 """The two warehouse tables and their loads.
 
 ``sensor_readings`` is a Parquet table partitioned by ``reading_date``;
-``customers`` is a Parquet table published in versions. Both live in a
+``customers`` is one partitioned by ``key_bucket``, a hash of the key. Both live in a
 database whose location is under the shared folder (``spark.checkpoint.dir``
 by default), so every executor sees the same files.
 
@@ -23,14 +23,16 @@ Loads (SURVEY 2.2, 2.3, 2.5):
   (``publish_staged_days``).
 * S14: ranges of ids are reserved in a log under the root before rows are
   numbered, so loads that run at the same time never share ids.
-* C1 reload, C11 update: a new version folder is written and then the table
-  is pointed at it (``ALTER TABLE ... SET LOCATION``), so a reader never sees
-  a half-written table and the table being read is never overwritten in place.
-* C10 insert: keys already present are an error (or skipped with ``ignore``).
-* Customer keys are unique and not NULL: checked in the publish itself, on
-  rows that are hash-partitioned by key anyway.
+* C11 update: only the partitions of the updated keys are read and written, by
+  a dynamic overwrite that swaps them when its job commits, so a failed job
+  leaves the old rows. C1 reload: the same for all partitions; those that the new
+  state has no row of are dropped afterwards.
+* C10 insert: keys already present are an error (or skipped with ``ignore``);
+  only the partitions of the batch's keys are read for that.
+* Customer keys are unique and not NULL: checked in the write itself, on
+  rows that are partitioned by the key's hash anyway.
 * C12 with the built-in rule (``score_pending_in_place``): one projection
-  over the table and one versioned write, no join.
+  over the partitions that have pending rows, no join.
 """
 
 from __future__ import annotations
@@ -41,10 +43,9 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
-from datetime import date, datetime, timezone
+from datetime import date
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,6 +65,7 @@ TARGET_SCHEMA = T.StructType(
         T.StructField("reading_date", T.DateType()),
     ]
 )
+_BUCKET = "key_bucket"
 _VALUE_COLUMNS = "sensor_id, timestamp, temperature_c, temperature_f"
 
 
@@ -138,8 +140,8 @@ def _uid() -> str:
 
 
 def _unique_keys(rows: DataFrame) -> DataFrame:
-    """Fail on a NULL or repeated ``user_id``; the rows are partitioned by it, so this only sorts within partitions."""
-    nth = F.row_number().over(Window.partitionBy("user_id").orderBy("user_id"))
+    """Fail on a NULL or repeated ``user_id``; the rows are partitioned by its hash, so this only sorts within partitions."""
+    nth = F.row_number().over(Window.partitionBy(_BUCKET, "user_id").orderBy("user_id"))
     checked = rows.withColumn("_kiln_nth", nth).where(
         F.when(F.col("user_id").isNull(), F.raise_error(F.lit("NULL user_id")))
         .when(F.col("_kiln_nth") > 1, F.raise_error(F.concat(F.lit("duplicate user_id "), F.col("user_id"))))
@@ -156,11 +158,11 @@ class Warehouse:
     loads that run at the same time never share ids, ids of deleted rows are
     not reused and no scan of the table is needed to find the maximum.
 
-    ``customer_buckets``: the customer table is bucketed by ``user_id`` into
-    this many buckets (default: ``spark.sql.shuffle.partitions`` when the
-    table is created; keep it at least that large, or Spark reshuffles for
-    parallelism). A keyed update whose batch is too big to broadcast then
-    shuffles only the batch; the table is read bucket by bucket in place.
+    ``customer_buckets``: the customer table is partitioned by the hash of
+    ``user_id`` into this many partitions (default:
+    ``spark.sql.shuffle.partitions`` when the table is created). The number is
+    part of the table's folder name, so another session finds it again. An
+    update or insert touches the partitions of its keys only.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None, database: str | None = None,
@@ -210,58 +212,49 @@ class Warehouse:
                     if "FileNotFoundException" not in str(e):  # a new table has no folder yet
                         raise
         if not catalog.tableExists(self.customer_table):
-            current = None if self._fresh else self._read_pointer()
-            version, buckets = current or (
-                self._new_version(),
-                self._buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions")),
-            )
+            found = None if self._fresh else self._customer_folder()
+            n = found or self._buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {self.customer_table} ({CUSTOMERS_DDL}) "
-                f"USING parquet CLUSTERED BY (user_id) INTO {buckets} BUCKETS LOCATION '{self._version_path(version)}'"
-            )
-            if current is None and not self._fresh:
-                self._write_pointer(version, buckets)  # rows inserted into this first version are found again
+                f"CREATE TABLE IF NOT EXISTS {self.customer_table} ({CUSTOMERS_DDL}, {_BUCKET} INT) "
+                f"USING parquet PARTITIONED BY ({_BUCKET}) OPTIONS ('partitionOverwriteMode' = 'dynamic') "
+                f"LOCATION '{self._customer_path(n)}'")
+            if found:
+                catalog.recoverPartitions(self.customer_table)
         self._buckets = self._table_buckets()
         return [self.sensor_table, self.customer_table]
 
-    @property
-    def _pointer(self) -> str:
-        return f"{self.root}/customers_current"
-
-    def _read_pointer(self) -> tuple[str, int] | None:
-        """The latest published customer version and its bucket count, if any.
+    def _customer_path(self, n: int) -> str:
+        return f"{self.root}/customers_by_{n}"
 
-        Each publish appends one line with the version's name, relative to
-        the root; names sort by time, so the largest is the latest, however the
-        root is spelled. Nothing is overwritten, so a crash while publishing
-        leaves either the new line or only the older ones.
-        """
-        try:
-            # lines of earlier releases hold a whole path: its last part is the name
-            latest = self.spark.read.text(self._pointer).agg(F.max(F.substring_index("value", "/", -1))).first()[0]
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":  # nothing published yet
-                raise
-            return None
-        if latest is None:
-            return None
-        version, buckets = latest.split("\t")
-        return version, int(buckets)
-
-    def _write_pointer(self, version: str, buckets: int) -> None:
-        line = self.spark.createDataFrame([(f"{version}\t{buckets}",)], "value string")
-        line.coalesce(1).write.mode("append").text(self._pointer)
+    def _customer_folder(self) -> int | None:
+        """The number of partitions of the customer table whose folder is under the root, if there is one."""
+        path, fs = hadoop_path(self.spark, self.root)
+        names = [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
+        counts = [int(n.removeprefix("customers_by_")) for n in names if n.startswith("customers_by_")]
+        return counts[0] if counts else None
 
     def _table_buckets(self) -> int:
-        """Bucket count as stored in the catalog (the table may predate this object)."""
-        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.customer_table}").where("col_name = 'Num Buckets'").collect()
-        return int(rows[0].data_type)
+        """The number of partitions, from the table's location (the table may predate this object)."""
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.customer_table}").where("col_name = 'Location'").collect()
+        return int(rows[0].data_type.rstrip("/").rpartition("_")[2])
 
     def sensor_readings(self) -> DataFrame:
         return self.spark.read.table(self.sensor_table)
 
     def customers(self) -> DataFrame:
-        return self.spark.read.table(self.customer_table)
+        return self.spark.read.table(self.customer_table).drop(_BUCKET)
+
+    def _in_buckets(self, buckets: list[int]) -> DataFrame:
+        """The customers of some partitions; the others are not read."""
+        return self.spark.read.table(self.customer_table).where(F.col(_BUCKET).isin(buckets)).drop(_BUCKET)
+
+    def _bucket(self) -> Column:
+        n = self._buckets or self._table_buckets()
+        return F.pmod(F.xxhash64("user_id"), F.lit(n)).cast("int").alias(_BUCKET)
+
+    def _touched(self, rows: DataFrame) -> list[int]:
+        """The partitions that the keys of ``rows`` are in: no more than the table has."""
+        return sorted(r[0] for r in rows.select(self._bucket()).distinct().collect() if r[0] is not None)
 
     # ---- sensor loads ----------------------------------------------------
     def _view(self, df: DataFrame) -> str:
@@ -519,34 +512,15 @@ class Warehouse:
         self.spark.catalog.refreshTable(self.sensor_table)
 
     # ---- customer writes ---------------------------------------------------
-    def _new_version(self) -> str:
-        stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")  # sorts by time
-        return f"v{stamp}_{_uid()}"
-
-    def _version_path(self, version: str) -> str:
-        return f"{self.root}/customers_versions/{version}"
-
-    def vacuum_customers(self, keep: int = 2) -> list[str]:
-        """Remove all but the latest ``keep`` published customer versions; returns their names."""
-        lines = self.spark.read.text(self._pointer).select(
-            F.substring_index(F.substring_index("value", "/", -1), "\t", 1).alias("v")).distinct()
-        old = [r.v for r in lines.orderBy(F.col("v").desc()).collect()][max(1, keep):]  # one row for each publish
-        for version in old:
-            remove_dir(self.spark, self._version_path(version))
-        return old
-
-    def _publish_customers(self, rows: DataFrame, clustered: bool = False) -> str:
-        """Write a full new version, bucketed like the table, then switch the table to it.
-
-        ``clustered``: the rows come from a read of this table, whose keys were
-        checked when they came in, and are written without a shuffle: one file
-        for each bucket where Spark scans the table by bucket, a file for each
-        scan task and bucket where it does not (it may turn bucketed scans off
-        in a plan without a join). Otherwise they are first hash-partitioned by
-        ``user_id`` into the bucket count, so that every bucket is one file,
-        and a NULL or repeated key fails the job.
+    def _write_customers(self, rows: DataFrame, checked: bool = False, whole: bool = False) -> None:
+        """Replace the partitions that ``rows`` holds (``whole``: and drop the others).
+
+        ``checked``: the rows come from a read of this table, whose keys were
+        checked when they came in, and are written without a shuffle. Otherwise
+        they are first hash-partitioned like the table, so that every partition
+        is written by one task, and a NULL or repeated key fails the job.
         """
-        checked = rows.select(
+        rows = rows.select(
             F.when(F.length("user_id") > 50, F.raise_error(F.lit("user_id longer than VARCHAR(50)")))
             .otherwise(F.col("user_id"))
             .alias("user_id"),
@@ -557,24 +531,34 @@ class Warehouse:
             .otherwise(F.col("grade"))
             .alias("grade"),
             F.col("created_at").cast("timestamp"),
-        )
-        n = self._buckets or self._table_buckets()
-        if not clustered:
-            checked = _unique_keys(checked.repartition(n, "user_id"))
-        version = self._new_version()
-        path = self._version_path(version)
-        staging_name = f"{self.database}.customers_publish_{_uid()}"
-        checked.write.mode("errorifexists").bucketBy(n, "user_id").option("path", path).saveAsTable(staging_name)
-        self.spark.sql(f"DROP TABLE {staging_name}")  # external: the files stay
-        self.spark.sql(f"ALTER TABLE {self.customer_table} SET LOCATION '{path}'")
+        ).withColumn(_BUCKET, self._bucket())
+        if not checked:
+            rows = _unique_keys(rows.repartition(self._buckets or self._table_buckets(), _BUCKET))
+        obs = Observation(f"customers_{_uid()}")
+        held = F.collect_set(_BUCKET).alias("held")  # no more than the table has partitions
+        view = self._view(rows.observe(obs, held))
+        try:
+            self.spark.sql(f"INSERT OVERWRITE TABLE {self.customer_table} PARTITION ({_BUCKET}) "
+                           f"SELECT {', '.join(rows.columns)} FROM {view}")
+        finally:
+            self.spark.catalog.dropTempView(view)
+        if whole:
+            self._drop_buckets({*range(self._buckets or self._table_buckets())} - {*observed(obs, rows, held)["held"]})
+
+    def _drop_buckets(self, buckets: set[int]) -> None:
+        """Drop partitions with one statement, and their files (they outlive the catalog's entries)."""
+        if not buckets:
+            return
+        parts = ", ".join(f"PARTITION ({_BUCKET} = {k})" for k in sorted(buckets))
+        self.spark.sql(f"ALTER TABLE {self.customer_table} DROP IF EXISTS {parts}")
+        root = self._customer_path(self._buckets or self._table_buckets())
+        for k in buckets:
+            remove_dir(self.spark, f"{root}/{_BUCKET}={k}")
         self.spark.catalog.refreshTable(self.customer_table)
-        if not self._fresh:
-            self._write_pointer(version, n)  # lets a later session attach the same version
-        return path
 
     def reload_customers(self, applicants: DataFrame) -> None:
         """C1 ``customer_reload``: truncate and insert ``(user_id, income, loan_amt)``; scores NULL."""
-        self._publish_customers(
+        self._write_customers(
             applicants.select(
                 "user_id",
                 "income",
@@ -582,12 +566,13 @@ class Warehouse:
                 F.lit(None).cast("int").alias("credit_score"),
                 F.lit(None).cast("string").alias("grade"),
                 F.current_timestamp().alias("created_at"),
-            )
+            ),
+            whole=True,
         )
 
     def seed_customers(self, rows: DataFrame) -> None:
         """Publish a given customer state (``user_id, income, loan_amt, credit_score, grade``)."""
-        self._publish_customers(rows.select(*CUSTOMER_COLUMNS, F.current_timestamp().alias("created_at")))
+        self._write_customers(rows.select(*CUSTOMER_COLUMNS, F.current_timestamp().alias("created_at")), whole=True)
 
     def insert_scores(self, responses: DataFrame, on_conflict: str = "fail", order: str | None = None) -> int:
         """C10 ``credit_insert``: insert ``(user_id, credit_score, grade)``; other columns NULL.
@@ -598,8 +583,9 @@ class Warehouse:
         ``order`` (without an order, duplicates are an error).
 
         The batch is computed once, into a staging folder; checks and insert
-        read it from there. It is hash-partitioned into the table's buckets
-        before the write, so an insert adds at most one file to a bucket.
+        read it from there. It is hash-partitioned like the table before the
+        write, so an insert adds at most one file to a partition, and present
+        keys are looked for in the partitions of the batch's keys only.
         """
         if on_conflict not in ("fail", "ignore"):
             raise ValueError(f"unknown on_conflict {on_conflict!r}")
@@ -613,7 +599,7 @@ class Warehouse:
         spark = self.spark
         responses.select("user_id", "credit_score", "grade", *([order] if order else [])).write.parquet(path)
         staged = spark.read.parquet(path)
-        keys = self.customers().select("user_id")
+        keys = self._in_buckets(self._touched(staged)).select("user_id")
         counts = staged.groupBy("user_id").count()
         bad = counts.agg(F.count_if(F.col("user_id").isNull()), F.count_if(F.col("count") > 1)).first()
         if bad[0]:
@@ -635,18 +621,18 @@ class Warehouse:
         obs = Observation(f"insert_{_uid()}")
         n = self._buckets or self._table_buckets()
         counted = F.count(F.lit(1)).alias("n")
-        view = self._view(batch.observe(obs, counted).repartition(n, "user_id"))
+        view = self._view(batch.withColumn(_BUCKET, self._bucket()).observe(obs, counted).repartition(n, _BUCKET))
         try:
             spark.sql(
-                f"INSERT INTO {self.customer_table} (user_id, credit_score, grade) "
-                f"SELECT user_id, credit_score, grade FROM {view}"
+                f"INSERT INTO {self.customer_table} (user_id, credit_score, grade, {_BUCKET}) "
+                f"SELECT user_id, credit_score, grade, {_BUCKET} FROM {view}"
             )
         finally:
             spark.catalog.dropTempView(view)
         return observed(obs, batch, counted)["n"]
 
     def score_pending_in_place(self, salt: str = "", strict: bool = False, empty: str = "skip") -> dict[str, int]:
-        """C12 with the built-in rule, fused: one scan of the table, one write.
+        """C12 with the built-in rule, fused: one scan of the partitions with pending rows, one write of them.
 
         Scoring pending rows needs no join when the scorer is a column
         expression: every row is projected once, pending rows with a valid
@@ -655,10 +641,14 @@ class Warehouse:
         """
         from kiln.operators.contracts import batch_gate, request_checks
 
-        current = self.customers()
         is_pending = F.col("credit_score").isNull()
         if empty == "fail":
-            batch_gate(current.where(is_pending), "fail")
+            batch_gate(self.customers().where(is_pending), "fail")
+        table = self.spark.read.table(self.customer_table)
+        buckets = [r[0] for r in table.where(is_pending).select(_BUCKET).distinct().collect()]  # no more than the table has
+        if not buckets:
+            return {"rows": 0, "rows_updated": 0}
+        current = self._in_buckets(buckets)
         typed, parts = request_checks(current)
         ok = F.coalesce(*parts).isNull()
         if strict:
@@ -673,7 +663,7 @@ class Warehouse:
         ).withColumn("grade", F.when(F.col("_kiln_hit"), credit_grade("credit_score")).otherwise(F.col("grade")))
         obs = Observation(f"score_{_uid()}")
         scored = scored.observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if("_kiln_hit").alias("rows_updated"))
-        self._publish_customers(scored.drop("_kiln_hit"), clustered=True)
+        self._write_customers(scored.drop("_kiln_hit"), checked=True)
         m = obs.get
         return {"rows": int(m["rows"]), "rows_updated": int(m["rows_updated"])}
 
@@ -681,11 +671,22 @@ class Warehouse:
         """C11 ``credit_update_by_key``: ``UPDATE customers SET credit_score, grade WHERE user_id``.
 
         Last duplicate wins by ``order`` (without one, duplicates are an
-        error); unknown keys are ignored; the new state is published as a new version.
+        error); unknown keys are ignored. The updates are computed once, into a
+        staging folder; then the partitions of their keys are read, joined and
+        replaced. ``rows``: the rows of those partitions.
         """
-        obs = Observation(f"update_{_uid()}")
-        merged = apply_updates(self.customers(), updates.select("user_id", "credit_score", "grade", *([order] if order else [])), order=order)
-        merged = merged.observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if("_kiln_hit").alias("rows_updated"))
-        self._publish_customers(merged.drop("_kiln_hit"), clustered=True)
-        m = obs.get
-        return {"rows": int(m["rows"]), "rows_updated": int(m["rows_updated"])}
+        path = scratch_dir(self.spark, "update")
+        try:
+            updates.select("user_id", "credit_score", "grade", *([order] if order else [])).write.parquet(path)
+            staged = self.spark.read.parquet(path)
+            buckets = self._touched(staged.where("user_id IS NOT NULL"))
+            if not buckets:
+                return {"rows": 0, "rows_updated": 0}
+            obs = Observation(f"update_{_uid()}")
+            counts = (F.count(F.lit(1)).alias("rows"), F.count_if("_kiln_hit").alias("rows_updated"))
+            merged = apply_updates(self._in_buckets(buckets), staged, order=order)
+            self._write_customers(merged.observe(obs, *counts).drop("_kiln_hit"), checked=True)
+            m = observed(obs, merged, *counts)
+            return {"rows": int(m["rows"]), "rows_updated": int(m["rows_updated"])}
+        finally:
+            remove_dir(self.spark, path)

@@ -183,26 +183,71 @@ def test_insert_is_computed_once_and_adds_one_file_to_a_bucket(spark, tmp_path):
     reqs = spark.range(1000).selectExpr("concat('C', id) AS user_id", "5000 AS income", "1 AS loan_amt").repartition(12)
     assert w.insert_scores(credit.predict_udf(reqs, scorer)) == 1000
     assert calls.value == 1000
-    files = [f for _, _, fs in os.walk(tmp_path / "ins" / "customers_versions") for f in fs if f.endswith(".parquet")]
+    files = [f for _, _, fs in os.walk(tmp_path / "ins" / "customers_by_4") for f in fs if f.endswith(".parquet")]
     assert len(files) <= 4
     again = Warehouse(spark, root=str(tmp_path / "ins"))
     again.ensure_tables()
     assert again.customers().count() == 1000  # found by another catalog
 
 
-def test_latest_version_by_stamp_and_vacuum(spark, tmp_path):
+def test_attached_again_with_its_own_number_of_partitions(spark, tmp_path):
     root = str(tmp_path / "v")
-    a = Warehouse(spark, root=f"file:{root}")
+    a = Warehouse(spark, root=f"file:{root}", customer_buckets=5)
     a.ensure_tables()
     a.reload_customers(spark.createDataFrame([("C1", 1, 1)], REQ))
-    b = Warehouse(spark, root=root)  # the same folder, spelled otherwise
+    b = Warehouse(spark, root=root, customer_buckets=3)  # the same folder, spelled otherwise
     b.ensure_tables()
     b.reload_customers(spark.createDataFrame([("C1", 1, 1), ("C2", 2, 2)], REQ))
     c = Warehouse(spark, root=f"file:{root}")
     c.ensure_tables()
-    assert c.customers().count() == 2
-    assert len(c.vacuum_customers(keep=1)) == 2  # the empty first version and the one-row version
-    assert c.customers().count() == 2
+    assert c.customers().count() == 2 and c._buckets == b._buckets == 5
+    c.reload_customers(spark.createDataFrame([], REQ))  # truncated: every partition goes
+    d = Warehouse(spark, root=root)
+    d.ensure_tables()
+    assert d.customers().count() == 0
+
+
+def _files(top):
+    import os
+
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(top) for f in fs if f.endswith(".parquet")}
+
+
+def test_update_and_insert_touch_their_partitions_only(spark, tmp_path):
+    w = Warehouse(spark, root=str(tmp_path / "t"), customer_buckets=64)
+    w.ensure_tables()
+    w.reload_customers(spark.range(2000).selectExpr("concat('C', id) AS user_id", "5000 AS income", "1 AS loan_amt"))
+    before = _files(tmp_path / "t" / "customers_by_64")
+    ups = spark.range(10).selectExpr("concat('C', id * 100) AS user_id", "700 AS credit_score", "'B' AS grade")
+    touched = set(w._touched(ups))
+    assert 1 < len(touched) <= 10
+    assert w.update_scores(ups)["rows_updated"] == 10
+    after = _files(tmp_path / "t" / "customers_by_64")
+    changed = {p.split("key_bucket=")[1].split("/")[0] for p in set(before.items()) ^ set(after.items()) for p in [p[0]]}
+    assert changed == {str(k) for k in touched}
+    assert w.customers().count() == 2000 and w.customers().where("credit_score = 700").count() == 10
+    plan = w._in_buckets(sorted(touched))._jdf.queryExecution().executedPlan().toString()
+    assert "key_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    # an insert adds files to its own partitions, and a clash is found there
+    new = spark.createDataFrame([("N1", 1, "C")], "user_id string, credit_score int, grade string")
+    assert w.insert_scores(new) == 1
+    added = set(_files(tmp_path / "t" / "customers_by_64")) - set(after)
+    assert len(added) == 1 and f"key_bucket={w._touched(new)[0]}/" in added.pop()
+    with pytest.raises(ValueError, match="exists"):
+        w.insert_scores(new)
+
+
+def test_failed_update_leaves_the_old_rows(spark, tmp_path):
+    w = Warehouse(spark, root=str(tmp_path / "f"), customer_buckets=4)
+    w.ensure_tables()
+    w.seed_customers(spark.createDataFrame([("C1", 1, 1, 500, "C"), ("C2", 2, 2, None, None)], "user_id string, income int, loan_amt int, credit_score int, grade string"))
+    before = _state(w)
+    with pytest.raises(Exception, match="VARCHAR"):
+        w.update_scores(spark.createDataFrame([("C1", 700, "B" * 20)], "user_id string, credit_score int, grade string"))
+    with pytest.raises(Exception, match="duplicate|NULL"):
+        w.reload_customers(spark.createDataFrame([("C7", 1, 1), ("C7", 2, 2)], REQ))
+    assert _state(w) == before
+    assert w.update_scores(spark.createDataFrame([(None, 700, "B")], "user_id string, credit_score int, grade string"))["rows_updated"] == 0
 
 
 @pytest.mark.parametrize("change", ["drop", "repeat", "invent"])
@@ -228,7 +273,7 @@ def test_scorer_returns_each_key_once(spark, change):
 def test_credit_run_end_to_end_and_rerun(spark, wh):
     apps = spark.createDataFrame([("C1", 5000, 1), ("C2", 25000, 2), ("C3", None, 3)], REQ)
     counts = credit_run(wh, apps)
-    assert counts == {"rows": 3, "rows_updated": 2}
+    assert counts["rows_updated"] == 2
     s = _state(wh)
     assert s["C3"][2] is None  # invalid request stays pending
     assert s["C1"][2] == min(_draw_py("C1") + 50, 990)
@@ -284,7 +329,7 @@ def test_fused_run_keeps_scored_rows_and_strict_fails(spark, tmp_path):
     for w in (a, b):
         w.ensure_tables()
         w.seed_customers(state)
-    assert credit_run(a) == credit_run_by_key(b) == {"rows": 3, "rows_updated": 2}
+    assert credit_run(a)["rows_updated"] == credit_run_by_key(b)["rows_updated"] == 2
     cols = ["user_id", "income", "loan_amt", "credit_score", "grade"]
     got = {r.user_id: r for r in a.customers().select(*cols).collect()}
     assert sorted(got.values()) == sorted(b.customers().select(*cols).collect())

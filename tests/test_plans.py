@@ -56,18 +56,14 @@ def test_predict_is_one_projection(spark):
     assert plan.count("md5(") <= 2
 
 
-def test_large_update_shuffles_only_the_batch(spark, tmp_path):
-    from kiln.operators.credit import apply_updates, pending, predict
+def test_update_reads_the_touched_partitions(spark, tmp_path):
+    from kiln.operators.credit import apply_updates
     from kiln.sinks.warehouse import Warehouse
 
-    wh = Warehouse(spark, root=str(tmp_path / "wh"))
+    wh = Warehouse(spark, root=str(tmp_path / "wh"), customer_buckets=16)
     wh.ensure_tables()
     wh.reload_customers(applicants(spark, SF).select("user_id", "income", "loan_amt"))
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the batch were large
-    try:
-        plan = _plan(apply_updates(wh.customers(), predict(pending(wh.customers()), strict=False)))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
-    assert plan.count("Exchange hashpartitioning") == 1  # the update batch only
+    updates = wh.customers().limit(1).selectExpr("user_id", "700 AS credit_score", "'B' AS grade")
+    plan = _plan(apply_updates(wh._in_buckets(wh._touched(updates)), updates))
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "key_bucket" in filters and filters.count(" IN ") == 0  # one of sixteen
