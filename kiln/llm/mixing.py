@@ -53,6 +53,7 @@ PLACE_BITS = 66
 BITS = 6
 LAST_ROWS = 4096
 BROADCAST_ROWS = 100_000
+MOST_CHOSEN = 1_000_000  # numbers
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -71,14 +72,17 @@ def seeded_hash(doc_id: str = "doc_id", text: str = "text", seed: str = SEED) ->
     return _bits60(F.concat(F.lit(f"{seed}:"), own))
 
 
-def sized(docs: DataFrame, membership: Column | None, seed: str, place: Column | None = None) -> DataFrame:
-    """``doc_id, source, membership, pattern, size, h, tie, place`` of each row, written once."""
-    place = F.monotonically_increasing_id() if place is None else place
+def _sized_columns(membership: Column | None, seed: str) -> list[Column]:
     own = F.array("source")
     member = own if membership is None else F.coalesce(membership, own)
-    return saved(docs.select("doc_id", "source", member.alias("membership"), size_column().alias("size"),
-                             seeded_hash(seed=seed).alias("h"), _bits60(F.coalesce("text", F.lit(""))).alias("tie"),
-                             place.alias("place")).withColumn("pattern", pattern_column(F.col("membership"))), "mix-sizes")
+    return [member.alias("membership"), pattern_column(member).alias("pattern"), size_column().alias("size"),
+            seeded_hash(seed=seed).alias("h"), _bits60(F.coalesce("text", F.lit(""))).alias("tie"),
+            F.monotonically_increasing_id().alias("place")]
+
+
+def sized(docs: DataFrame, membership: Column | None, seed: str) -> DataFrame:
+    """``doc_id, source, membership, pattern, size, h, tie, place`` of each row, written once."""
+    return saved(docs.select("doc_id", "source", *_sized_columns(membership, seed)), "mix-sizes")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
@@ -299,8 +303,8 @@ def _fill(rows: pa.Table) -> pa.Table:
     return pa.table({"place": place[out]})
 
 
-def _broadcast(df: DataFrame, n: int) -> DataFrame:
-    return F.broadcast(df) if n <= BROADCAST_ROWS else df
+def _broadcast(df: DataFrame, n: int, most: int = BROADCAST_ROWS) -> DataFrame:
+    return F.broadcast(df) if n <= most else df
 
 
 def plan(sizes: DataFrame, targets: DataFrame, max_repeats: int = MAX_REPEATS) -> tuple[DataFrame, DataFrame]:
@@ -314,12 +318,6 @@ def plan(sizes: DataFrame, targets: DataFrame, max_repeats: int = MAX_REPEATS) -
     return cuts(sizes, {p: divmod(out[p], size) if size else (0, 0) for p, _, size in patterns}, {r.pattern: r.n for r in groups})
 
 
-def _free(df: DataFrame, name: str) -> str:
-    while name.lower() in {c.lower() for c in df.columns}:
-        name += "_"
-    return name
-
-
 def pattern_column(membership: Column) -> Column:
     return F.to_json(F.array_sort(F.array_distinct(membership)))
 
@@ -339,7 +337,7 @@ def mix(docs: DataFrame, membership: Column | None = None, weights: tuple[int, .
 
 def _with_times(sizes: DataFrame, cut: DataFrame, chosen: DataFrame) -> DataFrame:
     """``times``: how often each row is taken."""
-    extra = _small(chosen.select(F.col("place").alias("chosen")), "mix-chosen-places")
+    extra = _broadcast(chosen.select(F.col("place").alias("chosen")), chosen.count(), MOST_CHOSEN)
     rows = sizes.join(_small(cut, "mix-cuts"), "pattern").join(extra, F.col("place") == F.col("chosen"), "left")
     return rows.withColumn("times", F.col("passes") + (_before_range() | F.col("chosen").isNotNull()).cast("long"))
 
@@ -356,10 +354,9 @@ def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int =
 
     membership: as in ``mix``. Rows without words are in no quota; they go with their hash like the others.
     """
-    tag, copy = _free(docs, "_kiln_mix"), _free(docs, "_kiln_copy")
-    held = saved(docs.withColumn(tag, F.monotonically_increasing_id()), "mix-docs")
-    sizes = sized(held, membership, seed, F.col(tag))
-    cut, chosen = plan(sizes, source_targets(sizes, weights, max_repeats), max_repeats)
-    times = saved(_with_times(sizes, cut, chosen).where("times > 0").select(
-        F.col("place").alias(tag), F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias(copy)), "mix-times")
-    return held.join(times, tag).select(*(F.col(f"`{c}`") for c in docs.columns))
+    # whole rows as one column, so that names do not clash; the choice joins small tables to them and moves no text
+    held = saved(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *_sized_columns(membership, seed)), "mix-docs")
+    sizes = held.select("row.doc_id", "row.source", "membership", "pattern", "size", "h", "tie", "place")
+    rows = _with_times(held, *plan(sizes, source_targets(sizes, weights, max_repeats), max_repeats))
+    copies = F.when(F.col("times") > 0, F.sequence(F.lit(1).cast("long"), F.col("times"))).otherwise(F.array().cast("array<bigint>"))
+    return rows.select("row", F.explode(copies)).select("row.*")
