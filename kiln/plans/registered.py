@@ -194,6 +194,18 @@ def sensor_load_append(spark, d):
     return _table_rows(wh)
 
 
+def sensor_append_once(spark, d):
+    """Two batches keyed by id, each loaded again as a restarted driver would: every reading is there once."""
+    wh = Warehouse(spark, batch_ids=True)
+    wh.ensure_tables()
+    rows = _clean(spark, d)
+    early = F.coalesce(F.to_date("timestamp") < F.lit(DS).cast("date"), F.lit(False))
+    for _ in range(2):
+        wh.load_append(rows.where(early), batch_id="early")
+        wh.load_append(rows.where(~early), batch_id="late")
+    return wh.sensor_readings().select("batch_id", *SENSOR_TARGET_COLUMNS)
+
+
 def sensor_day(spark, d):
     return sensor.day(_table_rows(_sensor_warehouse(spark, d)), DS)
 
@@ -228,12 +240,12 @@ def sensor_trailing_days(spark, d):
 
 def sensor_run_chain(spark, d):
     """Three runs in one root: everything; then DS again with every reading over the limit, which empties
-    that day; then an append of everything (text hand-off), which adds just those rows."""
+    that day; then an append of everything (text hand-off, sealed and checked), which adds just those rows."""
     wh, root, rows = Warehouse(spark), scratch_dir(spark, "chain"), readings(spark, d)
     run_chain(spark, rows, root, wh)
     hot_day = sensor.day(rows, DS, None).withColumn("temperature", F.col("temperature") + 1000)
     run_chain(spark, hot_day, root, wh, keep_quarantine=True)
-    run_chain(spark, rows, root, wh, mode="append", handoff="text")
+    run_chain(spark, rows, root, wh, mode="append", handoff="text", manifest="rows")
     return _table_rows(wh)
 
 
@@ -377,6 +389,7 @@ QUERIES: dict[str, Query] = {
     "sensor_project_target": sensor_project_target,
     "sensor_load_overwrite_day": sensor_load_overwrite_day,
     "sensor_load_append": sensor_load_append,
+    "sensor_append_once": sensor_append_once,
     "sensor_day": sensor_day,
     "sensor_dense_ids": sensor_dense_ids,
     "sensor_load_audit": sensor_load_audit,
@@ -470,6 +483,8 @@ ORACLE_SQL: dict[str, str] = {
     "sensor_load_overwrite_day": _SENSOR + f"""SELECT {_T} FROM stale WHERE reading_date IS DISTINCT FROM DATE '{DS}'
         UNION ALL SELECT {_T} FROM target WHERE {_IN_FILE}""",
     "sensor_load_append": _SENSOR + f"SELECT {_T} FROM target UNION ALL SELECT {_T} FROM target",
+    "sensor_append_once": _SENSOR + f"""SELECT {_T},
+        CASE WHEN reading_date < DATE '{DS}' THEN 'early' ELSE 'late' END AS batch_id FROM target""",
     "sensor_day": _SENSOR + f"SELECT {_T} FROM target WHERE reading_date = DATE '{DS}'",
     "sensor_dense_ids": _SENSOR + "SELECT *, row_number() OVER (ORDER BY timestamp NULLS FIRST, event_id NULLS FIRST) AS id FROM target",
     "sensor_load_audit": _SENSOR + f"""SELECT 'day' AS load, DATE '{DS}' AS ds,

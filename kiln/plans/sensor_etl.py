@@ -7,6 +7,8 @@ over its own folder (``.../run=<id>``), so a stage sees that run's batch and
 nothing landed before. With ``ds=None`` a stage handles every day in its input
 in one job (a backfill): the run date of a row is the date of its timestamp,
 or the date in its file's name where the source carries ``file_date``.
+A run with ``manifest`` ends each stage by writing what its folder holds, and
+begins the next by comparing: a hand-off that lost or changed a file is refused.
 
 Records that did not parse, have no valid timestamp, or are not normal are
 never loaded; the quarantine keeps them with the reason.
@@ -26,6 +28,7 @@ from kiln.operators.sensor import filter_normal, to_fahrenheit
 from kiln.schemas import CLEAN_READING, CORRUPT, RAW_READING
 from kiln.session import observed
 from kiln.sinks.files import land_raw, write_clean_csv
+from kiln.sinks.manifest import check, seal
 from kiln.sinks.warehouse import LoadAudit, Warehouse
 from kiln.sources.files import read_clean_csv, scan_raw_json
 
@@ -45,17 +48,24 @@ def _require(path: str | None, what: str) -> str:
     return path
 
 
+def _sealed(spark: SparkSession, path: str, fmt: str, manifest: str | None) -> str:
+    if manifest not in (None, "files", "rows"):
+        raise ValueError(f"unknown manifest {manifest!r}")
+    return seal(spark, path, fmt, manifest == "rows") if manifest else path
+
+
 def extract_stage(source: DataFrame, raw_root: str, ds: str | date | None = None,
-                  timestamp_format: str | None = None, fmt: str = "json") -> str:
-    """Stage 1: land raw readings (S2); returns the path handed to stage 2.
+                  timestamp_format: str | None = None, fmt: str = "json", manifest: str | None = None) -> str:
+    """Stage 1: land raw readings (S2); returns the path handed to stage 2, sealed if ``manifest`` says so.
 
     A ``file_date`` column in the source (``scan_raw_json(with_file_date=True)``)
     keys a multi-day landing by the file's date instead of the row's.
     """
     by_file = FILE_DATE in source.columns
     extra = [c for c in (FILE_DATE, CORRUPT) if c in source.columns and (c != CORRUPT or fmt == "parquet")]
-    return land_raw(source.select(*RAW_COLUMNS, *extra), raw_root, None if ds is None else str(ds), timestamp_format,
+    path = land_raw(source.select(*RAW_COLUMNS, *extra), raw_root, None if ds is None else str(ds), timestamp_format,
                     fmt, FILE_DATE if by_file else None)
+    return _sealed(source.sparkSession, path, fmt, manifest)
 
 
 def _raw(spark: SparkSession, path: str, fmt: str) -> DataFrame:
@@ -86,16 +96,20 @@ def _clean_counts(spark: SparkSession, path: str, fmt: str) -> dict[str | None,
 def transform_stage(spark: SparkSession, raw_path: str, clean_root: str, ds: str | date | None = None,
                     limit: float = TEMP_LIMIT_C, timestamp_format: str | None = None,
                     metrics: dict | None = None, quarantine_root: str | None = None,
-                    raw_fmt: str = "json", fmt: str = "csv") -> str:
+                    raw_fmt: str = "json", fmt: str = "csv", manifest: str | None = None) -> str:
     """Stage 2: S1 scan -> S7 -> S8 -> S3 clean file; returns the path handed to stage 3.
 
+    A landing with a manifest is compared with it first; with ``manifest``
+    there has to be one, and the clean folder gets its own.
+
     Rows read and rows kept are observed on the write itself (no second pass)
     and put into ``metrics`` when given. With ``quarantine_root`` the rejected
     records are kept as Parquet under ``quarantine_root/ds=...`` with their
     reason and, if they did not parse, their text; that is a second scan of
     the landed batch, nothing is held on executors in between.
     """
-    raw = _raw(spark, _require(raw_path, "transform"), raw_fmt)
+    check(spark, _require(raw_path, "transform"), raw_fmt, required=bool(manifest))
+    raw = _raw(spark, raw_path, raw_fmt)
     # a multi-day landing keeps its own run dates, whether they are the rows' or the files'
     by_day = ds is None and "ds" in raw.columns
     key = [F.col("ds").cast("date").alias(FILE_DATE)] if by_day else []
@@ -116,18 +130,21 @@ def transform_stage(spark: SparkSession, raw_path: str, clean_root: str, ds: str
             rejected.write.mode("overwrite").parquet(f"{quarantine_root}/ds={ds}")
     if metrics is not None:
         metrics.update(observed(obs, raw, *counts))
-    return path
+    return _sealed(spark, path, fmt, manifest)
 
 
 def load_stage(spark: SparkSession, clean_path: str, warehouse: Warehouse, ds: str | date | None = None,
                mode: str = "overwrite", rows_rejected: int = 0, fmt: str = "csv",
                days: list[str] | None = None, by_file: bool = False,
-               rejected_by_day: dict[str | None, int] | None = None) -> LoadAudit:
+               rejected_by_day: dict[str | None, int] | None = None, manifest: str | None = None) -> LoadAudit:
     """Stage 3: S4 read -> S10 -> load. ``overwrite`` replaces the day ``ds``
     (S11) or, with no ``ds``, the given ``days`` and every day in the batch
     (a day of which nothing is left is emptied); ``append`` is S12. ``by_file``:
-    the days are the files' own, and rows dated otherwise are appended."""
+    the days are the files' own, and rows dated otherwise are appended. A clean
+    folder is compared with its manifest before anything is replaced; with
+    ``manifest`` there has to be one."""
     path = _require(clean_path, "load")
+    check(spark, path, fmt, required=bool(manifest))
     if fmt == "csv":
         clean = read_clean_csv(spark, path)
     else:
@@ -147,28 +164,30 @@ def load_stage(spark: SparkSession, clean_path: str, warehouse: Warehouse, ds: s
 def run_chain(spark: SparkSession, source: DataFrame, root: str, warehouse: Warehouse,
               ds: str | date | None = None, mode: str = "overwrite",
               timestamp_format: str | None = None, keep_quarantine: bool = False,
-              handoff: str = "parquet", run_id: str | None = None) -> LoadAudit:
+              handoff: str = "parquet", run_id: str | None = None, manifest: str | None = None) -> LoadAudit:
     """S17 ``sensor_run_chain``: extract -> transform -> load; paths keyed by job name (``sensor_chain``) and run.
 
     ``handoff``: ``parquet`` (typed, compressed, splittable) or ``text`` (JSON
-    Lines and CSV, as the reference's files).
+    Lines and CSV, as the reference's files). ``manifest``: hand-offs are sealed
+    and checked (``kiln.sinks.manifest``), by ``files`` (place, length, rows) or
+    by ``rows`` (a checksum of every row too, which reads the folder twice more).
     """
     if handoff not in ("parquet", "text"):
         raise ValueError(f"unknown handoff {handoff!r}")
     raw_fmt, fmt = ("parquet", "parquet") if handoff == "parquet" else ("json", "csv")
     base, run = f"{root.rstrip('/')}/sensor_chain", f"run={run_id or uuid.uuid4().hex[:12]}"
-    raw_path = extract_stage(source, f"{base}/raw/{run}", ds, timestamp_format, raw_fmt)
+    raw_path = extract_stage(source, f"{base}/raw/{run}", ds, timestamp_format, raw_fmt, manifest)
     metrics: dict = {}
     clean_path = transform_stage(spark, raw_path, f"{base}/clean/{run}", ds, timestamp_format=timestamp_format,
                                  metrics=metrics, quarantine_root=f"{base}/quarantine/{run}" if keep_quarantine else None,
-                                 raw_fmt=raw_fmt, fmt=fmt)
+                                 raw_fmt=raw_fmt, fmt=fmt, manifest=manifest)
     days = rejected = None
     if ds is None and mode == "overwrite":
         raw_days, clean_days = day_counts(spark, raw_path, raw_fmt), _clean_counts(spark, clean_path, fmt)
         days = sorted(d for d in raw_days if d is not None)
         rejected = {d: n - clean_days.get(d, 0) for d, n in raw_days.items() if n > clean_days.get(d, 0)}
     return load_stage(spark, clean_path, warehouse, ds, mode, metrics["rows_raw"] - metrics["rows_clean"], fmt, days,
-                      FILE_DATE in source.columns, rejected)
+                      FILE_DATE in source.columns, rejected, manifest)
 
 
 def run_daily(spark: SparkSession, raw_path: str, ds: str | date, root: str, warehouse: Warehouse,

@@ -15,7 +15,10 @@ Loads (SURVEY 2.2, 2.3, 2.5):
   empty batch, a static ``INSERT OVERWRITE ... PARTITION (reading_date = ds)``
   that empties it - and rows dated otherwise are appended. A failed publish
   can be retried from the staging folder (``publish_staged_day``).
-* S12 ``load_append``: plain insert; a rerun duplicates rows, by design.
+* S12 ``load_append``: plain insert; a rerun duplicates rows, by design. With a
+  ``batch_id`` (a warehouse with ``batch_ids``) a batch is added once: its rows
+  carry the id, a marker under the root says that it is whole, and a rerun
+  after a failure adds the rows that are missing, none twice.
 * ``load_overwrite_days``: backfill form, replaces every day present in the
   batch (dynamic partition overwrite) in one job, and then drops the given days
   of which the batch has no row with one ``ALTER TABLE``. What can fail in the
@@ -37,6 +40,7 @@ Loads (SURVEY 2.2, 2.3, 2.5):
 
 from __future__ import annotations
 
+import hashlib
 import threading
 import time
 import uuid
@@ -158,6 +162,9 @@ class Warehouse:
     loads that run at the same time never share ids, ids of deleted rows are
     not reused and no scan of the table is needed to find the maximum.
 
+    ``batch_ids``: the sensor table gets a ``batch_id`` column, which appends
+    keyed by batch fill (S12).
+
     ``customer_buckets``: the customer table is partitioned by the hash of
     ``user_id`` into this many partitions (default:
     ``spark.sql.shuffle.partitions`` when the table is created). The number is
@@ -166,13 +173,14 @@ class Warehouse:
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None, database: str | None = None,
-                 customer_buckets: int | None = None, sensor_ids: bool = False):
+                 customer_buckets: int | None = None, sensor_ids: bool = False, batch_ids: bool = False):
         self.spark = spark
         self._fresh = root is None  # a new scratch folder: nothing to attach again
         self.root = (root or scratch_dir(spark, "warehouse")).rstrip("/")
         self.database = database or f"kiln_{_uid()}"
         self._buckets = customer_buckets
         self.sensor_ids = sensor_ids
+        self.batch_ids = batch_ids
         self._cols = ("id, " if sensor_ids else "") + _VALUE_COLUMNS
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root}'")
 
@@ -195,7 +203,8 @@ class Warehouse:
         """
         catalog = self.spark.catalog
         if not catalog.tableExists(self.sensor_table):
-            id_column = "id BIGINT," if self.sensor_ids else ""
+            id_column = "id BIGINT, " if self.sensor_ids else ""
+            id_column += "batch_id STRING, " if self.batch_ids else ""
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {self.sensor_table} ({id_column}{SENSOR_READINGS_DDL}) "
                 "USING parquet PARTITIONED BY (reading_date) "
@@ -410,24 +419,54 @@ class Warehouse:
             spark.catalog.dropTempView(staged)
         return LoadAudit(ds, rows_in, rows_in, deleted, rows_in - rows_day, rows_rejected)
 
-    def load_append(self, batch: DataFrame, rows_rejected: int = 0) -> LoadAudit:
-        """S12 ``sensor_load_append``: insert without delete; a rerun duplicates rows."""
+    def load_append(self, batch: DataFrame, rows_rejected: int = 0, batch_id: str | None = None) -> LoadAudit:
+        """S12 ``sensor_load_append``: insert without delete; a rerun duplicates rows.
+
+        ``batch_id``: the batch is added once. A rerun of a batch that is whole
+        adds nothing; one of a batch whose load broke off adds the rows that
+        are not there yet (multisets: equal readings count). The same id stands
+        for the same rows, and for one load at a time.
+        """
+        rows = self._target(batch)
+        if batch_id is not None:
+            if not self.batch_ids:
+                raise ValueError("appends keyed by batch need Warehouse(batch_ids=True)")
+            if self._batch_mark(batch_id, "whole", look=True):
+                return LoadAudit(None, rows.count(), 0, 0, 0, rows_rejected)
+            if self._batch_mark(batch_id, "begun", look=True):  # some of it may be there
+                days = list(self._day_counts(rows))
+                there = self.sensor_readings().where(self._in_days(days) & (F.col("batch_id") == batch_id))
+                rows = rows.exceptAll(there.select(*[F.col(f.name).cast(f.dataType) for f in TARGET_SCHEMA.fields]))
+            self._batch_mark(batch_id, "begun")
+        n = self._append(rows, batch_id)
+        if batch_id is not None:
+            self._batch_mark(batch_id, "whole")
+        return LoadAudit(None, n, n, 0, 0, rows_rejected)
+
+    def _append(self, rows: DataFrame, batch_id: str | None) -> int:
         obs = Observation(f"append_{_uid()}")
         counted = F.count(F.lit(1)).alias("rows_in")
-        with self._numbered(self._target(batch)) as target:
+        with self._numbered(rows) as target:
             # rebalanced by day: a multi-day batch leaves few files in each day's folder
-            self._insert("INTO", target.observe(obs, counted).hint("rebalance", "reading_date"))
-            n = observed(obs, target, counted)["rows_in"]
-        return LoadAudit(None, n, n, 0, 0, rows_rejected)
+            self._insert("INTO", target.observe(obs, counted).hint("rebalance", "reading_date"), batch_id)
+            return observed(obs, target, counted)["rows_in"]
+
+    def _batch_mark(self, batch_id: str, mark: str, look: bool = False) -> bool:
+        """Leave, or with ``look`` look for, an empty file that says how far the batch got."""
+        path, fs = hadoop_path(self.spark, f"{self.root}/sensor_batches/{hashlib.sha256(batch_id.encode()).hexdigest()}/{mark}")
+        if not look:
+            fs.create(path, True).close()
+        return look and fs.exists(path)
 
-    def _insert(self, how: str, rows: DataFrame) -> None:
+    def _insert(self, how: str, rows: DataFrame, batch_id: str | None = None) -> None:
         """``INSERT INTO``, or ``INSERT OVERWRITE`` of the days that ``rows`` holds."""
-        view = self._view(rows)
+        view = self._view(rows if batch_id is None else rows.withColumn("batch_id", F.lit(batch_id)))
         into = "INTO" if how == "INTO" else "OVERWRITE TABLE"
         part = "" if how == "INTO" else "PARTITION (reading_date) "
+        cols = self._cols + ("" if batch_id is None else ", batch_id")
         try:
-            self.spark.sql(f"INSERT {into} {self.sensor_table} {part}({self._cols}, reading_date) "
-                           f"SELECT {self._cols}, reading_date FROM {view}")
+            self.spark.sql(f"INSERT {into} {self.sensor_table} {part}({cols}, reading_date) "
+                           f"SELECT {cols}, reading_date FROM {view}")
         finally:
             self.spark.catalog.dropTempView(view)
 

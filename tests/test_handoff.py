@@ -1,9 +1,13 @@
 """S17: a run hands over its own batch; no value is cut on the way."""
 
+import os
+
 import pytest
+from pyspark.sql import functions as F
 
-from kiln.plans.sensor_etl import run_chain, run_daily
+from kiln.plans.sensor_etl import extract_stage, load_stage, run_chain, run_daily, transform_stage
 from kiln.sinks.files import land_raw, write_clean_csv
+from kiln.sinks.manifest import HandoffError, check, seal
 from kiln.sinks.warehouse import Warehouse
 from kiln.sources.files import read_clean_csv, scan_raw_json
 
@@ -104,3 +108,69 @@ def test_staging_is_removed(spark, tmp_path):
 
     wh.load_overwrite_day(to_fahrenheit(_rows(spark, tmp_path, ("A", "2026-04-08 10:00:00", 1.0))), "2026-04-08")
     assert set(glob.glob(f"{shared_dir(spark).removeprefix('file://')}/kiln/stage-*")) == before and _days(wh) == {"2026-04-08": 1}
+
+
+def _files(top):
+    return sorted(os.path.join(d, f) for d, _, fs in os.walk(top) for f in fs
+                  if f.startswith("part-") and os.path.basename(d) != "_manifest")
+
+
+def _cut(path, keep):
+    """A file that was not written to its end; Spark's local file system keeps a checksum beside it."""
+    with open(path, "rb") as f:
+        head = f.read()[:keep]
+    with open(path, "wb") as f:
+        f.write(head)
+    crc = os.path.join(os.path.dirname(path), f".{os.path.basename(path)}.crc")
+    if os.path.exists(crc):
+        os.remove(crc)
+
+
+@pytest.mark.parametrize("raw_fmt,fmt", [("json", "csv"), ("parquet", "parquet")])
+@pytest.mark.parametrize("harm", ["none", "cut", "lost", "added"])
+def test_a_hand_off_that_disagrees_is_refused(spark, tmp_path, raw_fmt, fmt, harm):
+    wh = Warehouse(spark, root=str(tmp_path / "wh"))
+    wh.ensure_tables()
+    rows = _rows(spark, tmp_path, *[(f"S{k}", f"2026-04-{8 + k % 3:02} 10:00:00", float(k)) for k in range(30)])
+    raw = extract_stage(rows, str(tmp_path / "raw"), fmt=raw_fmt, manifest="rows")
+    assert check(spark, raw, raw_fmt) == 30
+    clean = transform_stage(spark, raw, str(tmp_path / "clean"), raw_fmt=raw_fmt, fmt=fmt, manifest="rows")
+    one = _files(clean)[0]
+    if harm == "cut":
+        _cut(one, os.path.getsize(one) // 2)
+    elif harm == "lost":
+        os.remove(one)
+    elif harm == "added":
+        with open(one, "rb") as f, open(os.path.join(os.path.dirname(one), "part-99999.more"), "wb") as g:
+            g.write(f.read())
+    if harm == "none":
+        assert load_stage(spark, clean, wh, fmt=fmt, manifest="rows").rows_inserted == 30
+        return
+    with pytest.raises(Exception) as e:  # noqa: PT011 - half a Parquet file fails in its reader already
+        load_stage(spark, clean, wh, fmt=fmt)
+    assert isinstance(e.value, HandoffError) or (harm, fmt) == ("cut", "parquet")
+    assert wh.sensor_readings().count() == 0
+
+
+def test_manifest_sees_changed_rows_and_missing_seals(spark, tmp_path):
+    raw = land_raw(_rows(spark, tmp_path, ("A", "2026-04-08 10:00:00", 1.5)), str(tmp_path / "raw"), "2026-04-08")
+    with pytest.raises(HandoffError, match="no manifest"):
+        check(spark, raw, "json", required=True)
+    assert check(spark, raw, "json") is None
+    seal(spark, raw, "json", checksum=True)
+    one = _files(raw)[0]
+    text = open(one).read()
+    _cut(one, 0)
+    with open(one, "w") as f:
+        f.write(text.replace("1.5", "1.6"))  # same length, same number of rows
+    with pytest.raises(HandoffError, match="became"):
+        check(spark, raw, "json")
+
+
+def test_manifest_of_an_empty_batch(spark, tmp_path):
+    none = _rows(spark, tmp_path, ("A", "2026-04-08 10:00:00", 1.5)).where(F.lit(False))
+    wh = Warehouse(spark, root=str(tmp_path / "wh"))
+    for handoff in ("parquet", "text"):
+        for ds in (None, "2026-04-08"):
+            audit = run_chain(spark, none, str(tmp_path / "root"), wh, ds, handoff=handoff, manifest="files")
+            assert audit.rows_in == 0

@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE_SQL) <= set(queries()) & set(oracle_sql())
-    assert len(QUERIES) == 29
+    assert len(QUERIES) == 30
 
 
 @pytest.fixture(scope="module")

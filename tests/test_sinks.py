@@ -322,3 +322,44 @@ def test_refused_insert_leaves_no_staging(spark, wh):
     with pytest.raises(ValueError):
         wh.insert_scores(spark.createDataFrame([(None, 1, "A")], "user_id string, credit_score int, grade string"))
     assert set(glob.glob(scratch)) == before
+
+
+def test_append_keyed_by_batch_adds_a_batch_once(spark, tmp_path):
+    for ids in (False, True):
+        w = Warehouse(spark, root=str(tmp_path / f"w{ids}"), batch_ids=True, sensor_ids=ids)
+        w.ensure_tables()
+        # equal readings count, and so does one without a time
+        rows = _clean(spark, [("A", "2026-04-08 10:00:00", 1.0)] * 3 + [("B", "2026-04-09 10:00:00", 2.0)])
+        rows = rows.unionByName(rows.limit(1).withColumn("timestamp", F.lit(None).cast("timestamp_ntz")))
+        assert w.load_append(rows, batch_id="one").rows_inserted == 5
+        again = w.load_append(rows, batch_id="one")
+        assert (again.rows_in, again.rows_inserted) == (5, 0)
+        w.load_append(rows, batch_id="two")
+        w.load_append(rows)  # the default still duplicates
+        got = {r.batch_id: r.n for r in w.sensor_readings().groupBy("batch_id").agg(F.count("*").alias("n")).collect()}
+        assert got == {"one": 5, "two": 5, None: 5}
+        if ids:
+            assert w.sensor_readings().select("id").distinct().count() == 15
+
+
+def test_append_keyed_by_batch_goes_on_after_a_broken_load(spark, tmp_path, monkeypatch):
+    w = Warehouse(spark, root=str(tmp_path / "w"), batch_ids=True)
+    w.ensure_tables()
+    rows = _clean(spark, [("A", "2026-04-08 10:00:00", 1.0)] * 3 + [("B", "2026-04-09 10:00:00", 2.0)])
+    append = Warehouse._append
+
+    def broken(part):
+        def run(self, batch, batch_id):
+            append(self, batch.limit(part), batch_id)
+            raise RuntimeError("driver lost")
+        return run
+
+    for part in (2, 4, 4):  # some of the rows arrive, then all that are left, then nothing is left
+        monkeypatch.setattr(Warehouse, "_append", broken(part))
+        with pytest.raises(RuntimeError, match="driver lost"):
+            w.load_append(rows, batch_id="x")
+    monkeypatch.undo()
+    assert w.load_append(rows, batch_id="x").rows_inserted == 0
+    assert _days(w) == {"2026-04-08": 3, "2026-04-09": 1}
+    with pytest.raises(ValueError, match="batch_ids"):
+        Warehouse(spark, root=str(tmp_path / "plain")).load_append(rows, batch_id="x")
