@@ -3,22 +3,32 @@
 The templates' words make one automaton. A text is streamed through it: after
 each word, the automaton's state and length are the longest run of words ending
 there that occurs in any template (matching statistics). Where a run cannot go
-on and has ``MIN_MATCH`` words or more, it is a long match; the long matches of
-a template that follow each other in the text and in the template, with gaps of
-at most ``MAX_GAP`` words, are chained into a span, and a chain that covers
-``MIN_COVERAGE`` of its template's words gives the template's label.
+on and has ``MIN_MATCH`` words or more, it is a long match, at every place where
+a template has it. The long matches of a template that follow each other in the
+text and in the template, with gaps of at most ``MAX_GAP`` words, are chained so
+that most words are covered (the heaviest path over the matches in text order),
+and a chain that covers ``MIN_COVERAGE`` of its template's words is a span with
+the template's label. Of chains of one template that overlap in the text, the
+one that covers more stands, then the one that begins and ends earlier.
 
 The base phrases are strings of the same automaton: where a phrase ends is read
 from the state, so every place is found in the same pass.
 
 Words that are in no template reset the automaton, and runs of template words
 too short to hold the shortest phrase are skipped without a step. Texts are read
-chunk by chunk. Scalar function of the text: no shuffle. Null and empty texts
-have no words and no label; repeated rows give repeated result rows.
+chunk by chunk; between chunks only the state and the length of the open run are
+kept, so a very long text costs its own bytes, its base places and long matches.
+
+Scalar function of the text: no shuffle, no groups, so a hot source or thousands
+of copies cost nothing extra. Null and empty texts have no words and no label;
+repeated rows, and rows that share an id, give a result row each; an empty table
+gives none; columns other than ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -59,6 +69,27 @@ TEMPLATES: list[tuple[str, str]] = [
     ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
     ("cc0", "the person who associated a work with this deed has dedicated the work to the public domain"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+            "provided that the above copyright notice and this permission notice appear in all copies"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following "
+            "disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
+            "following disclaimer in the documentation and or other materials provided with the distribution"),
+    ("bsd-3", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+              "products derived from this software without specific prior written permission"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable "
+             "for any damages arising from the use of this software permission is granted to anyone to use this software for any "
+             "purpose including commercial applications and to alter it and redistribute it freely"),
+    ("bsl-1", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and "
+              "accompanying documentation covered by this license the software to use reproduce display distribute execute and "
+              "transmit the software and to prepare derivative works of the software"),
+    ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use "
+                  "compile sell or distribute this software either in source code form or as a compiled binary for any purpose "
+                  "commercial or non commercial and by any means"),
+    ("agpl", "it under the terms of the gnu affero general public license as published by the free software foundation either "
+             "version 3 of the license or at your option any later version"),
+    ("epl-2", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0"),
+    ("cc-by-nc-sa", "this work is licensed under a creative commons attribution noncommercial sharealike 4 0 international license"),
+    ("cc-by-nd", "this work is licensed under a creative commons attribution noderivatives 4 0 international license"),
 ]
 
 REPORT = ("n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, "
@@ -66,28 +97,38 @@ REPORT = ("n_words long, n_base long, first_word long, last_word long, base_labe
 
 
 class SuffixAutomaton:
-    """All runs of words of all strings; for each state, where its longest run ends in each string that has it."""
+    """All runs of words of all strings; ``places`` tells where the runs of a state end in the strings."""
 
     def __init__(self, strings: list[tuple[int, ...]]):
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
-        self.ends: list[dict[int, int]] = [{}]  # string -> last place (exclusive) of its first occurrence
+        self._ends: list[list[tuple[int, int]]] = [[]]  # (string, place after) of the prefixes that end in the state
         for k, s in enumerate(strings):
             last = 0
             for end, c in enumerate(s, 1):
                 last = self._extend(last, c)
-                self.ends[last].setdefault(k, end)
-        by_length = sorted(range(1, len(self.link)), key=lambda v: -self.length[v])
-        for v in by_length:  # what ends at a state ends at its suffixes
-            up = self.ends[self.link[v]]
-            for k, end in self.ends[v].items():
-                up[k] = min(end, up.get(k, end))
+                self._ends[last].append((k, end))
+        self._longer: list[list[int]] = [[] for _ in self.link]
+        for v in range(1, len(self.link)):
+            self._longer[self.link[v]].append(v)
+        self._places: dict[int, list[tuple[int, int]]] = {}
+
+    def places(self, state: int) -> list[tuple[int, int]]:
+        """Every (string, place after) where the runs of a state end: those of all states that it is a suffix of."""
+        if state not in self._places:
+            found, below = [], [state]
+            while below:
+                v = below.pop()
+                found += self._ends[v]
+                below += self._longer[v]
+            self._places[state] = sorted(found)
+        return self._places[state]
 
     def _new(self, length: int, link: int, to: dict[int, int]) -> int:
         self.next.append(to)
         self.link.append(link)
         self.length.append(length)
-        self.ends.append({})
+        self._ends.append([])
         return len(self.link) - 1
 
     def _extend(self, last: int, c: int) -> int:
@@ -130,6 +171,8 @@ class SuffixAutomaton:
 class Scanner:
     def __init__(self, templates=TEMPLATES, base=BASE, min_match: int = MIN_MATCH, max_gap: int = MAX_GAP,
                  min_coverage: float = MIN_COVERAGE):
+        """``templates``: (label, words in lower case) pairs; ``base``: label by phrase, or pairs of them."""
+        base = dict(base)
         self.min_match, self.max_gap, self.min_coverage = min_match, max_gap, min_coverage
         self.labels = [label for label, _ in templates]
         texts = [t.encode().split() for _, t in templates] + [p.encode().split() for p in base]
@@ -157,20 +200,24 @@ class Scanner:
         self.shortest = min([min_match, *(len(p.split()) for p in base)])
 
     def scan(self, text: str | None):
-        n, carry, base_hits, long_matches = 0, [], [], []
+        n, state, length = 0, 0, 0
+        base_hits, long_matches = [], []
         for words in alnum_words(text):
-            ids = carry + [self.word(w, 0) for w in words]
-            start = n - len(carry)
+            ids = [self.word(w, 0) for w in words]
+            borders = np.flatnonzero(np.r_[True, np.array(ids) == 0, True])  # of runs of template words
+            first, size = borders[:-1], np.diff(borders) - 1
+            walked = size >= self.shortest
+            walked[-1] = size[-1] > 0  # goes on in the next chunk
+            if length:  # goes on from the last one
+                walked[0] = True
+            for k in np.flatnonzero(walked):
+                at = int(first[k])
+                state, length = self._walk(ids[at:at + size[k]], n + at, state, length, base_hits, long_matches)
+                if k < len(size) - 1:
+                    self._close(n + at + int(size[k]), state, length, long_matches)
+                    state, length = 0, 0
             n += len(words)
-            known = np.flatnonzero(np.r_[True, np.array(ids) == 0, True])  # borders of runs of template words
-            first, size = known[:-1], np.diff(known) - 1
-            open_run = int(size[-1]) if len(size) else 0  # goes on in the next chunk
-            carry = ids[len(ids) - open_run:] if open_run else []
-            closed = len(size) - 1 if open_run else len(size)
-            for k in np.flatnonzero(size[:closed] >= self.shortest):
-                self._run(ids[first[k]:first[k] + size[k]], start + int(first[k]), base_hits, long_matches)
-        if len(carry) >= self.shortest:
-            self._run(carry, n - len(carry), base_hits, long_matches)
+        self._close(n, state, length, long_matches)
         spans = self._chains(long_matches)
         base = sorted({self.base_labels[k] for _, k in base_hits})
         labels = sorted({*base, *(s[0] for s in spans)})
@@ -179,54 +226,68 @@ class Scanner:
         return (n, len(places), min(places, default=None), max(places, default=None), ",".join(base), ",".join(labels), score,
                 [dict(zip(("label", "first", "last", "coverage"), s)) for s in spans])
 
-    def _run(self, ids, at, base_hits, long_matches) -> None:
-        before, length_before = 0, 0
-        for i, (state, length) in enumerate(self.automaton.walk(ids, 0, 0)):
-            if length <= length_before and length_before >= self.min_match:
-                long_matches.append((at + i - length_before, at + i, before))
-            for k, size in self.phrases[state]:
-                if size <= length:
-                    base_hits.append((at + i + 1 - size, k))
-            before, length_before = state, length
-        if length_before >= self.min_match:
-            end = at + len(ids)
-            long_matches.append((end - length_before, end, before))
+    def _walk(self, ids, at, state, length, base_hits, long_matches) -> tuple[int, int]:
+        """Go on with the open run (state, length) over words that follow at ``at``; the run that is open then."""
+        for i, (new, size) in enumerate(self.automaton.walk(ids, state, length), at):
+            if size <= length:
+                self._close(i, state, length, long_matches)
+            for k, words in self.phrases[new]:
+                if words <= size:
+                    base_hits.append((i + 1 - words, k))
+            state, length = new, size
+        return state, length
+
+    def _close(self, end, state, length, long_matches) -> None:
+        if length >= self.min_match:
+            long_matches.append((end - length, end, state))
 
     def _chains(self, matches) -> list[tuple[str, int, int, float]]:
-        """Chains by template, in one pass over the matches in text order; those that cover enough, best for each place."""
-        open_, done = {}, []
-
-        def close(k):
-            chain = open_.pop(k)
-            coverage = chain["covered"] / self.size[k]
-            if coverage >= self.min_coverage:
-                done.append((self.labels[k], chain["first"], chain["end"] - 1, min(1.0, coverage)))
-
+        """The spans of all templates: the heaviest chains that cover enough, apart in the text."""
+        by_template = defaultdict(list)
         for first, end, state in matches:
-            for k, t_end in self.automaton.ends[state].items():
-                if k >= self.n_templates:
-                    continue
-                t_first = t_end - (end - first)
-                chain = open_.get(k)
-                if chain:
-                    skip = max(0, chain["end"] - first, chain["t_end"] - t_first)  # words already covered
-                    if (first - chain["end"] <= self.max_gap and skip < end - first
-                            and t_first + skip - chain["t_end"] <= self.max_gap):
-                        chain["covered"] += end - first - skip
-                        chain["end"], chain["t_end"] = end, t_end
-                        continue
-                    if chain["covered"] >= end - first and first < chain["end"]:
-                        continue
-                    close(k)
-                open_[k] = {"first": first, "end": end, "t_end": t_end, "covered": end - first}
-        for k in list(open_):
-            close(k)
+            for k, t_end in self.automaton.places(state):
+                if k < self.n_templates:
+                    by_template[k].append((first, end, t_end - (end - first), t_end))
         best: dict[tuple[str, int], tuple] = {}
-        for s in done:
-            if (s[0], s[1]) not in best or s[3] > best[s[0], s[1]][3]:
-                best[s[0], s[1]] = s
+        for k, own in by_template.items():
+            for covered, first, end in self._heaviest(own, self.min_coverage * self.size[k]):
+                span = (self.labels[k], first, end - 1, min(1.0, covered / self.size[k]))
+                if span[3] > best.get(span[:2], span[:3] + (0.0,))[3]:
+                    best[span[:2]] = span
         return sorted(best.values(), key=lambda s: (s[1], s[0]))
 
+    def _heaviest(self, own, least: float) -> list[tuple[int, int, int]]:
+        """(words covered, first, end) of one template's chains of at least ``least`` words.
+
+        ``own``: (first, end, template's first, template's end), by end. A match
+        looks back only at those that end at most ``max_gap`` words before it,
+        so the work does not grow with the square of the text.
+        """
+        longest = max(end - first for first, end, _, _ in own)
+        covered, begin, low = [], [], 0
+        for j, (first, end, t_first, t_end) in enumerate(own):
+            top, start = end - first, first
+            while own[low][1] < first - self.max_gap - longest:  # too far back for this match and all later ones
+                low += 1
+            for i in range(j - 1, low - 1, -1):
+                _, end_i, _, t_end_i = own[i]
+                if end_i < first - self.max_gap:
+                    break
+                skip = max(0, end_i - first, t_end_i - t_first)  # words that the match before has covered
+                if skip < end - first and t_first + skip - t_end_i <= self.max_gap:
+                    total = covered[i] + end - first - skip
+                    if (total, -begin[i]) > (top, -start):
+                        top, start = total, begin[i]
+            covered.append(top)
+            begin.append(start)
+        taken: list[tuple[int, int, int]] = []
+        for total, first, end in sorted(((c, f, o[1]) for c, f, o in zip(covered, begin, own) if c >= least),
+                                        key=lambda s: (-s[0], s[1], s[2])):
+            at = bisect_left(taken, first, key=lambda s: s[1])
+            if (at == 0 or taken[at - 1][2] <= first) and (at == len(taken) or taken[at][1] >= end):
+                taken.insert(at, (total, first, end))
+        return taken
+
 
 _scanners: dict = {}
 
@@ -239,7 +300,11 @@ def scanner(key: tuple = ()) -> Scanner:
 
 
 def scan_column(text: str = "text", **settings) -> Column:
-    """The report of each text; settings as of ``Scanner`` (min_match, max_gap, min_coverage)."""
+    """The report of each text; settings as of ``Scanner`` (templates, base, min_match, max_gap, min_coverage)."""
+    if "templates" in settings:
+        settings["templates"] = tuple((label, words) for label, words in settings["templates"])
+    if "base" in settings:
+        settings["base"] = tuple(dict(settings["base"]).items())
     key = tuple(sorted(settings.items()))
 
     @F.pandas_udf(REPORT)

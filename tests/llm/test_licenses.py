@@ -42,7 +42,8 @@ def test_matching_statistics_equal_brute_force(monkeypatch):
         at = 0
         for run in re.split("z", " ".join(words)):
             own = run.split()
-            scanner._run([scanner.word(w.encode(), 0) for w in own], at, base, long_) if own else None
+            state = scanner._walk([scanner.word(w.encode(), 0) for w in own], at, 0, 0, base, long_)
+            scanner._close(at + len(own), *state, long_)
             at += len(own) + 1
         assert {(a, b) for a, b, _ in long_} == brute_matches(words, [s.split() for s in strings] + [["a", "b"], ["c"]], 3)
         text = " ".join(words)
@@ -54,6 +55,84 @@ def test_matching_statistics_equal_brute_force(monkeypatch):
         monkeypatch.undo()
 
 
+def brute_places(run, strings):
+    return sorted((k, i + len(run)) for k, s in enumerate(strings) for i in range(len(s) - len(run) + 1) if s[i:i + len(run)] == run)
+
+
+def brute_chains(own, gap, least):
+    """Every chain, by recursion over what may follow what; those that cover enough, chosen one after another."""
+    every = []
+
+    def go(j, covered, first):
+        every.append((covered, first, own[j][1]))
+        for k in range(j + 1, len(own)):
+            skip = max(0, own[j][1] - own[k][0], own[j][3] - own[k][2])
+            size = own[k][1] - own[k][0]
+            if skip < size and own[k][0] - own[j][1] <= gap and own[k][2] + skip - own[j][3] <= gap:
+                go(k, covered + size - skip, first)
+
+    for j in range(len(own)):
+        go(j, own[j][1] - own[j][0], own[j][0])
+    at_end = {}  # the heaviest, then the earliest, of those with the same last match
+    for c, f, e in every:
+        at_end[e] = max(at_end.get(e, (0, 0)), (c, -f))
+    taken = []
+    for c, f, e in sorted(((c, -f, e) for e, (c, f) in at_end.items() if c >= least), key=lambda s: (-s[0], s[1], s[2])):
+        if all(e <= f2 or f >= e2 for _, f2, e2 in taken):
+            taken.append((c, f, e))
+    return sorted(taken, key=lambda s: s[1])
+
+
+def test_places_and_chains_equal_brute_force():
+    rng = random.Random(7)
+    n_chains = 0
+    for _ in range(300):
+        strings = [rng.choices("abcd", k=rng.randint(1, 14)) for _ in range(rng.randint(1, 3))]
+        scanner = licenses.Scanner([("x", " ".join(s)) for s in strings], {}, min_match=2, max_gap=2, min_coverage=0.5)
+        automaton = scanner.automaton
+        for s in strings:
+            for i in range(len(s)):
+                for j in range(i + 1, len(s) + 1):
+                    state = 0
+                    for w in s[i:j]:
+                        state = automaton.next[state][scanner.word(w.encode())]
+                    assert automaton.places(state) == brute_places(s[i:j], strings)
+        # matches of one template as the scan makes them: ends rise, places of one match rise
+        matches, end = [], 0
+        for _ in range(rng.randint(1, 7)):
+            end += rng.randint(1, 3)
+            size = rng.randint(1, min(4, end))
+            t = rng.randint(0, 9)
+            matches.append((end - size, end, t, t + size))
+        got = scanner._heaviest(matches, 4)
+        n_chains += len(got)
+        assert got == brute_chains(matches, 2, 4)
+    assert n_chains > 100
+
+
+def test_a_run_that_occurs_twice_chains_at_its_second_place():
+    template = "a b c d e f g h a b c d i j k l"
+    s = licenses.Scanner([("x", template)], {}, min_match=4)
+    r = s.scan("e f g h zz a b c d zz i j k l")  # 12 of 16 words in order
+    assert r[5] == "x" and r[6] == 12 / 16 and (r[7][0]["first"], r[7][0]["last"]) == (0, 13)
+    twice = s.scan(f"{template} zz {template}")
+    assert [(p["first"], p["last"], p["coverage"]) for p in twice[7]] == [(0, 15, 1.0), (17, 32, 1.0)]
+
+
+def test_many_copies_and_the_whole_table():
+    s = licenses.Scanner()
+    for label, words in licenses.TEMPLATES:
+        assert label in s.scan(words.upper())[5].split(",")
+    copies = s.scan((licenses.TEMPLATES[1][1] + "\n\n") * 3000)
+    assert len([p for p in copies[7] if p["label"] == "mit" and p["coverage"] == 1.0]) == 3000
+
+
+def test_template_and_phrase_parameters(spark):
+    docs = spark.createDataFrame([(1, "Alpha beta, gamma; delta. By the foo licence!"), (2, None)], "doc_id long, text string")
+    rows = licenses.scan_licenses(docs, templates=[["own", "alpha beta gamma delta"]], base={"foo licence": "foo"}).collect()
+    assert [(r.n_base, r.base_labels, r.labels) for r in rows] == [(1, "foo", "foo,own"), (0, "", "")]
+
+
 def test_templates_with_gaps():
     s = licenses.Scanner()
     mit = licenses.TEMPLATES[1][1].split()
