@@ -2,17 +2,19 @@
 
 Words become symbols: insult (a learned lexicon of words and of word
 beginnings, each with a weight), threat, target, negation, reported speech, or
-other. Four small transducers read a clause's symbols: negation holds for
-``SCOPE`` words after a negating word, reported speech to the clause's end,
-target once someone is addressed or named, threat until a target or insult has
-been read. Their composition, one table over the product of their states, gives a
-weight for each matched insult or threat: less when negated or reported, more
-when aimed at a target. A threat that comes first ("kill you") is held with its
-negation and reported-speech factors, and counts once a target or insult of the
-same clause is read; if none comes, it counts nothing. A clause scores the sum of its matches; a document is
-scored by its clauses (the strongest, all together, how many, how dense) through
-a logistic curve. Words outside the grammar only move the states on, so
-isolated harmless words score nothing.
+other. Five small transducers read a clause's symbols, each what the one before
+put out. The insult transducer takes one insult or none, and the threat
+transducer one threat if no insult was taken, so a path through all of them is
+one match. A threat is taken at once if a target or insult came before; else
+it waits, and the path counts only if one is read later ("kill you"), which
+puts the threat's delayed weight out. Negation weighs what is taken within
+``SCOPE`` words after a negating word, reported speech up to the clause's end, target
+once someone is addressed or named. Their composition is one table over the
+product of their states; it is made deterministic by sets of states, with a sum
+of path weights for each. The weights of all accepted paths make the clause's
+score; a document is scored by its clauses (the strongest, all together, how
+many, how dense) through a logistic curve. Words outside the grammar only move
+the states on, so isolated harmless words score nothing.
 
 Learned from labelled rows outside the held-out fold, on a sample bounded by
 ``MAX_LABELLED`` rows (by a hash of doc_id, and of the text where ids have several
@@ -65,80 +67,134 @@ CLAUSE_END = re.compile(rb"[.!?;:\n]+")
 
 
 # ---------------------------------------------------------------- grammar
+SYMBOLS = ("insult", "threat", "target", "negation", "reported", "other")
+#: What a path takes as its match is put out as one of these, and weighed by the word.
+TAKEN = ("insult!", "threat!")
+AIMED = 1.5  # factor of a match aimed at someone
+THREAT_WEIGHT = 2.0
+
+
 @dataclass(frozen=True)
 class Transducer:
-    """States 0..n-1; for a state and symbol the next state and the factor on the weight of a match."""
+    """States 0..n-1, from 0; for a state and symbol the ways on (next state, factor, symbol put out).
+
+    A symbol without an entry keeps the state and passes through; an empty
+    entry ends the path. ``final`` is the weight of a path that ends in a state.
+    """
     n: int
-    step: dict[tuple[int, str], tuple[int, float]]
+    step: dict[tuple[int, str], tuple[tuple[int, float, str], ...]]
+    final: tuple[float, ...] = ()
 
-    def move(self, state: int, symbol: str) -> tuple[int, float]:
-        return self.step.get((state, symbol), self.step.get((state, "other"), (state, 1.0)))
+    def ways(self, state: int, symbol: str) -> tuple[tuple[int, float, str], ...]:
+        return self.step.get((state, symbol), ((state, 1.0, symbol),))
 
+    def end(self, state: int) -> float:
+        return self.final[state] if self.final else 1.0
 
-SYMBOLS = ("insult", "threat", "target", "negation", "reported", "other")
+
+def insults() -> Transducer:
+    """Takes one insult of the clause (state 1) or none."""
+    return Transducer(2, {(0, "insult"): ((0, 1.0, "insult"), (1, 1.0, "insult!"))})
+
+
+def threats(aimed: float = AIMED, alone: float = 0.0) -> Transducer:
+    """Takes one threat unless an insult is taken.
+
+    States: 0 no target or insult yet, 1 one was read, 2 a threat taken in state 0
+    waits, 3 taken. ``aimed`` is the delayed factor of a waiting threat whose
+    target comes, ``alone`` the weight of one that waits to the end.
+    """
+    step = {(0, "target"): ((1, 1.0, "target"),), (0, "insult"): ((1, 1.0, "insult"),),
+            (0, "threat"): ((0, 1.0, "threat"), (2, 1.0, "threat!")), (1, "threat"): ((1, 1.0, "threat"), (3, 1.0, "threat!")),
+            (2, "target"): ((3, aimed, "target"),), (2, "insult"): ((3, 1.0, "insult"),)}
+    step |= {(q, "insult!"): ((3, 1.0, "insult!"),) for q in (0, 1)} | {(q, "insult!"): () for q in (2, 3)}
+    return Transducer(4, step, (0.0, 0.0, alone, 1.0))
+
+
+def _weighing(n: int, factors: dict[int, float]) -> dict:
+    """In the given states, what is taken is weighed by a factor."""
+    return {(q, s): ((q, f, s),) for q, f in factors.items() if q < n for s in TAKEN}
 
 
 def negation(scope: int = SCOPE, factor: float = 0.4) -> Transducer:
-    step = {(0, s): (0, 1.0) for s in SYMBOLS}
-    for k in range(1, scope + 1):
-        step |= {(k, s): (k - 1, factor if s in ("insult", "threat") else 1.0) for s in SYMBOLS}
-    return Transducer(scope + 1, step | {(k, "negation"): (scope, 1.0) for k in range(scope + 1)})
+    """State k: the next k words are negated."""
+    step = {(k, s): ((k - 1, factor if s in TAKEN else 1.0, s),) for k in range(1, scope + 1) for s in SYMBOLS + TAKEN}
+    return Transducer(scope + 1, step | {(k, "negation"): ((scope, 1.0, "negation"),) for k in range(scope + 1)})
 
 
 def reported(factor: float = 0.6) -> Transducer:
-    step = {(0, s): (0, 1.0) for s in SYMBOLS} | {(1, s): (1, factor if s in ("insult", "threat") else 1.0) for s in SYMBOLS}
-    return Transducer(2, step | {(0, "reported"): (1, 1.0)})
+    return Transducer(2, _weighing(2, {1: factor}) | {(0, "reported"): ((1, 1.0, "reported"),)})
 
 
-def target(factor: float = 1.5) -> Transducer:
-    step = {(0, s): (0, 1.0) for s in SYMBOLS} | {(1, s): (1, factor if s in ("insult", "threat") else 1.0) for s in SYMBOLS}
-    return Transducer(2, step | {(0, "target"): (1, 1.0)})
+def target(factor: float = AIMED) -> Transducer:
+    return Transducer(2, _weighing(2, {1: factor}) | {(0, "target"): ((1, 1.0, "target"),)})
 
 
-def threat(alone: float = 0.0) -> Transducer:
-    """State 1 once a target or an insult was read; ``alone`` is the factor of a threat before that."""
-    step = {(0, s): (0, 1.0) for s in SYMBOLS} | {(1, s): (1, 1.0) for s in SYMBOLS}
-    return Transducer(2, step | {(0, "threat"): (0, alone), (0, "target"): (1, 1.0), (0, "insult"): (1, 1.0)})
+@dataclass(frozen=True)
+class Composed:
+    """Over the product of the states: ways on (next state, factor, whether the word's weight counts), and final weights."""
+    start: int
+    step: dict[tuple[int, str], tuple[tuple[int, float, bool], ...]]
+    final: tuple[float, ...]
 
 
-def compose(*parts: Transducer) -> tuple[int, dict[tuple[int, str], tuple[int, float]]]:
-    """One table over the product of the states: next state, and the product of the factors."""
+def compose(*parts: Transducer) -> Composed:
+    """The transducers one after another, each reading what the one before puts out."""
     states = list(product(*(range(p.n) for p in parts)))
     number = {s: k for k, s in enumerate(states)}
     table = {}
     for s in states:
         for symbol in SYMBOLS:
-            moves = [p.move(q, symbol) for p, q in zip(parts, s)]
-            table[number[s], symbol] = (number[tuple(m[0] for m in moves)], math.prod(m[1] for m in moves))
-    return number[(0,) * len(parts)], table
-
-
-_PARTS = (negation(), reported(), target(), threat(alone=1.0))
-START, GRAMMAR = compose(*_PARTS)
-#: Factor on the threats held so far, for states past a target or insult; other states keep holding.
-PAID = {k: _PARTS[2].move(s[2], "threat")[1] for k, s in enumerate(product(*(range(p.n) for p in _PARTS))) if s[3] == 1}
+            ways = [((), 1.0, symbol)]
+            for p, q in zip(parts, s):
+                ways = [(done + (to,), f * g, out) for done, f, read in ways for to, g, out in p.ways(q, read)]
+            table[number[s], symbol] = tuple((number[to], f, out in TAKEN) for to, f, out in ways)
+    return Composed(0, table, tuple(math.prod(p.end(q) for p, q in zip(parts, s)) for s in states))
+
+
+def determinised(c: Composed) -> tuple[dict, list[list[float]]]:
+    """Sets of states in place of states: {(set, symbol): (next set, moves)} and the final weights in each set.
+
+    A move (i, j, factor, word counts) carries the weight of the set's i-th
+    state to the next set's j-th; None where every weight stays as it is.
+    """
+    sets = {(c.start,): 0}
+    steps, todo = {}, [(c.start,)]
+    while todo:
+        here = todo.pop()
+        for symbol in SYMBOLS:
+            ways = [(i, *way) for i, q in enumerate(here) for way in c.step[q, symbol]]
+            there = tuple(dict.fromkeys(to for _, to, _, _ in ways))
+            if there not in sets:
+                sets[there] = len(sets)
+                todo.append(there)
+            moves = [(i, there.index(to), f, word) for i, to, f, word in ways]
+            same = len(here) == len(there) and moves == [(i, i, 1.0, False) for i in range(len(here))]
+            steps[sets[here], symbol] = (sets[there], None if same else (len(there), moves))
+    return steps, [[c.final[q] for q in s] for s in sets]
+
+
+GRAMMAR = compose(insults(), threats(), negation(), reported(), target())
+STEPS, FINAL = determinised(GRAMMAR)
 CLOSED = {w.encode(): s for s, words in (("threat", THREAT), ("target", TARGET), ("negation", NEGATION), ("reported", REPORTED)) for w in words}
-THREAT_WEIGHT = 2.0
 
 
 def clause_score(words: list[bytes], insult) -> tuple[float, int]:
     """Weight and number of the matches in a clause; ``insult(word)`` is a word's weight or 0."""
-    state, total, n = START, 0.0, 0
-    held, n_held = 0.0, 0  # threats with no target or insult yet
+    at, weights, paths = 0, [1.0], [1]
     for w in words:
         weight = insult(w)
-        symbol = "insult" if weight else CLOSED.get(w, "other")
-        state, factor = GRAMMAR[state, symbol]
-        if symbol in ("insult", "threat"):
-            weight = (weight or THREAT_WEIGHT) * factor
-            if state not in PAID:
-                held, n_held = held + weight, n_held + (weight > 0)
-                continue
-            total += weight
-            n += weight > 0
-        if n_held and state in PAID:
-            total, n = total + held * PAID[state], n + n_held
-            held, n_held = 0.0, 0
+        at, moves = STEPS[at, "insult" if weight else CLOSED.get(w, "other")]
+        if moves:
+            n, ways = moves
+            old, old_paths, weights, paths = weights, paths, [0.0] * n, [0] * n
+            for i, j, factor, word in ways:
+                weights[j] += old[i] * factor * ((weight or THREAT_WEIGHT) if word else 1.0)
+                paths[j] += old_paths[i]
+    total, n = 0.0, 0
+    for x, k, f in zip(weights, paths, FINAL[at]):
+        if f:
+            total, n = total + x * f, n + k
     return total, n
 
 

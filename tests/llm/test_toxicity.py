@@ -1,4 +1,7 @@
+import random
+import re
 import zlib
+from collections import defaultdict
 
 import numpy as np
 
@@ -37,16 +40,95 @@ def test_threat_before_its_object():
     assert not any(toxicity.shape("i will kill time. you are here", toxicity.Lexicon({})))  # another clause
 
 
-def test_composition_is_the_product():
-    parts = (toxicity.negation(), toxicity.reported(), toxicity.target(), toxicity.threat())
-    state, table = toxicity.compose(*parts)
-    assert len({s for s, _ in table}) == 4 * 2 * 2 * 2
-    own = [0, 0, 0, 0]
-    for symbol in ("reported", "target", "negation", "other", "insult", "threat", "other", "insult"):
-        moves = [p.move(q, symbol) for p, q in zip(parts, own)]
-        own = [m[0] for m in moves]
-        state, factor = table[state, symbol]
-        assert abs(factor - np.prod([m[1] for m in moves])) < 1e-12
+WORDS = ["idiot", "scum", "kill", "burn", "you", "them", "not", "never", "said", "time", "and", "wood"]
+WEIGHTS = {"idiot": 2.0, "scum": 3.0}
+
+
+def brute_clause(words):
+    """The rules, match by match: (sum of weights, number)."""
+    aims = [i for i, w in enumerate(words) if w in toxicity.TARGET]
+    found = []
+    for i, w in enumerate(words):
+        if w not in WEIGHTS and w not in toxicity.THREAT:
+            continue
+        weight = WEIGHTS.get(w, toxicity.THREAT_WEIGHT)
+        if any(v in toxicity.NEGATION for v in words[max(0, i - toxicity.SCOPE):i]):
+            weight *= 0.4
+        if any(v in toxicity.REPORTED for v in words[:i]):
+            weight *= 0.6
+        if any(j < i for j in aims):
+            weight *= 1.5
+        elif w not in WEIGHTS and not any(v in WEIGHTS for v in words[:i]):
+            later = [v for v in words[i + 1:] if v in WEIGHTS or v in toxicity.TARGET]
+            if not later:
+                continue
+            weight *= 1.5 if later[0] in toxicity.TARGET else 1.0
+        found.append(weight)
+    return sum(found), len(found)
+
+
+def test_clause_equals_brute_force():
+    rng = random.Random(3)
+    for _ in range(4000):
+        words = rng.choices(WORDS, k=rng.randint(0, 12))
+        total, n = toxicity.clause_score([w.encode() for w in words], lambda w: WEIGHTS.get(w.decode(), 0.0))
+        want, n_want = brute_clause(words)
+        assert abs(total - want) < 1e-9 and n == n_want, words
+
+
+def test_document_equals_brute_force():
+    rng = random.Random(5)
+    lexicon = toxicity.Lexicon({w.encode(): x for w, x in WEIGHTS.items()})
+    for _ in range(200):
+        clauses = [rng.choices(WORDS, k=rng.randint(0, 9)) for _ in range(rng.randint(0, 6))]
+        text = "".join(" ".join(c).upper() + rng.choice([". ", "!\n", "; ", "? "]) for c in clauses)
+        found = [brute_clause(c) for c in clauses]
+        total, words = sum(t for t, _ in found), sum(map(len, clauses))
+        density = total / max(1, words)
+        want = [max([t for t, _ in found], default=0.0), np.log1p(total), np.log1p(sum(k > 0 for _, k in found)),
+                np.log1p(sum(k for _, k in found)), min(2.0, 20 * density), min(1.0, density) ** 0.5]
+        assert np.allclose(toxicity.shape(text, lexicon), want)
+
+
+def test_lexicon_equals_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    marked = {r.doc_id: r.toxic for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 5}
+    rows = {(r.text, marked[r.doc_id]) for r in docs.collect() if marked.get(r.doc_id) is not None}
+    counts = defaultdict(lambda: [0, 0])
+    for text, toxic in rows:
+        words = set(re.findall("[^\x00-/:-`{-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")))
+        for w in words | {"^" + w[:k] for w in words for k in toxicity.BEGINNINGS if len(w.encode()) > 5 and len(w) > k}:
+            counts[w][0] += 1
+            counts[w][1] += toxic
+    n, bad = len(rows), sum(t for _, t in rows)
+    odds = {w: ((b + 0.5) / (bad + 1)) / ((k - b + 2) / (n - bad + 4)) for w, (k, b) in counts.items() if b >= toxicity.MIN_DOCS}
+    want = {w.encode(): np.log(o) for w, o in odds.items() if o >= toxicity.MIN_ODDS}
+    got = toxicity.train(docs, labels).lexicon.weight
+    assert set(got) == set(want) and want and all(abs(got[w] - want[w]) < 1e-9 for w in want)
+
+
+def test_composition_is_what_is_scored():
+    """Every path through the five transducers by itself: the accepted ones' weights make the clause's score."""
+    parts = (toxicity.insults(), toxicity.threats(), toxicity.negation(), toxicity.reported(), toxicity.target())
+
+    def paths(states, symbols):
+        if not symbols:
+            return [np.prod([p.end(q) for p, q in zip(parts, states)])]
+        ways = [((), 1.0, symbols[0])]
+        for p, q in zip(parts, states):
+            ways = [(done + (to,), f * g, out) for done, f, read in ways for to, g, out in p.ways(q, read)]
+        word = {"insult!": 3.0, "threat!": toxicity.THREAT_WEIGHT}
+        return [f * word.get(out, 1.0) * x for to, f, out in ways for x in paths(to, symbols[1:])]
+
+    rng = random.Random(9)
+    words = {"insult": b"scum", "threat": b"kill", "target": b"you", "negation": b"not", "reported": b"said", "other": b"time"}
+    for _ in range(300):
+        symbols = rng.choices(toxicity.SYMBOLS, k=rng.randint(0, 7))
+        every = paths((0,) * 5, symbols)
+        total, n = toxicity.clause_score([words[s] for s in symbols], lambda w: 3.0 if w == b"scum" else 0.0)
+        assert abs(total - sum(every)) < 1e-9 and n == sum(x > 0 for x in every)
+    assert len({q for q, _ in toxicity.GRAMMAR.step}) == 2 * 4 * 4 * 2 * 2
 
 
 def test_held_out_toxicity(spark):
