@@ -18,6 +18,9 @@ summed by itself, and a row for each part carries the sums on.
 
 Turns order by turn, then role, then text (nulls first); repeated rows are turns
 of their own. Null roles and texts are empty; a null conv_id is a conversation.
+An empty table has no conversations; an empty assistant text is an example with
+an empty loss span. A very long text is one turn and stays in one row. The columns
+conv_id, turn, role and text are read only; others, whatever their names, are not.
 """
 
 from __future__ import annotations

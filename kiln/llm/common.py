@@ -31,6 +31,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it in any case."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def byte_chunks(data: bytes, size: int = CHUNK_BYTES) -> Iterator[bytes]:
     """``data`` in pieces of about ``size`` bytes, cut only before white space, so that no word is split."""
     n, start = len(data), 0

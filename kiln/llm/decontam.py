@@ -18,6 +18,12 @@ function of the text, so a hot source or a group of copies costs nothing extra.
 Null and empty texts have no words: no hit, not contaminated. Repeated rows of
 ``docs`` give repeated result rows, repeated items count once, items without
 words match nothing, and an item with a null id marks words but is not listed.
+Items that share words or whole windows are each listed, and overlapping places
+count a word once, so ties need no rule. Very long texts are read in segments
+that overlap by a window, so a place across a border is found once. Without
+documents there are no rows; with an empty benchmark nothing is hit. ``doc_id``
+and ``text`` (``item_id`` and ``text``) are read only; names added to whole rows
+are chosen so that they differ from the rows' own.
 """
 
 from __future__ import annotations
@@ -31,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import alnum_words, saved
+from kiln.llm.common import alnum_words, free_name, saved
 
 WINDOW = 13
 PART_WORDS = 200_000
@@ -207,7 +213,5 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that aren't contaminated, with their own columns."""
-    out = "_kiln_found"
-    while out in docs.columns:
-        out += "_"
+    out = free_name(docs, "_kiln_found")
     return contamination(docs, benchmark, out).where(~contaminated(F.col(out))).drop(out)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import byte_chunks, encoded, saved
+from kiln.llm.common import byte_chunks, encoded, free_name, saved
 
 SHINGLE = 3
 RADIUS = 2
@@ -290,16 +290,10 @@ def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = S
     The rows are written once with their fingerprints and a number each, by
     which the kept one is named, whatever ids repeat and columns are there.
     """
-    fp, at = _free_name(docs, "_kiln_fp"), _free_name(docs, "_kiln_at")
+    fp, at = free_name(docs, "_kiln_fp"), free_name(docs, "_kiln_at")
     held = saved(docs.withColumn(fp, fingerprint_column("text", shingle)).withColumn(at, F.monotonically_increasing_id()), "simhash-docs")
     rows = held.select("doc_id", F.col(fp).alias("fp"), F.col(at).alias("at"))
     comp = near_duplicates(rows.select("doc_id", "fp"), radius)
     best = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("at"))).alias("best"))
     kept = best.join(comp, "fp").groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.at").alias(at))
     return held.join(kept, at, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
-
-
-def _free_name(df: DataFrame, name: str) -> str:
-    while name.lower() in {c.lower() for c in df.columns}:
-        name += "_"
-    return name

@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from kiln.llm import decontam
 from kiln.llm.registered import QUERIES
@@ -86,3 +87,12 @@ def test_long_item_in_segments(spark, monkeypatch):
     segments = decontam._segments(bench, 13).collect()
     windows = {tuple(bytes(r.words).split()[i:i + 13]) for r in segments for i in range(r.n - 12)}
     assert windows == {tuple(w.encode() for w in words[i:i + 13]) for i in range(28)}
+
+
+def test_added_names_differ_in_any_case(spark, odd):
+    docs = odd.withColumnRenamed("_kiln_found", "_KILN_FOUND").withColumn("_Kiln_found_", F.lit("theirs"))
+    items = spark.createDataFrame([("i", "no such words")], "item_id string, text string")
+    rows = decontam.decontaminate(docs, items)
+    assert rows.columns == docs.columns and rows.count() == docs.count()
+    assert rows.where("`_KILN_FOUND` = 'theirs' AND `_Kiln_found_` = 'theirs'").count() == docs.count()
+    assert decontam.decontaminate(docs, items.where("false")).count() == docs.count()

@@ -40,3 +40,28 @@ def test_pipeline_stages(spark):
     last = corpus_pipeline.token_files(spark, at, SF).collect()
     assert bag(map(tuple, last)) == bag(map(tuple, tokens.tokenize(spark, at).collect()))
     assert bag(map(tuple, last)) == bag(map(tuple, corpus_pipeline.run(spark, SF).collect()))
+
+
+def _folder(spark, tmp_path, docs):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (2, 1, 0), (7, 0, 0), (8, 0, 1), (None, 1, 0), (9, None, None)],
+                          "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([("i", "no words of the rows"), (None, None)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return str(tmp_path)
+
+
+def test_pipeline_of_odd_rows(spark, odd, tmp_path):
+    sf = _folder(spark, tmp_path, odd)
+    at = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = bag(at.select("doc_id", "text").distinct().collect())
+        at = stage(spark, at, sf).cache()
+        assert at.columns == odd.columns, name
+        assert set(bag(at.select("doc_id", "text").collect())) <= set(before), name
+        assert at.where("fp = 'theirs' AND _metadata = 'theirs'").count() == at.count(), name
+    last = corpus_pipeline.run(spark, sf).collect()
+    assert bag(r.doc_id for r in last) == bag(r.doc_id for r in at.collect())
+
+
+def test_pipeline_of_an_empty_table(spark, none, tmp_path):
+    assert corpus_pipeline.run(spark, _folder(spark, tmp_path, none)).collect() == []
