@@ -4,6 +4,16 @@
 result is written as Parquet and read again as the next stage's ``docs``. All
 but the last return the columns of ``documents``; the last returns a row for
 each document that was tokenized.
+
+Every stage keeps whole rows, extra columns included, whatever their names. Null
+and empty texts are scored like any other by the classifier; those that it keeps
+are near duplicates of each other (fingerprint zero), hold no benchmark words,
+are in no quota of the mix (they go with their hash) and give a document of the end
+token alone. Rows that repeat, or share an id, are scored each and are one group only if
+their fingerprints link; of a group's rows with the smallest id one stays. Rows
+without an id stand for a group only where no row of it has one. Very long texts are read whole. Without labels
+of both kinds nothing is learned, and every document gets the same score. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
